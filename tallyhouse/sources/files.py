@@ -21,12 +21,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
-def children(spark: SparkSession, path: str) -> list[str]:
+def children(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
     """Names directly below a folder; [] when it does not exist."""
     fs, hadoop_path = _fs(spark, path)
     if not fs.exists(hadoop_path):
         return []
-    return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
+    names = (status.getPath().getName() for status in fs.listStatus(hadoop_path))
+    return sorted(name for name in names if name.endswith(suffix) and not name.startswith("."))
 
 
 def delete(spark: SparkSession, path: str) -> None:
