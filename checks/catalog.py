@@ -79,7 +79,10 @@ def src_csv_set(v: Views) -> DataFrame:
         "0/crm_clients.csv": v("v_crm_clients_raw").drop("load_seq"),
     }
     for name, rows in feeds.items():
-        rows.write.option("header", True).csv(f"{folder}/{name}")
+        (
+            rows.write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/{name}")
+        )
     found = load.read_csv_set(Warehouse(v.spark, folder), [f"{folder}/0", f"{folder}/1"])
     # Files are numbered in load order: the first root delivered one folder of files.
     first_root = len(children(v.spark, f"{folder}/0/abs_clients.csv", ".csv"))
