@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 
@@ -156,7 +156,7 @@ def load_sources(
         if sources:
             parts = [staged(rows, table, batch_id, now) for rows in sources]
             warehouse.write_staging(table, batch_id, reduce(DataFrame.unionByName, parts))
-    tables = {table: warehouse.staging(table, batch_id) for table in STAGING}
+    tables = {table: warehouse.staging(table, batch_id, numbered=False) for table in STAGING}
     note = batch_note(batch_counts(tables)).first()["note"]
     log_batch(warehouse, batch_id, status="LOADED", finished_at=now_utc(), notes=note)
     return batch_id
@@ -203,10 +203,6 @@ def conform(
     def materialise(name: str, rows: DataFrame) -> DataFrame:
         return warehouse.materialise(batch_id, name, rows)
 
-    for table in STAGING:
-        refused = warehouse.staging(table, batch_id, refused=True)
-        warehouse.write_rejects(table, batch_id, refused)
-
     clients_now, history_now = warehouse.core("clients"), warehouse.core("client_history")
     after_client = highest_id(clients_now, "client_id")
     after_history = highest_id(history_now, "client_history_id")
@@ -229,9 +225,12 @@ def conform(
     )
     lookup = materialise("source_clients", identity.source_client_lookup(resolved))
 
-    def load(table: str, typed: DataFrame) -> DataFrame:
+    def load(table: str, source: str, rule: Callable[..., DataFrame], *related: object) -> DataFrame | None:
+        """The rows of this batch as stored, None when the batch has none."""
+        if not warehouse.has_staging(source, batch_id):
+            return None
         spec = CORE[table]
-        typed = materialise(table, typed)
+        typed = materialise(table, rule(raw(source), *related))
         warehouse.write_rejects(table, batch_id, loaders.rejects(table, typed))
         current = warehouse.core(table)
         after = highest_id(current, spec.id) if spec.id else 0
@@ -239,17 +238,14 @@ def conform(
         accepted = typed.where("reject_reason IS NULL")
         return written.join(accepted.select(*spec.key), list(spec.key), "left_semi")
 
-    accounts = load("accounts", loaders.accounts(raw("abs_accounts_raw"), lookup, now))
-    products = load("products", loaders.products(raw("abs_products_raw"), lookup, now, accounts))
-    load(
-        "transactions",
-        loaders.transactions(raw("abs_transactions_raw"), lookup, now, accounts, products),
-    )
-    load("digital_events", loaders.digital_events(raw("dbo_events_raw"), lookup, now))
-    load("appeals", loaders.appeals(raw("appeals_raw"), lookup, now))
-    load("ref_product_catalog", loaders.product_catalog(raw("product_catalog_raw"), now))
-    load("crm_marketing_leads", loaders.marketing_leads(raw("crm_marketing_raw"), lookup, now))
-    load("credit_risk_features", loaders.credit_risk(raw("credit_risk_raw"), lookup, now))
+    accounts = load("accounts", "abs_accounts_raw", loaders.accounts, lookup, now)
+    products = load("products", "abs_products_raw", loaders.products, lookup, now, accounts)
+    load("transactions", "abs_transactions_raw", loaders.transactions, lookup, now, accounts, products)
+    load("digital_events", "dbo_events_raw", loaders.digital_events, lookup, now)
+    load("appeals", "appeals_raw", loaders.appeals, lookup, now)
+    load("ref_product_catalog", "product_catalog_raw", loaders.product_catalog, now)
+    load("crm_marketing_leads", "crm_marketing_raw", loaders.marketing_leads, lookup, now)
+    load("credit_risk_features", "credit_risk_raw", loaders.credit_risk, lookup, now)
 
     note = warehouse.core("load_batch").where(F.col("batch_id") == batch_id).first()["notes"]
     log_batch(warehouse, batch_id, status="DONE", notes=f"{note} -> DWH")

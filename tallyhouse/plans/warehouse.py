@@ -57,18 +57,27 @@ class Warehouse:
             self.path("stg", table, f"batch_id={batch_id}")
         )
 
-    def staging(self, table: str, batch_id: int, refused: bool = False) -> DataFrame:
-        """One batch, read by folder: accepted rows with load_seq, or the refused ones."""
+    def staging(
+        self, table: str, batch_id: int, refused: bool = False, numbered: bool = True
+    ) -> DataFrame:
+        """One batch, read by folder: accepted rows with load_seq, or the refused ones.
+
+        Refused rows stay in staging next to their reason. `numbered` is off for
+        readers that need no order.
+        """
         folder = self.path("stg", table, f"batch_id={batch_id}")
         schema = staging_schema(table)
-        rows = (
-            self.spark.read.schema(schema).parquet(folder)
-            if exists(self.spark, folder)
-            else self.empty(schema)
-        )
+        if not exists(self.spark, folder):
+            rows = self.empty(schema)
+            return rows if refused else rows.withColumn("load_seq", F.lit(0).cast("bigint"))
+        rows = self.spark.read.schema(schema).parquet(folder)
         if refused:
             return rows.where("reject_reason IS NOT NULL")
-        return with_load_seq(rows.where("reject_reason IS NULL").drop("reject_reason"))
+        rows = rows.where("reject_reason IS NULL").drop("reject_reason")
+        return with_load_seq(rows) if numbered else rows
+
+    def has_staging(self, table: str, batch_id: int) -> bool:
+        return exists(self.spark, self.path("stg", table, f"batch_id={batch_id}"))
 
     # core
 
@@ -84,9 +93,11 @@ class Warehouse:
     def core(self, table: str) -> DataFrame | None:
         """The current state, None when the table was never written."""
         versions = self.versions(table)
-        if not versions:
-            return None
-        return self.spark.read.parquet(self._version(table, versions[-1]))
+        return self._read(table, versions[-1]) if versions else None
+
+    def _read(self, table: str, number: int) -> DataFrame:
+        schema = CORE[table].schema if table in CORE else DICTIONARIES[table][1]
+        return self.spark.read.schema(schema).parquet(self._version(table, number))
 
     def core_or_empty(self, table: str) -> DataFrame:
         current = self.core(table)
@@ -101,7 +112,7 @@ class Warehouse:
         rows.write.mode("overwrite").parquet(self._version(table, number))
         for old in versions[: -(KEPT_VERSIONS - 1)]:
             delete(self.spark, self._version(table, old))
-        return self.core(table)
+        return self._read(table, number)
 
     def seed_dictionaries(self) -> None:
         """Insert missing dictionary rows; only segment names are refreshed."""
@@ -110,7 +121,10 @@ class Warehouse:
             key = [rows.columns[0]]
             updates = ["segment_type_name", "description"] if name == "segment_types" else []
             current = self.core(name)
-            self.write_core(name, rows if current is None else apply_to(current, rows, key, updates))
+            if current is None:
+                self.write_core(name, rows)
+            elif updates or not rows.join(current, key, "left_anti").isEmpty():
+                self.write_core(name, apply_to(current, rows, key, updates))
 
     def reset(self) -> None:
         """Empty staging, entities, facts and snapshots; dictionaries and marts stay."""
