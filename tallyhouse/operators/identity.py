@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tallyhouse.functions.scalars import parse_date
 from tallyhouse.functions.text import join_present, or_default, strip, stripped
 from tallyhouse.operators.ids import surrogate_ids
+from tallyhouse.operators.lookup import lookup
 from tallyhouse.reference_data import ABS, CRM
 from tallyhouse.schemas import CORE, STAGING
 
@@ -83,7 +84,7 @@ def resolve_identities(
     founder = (F.col("load_seq") == F.col("__founder_seq")) & F.col("__known_id").isNull()
     is_abs = F.col("source_system_id") == ABS
     return (
-        rows.join(people, "__person")
+        lookup(rows, F.col("__person"), people.withColumnRenamed("__person", "__key"), "__key")
         .withColumn("client_id", F.coalesce("__known_id", "__new_id"))
         .withColumn("founder", founder)
         .withColumn(

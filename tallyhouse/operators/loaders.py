@@ -2,9 +2,7 @@
 
 Every loader returns one DataFrame with the core columns, `load_seq` and
 `reject_reason`. A row with a reason does not enter the core table; the caller
-writes it to the reject table instead of failing the batch. Client, account and
-product lookups are row-preserving equi-joins, which AQE splits when one key is
-hot; keys that cannot match are NULL on purpose and spread by `_spread`.
+writes it to the reject table instead of failing the batch.
 """
 
 from __future__ import annotations
@@ -27,6 +25,7 @@ from tallyhouse.functions.scalars import (
 )
 from tallyhouse.functions.text import blank_to_null, cut, or_default, strip, stripped
 from tallyhouse.operators.ids import surrogate_ids
+from tallyhouse.operators.lookup import lookup as find
 from tallyhouse.operators.upsert import fold_upsert
 from tallyhouse.reference_data import ABS, DBO, DEFAULT_PRODUCT_TYPE, dictionary
 from tallyhouse.schemas import CORE
@@ -45,9 +44,8 @@ def _now(now: datetime) -> Column:
 
 def with_client(raw: DataFrame, lookup: DataFrame, source: Column | str = "source_client_id") -> DataFrame:
     """Add `client_id`, NULL where the source id resolves to nobody."""
-    source = F.col(source) if isinstance(source, str) else source
     people = lookup.select(F.col("source_client_id").alias("__source_client"), "client_id")
-    return raw.join(people, source == F.col("__source_client"), "left").drop("__source_client")
+    return find(raw, F.col(source) if isinstance(source, str) else source, people, "__source_client")
 
 
 def dictionary_lookup(rows: DataFrame, code: Column, name: str, id_column: str, code_column: str) -> DataFrame:
@@ -61,19 +59,12 @@ def dictionary_lookup(rows: DataFrame, code: Column, name: str, id_column: str,
     return rows.join(F.broadcast(codes), code == F.col("__code"), "left").drop("__code")
 
 
-def _spread(key: str) -> Column:
-    """Join key for an optional reference: blanks become distinct, unmatched keys."""
-    return F.coalesce(
-        F.concat(F.lit("="), blank_to_null(key)), F.concat(F.lit("~"), F.col("load_seq").cast("string"))
-    )
-
-
 def with_reference(rows: DataFrame, key: str, table: DataFrame | None, id_column: str) -> DataFrame:
     """Add `id_column` of the row of `table` whose source key equals `key`, else NULL."""
     if table is None:
         return rows.withColumn(id_column, F.lit(None).cast("bigint"))
-    targets = table.select(F.concat(F.lit("="), F.col(key)).alias("__reference"), id_column)
-    return rows.join(targets, _spread(key) == F.col("__reference"), "left").drop("__reference")
+    targets = table.select(F.col(key).alias("__source_key"), id_column)
+    return find(rows, blank_to_null(key), targets, "__source_key")
 
 
 def referential_filter(facts: DataFrame, clients: DataFrame) -> tuple[DataFrame, DataFrame]:

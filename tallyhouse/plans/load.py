@@ -16,7 +16,7 @@ from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.schemas import CORE, STAGING, staging_columns
 from tallyhouse.sources import camt, documents, manifest, rules
 from tallyhouse.sources.files import exists, from_source
-from tallyhouse.sources.text import read_delimited, read_documents, read_lines
+from tallyhouse.sources.text import UNKNOWN, Hints, read_delimited, read_documents, read_lines
 
 # File names the feeds arrive under.
 CSV_SET = {
@@ -54,19 +54,24 @@ def now_utc() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def read_csv_set(warehouse: Warehouse, roots: Sequence[str]) -> dict[str, DataFrame]:
+def read_csv_set(
+    warehouse: Warehouse, roots: Sequence[str], hints: Hints = UNKNOWN
+) -> dict[str, DataFrame]:
     """The fixed-name files of every root; rows of earlier roots come first."""
     spark, found = warehouse.spark, {}
     for name, table in CSV_SET.items():
         paths = [f"{root}/{name}" for root in roots if exists(spark, f"{root}/{name}")]
-        rows = read_delimited(spark, paths, staging_columns(table)) if paths else None
+        rows = read_delimited(spark, paths, staging_columns(table), hints=hints) if paths else None
         if rows is not None:
             found[table] = rows
     return found
 
 
 def gather(
-    warehouse: Warehouse, roots: Sequence[str], datasets: str | None = None
+    warehouse: Warehouse,
+    roots: Sequence[str],
+    datasets: str | None = None,
+    hints: Hints = UNKNOWN,
 ) -> dict[str, list[DataFrame]]:
     """Staging rows of every source, by table, each with its rank."""
     spark = warehouse.spark
@@ -82,25 +87,25 @@ def gather(
     def present(name: str, folders: Sequence[str]) -> list[str]:
         return [f"{f}/{name}" for f in folders if exists(spark, f"{f}/{name}")]
 
-    for table, rows in read_csv_set(warehouse, roots).items():
+    for table, rows in read_csv_set(warehouse, roots, hints).items():
         add(table, rows, RANK_CSV)
 
     if datasets:
         for i, spec in enumerate(manifest.read_manifest(spark, datasets)):
-            rows = manifest.load_entry(spark, datasets, spec)
+            rows = manifest.load_entry(spark, datasets, spec, hints)
             if rows is not None and manifest.table_name(spec) in STAGING:
                 add(manifest.table_name(spec), rows, RANK_MANIFEST + i)
         for path in present(TSV_TRANSACTIONS, [datasets]):
-            rows = read_delimited(spark, [path], rules.TSV_TRANSACTION_COLUMNS, "\t")
+            rows = read_delimited(spark, [path], rules.TSV_TRANSACTION_COLUMNS, "\t", hints)
             if rows is not None:
                 add("abs_transactions_raw", rules.tsv_transactions(rows), RANK_TSV)
         for path in present(TSV_PRODUCTS, [datasets]):
-            rows = read_delimited(spark, [path], staging_columns("product_catalog_raw"), "\t")
+            rows = read_delimited(spark, [path], staging_columns("product_catalog_raw"), "\t", hints)
             if rows is not None:
                 add("product_catalog_raw", rules.tsv_catalog(rows), RANK_TSV)
 
     logs = present(EVENT_LOG, everywhere)
-    lines = read_lines(spark, logs) if logs else None
+    lines = read_lines(spark, logs, hints) if logs else None
     if lines is not None:
         add("dbo_events_raw", documents.event_lines(lines), RANK_EVENTS)
 
@@ -115,7 +120,7 @@ def gather(
 
     owners = None
     tables = present(TSV_ACCOUNTS, everywhere)
-    accounts = read_delimited(spark, tables, ("account_id", "client_id"), "\t") if tables else None
+    accounts = read_delimited(spark, tables, ("account_id", "client_id"), "\t", hints) if tables else None
     if accounts is not None:
         order = F.struct("seq_part", "seq_block", "seq_row")
         owners = identity.account_client_map(accounts.withColumn("load_seq", order))
@@ -133,7 +138,7 @@ def gather(
     for name, (table, normalise) in SHEETS.items():
         paths = present(name, everywhere)
         columns = staging_columns(table)
-        rows = read_delimited(spark, paths, columns, by_position=True) if paths else None
+        rows = read_delimited(spark, paths, columns, hints=hints, by_position=True) if paths else None
         if rows is not None:
             add(table, normalise(rows), RANK_SHEETS)
     return found
@@ -145,14 +150,18 @@ def load_sources(
     datasets: str | None = None,
     now: datetime | None = None,
     reset: bool = False,
+    hints: Hints = UNKNOWN,
 ) -> int:
-    """Stage every source as one batch and return its id."""
+    """Stage every source as one batch and return its id.
+
+    `hints` spare the pass that looks at the encoding and quoting of text files.
+    """
     now = now or now_utc()
     if reset:
         warehouse.reset()
     batch_id = highest_id(warehouse.core("load_batch"), "batch_id") + 1
     log_batch(warehouse, batch_id, status="RUNNING", started_at=now)
-    for table, sources in gather(warehouse, roots, datasets).items():
+    for table, sources in gather(warehouse, roots, datasets, hints).items():
         if sources:
             parts = [staged(rows, table, batch_id, now) for rows in sources]
             warehouse.write_staging(table, batch_id, reduce(DataFrame.unionByName, parts))
@@ -323,10 +332,11 @@ def run_daily(
     reset: bool = False,
     first: date | None = None,
     last: date | None = None,
+    hints: Hints = UNKNOWN,
 ) -> dict[str, int]:
     """The whole chain for one report date."""
     warehouse.seed_dictionaries()
-    batch_id = load_sources(warehouse, roots, datasets, now, reset)
+    batch_id = load_sources(warehouse, roots, datasets, now, reset, hints)
     conform(warehouse, batch_id, now)
     refresh_profile(warehouse, report_date)
     return sync_marts(warehouse, report_date, first, last, now)

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.scalars import parse_number
-from tallyhouse.functions.scalars import number_text
+from tallyhouse.functions.scalars import number_text, parse_number
 from tallyhouse.functions.text import cut, is_digits, or_default, strip, stripped
+from tallyhouse.operators.lookup import lookup
 from tallyhouse.sources.files import positioned
 from tallyhouse.sources.rules import MIDDAY, carried, normalise_manifest_rows, nothing
 
@@ -107,10 +107,8 @@ def entries(statements: DataFrame, accounts: DataFrame | None, kind: str) -> Dat
     if accounts is None:
         rows = rows.withColumn("__owner", nothing())
     else:
-        owners = accounts.select(
-            F.col("account_id").alias("__account"), F.col("source_client_id").alias("__owner")
-        )
-        rows = rows.join(owners, "__account", "left")
+        owners = accounts.select("account_id", F.col("source_client_id").alias("__owner"))
+        rows = lookup(rows, F.col("__account"), owners, "account_id")
     client = F.coalesce("__named", "__owner")
     value = parse_number("__amount")
     staged = rows.where((client != "") & (client != "0") & value.isNotNull()).select(

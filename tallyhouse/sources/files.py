@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,10 +37,16 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def plain_path(path: str) -> str:
+    """One spelling of a path; Spark writes 'file:/x' in one place, 'file:///x' in another."""
+    return re.sub(r"^(\w+):/+", r"\1:/", path)
+
+
 def part_rank(paths: list[str], column: str = "__path") -> F.Column:
     """Rank of a row's file in `paths`, which are in load order."""
-    pairs = [F.lit(x) for i, p in enumerate(paths) for x in (p, i)]
-    return F.element_at(F.create_map(*pairs), F.col(column))
+    pairs = [F.lit(x) for i, p in enumerate(paths) for x in (plain_path(p), i)]
+    found = F.regexp_replace(F.col(column), r"^(\w+):/+", "$1:/")
+    return F.element_at(F.create_map(*pairs), found)
 
 
 def positioned(rows: DataFrame, part: F.Column | int = 0, block: F.Column | int = 0) -> DataFrame:

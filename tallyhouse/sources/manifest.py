@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallyhouse.functions.text import blank_to_null
 from tallyhouse.sources.files import exists
 from tallyhouse.sources.rules import carried, normalise_manifest_rows, nothing
-from tallyhouse.sources.text import read_delimited, read_documents
+from tallyhouse.sources.text import UNKNOWN, Hints, read_delimited, read_documents
 
 
 def read_manifest(spark: SparkSession, folder: str) -> list[Mapping[str, Any]]:
@@ -64,7 +64,9 @@ def table_name(spec: Mapping[str, Any]) -> str:
     return str(spec["table"]).split(".")[-1]
 
 
-def load_entry(spark: SparkSession, folder: str, spec: Mapping[str, Any]) -> DataFrame | None:
+def load_entry(
+    spark: SparkSession, folder: str, spec: Mapping[str, Any], hints: Hints = UNKNOWN
+) -> DataFrame | None:
     """Rows of one entry, None when the entry is to be skipped."""
     if not spec.get("file") or not spec.get("table") or not spec.get("columns"):
         return None
@@ -73,5 +75,5 @@ def load_entry(spark: SparkSession, folder: str, spec: Mapping[str, Any]) -> Dat
         return None
     mapping = spec.get("column_map")
     headers = list(dict.fromkeys(mapping)) if mapping else [str(c) for c in spec["columns"]]
-    rows = read_delimited(spark, [path], headers, delimiter)
+    rows = read_delimited(spark, [path], headers, delimiter, hints)
     return None if rows is None else project(rows, spec)

@@ -32,14 +32,44 @@ class TextFile:
     quoted_newlines: bool
 
 
-def sniff(spark: SparkSession, paths: Sequence[str], encoding: str | None = None) -> list[TextFile]:
+@dataclass(frozen=True)
+class Hints:
+    """What is known about files beforehand. Given both, they are not read to find out."""
+
+    encoding: str | None = None
+    quoted_newlines: bool | None = None
+
+
+UNKNOWN = Hints()
+
+
+def sniff(spark: SparkSession, paths: Sequence[str], hints: Hints = UNKNOWN) -> list[TextFile]:
     """Encoding, first line and quoting of every non-empty file, in the order given.
 
     One distributed pass: a newline byte is never part of a longer UTF-8 sequence,
     so a file is valid UTF-8 exactly when each of its lines is. A quoted field
     spans lines exactly when some line holds an odd number of quotes; only those
-    files give up splitting. An explicit `encoding` is taken as given.
+    files give up splitting.
     """
+    found = []
+    for path, utf8, odd in _facts(spark, paths, hints):
+        head = spark.read.text(path).select(F.hex(F.col("value").cast("binary"))).first()
+        if head is None:
+            continue
+        first = head[0]
+        charset = hints.encoding or UTF16_MARKS.get(first[:4]) or ("UTF-8" if utf8 else FALLBACK)
+        spans = odd if hints.quoted_newlines is None else hints.quoted_newlines
+        codec = PYTHON_CODEC.get(charset)
+        text = bytes.fromhex(first).decode(codec).lstrip(MARK) if codec else ""
+        found.append(TextFile(path, charset, text, spans))
+    return found
+
+
+def _facts(spark: SparkSession, paths: Sequence[str], hints: Hints) -> list[tuple[str, bool, bool]]:
+    if hints.encoding and hints.quoted_newlines is not None:
+        return [
+            (file, True, False) for path in paths for file in sorted(spark.read.text(path).inputFiles())
+        ]
     quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
     lines = _stack([
         spark.read.text(path).select(
@@ -55,14 +85,9 @@ def sniff(spark: SparkSession, paths: Sequence[str], encoding: str | None = None
         )
         .collect()  # one row per file
     )
-    found = []
-    for fact in sorted(facts, key=lambda f: (f["given"], f["path"])):
-        first = spark.read.text(fact["path"]).select(F.hex(F.col("value").cast("binary"))).first()[0]
-        charset = encoding or UTF16_MARKS.get(first[:4]) or ("UTF-8" if fact["utf8"] else FALLBACK)
-        codec = PYTHON_CODEC.get(charset)
-        head = bytes.fromhex(first).decode(codec).lstrip(MARK) if codec else ""
-        found.append(TextFile(fact["path"], charset, head, fact["odd"]))
-    return found
+    return [
+        (f["path"], f["utf8"], f["odd"]) for f in sorted(facts, key=lambda f: (f["given"], f["path"]))
+    ]
 
 
 def _stack(parts: list[DataFrame]) -> DataFrame:
@@ -86,7 +111,7 @@ def read_delimited(
     paths: Sequence[str],
     columns: Sequence[str],
     delimiter: str = ",",
-    encoding: str | None = None,
+    hints: Hints = UNKNOWN,
     by_position: bool = False,
 ) -> DataFrame | None:
     """Named columns of delimited files as strings, plus position columns.
@@ -95,7 +120,7 @@ def read_delimited(
     parsed. Files that share encoding and header are one scan. `by_position` skips
     the header and names the columns by their place. None when nothing was found.
     """
-    files = sniff(spark, paths, encoding)
+    files = sniff(spark, paths, hints)
     if not files:
         return None
     groups: dict[tuple, list[str]] = defaultdict(list)
@@ -152,9 +177,9 @@ def read_documents(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     ])
 
 
-def read_lines(spark: SparkSession, paths: Sequence[str], encoding: str | None = None) -> DataFrame | None:
+def read_lines(spark: SparkSession, paths: Sequence[str], hints: Hints = UNKNOWN) -> DataFrame | None:
     """Lines with position columns. UTF-16 files are decoded whole, others split."""
-    files = sniff(spark, paths, encoding)
+    files = sniff(spark, paths, hints)
     if not files:
         return None
     rank = part_rank([f.path for f in files])

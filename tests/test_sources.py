@@ -11,7 +11,7 @@ from tallyhouse.plans.load import read_csv_set
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.sources import camt, documents, manifest, rules
 from tallyhouse.sources.files import from_source
-from tallyhouse.sources.text import read_delimited, read_documents, read_lines, sniff
+from tallyhouse.sources.text import Hints, read_delimited, read_documents, read_lines, sniff
 
 TABLE = 'код,name,note\r\n1,Пётр,"a,b"\r\n2,"Анна ""А""",\r\n\r\n3,Олег\r\n'
 EXPECTED = [("1", "Пётр", "a,b", None), ("2", 'Анна "А"', None, None), ("3", "Олег", None, None)]
@@ -65,6 +65,15 @@ def test_splits_of_one_file_stay_in_order(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_hints_spare_the_look_at_the_content(spark, tmp_path):
+    path = tmp_path / "feed.csv"
+    path.write_bytes("x,y\nПётр,1\n".encode("cp1251"))
+    (tmp_path / "other.csv").write_bytes("y,x\n2,Анна\n".encode("cp1251"))
+    paths = [str(path), str(tmp_path / "other.csv")]
+    found = read_delimited(spark, paths, ["x", "y"], hints=Hints("windows-1251", False))
+    assert in_order(found, "x", "y") == [("Пётр", "1"), ("Анна", "2")]
+
+
 def test_no_file_content_gives_nothing(spark, tmp_path):
     (tmp_path / "empty.csv").write_text("")
     assert read_delimited(spark, [str(tmp_path / "empty.csv")], ["x"]) is None
