@@ -9,13 +9,16 @@ from pyspark.sql import SparkSession
 
 # Dates are derived from zoned timestamps, so the zone has to be fixed. The
 # charset switch lets the CSV reader accept windows-1251. Row-preserving lookups
-# lean on AQE to split a hot join key, also where that costs one more shuffle.
+# lean on AQE to split a hot join key, also where that costs one more shuffle. The
+# JIT compiler leaves methods above 8000 bytes interpreted; past that size separate
+# small methods are faster than one fused stage.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.legacy.javaCharsets": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -54,8 +54,12 @@ def _truthy(value: Column) -> Column:
 
 def event_lines(lines: DataFrame) -> DataFrame:
     """Event log: one JSON object per line; blank, broken and non-object lines are skipped."""
-    events = lines.withColumn("__event", F.try_parse_json(strip("line"))).where(
-        kind(F.col("__event")).startswith("OBJECT")
+    # Each line explodes into its one event or none: a filter on the parsed value
+    # would be pushed below and parse every line a second time.
+    line = strip("line")
+    parsed = F.array_compact(F.array(F.try_parse_json(line)))
+    events = lines.where(F.startswith(line, F.lit("{"))).select(
+        F.explode(parsed).alias("__event"), *carried(lines)
     )
     payload = F.to_json(F.struct(*[part("__event", k).alias(k) for k in PAYLOAD_KEYS]))
     return events.select(
