@@ -37,16 +37,21 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
-def plain_path(path: str) -> str:
-    """One spelling of a path; Spark writes 'file:/x' in one place, 'file:///x' in another."""
-    return re.sub(r"^(\w+):/+", r"\1:/", path)
+def metadata_path(path: str) -> str:
+    """A listed path as `_metadata.file_path` spells it: one slash after 'file:'."""
+    return re.sub(r"^file:/+", "file:/", path)
 
 
-def part_rank(paths: list[str], column: str = "__path") -> F.Column:
-    """Rank of a row's file in `paths`, which are in load order."""
-    pairs = [F.lit(x) for i, p in enumerate(paths) for x in (plain_path(p), i)]
-    found = F.regexp_replace(F.col(column), r"^(\w+):/+", "$1:/")
-    return F.element_at(F.create_map(*pairs), found)
+def ranked(rows: DataFrame, paths: list[str], column: str = "__path") -> DataFrame:
+    """Replace the path column by `seq_part`, the file's rank in `paths` (load order).
+
+    The broadcast side is the file list itself, one row per file the driver listed.
+    """
+    if len(paths) == 1:
+        return rows.withColumn("seq_part", F.lit(0)).drop(column)
+    order = [(path, i) for i, path in enumerate(paths)]
+    ranks = rows.sparkSession.createDataFrame(order, f"{column} string, seq_part int")
+    return rows.join(F.broadcast(ranks), column).drop(column)
 
 
 def positioned(rows: DataFrame, part: F.Column | int = 0, block: F.Column | int = 0) -> DataFrame:

@@ -9,18 +9,20 @@ from __future__ import annotations
 import csv
 from collections import defaultdict
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.sources.files import part_rank, positioned
+from tallyhouse.sources.files import metadata_path, positioned, ranked
 
 # Byte order marks and the charset each one announces.
 UTF16_MARKS = {"FFFE": "UTF-16LE", "FEFF": "UTF-16BE"}
 FALLBACK = "windows-1251"
 MARK = "\ufeff"
+HEAD_JOBS = 16
 PYTHON_CODEC = {"UTF-8": "utf-8", FALLBACK: "cp1251"}
 
 
@@ -51,24 +53,30 @@ def sniff(spark: SparkSession, paths: Sequence[str], hints: Hints = UNKNOWN) ->
     spans lines exactly when some line holds an odd number of quotes; only those
     files give up splitting.
     """
-    found = []
-    for path, utf8, odd in _facts(spark, paths, hints):
-        head = spark.read.text(path).select(F.hex(F.col("value").cast("binary"))).first()
-        if head is None:
-            continue
-        first = head[0]
-        charset = hints.encoding or UTF16_MARKS.get(first[:4]) or ("UTF-8" if utf8 else FALLBACK)
+
+    def head(fact: tuple[str, bool, bool]) -> TextFile | None:
+        path, utf8, odd = fact
+        line = spark.read.text(path).select(F.hex(F.col("value").cast("binary"))).first()
+        if line is None:
+            return None
+        charset = hints.encoding or UTF16_MARKS.get(line[0][:4]) or ("UTF-8" if utf8 else FALLBACK)
         spans = odd if hints.quoted_newlines is None else hints.quoted_newlines
         codec = PYTHON_CODEC.get(charset)
-        text = bytes.fromhex(first).decode(codec).lstrip(MARK) if codec else ""
-        found.append(TextFile(path, charset, text, spans))
-    return found
+        text = bytes.fromhex(line[0]).decode(codec).lstrip(MARK) if codec else ""
+        return TextFile(path, charset, text, spans)
+
+    # The first line of a file is a job of one task, so several run side by side.
+    with ThreadPoolExecutor(HEAD_JOBS) as pool:
+        found = pool.map(head, _facts(spark, paths, hints))
+    return [file for file in found if file]
 
 
 def _facts(spark: SparkSession, paths: Sequence[str], hints: Hints) -> list[tuple[str, bool, bool]]:
     if hints.encoding and hints.quoted_newlines is not None:
         return [
-            (file, True, False) for path in paths for file in sorted(spark.read.text(path).inputFiles())
+            (metadata_path(file), True, False)
+            for path in paths
+            for file in sorted(spark.read.text(path).inputFiles())
         ]
     quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
     lines = _stack([
@@ -129,7 +137,6 @@ def read_delimited(
         multiline = file.quoted_newlines or file.encoding.startswith("UTF-16")
         groups[(file.encoding, header, multiline)].append(file.path)
 
-    rank = part_rank([f.path for f in files])
     parts = []
     for (charset, header, multiline), members in groups.items():
         # With a repeated name the last column wins.
@@ -148,8 +155,8 @@ def read_delimited(
                 F.col("_metadata.file_block_start").alias("__block"),
             )
         )
-        parts.append(positioned(rows, rank, F.col("__block")).drop("__path", "__block"))
-    return _stack(parts)
+        parts.append(positioned(rows, block=F.col("__block")).drop("seq_part", "__block"))
+    return ranked(_stack(parts), [f.path for f in files])
 
 
 def decoded(content: F.Column) -> F.Column:
@@ -182,7 +189,6 @@ def read_lines(spark: SparkSession, paths: Sequence[str], hints: Hints = UNKNOWN
     files = sniff(spark, paths, hints)
     if not files:
         return None
-    rank = part_rank([f.path for f in files])
     wide = [f.path for f in files if f.encoding.startswith("UTF-16")]
     parts = []
     for charset in ("UTF-8", FALLBACK):
@@ -196,11 +202,11 @@ def read_lines(spark: SparkSession, paths: Sequence[str], hints: Hints = UNKNOWN
                 F.col("_metadata.file_path").alias("__path"),
                 F.col("_metadata.file_block_start").alias("__block"),
             )
-            parts.append(positioned(rows, rank, F.col("__block")).drop("__path", "__block"))
+            parts.append(positioned(rows, block=F.col("__block")).drop("seq_part", "__block"))
     if wide:
         rows = spark.read.format("binaryFile").load(wide).select(
             F.explode(F.split(decoded(F.col("content")), r"\r\n|\r|\n")).alias("line"),
             F.col("_metadata.file_path").alias("__path"),
         )
-        parts.append(positioned(rows, rank).drop("__path"))
-    return _stack(parts)
+        parts.append(positioned(rows).drop("seq_part"))
+    return ranked(_stack(parts), [f.path for f in files])
