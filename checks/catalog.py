@@ -15,7 +15,7 @@ from tallyhouse.functions import scalars
 from tallyhouse.operators import identity, ids, loaders, marts, profile, segments, staging, upsert
 from tallyhouse.plans import load, serving
 from tallyhouse.plans.warehouse import Warehouse, laid_out
-from tallyhouse.schemas import MART_SORT
+from tallyhouse.schemas import MART_SORT, STAGING
 from tallyhouse.session import scratch_path
 from tallyhouse.sources import camt, documents, manifest, rules
 from tallyhouse.sources.files import children, from_source, ordered_by
@@ -355,9 +355,9 @@ def stage(v: Views, feeds: dict[str, str], batch_id: int = 7) -> Warehouse:
 @query
 def stg_append(v: Views) -> DataFrame:
     warehouse = stage(v, {"abs_clients_raw": "v_abs_clients_raw"})
-    rows = warehouse.staging("abs_clients_raw", 7)
+    stored = v.spark.read.parquet(warehouse.path("stg", "abs_clients_raw"))
     return present(
-        rows.withColumn("batch_id", F.lit(7)).withColumn("reject_reason", F.lit(None).cast("string")),
+        staging.with_load_seq(stored),
         F.col("load_seq").alias("id"), "batch_id", "source_client_id", "client_type", "tax_id", "status",
         "reject_reason",
     )
@@ -371,7 +371,9 @@ def stg_batch_counts(v: Views) -> DataFrame:
         "abs_transactions_raw": "v_transactions_raw", "dbo_events_raw": "v_events_raw",
         "appeals_raw": "v_appeals_raw",
     }
-    return present(staging.batch_counts({t: v(view) for t, view in feeds.items()}), "table_name", "rows_cnt")
+    warehouse = stage(v, feeds)
+    tables = {table: warehouse.staging(table, 7, numbered=False) for table in STAGING}
+    return present(staging.batch_counts(tables), "table_name", "rows_cnt")
 
 
 @query

@@ -383,7 +383,8 @@ ORACLES: dict[str, str] = {
         SELECT 'abs_products_raw', COUNT(*) FROM v_products_raw UNION ALL
         SELECT 'abs_transactions_raw', COUNT(*) FROM v_transactions_raw UNION ALL
         SELECT 'dbo_events_raw', COUNT(*) FROM v_events_raw UNION ALL
-        SELECT 'appeals_raw', COUNT(*) FROM v_appeals_raw""",
+        SELECT 'appeals_raw', COUNT(*) FROM v_appeals_raw UNION ALL
+        SELECT name, 0 FROM (VALUES ('product_catalog_raw'), ('crm_marketing_raw'), ('credit_risk_raw')) AS t(name)""",
     "stg_scan_batch": """
         SELECT source_transaction_id, ROW_NUMBER() OVER (ORDER BY load_seq) AS place, description FROM v_transactions_raw""",
     "reset_tables": """

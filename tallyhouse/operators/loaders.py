@@ -26,7 +26,7 @@ from tallyhouse.functions.scalars import (
 from tallyhouse.functions.text import blank_to_null, cut, or_default, strip, stripped
 from tallyhouse.operators.ids import surrogate_ids
 from tallyhouse.operators.lookup import lookup as find
-from tallyhouse.operators.upsert import fold_upsert
+from tallyhouse.operators.upsert import apply_to, fold
 from tallyhouse.reference_data import ABS, DBO, DEFAULT_PRODUCT_TYPE, dictionary
 from tallyhouse.schemas import CORE
 
@@ -314,17 +314,21 @@ def credit_risk(raw: DataFrame, lookup: DataFrame, now: datetime) -> DataFrame:
     )
 
 
-def into_core(
-    table: str, typed: DataFrame, after: int = 0, target: DataFrame | None = None
-) -> DataFrame:
-    """Accepted rows numbered in load order and folded into the core table."""
+def folded(table: str, typed: DataFrame, after: int = 0) -> DataFrame:
+    """Accepted rows numbered in load order, one per key, in the core table's shape."""
     spec = CORE[table]
     rows = typed.where("reject_reason IS NULL").drop("reject_reason")
     if spec.id and spec.id not in rows.columns:
         rows = surrogate_ids(rows, spec.id, after=after)
-    return fold_upsert(
-        rows.select("load_seq", *spec.columns), spec.key, spec.updates, target
-    ).select(*spec.columns)
+    return fold(rows.select("load_seq", *spec.columns), spec.key, spec.updates).select(*spec.columns)
+
+
+def into_core(
+    table: str, typed: DataFrame, after: int = 0, target: DataFrame | None = None
+) -> DataFrame:
+    """The core table after this batch."""
+    batch, spec = folded(table, typed, after), CORE[table]
+    return batch if target is None else apply_to(target, batch, spec.key, spec.updates)
 
 
 def rejects(table: str, typed: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyhouse.operators import identity, loaders, marts, profile, segments
 from tallyhouse.operators.ids import highest_id
 from tallyhouse.operators.staging import batch_counts, batch_note, staged
+from tallyhouse.operators.upsert import apply_to
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.schemas import CORE, STAGING, staging_columns
 from tallyhouse.sources import camt, documents, manifest, rules
@@ -201,7 +202,8 @@ def conform(
 
     Each table is one plan over the batch. Typed rows are written once and read
     back for the reject table, the numbering and the upsert, so none of the joins
-    run twice. With `reuse_clients` a client known by tax id from an earlier load
+    run twice. After a failure the same call continues: completed steps are read
+    back, and merging a batch again changes nothing. With `reuse_clients` a client known by tax id from an earlier load
     keeps its id; without it every load creates its clients anew.
     """
     now = now or now_utc()
@@ -225,9 +227,11 @@ def conform(
         ),
     )
     fresh = materialise("new_clients", identity.new_clients(resolved, now, batch_id))
-    history = identity.client_history(fresh, now, after_client, after_history)
-    _write_appended(warehouse, "clients", clients_now, fresh)
-    _write_appended(warehouse, "client_history", history_now, history)
+    history = materialise(
+        "client_history", identity.client_history(fresh, now, after_client, after_history)
+    )
+    _append(warehouse, "clients", clients_now, fresh)
+    _append(warehouse, "client_history", history_now, history)
     warehouse.write_core(
         "client_source_map",
         identity.client_source_map(resolved, now, warehouse.core("client_source_map")),
@@ -243,9 +247,11 @@ def conform(
         warehouse.write_rejects(table, batch_id, loaders.rejects(table, typed))
         current = warehouse.core(table)
         after = highest_id(current, spec.id) if spec.id else 0
-        written = warehouse.write_core(table, loaders.into_core(table, typed, after, current))
-        accepted = typed.where("reject_reason IS NULL")
-        return written.join(accepted.select(*spec.key), list(spec.key), "left_semi")
+        # The merge looks at the batch three times, so it is folded once beforehand.
+        batch = materialise(f"{table}_folded", loaders.folded(table, typed, after))
+        merged = batch if current is None else apply_to(current, batch, spec.key, spec.updates)
+        written = warehouse.write_core(table, merged)
+        return written.join(batch.select(*spec.key), list(spec.key), "left_semi")
 
     accounts = load("accounts", "abs_accounts_raw", loaders.accounts, lookup, now)
     products = load("products", "abs_products_raw", loaders.products, lookup, now, accounts)
@@ -261,10 +267,11 @@ def conform(
     warehouse.drop_work(batch_id)
 
 
-def _write_appended(
-    warehouse: Warehouse, table: str, current: DataFrame | None, rows: DataFrame
-) -> None:
-    warehouse.write_core(table, rows if current is None else current.unionByName(rows))
+def _append(warehouse: Warehouse, table: str, current: DataFrame | None, rows: DataFrame) -> None:
+    """Add new rows; those a failed attempt has already added are left alone."""
+    key = list(CORE[table].key)
+    merged = rows if current is None else apply_to(current, rows, key, ())
+    warehouse.write_core(table, merged)
 
 
 def refresh_profile(warehouse: Warehouse, report_date: date) -> int:

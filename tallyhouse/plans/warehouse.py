@@ -128,8 +128,8 @@ class Warehouse:
 
     def reset(self) -> None:
         """Empty staging, entities, facts and snapshots; dictionaries and marts stay."""
-        for table in STAGING:
-            delete(self.spark, self.path("stg", table))
+        for folder in ("stg", "work", "rejects"):
+            delete(self.spark, self.path(folder))
         for table, spec in CORE.items():
             if table == "client_profile_export":
                 delete(self.spark, self.path("core", table))
@@ -139,9 +139,14 @@ class Warehouse:
     # materialised steps and rejects
 
     def materialise(self, batch_id: int, name: str, rows: DataFrame) -> DataFrame:
-        """Write an intermediate result once, so later steps read it instead of recomputing."""
+        """Write an intermediate result once, so later steps read it instead of recomputing.
+
+        A step an earlier attempt completed is taken as it is: a repeated load then
+        continues with the ids it has already given out.
+        """
         folder = self.path("work", f"batch_id={batch_id}", name)
-        rows.write.mode("overwrite").parquet(folder)
+        if not exists(self.spark, f"{folder}/_SUCCESS"):
+            rows.write.mode("overwrite").parquet(folder)
         return self.spark.read.schema(rows.schema).parquet(folder)
 
     def drop_work(self, batch_id: int) -> None:

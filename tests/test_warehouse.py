@@ -115,8 +115,6 @@ def snapshot(warehouse, *tables):
     return {t: sorted(map(str, warehouse.core(t).collect())) for t in tables}
 
 
-FACTS = ("clients", "client_source_map", "accounts", "products", "transactions", "digital_events", "appeals")
-
 
 def test_from_files_to_marts(spark, warehouse, feeds):
     written = load.run_daily(warehouse, [feeds], RD, now=NOW)
@@ -175,6 +173,25 @@ def check_second_load_and_reset(warehouse, feeds):
     assert snapshot(warehouse, "clients", "transactions", "digital_events", "appeals") == before
 
 
+def test_a_failed_load_continues(warehouse, feeds, monkeypatch):
+    """Interrupted after the transactions, a load gives the same ids when called again."""
+    batch = load.load_sources(warehouse, [feeds], now=NOW)
+
+    def lost(*_):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(load.loaders, "digital_events", lost)
+        with pytest.raises(RuntimeError):
+            load.conform(warehouse, batch, NOW)
+    assert warehouse.core("transactions").count() == 3 and warehouse.core("digital_events") is None
+    first = snapshot(warehouse, "clients", "client_history", "accounts", "transactions")
+    load.conform(warehouse, batch, NOW)
+    assert snapshot(warehouse, *first) == first
+    assert warehouse.core("digital_events").count() == 2
+    assert [r.status for r in warehouse.core("load_batch").collect()] == ["DONE"]
+
+
 def test_without_reuse_every_load_creates_its_clients(warehouse, feeds):
     for _ in range(2):
         load.conform(warehouse, load.load_sources(warehouse, [feeds], now=NOW), NOW, reuse_clients=False)
