@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tallyhouse.operators.staging import with_load_seq
 from tallyhouse.operators.upsert import apply_to
 from tallyhouse.reference_data import DICTIONARIES, dictionary
-from tallyhouse.schemas import CORE, MART_DATE, MART_SORT, MARTS, STAGING, staging_columns
+from tallyhouse.schemas import CORE, MART_DATE, MART_SORT, MARTS, staging_columns
 from tallyhouse.session import configure
 from tallyhouse.sources.files import children, delete, exists
 

@@ -205,10 +205,6 @@ CORE: dict[str, Table] = {
     ),
 }
 
-# Widths that can still overflow once a staging row has been accepted.
-CORE_WIDTHS: dict[str, dict[str, int]] = {
-    "clients": {"full_name": 300},
-}
 
 MARTS: dict[str, str] = {
     "mart_client_profile": (

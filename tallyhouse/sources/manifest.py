@@ -8,7 +8,6 @@ from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyhouse.functions.text import blank_to_null
 from tallyhouse.sources.files import exists
