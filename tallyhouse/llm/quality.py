@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.text import GAP, let, lowered, text_of, whole, words_of
+from tallyhouse.llm.text import GAP, let, stored, text_of, whole, words_of
 
 
 @dataclass(frozen=True)
@@ -115,7 +115,7 @@ def references(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     classes = classes.withColumn("total", sum(F.col(f"c{i}") for i in range(5))).select(
         "lang", F.array(*[F.coalesce(F.col(f"c{i}") / F.col("total"), F.lit(0.0)) for i in range(5)]).alias("class_share")
     )
-    words = texts.select("lang", F.explode(words_of(lowered(F.col("text")))).alias("word"))
+    words = texts.select("lang", F.explode(words_of(F.lower(F.col("text")))).alias("word"))
     counted = words.groupBy("lang", "word").agg(F.count("*").alias("n"))
     totals = counted.groupBy(F.col("lang").alias("total_lang")).agg(F.sum("n").alias("ref_words"))
     by_rank = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
@@ -172,12 +172,12 @@ def judged(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
             class_counts(t).alias("classes"),
             F.when(
                 (F.size(words) >= limits.least_words) & (F.col("ref_words") >= limits.least_reference),
-                word_counts(F.transform(words, lowered), F.col("common")),
+                word_counts(F.transform(words, F.lower), F.col("common")),
             ).alias("found"),
         )
 
     joined = whole(docs).join(
-        references(docs, limits), F.col("doc.lang").cast("string").eqNullSafe(F.col("ref_lang")), "left"
+        stored(references(docs, limits), "references"), F.col("doc.lang").cast("string").eqNullSafe(F.col("ref_lang")), "left"
     )
     measured = joined.withColumn("m", let(text, lambda t: let(words_of(t), lambda w: base(t, w))))
     long = F.col("m.found").isNotNull()

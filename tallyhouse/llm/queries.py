@@ -4,17 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import mixing, quality
+from tallyhouse.llm import bpe_trie, mixing, quality, shared_files, token_shards
 from tallyhouse.llm.text import stored
 
 
+# Rows sent to a Python worker at once: texts can be long.
+BATCH_ROWS = "256"
+
+
+def prepare(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    shared_files.ship_package(spark)
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def tokenizer() -> str:
+    """The public vocabulary file; it is part of the installation, not of this repository."""
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_token_shards(spark: SparkSession, folder: str) -> DataFrame:
+    shards = token_shards.write(documents(spark, folder), tokenizer(), end_id=1)
+    return token_shards.read(shards).select("doc_id", "start", "n_tokens", token_shards.crc32(F.col("ids")).alias("ids_crc32"))
+
+
+def op6_trie_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    found = bpe_trie.encoded(documents(spark, folder).select("doc_id", "text"), tokenizer())
+    return found.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    )
+
+
 def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     rows = mixing.measured(documents(spark, folder)).withColumn("doc", F.struct("doc.doc_id"))
     mix = mixing.mixed(stored(rows, "sizes"))
@@ -31,7 +59,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op9_source_mixing, op10_quality_rules)}
+    return {f.__name__: f for f in (op5_token_shards, op6_trie_bpe, op9_source_mixing, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

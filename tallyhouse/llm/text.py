@@ -12,7 +12,6 @@ from tallyhouse.session import scratch_root
 
 # What separates words: the ASCII space and the control characters HT, LF, VT, FF, CR.
 GAP = r"[\x20\x09-\x0D]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def scratch(spark: SparkSession, label: str) -> str:
@@ -46,10 +45,5 @@ def text_of(column: Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))
 
 
-def lowered(text: Column) -> Column:
-    """A-Z in lower case, everything else as it is."""
-    return F.translate(text, UPPER, LOWER)
-
-
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, GAP), lambda w: w != "")
+    return F.array_remove(F.split(text, GAP), "")
