@@ -22,11 +22,11 @@ from tallyhouse.llm.text import GAP, let, stored, text_of, whole, words_of
 
 @dataclass(frozen=True)
 class Limits:
-    common_words: int = 32  # words of a reference histogram
+    common_words: int = 16  # words of a reference histogram
     least_words: int = 60  # shorter texts are not judged by distance
     least_reference: int = 5000  # words a language needs before it is a reference
     class_distance: float = 0.27
-    word_distance: float = 0.40
+    word_distance: float = 0.32
     base_words: int = 10
     repeat_percent: int = 20
     window: int = 5
