@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe_trie, mixing, quality, shared_files, token_shards
+from tallyhouse.llm import bpe_trie, mixing, quality, shared_files, token_shards, warc
 from tallyhouse.llm.text import stored
 
 
@@ -26,11 +26,21 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def pages(spark: SparkSession, folder: str) -> DataFrame:
+    prepare(spark)
+    return spark.read.parquet(f"{folder}/pages.parquet")
+
+
 def tokenizer() -> str:
     """The public vocabulary file; it is part of the installation, not of this repository."""
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op4_seekable_warc(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.read(warc.write(pages(spark, folder)))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     shards = token_shards.write(documents(spark, folder), tokenizer(), end_id=1)
     return token_shards.read(shards).select("doc_id", "start", "n_tokens", token_shards.crc32(F.col("ids")).alias("ids_crc32"))
@@ -59,7 +69,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_token_shards, op6_trie_bpe, op9_source_mixing, op10_quality_rules)}
+    return {f.__name__: f for f in (op4_seekable_warc, op5_token_shards, op6_trie_bpe, op9_source_mixing, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

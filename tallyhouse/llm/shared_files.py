@@ -50,7 +50,7 @@ def unique(folder: str, label: str, ending: str) -> str:
 @contextmanager
 def writing(uri: str):
     system, path = fs.FileSystem.from_uri(uri)
-    with system.open_output_stream(path) as out:
+    with system.open_output_stream(path, compression=None) as out:
         yield out
 
 
