@@ -13,10 +13,12 @@ once; a bounded cache keeps chunks between batches. No shuffle, no model trainin
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import struct
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -25,8 +27,8 @@ from tokenizers import Tokenizer
 
 from tallyhouse.llm.text import text_of
 
-CACHED_CHUNKS = 500_000
-GROUP_BYTES = 1 << 20
+CACHED_CHUNKS = 400_000  # in each of two generations
+GROUP_BYTES = 4 << 20
 NEVER = 1 << 60
 KNOWN_PAIRS = 300_000
 # Chunks of these characters only are cut here by the file's own splitting rule; they
@@ -104,7 +106,7 @@ class Vocabulary:
         how far it has been followed in the trie of all tokens.
         """
         root: dict = {}
-        for word in words:
+        for word in sorted(words):  # neighbours in the trie are neighbours in memory
             node = root
             for s in word[:-1]:
                 node = node.setdefault(s, {})
@@ -162,6 +164,7 @@ class Encoder:
         self.mark = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.vocabulary = Vocabulary(path)
         self.chunks: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def pieces(self, chunk: bytes) -> list[bytes | int]:
         """Words in order; special tokens, which are found before normalization, as ids."""
@@ -179,6 +182,7 @@ class Encoder:
         return found
 
     def learn(self, chunks: set[bytes]) -> None:
+        """Encode chunks that are in neither generation of the cache."""
         cut = {c: self.pieces(c) for c in chunks}
         ids = self.vocabulary.encode({p for parts in cut.values() for p in parts if not isinstance(p, int)})
         for c, parts in cut.items():
@@ -191,15 +195,32 @@ class Encoder:
             seen: set[bytes] = set()
             for text in group:
                 seen.update(text.split())
-            if not seen <= self.chunks.keys():
-                if len(self.chunks) + len(seen) > CACHED_CHUNKS:
-                    self.chunks.clear()
-                self.learn(seen - self.chunks.keys())
+            seen -= self.chunks.keys()
+            if len(self.chunks) + len(seen) > CACHED_CHUNKS:
+                self.older, self.chunks = self.chunks, {}
+                seen = {c for text in group for c in text.split()}
+            again = seen & self.older.keys()
+            self.chunks.update((c, self.older[c]) for c in again)
+            if seen := seen - again:
+                with uncollected():
+                    self.learn(seen)
             get = self.chunks.__getitem__
             done.extend(b"".join(map(get, text.split())) for text in group)
         return done
 
 
+@contextmanager
+def uncollected():
+    """The trie is many small objects without cycles: searching them for cycles is half the work."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def grouped(texts: list[bytes]) -> Iterator[list[bytes]]:
     group: list[bytes] = []
     size = 0

@@ -32,22 +32,24 @@ class Limits:
     window: int = 5
 
 
-def class_counts(text: Column) -> Column:
-    """Code points that are letters, numbers, white space, punctuation, anything else."""
+# Removing these from a text leaves what a class does not hold.
+LETTERS, NUMBERS, MARKS, SYMBOLS = r"\p{L}+", r"\p{N}+", r"[.,;:!?'\"()-]+", r"[#*$%&|<>]+"
 
-    def removed(value: Column, pattern: str) -> Column:
-        return F.regexp_replace(value, pattern, "")
+
+def character_counts(text: Column) -> Column:
+    """Struct of classes (letters, numbers, white space, punctuation, other) and symbols, in code points."""
 
     def gone(value: Column, pattern: str) -> Column:
-        return F.length(value) - F.length(removed(value, pattern))
+        return F.length(value) - F.length(F.regexp_replace(value, pattern, ""))
 
-    def counted(t: Column, rest: Column) -> Column:
-        numbers, space = gone(rest, r"\p{N}+"), gone(rest, GAP)
-        marks = gone(rest, r"[.,;:!?'\"()-]+")
+    def counted(rest: Column) -> Column:
+        # Letters are most of a text; the other classes are counted in what is left.
+        numbers, space, marks = gone(rest, NUMBERS), gone(rest, GAP), gone(rest, MARKS)
         other = F.length(rest) - numbers - space - marks
-        return F.array(F.length(t) - F.length(rest), numbers, space, marks, other)
+        classes = F.array(F.length(text) - F.length(rest), numbers, space, marks, other)
+        return F.struct(classes.alias("classes"), gone(rest, SYMBOLS).alias("symbols"))
 
-    return let(text, lambda t: let(removed(t, r"\p{L}+"), lambda rest: counted(t, rest)))
+    return let(F.regexp_replace(text, LETTERS, ""), counted)
 
 
 def repeated_words(words: Column, window: int) -> Column:
@@ -74,8 +76,8 @@ def repeated_words(words: Column, window: int) -> Column:
         return let(order, lambda s: let(starts(s), covered))
 
     def keyed(hashes: Column) -> Column:
-        at = F.sequence(F.lit(0), F.size(hashes) - window)
-        return F.transform(at, lambda i: F.xxhash64(*[F.get(hashes, i + j) for j in range(window)]))
+        begins = F.slice(hashes, F.lit(1), F.size(hashes) - (window - 1))
+        return F.transform(begins, lambda h, i: F.xxhash64(h, *[F.get(hashes, i + j) for j in range(1, window)]))
 
     def counted(keys: Column) -> Column:
         return F.when(F.size(F.array_distinct(keys)) < F.size(keys), spans(keys)).otherwise(none)
@@ -110,7 +112,7 @@ def references(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     Null languages form a language of their own. Ties of common words go by the word.
     """
     texts = docs.select(F.col("lang").cast("string").alias("lang"), text_of(F.col("text")).alias("text"))
-    counts = texts.select("lang", class_counts(F.col("text")).alias("c"))
+    counts = texts.select("lang", character_counts(F.col("text"))["classes"].alias("c"))
     classes = counts.groupBy("lang").agg(*[F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(5)])
     classes = classes.withColumn("total", sum(F.col(f"c{i}") for i in range(5))).select(
         "lang", F.array(*[F.coalesce(F.col(f"c{i}") / F.col("total"), F.lit(0.0)) for i in range(5)]).alias("class_share")
@@ -146,8 +148,12 @@ def word_counts(words: Column, common: Column) -> Column:
         )
         return F.concat(each, F.array(F.size(words) - F.size(found)))
 
-    at = F.filter(F.transform(words, lambda w: F.array_position(common, w)), lambda i: i > 0)
-    return let(at, counted)
+    def found(longest: Column) -> Column:
+        short = F.filter(words, lambda w: F.octet_length(w) <= longest)
+        return F.filter(F.transform(short, lambda w: F.array_position(common, w)), lambda i: i > 0)
+
+    longest = F.array_max(F.transform(common, lambda w: F.octet_length(w)))
+    return let(let(longest, found), counted)
 
 
 def judged(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
@@ -160,26 +166,25 @@ def judged(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """
     text = text_of(F.col("doc.text"))
 
-    def base(t: Column, words: Column) -> Column:
-        squeezed = F.regexp_replace(t, GAP, "")
+    def base(t: Column, words: Column, characters: Column) -> Column:
         lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
         return F.struct(
             F.size(words).cast("bigint").alias("n_words"),
-            F.length(squeezed).cast("bigint").alias("word_chars"),
-            (F.length(squeezed) - F.length(F.regexp_replace(squeezed, r"[#*$%&|<>]+", ""))).cast("bigint").alias("n_symbols"),
+            (F.length(t) - characters["classes"][2]).cast("bigint").alias("word_chars"),
+            characters["symbols"].cast("bigint").alias("n_symbols"),
             let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
             repeated_words(words, limits.window).cast("bigint").alias("n_repeat_words"),
-            class_counts(t).alias("classes"),
+            characters["classes"].alias("classes"),
             F.when(
                 (F.size(words) >= limits.least_words) & (F.col("ref_words") >= limits.least_reference),
-                word_counts(F.transform(words, F.lower), F.col("common")),
+                word_counts(words_of(F.lower(t)), F.col("common")),
             ).alias("found"),
         )
 
     joined = whole(docs).join(
         stored(references(docs, limits), "references"), F.col("doc.lang").cast("string").eqNullSafe(F.col("ref_lang")), "left"
     )
-    measured = joined.withColumn("m", let(text, lambda t: let(words_of(t), lambda w: base(t, w))))
+    measured = joined.withColumn("m", let(text, lambda t: let(words_of(t), lambda w: let(character_counts(t), lambda c: base(t, w, c)))))
     long = F.col("m.found").isNotNull()
     n, repeats = F.col("m.n_words"), F.col("m.n_repeat_words")
     failed = (n < limits.base_words) | (100 * repeats > limits.repeat_percent * n)

@@ -8,12 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe_trie, mixing, quality, shared_files, token_shards, warc
+from tallyhouse.llm import bpe_trie, jaccard_join, mixing, phrases, quality, shared_files, token_shards, warc
 from tallyhouse.llm.text import stored
 
 
 # Rows sent to a Python worker at once: texts can be long.
-BATCH_ROWS = "256"
+BATCH_ROWS = "1024"
 
 
 def prepare(spark: SparkSession) -> None:
@@ -36,6 +36,10 @@ def tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.classed(documents(spark, folder), jaccard_join.Rule(width=3, percent=90))
+
+
 def op4_seekable_warc(spark: SparkSession, folder: str) -> DataFrame:
     records = warc.read(warc.write(pages(spark, folder)))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -53,6 +57,10 @@ def op6_trie_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_phrase_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.compared(documents(spark, folder))
+
+
 def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     rows = mixing.measured(documents(spark, folder)).withColumn("doc", F.struct("doc.doc_id"))
     mix = mixing.mixed(stored(rows, "sizes"))
@@ -69,7 +77,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_seekable_warc, op5_token_shards, op6_trie_bpe, op9_source_mixing, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_jaccard_join, op4_seekable_warc, op5_token_shards, op6_trie_bpe, op8_phrase_fingerprints, op9_source_mixing, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
