@@ -19,13 +19,14 @@ to y if their differences from the pivot agree in at least (|zΔp| + |yΔp| - D)
 shingles: the triangle inequality, with equality where they agree in none.
 
 Recursion. Documents whose differences from the pivot share a shingle among the first
-ones in a fixed order (as many as that bound asks for, additions before omissions) form
-the regions of the next round, without the pivot, so regions shrink until none is left.
-Nothing is capped: every link between different sets is found, or joins two sets that
-are linked to the same pivot.
-
-Copies have the same set and count once throughout. No group is ever gathered: a round
-takes minima of regions and joins on keys whose hot values Spark splits.
+ones in a fixed order (as many as that bound asks for, additions before omissions)
+choose a pivot again, and those with the same old and new pivot are a region of the next
+round, without the old pivot. A region that has become small, by sets and by bytes, is
+compared directly in one task. Nothing is capped: every link between different sets is
+found, or joins two sets that are linked to the same pivot.
+
+Copies have the same set and count once throughout. No large region is ever gathered: a
+round takes maxima of regions and joins on keys whose hot values Spark splits.
 """
 
 from __future__ import annotations
@@ -46,6 +47,7 @@ from tallyhouse.llm.text import stored, text_of
 
 CLASS_RATIO = 1.75
 BROADCAST_KEYS = 1_000_000  # 8 MB of keys
+SMALL_SETS, SMALL_BYTES = 128, 2 << 20  # of a region that is compared directly
 SLICED = "sig bigint, key bigint"
 
 
@@ -225,33 +227,92 @@ def _distances(texts: pa.Array, pivots: pa.Array, rule: Rule) -> pa.Array:
     return pa.array(found, MEASURE)
 
 
+def _compared(texts: list[bytes], keys: list[int], rule: Rule) -> list[tuple[int, int]]:
+    """Links that join a small region's sets: all pairs, as products of packed bits."""
+    sets = list(shingle_sets(texts, rule.width))
+    sizes = np.array([len(s) for s in sets])
+    names, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    # What one set alone holds is in no intersection.
+    shared = count > 1
+    place = np.cumsum(shared) - 1
+    held = shared[column]
+    bits = np.zeros((len(sets), int(shared.sum()) + 63 & ~63), bool)
+    bits[owner[held], place[column[held]]] = True
+    packed = np.packbits(bits, axis=1).view(np.uint64)
+    found, joined = [], np.arange(len(sets))
+    for i in range(len(sets) - 1):
+        common = np.bitwise_count(packed[i + 1 :] & packed[i]).sum(axis=1, dtype=np.int64)
+        union = sizes[i + 1 :] + sizes[i] - common
+        for j in (np.flatnonzero(100 * common >= rule.percent * union) + i + 1).tolist():
+            if joined[i] != joined[j]:  # one link between what is joined already is enough
+                joined[joined == joined[j]] = joined[i]
+                found.append((keys[i], keys[j]))
+    return found
+
+
+def _small_regions(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """Rows (region, key, text) sorted by region: regions may span batches."""
+    region, texts, keys, found = None, [], [], []
+
+    def finished() -> list[tuple[int, int]]:
+        return _compared(texts, keys, rule) if len(texts) > 1 else []
+
+    for batch in batches:
+        for at, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if at != region:
+                found += finished()
+                region, texts, keys = at, [], []
+            texts.append(text)
+            keys.append(key)
+        yield _pairs(found)
+        found = []
+    yield _pairs(finished())
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    columns = [pa.array([f[i] for f in found], pa.int64()) for i in range(2)]
+    return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+
 def links(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """(a, b): keys of linked sets, enough of them to tell who is linked to whom.
 
-    `sets` has doc_id, key of every row of `docs` with a set.
+    `sets` has row and key of every row of `docs` with a set.
     """
 
     def run(texts: pa.Array, pivots: pa.Array) -> pa.Array:
         return _distances(texts, pivots, rule)
 
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _small_regions(batches, rule)
+
     measure = F.arrow_udf(run, "struct<linked: boolean, first: array<bigint>>")
     cut = stored(sliced(docs, rule), "slices")
     shared = cut.groupBy("sig").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("n"))
     shared = shared.where("low < high").select(F.col("sig").alias("shared_sig"), "n")
     together = stored(cut.join(shared, F.col("sig") == F.col("shared_sig")).select("sig", "key", "n"), "together")
+    # A set agrees in a slice with as many rows as share it. Counted over all slices, an
+    # original agrees with more than its edited copies do.
     agree = together.groupBy("key").agg(F.sum("n").alias("agree")).withColumnRenamed("key", "agree_key")
-    scored = together.join(agree, F.col("key") == F.col("agree_key")).select("sig", "key", "agree")
-    chosen = scored.groupBy(F.col("sig").alias("of_sig")).agg(F.max(F.struct("agree", "key")).alias("pivot"))
-    members = stored(
-        scored.join(chosen, F.col("sig") == F.col("of_sig"))
-        .select(F.col("pivot.key").alias("region"), "key", "agree").distinct(), "regions",
-    )
+    scored = together.join(agree, F.col("key") == F.col("agree_key")).select(F.col("sig").alias("group"), "key", "agree")
+    members = stored(_chosen(scored), "regions")
     texts = _texts(docs, sets, members)
+    members = members.join(texts.select("text_key", F.octet_length("text").alias("bytes")), F.col("key") == F.col("text_key"))
+    members = members.drop("text_key")
     found = []
     while not members.isEmpty():
-        top = members.groupBy(F.col("region").alias("of_region")).agg(F.max(F.struct("agree", "key"))["key"].alias("pivot"))
-        placed = members.join(top, F.col("region") == F.col("of_region")).where("key <> pivot")
-        placed = stored(placed.select("region", "key", "agree", "pivot"), "placed")
+        size = members.groupBy(F.col("region").alias("of_region")).agg(
+            F.count("*").alias("n"), F.sum("bytes").alias("all_bytes"), F.max(F.struct("agree", "key"))["key"].alias("pivot")
+        )
+        small = (F.col("n") <= SMALL_SETS) & (F.col("all_bytes") <= SMALL_BYTES)
+        known = stored(members.join(size, F.col("region") == F.col("of_region")).withColumn("small", small).drop("of_region"), "known")
+        direct = known.where("small and n > 1").select("region", "key")
+        direct = direct.join(texts, F.col("key") == F.col("text_key")).select("region", "key", "text")
+        gathered = direct.repartition("region").sortWithinPartitions("region")
+        found.append(stored(gathered.mapInArrow(compare, "a bigint, b bigint"), "links"))
+
+        placed = known.where("not small and key <> pivot").select("region", "key", "agree", "bytes", "pivot")
         pairs = placed.select("key", "pivot").distinct()
         own = pairs.join(texts, F.col("key") == F.col("text_key")).select("key", "pivot", F.col("text").alias("own"))
         faced = own.join(texts, F.col("pivot") == F.col("text_key")).select(
@@ -260,26 +321,36 @@ def links(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
         measured = stored(faced.select("a", "b", "m.linked", "m.first"), "measured")
         found.append(measured.where("linked").select("a", "b"))
         members = stored(_next_regions(placed, measured), "regions")
-    empty = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
+    every = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
     for more in found:
-        empty = empty.unionByName(more)
-    return empty
+        every = every.unionByName(more)
+    return every
+
+
+def _chosen(groups: DataFrame) -> DataFrame:
+    """(group, key, agree, …) → (region, key, agree, …): groups with the same best member are one region.
+
+    Groups of different regions stay apart where the rows carry the region they are in.
+    """
+    best = groups.groupBy(F.col("group").alias("of_group")).agg(F.max(F.struct("agree", "key"))["key"].alias("best"))
+    within = [F.col("within")] if "within" in groups.columns else []
+    rest = [c for c in groups.columns if c not in ("group", "within")]
+    named = groups.join(best, F.col("group") == F.col("of_group"))
+    return named.select(F.xxhash64(*within, "best").alias("region"), *rest).distinct()
 
 
 def _next_regions(placed: DataFrame, measured: DataFrame) -> DataFrame:
     """Documents of one region whose differences from the pivot share a leading shingle."""
-    outer = placed.join(measured.where("not linked"), (F.col("key") == F.col("a")) & (F.col("pivot") == F.col("b")))
-    open_regions = outer.select(F.col("region").alias("open")).distinct()
-    rows = placed.join(open_regions, F.col("region") == F.col("open"), "left_semi")
-    rows = rows.join(measured, (F.col("key") == F.col("a")) & (F.col("pivot") == F.col("b")))
-    leads = rows.select("region", "key", "agree", "linked", F.explode("first").alias("lead")).select(
-        F.xxhash64("region", "lead").alias("region"), "key", "agree", "linked"
+    rows = placed.join(measured, (F.col("key") == F.col("a")) & (F.col("pivot") == F.col("b")))
+    leads = rows.select("region", "key", "agree", "bytes", "linked", F.explode("first").alias("lead")).select(
+        F.xxhash64("region", "lead").alias("group"), F.col("region").alias("within"), "key", "agree", "bytes", "linked"
     )
-    # A region is worth going on with if two different sets meet, one of them outer.
-    worth = leads.groupBy(F.col("region").alias("of")).agg(
+    leads = stored(leads, "leads")
+    # A group is worth going on with if two different sets meet, one of them outer.
+    worth = leads.groupBy(F.col("group").alias("of")).agg(
         F.min("key").alias("low"), F.max("key").alias("high"), F.max(~F.col("linked")).alias("outer")
     ).where("outer and low < high").select("of")
-    return leads.join(worth, F.col("region") == F.col("of"), "left_semi").select("region", "key", "agree").distinct()
+    return _chosen(leads.join(worth, F.col("group") == F.col("of"), "left_semi").drop("linked"))
 
 
 def _texts(docs: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
