@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.components import components
 from tallyhouse.llm.phrases import MULTIPLY, mixed
 from tallyhouse.llm.shingles import shingle_sets
-from tallyhouse.llm.text import stored, text_of
+from tallyhouse.llm.text import row_of, stored, text_of
 
 CLASS_RATIO = 1.75
 BROADCAST_KEYS = 1_000_000  # 8 MB of keys
@@ -360,16 +360,11 @@ def _texts(docs: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
     rows = stored(first.join(wanted, F.col("key") == F.col("wanted"), "left_semi").select("key", F.col("row").alias("first_row")), "first")
     # A checked size decides; beyond it Spark shuffles both sides by row.
     rows = F.broadcast(rows) if rows.count() <= BROADCAST_KEYS else rows
-    numbered = docs.select(row_of(docs).alias("row"), text_of(F.col("text")).cast("binary").alias("text"))
+    numbered = docs.select(row_of("doc_id", "text").alias("row"), text_of(F.col("text")).cast("binary").alias("text"))
     found = numbered.join(rows, F.col("row") == F.col("first_row")).select(F.col("key").alias("text_key"), "text")
     return stored(found.dropDuplicates(["text_key"]), "texts")
 
 
-def row_of(docs: DataFrame) -> Column:
-    """A name for a row: equal rows share it."""
-    return F.xxhash64(F.col("doc_id"), text_of(F.col("text")))
-
-
 def grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     """Sets of the rows (doc_id, row, n, key), and (key, component): linked sets share one.
 
@@ -377,7 +372,7 @@ def grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     key null, and are linked with nothing.
     """
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    measured = slim.select("doc_id", row_of(slim).alias("row"), set_of(F.col("text"), rule.width).alias("s"))
+    measured = slim.select("doc_id", row_of("doc_id", "text").alias("row"), set_of(F.col("text"), rule.width).alias("s"))
     sets = stored(
         measured.select("doc_id", "row", "s.n", F.when(F.col("s.n") > 0, F.col("s.key")).alias("key")), "sets"
     )

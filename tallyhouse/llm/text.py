@@ -47,3 +47,8 @@ def text_of(column: Column) -> Column:
 
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, GAP), "")
+
+
+def row_of(doc_id: str, text: str) -> Column:
+    """A name for a row: rows with the same id and text share it."""
+    return F.xxhash64(F.col(doc_id), text_of(F.col(text)))
