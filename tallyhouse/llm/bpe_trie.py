@@ -27,7 +27,7 @@ from tokenizers import Tokenizer
 
 from tallyhouse.llm.text import text_of
 
-CACHED_CHUNKS = 400_000  # in each of two generations
+CACHED_CHUNKS = 600_000  # in each of two generations
 GROUP_BYTES = 4 << 20
 NEVER = 1 << 60
 KNOWN_PAIRS = 300_000
@@ -117,13 +117,17 @@ class Vocabulary:
         todo = [(0, s, child, []) for s, child in root.items()]
         while todo:
             depth, symbol, node, open_tokens = todo.pop()
-            ending, still_open = -1, []
+            ending, first, still_open = -1, 0, []
+            ends_word = symbol > 255
             for begin, seen in (*open_tokens, (depth, tokens)):
                 further = seen.get(symbol)
                 if further is None:
                     continue
-                still_open.append((begin, further))
-                token = further.get(-1) if ending < 0 else None
+                if not ends_word:
+                    still_open.append((begin, further))
+                    if ending >= 0:
+                        continue
+                token = further.get(-1)
                 if token is None:
                     continue
                 if begin:
@@ -136,6 +140,15 @@ class Vocabulary:
                     if not fits:
                         continue
                 ending, first = token, begin
+                if ends_word:
+                    break
+            if ends_word:
+                ids, at = [ending], first
+                while at:
+                    ids.append(last[at])
+                    at = start[at]
+                found[node[-1]] = ids[::-1]
+                continue
             depth += 1
             if depth == len(last):
                 last.append(ending)
@@ -143,14 +156,7 @@ class Vocabulary:
             else:
                 last[depth], start[depth] = ending, first
             for s, child in node.items():
-                if s >= 0:
-                    todo.append((depth, s, child, still_open))
-                else:
-                    ids, at = [], depth
-                    while at:
-                        ids.append(last[at])
-                        at = start[at]
-                    found[child] = ids[::-1]
+                todo.append((depth, s, child, still_open))
         return found
 
 
@@ -168,6 +174,10 @@ class Encoder:
 
     def pieces(self, chunk: bytes) -> list[bytes | int]:
         """Words in order; special tokens, which are found before normalization, as ids."""
+        if chunk.isalpha():  # ASCII letters
+            return [chunk.lower()]
+        if chunk[:-1].isalpha() and chunk[-1:] in b".,":
+            return [chunk[:-1].lower(), chunk[-1:]]
         text = chunk.decode("utf-8", "replace")
         if "<|" not in text and PLAIN.fullmatch(text):
             return [word.encode() for word in PLAIN_PIECES.findall(text.lower())]
@@ -182,12 +192,21 @@ class Encoder:
         return found
 
     def learn(self, chunks: set[bytes]) -> None:
-        """Encode chunks that are in neither generation of the cache."""
+        """Encode chunks that are in neither generation of the cache.
+
+        A word is a chunk, too: what words encode to is kept with the chunks.
+        """
         cut = {c: self.pieces(c) for c in chunks}
-        ids = self.vocabulary.encode({p for parts in cut.values() for p in parts if not isinstance(p, int)})
+        words = {p for parts in cut.values() for p in parts if not isinstance(p, int)}
+        words -= self.chunks.keys()
+        known = self.chunks
+        for word in words & self.older.keys():
+            known[word] = self.older[word]
+        for word, ids in self.vocabulary.encode(words - known.keys()).items():
+            known[word] = struct.pack(f"<{len(ids)}I", *ids)
         for c, parts in cut.items():
-            flat = [i for p in parts for i in ((p,) if isinstance(p, int) else ids[p])]
-            self.chunks[c] = struct.pack(f"<{len(flat)}I", *flat)
+            if c not in known:
+                known[c] = b"".join([struct.pack("<I", p) if isinstance(p, int) else known[p] for p in parts])
 
     def batch(self, texts: list[bytes]) -> list[bytes]:
         done: list[bytes] = []
