@@ -286,10 +286,7 @@ def decoding(path: str) -> Callable[[Column], Column]:
     """
 
     def run(ids: pa.Array) -> pa.Array:
-        names = _names(path)
-        get = names.__getitem__
-        texts = (b" ".join(map(get, memoryview(v or b"").cast("I"))) for v in ids.to_pylist())
-        return pa.array(list(texts), pa.binary())
+        return pa.array(decoded([v or b"" for v in ids.to_pylist()], path), pa.binary())
 
     udf = F.arrow_udf(run, "binary")
     return lambda ids: udf(ids).cast("string")
@@ -307,15 +304,28 @@ def _names(path: str) -> list[bytes]:
     return _named[path]
 
 
+def decoded(ids: list[bytes], path: str) -> list[bytes]:
+    get = _names(path).__getitem__
+    return [b" ".join(map(get, memoryview(v).cast("I"))) for v in ids]
+
+
 def encoded(docs: DataFrame, path: str) -> DataFrame:
     """`docs` with `ids` (packed), `n_tokens` and `decoded` in place of `text`.
 
     Null and empty texts have no ids and decode to the empty text. Repeated rows stay
     repeated, an empty table gives no rows. Long texts are handled whole, in groups of
-    about a megabyte. Columns that already have one of the new names are replaced.
+    some megabytes. Columns that already have one of the new names are replaced.
     """
+
+    def run(texts: pa.Array) -> pa.Array:
+        ids = encoder(path).batch([t or b"" for t in texts.to_pylist()])
+        columns = [pa.array(v, pa.binary()) for v in (ids, decoded(ids, path))]
+        return pa.StructArray.from_arrays(columns, names=["ids", "decoded"])
+
+    # One function for both ways, so that a task keeps one vocabulary cache.
+    both = F.arrow_udf(run, "struct<ids: binary, decoded: binary>")
     taken = {"text", "ids", "n_tokens", "decoded"}
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in taken]
-    ids = docs.select(*kept, encoding(path)(F.col("text")).alias("ids"))
-    count = F.floor(F.octet_length("ids") / 4).cast("bigint")
-    return ids.withColumn("n_tokens", count).withColumn("decoded", decoding(path)(F.col("ids")))
+    found = docs.select(*kept, both(text_of(F.col("text")).cast("binary")).alias("both"))
+    count = F.floor(F.octet_length("both.ids") / 4).cast("bigint")
+    return found.select(*kept, "both.ids", count.alias("n_tokens"), F.col("both.decoded").cast("string").alias("decoded"))

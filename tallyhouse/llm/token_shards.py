@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import bpe_trie, shared_files
-from tallyhouse.llm.text import stored
+from tallyhouse.llm.text import stored, text_of
 
 MAGIC = b"TOKSHRD1"
 HEADER, ENTRY, TAIL = "<8sB32s", "<q?QQI", "<QQ8s"
@@ -52,31 +52,37 @@ def trained(samples: list[bytes]) -> bytes:
         return b"".join(samples)[:DICTIONARY_BYTES]
 
 
-def sample(docs: DataFrame, ids: Column) -> list[bytes]:
+def sample(docs: DataFrame, tokenizer: str, end: bytes) -> list[bytes]:
     """Id arrays of the documents whose keys hash lowest."""
     lot = F.xxhash64("doc_id")
     lowest = [r[0] for r in docs.select(lot.alias("lot")).orderBy("lot").limit(SAMPLE_DOCS).collect()]
     if not lowest:
         return []
     chosen = docs.where(lot <= lowest[-1]).limit(SAMPLE_DOCS)
+    ids = F.concat(bpe_trie.encoding(tokenizer)(F.col("text")), F.lit(bytearray(end)))
     return [bytes(r[0]) for r in chosen.select(F.substring(ids, 1, 4 * SAMPLE_IDS)).collect()]
 
 
-def _compressed(arrays: Iterator[pa.Array], dictionary: bytes, width: int) -> Iterator[pa.Array]:
+def _framed(arrays: Iterator[pa.Array], tokenizer: str, end: bytes, dictionary: bytes, width: int) -> Iterator[pa.Array]:
     pack = zstandard.ZstdCompressor(level=3, dict_data=_shared(dictionary))
-    for ids in arrays:
-        yield pa.array([pack.compress(narrow(v, width)) for v in ids.to_pylist()], pa.binary())
+    for texts in arrays:
+        ids = bpe_trie.encoder(tokenizer).batch([t or b"" for t in texts.to_pylist()])
+        counts = pa.array([(len(v) + len(end)) // 4 for v in ids], pa.int64())
+        frames = pa.array([pack.compress(narrow(v + end, width)) for v in ids], pa.binary())
+        yield pa.StructArray.from_arrays([counts, frames], names=["n", "frame"])
 
 
 def _shared(dictionary: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(dictionary) if dictionary else None
 
 
-def compressing(dictionary: bytes, width: int):
+def framing(tokenizer: str, end: bytes, dictionary: bytes, width: int):
+    """Column of texts → number of ids, compressed ids. One function, so that a task keeps one vocabulary cache."""
+
     def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        return _compressed(arrays, dictionary, width)
+        return _framed(arrays, tokenizer, end, dictionary, width)
 
-    return F.arrow_udf(run, "binary")
+    return F.arrow_udf(run, "struct<n: bigint, frame: binary>")
 
 
 def write(docs: DataFrame, tokenizer: str, end_id: int | None = 1) -> DataFrame:
@@ -88,18 +94,16 @@ def write(docs: DataFrame, tokenizer: str, end_id: int | None = 1) -> DataFrame:
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    ids = bpe_trie.encoding(tokenizer)(F.col("text"))
-    if end_id is not None:
-        ids = F.concat(ids, F.lit(bytearray(struct.pack("<I", end_id))))
+    end = b"" if end_id is None else struct.pack("<I", end_id)
     width = 2 if bpe_trie.id_limit(tokenizer) <= 1 << 16 else 4
-    dictionary = trained([narrow(s, width) for s in sample(docs, ids)])
+    dictionary = trained([narrow(s, width) for s in sample(docs, tokenizer, end)])
     folder = shared_files.new_folder(spark, "token-shards")
     name = hashlib.sha256(dictionary).hexdigest()
     with shared_files.writing(f"{folder}/{name}.dict") as out:
         out.write(dictionary)
-    counted = docs.select("doc_id", ids.alias("ids")).withColumn("n", (F.octet_length("ids") / 4).cast("bigint"))
     # Stored, because a range shuffle reads its input twice.
-    frames = stored(counted.select("doc_id", "n", compressing(dictionary, width)(F.col("ids")).alias("frame")), "frames")
+    framed = docs.select("doc_id", framing(tokenizer, end, dictionary, width)(text_of(F.col("text")).cast("binary")).alias("f"))
+    frames = stored(framed.select("doc_id", "f.n", "f.frame"), "frames")
     size = frames.agg(F.sum(F.octet_length("frame"))).first()[0] or 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("frame").asc()]
