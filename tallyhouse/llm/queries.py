@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe_trie, jaccard_join, line_templates, mixing, phrases, quality, shared_files, token_shards, warc
+from tallyhouse.llm import bpe_trie, jaccard_join, line_templates, mixing, phrases, quality, shared_files, token_shards, warc, wrappers
 from tallyhouse.llm.text import stored
 
 
@@ -62,6 +62,10 @@ def op6_trie_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_host_wrappers(spark: SparkSession, folder: str) -> DataFrame:
+    return wrappers.main_texts(pages(spark, folder))
+
+
 def op8_phrase_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.compared(documents(spark, folder))
 
@@ -82,7 +86,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op2_line_templates, op4_seekable_warc, op5_token_shards, op6_trie_bpe, op8_phrase_fingerprints, op9_source_mixing, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_line_templates, op4_seekable_warc, op5_token_shards, op6_trie_bpe, op7_host_wrappers, op8_phrase_fingerprints, op9_source_mixing, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
