@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.components import components
 from tallyhouse.llm.phrases import MULTIPLY, mixed
 from tallyhouse.llm.shingles import shingle_sets
-from tallyhouse.llm.text import row_of, stored, text_of
+from tallyhouse.llm.text import GAP, row_of, stored, text_of, whole
 
 CLASS_RATIO = 1.75
 BROADCAST_KEYS = 1_000_000  # 8 MB of keys
@@ -398,3 +398,20 @@ def classed(docs: DataFrame, rule: Rule) -> DataFrame:
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
+
+
+def representatives(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """`docs` without near copies: of each group the row with the least doc_id stays.
+
+    Null ids come last. Among rows that repeat an id the text decides, and of rows that
+    repeat both any one stays. Rows without words are no copies of anything and all stay.
+    """
+    sets, found = grouped(docs, rule)
+    joined = sets.where("key is not null").join(found, F.col("key") == F.col("component_key"), "left")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
+    least = joined.groupBy(F.coalesce("component", "key").alias("group")).agg(F.min(order)["row"].alias("kept_row"))
+    kept = stored(least.select("kept_row"), "kept")
+    rows = whole(docs).withColumn("row", row_of("doc.doc_id", "doc.text"))
+    wordless = F.coalesce(F.regexp_replace(F.col("doc.text"), GAP, ""), F.lit("")) == ""
+    chosen = rows.where(~wordless).join(kept, F.col("row") == F.col("kept_row"), "left_semi").dropDuplicates(["row"])
+    return chosen.unionByName(rows.where(wordless)).select("doc.*")

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.text import GAP, row_of, stored, text_of, whole
+from tallyhouse.llm.text import GAP, row_of, stored, text_of, whole, with_text
 
 FIELD = "<*>"
 BROADCAST_LEAVES = 1_000_000  # 8 MB of keys
@@ -122,3 +122,10 @@ def cleaned(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         "doc", text.alias("text"), F.when(F.col("doc.text").isNull(), 0).otherwise(F.size(lines)).cast("bigint").alias("n_lines"),
         F.coalesce(F.size("cut"), F.lit(0)).cast("bigint").alias("n_dropped"),
     )
+
+
+def without_recurring(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """`docs` with recurring lines cut from their texts; documents that had nothing else are gone."""
+    found = cleaned(docs, rules)
+    left = (F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return found.where(left).select(*with_text(docs.columns, F.col("text")))

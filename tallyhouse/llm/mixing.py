@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.text import GAP, stored, text_of, whole, words_of
+from tallyhouse.llm.text import GAP, stored, text_of, whole, with_text, words_of
 
 WEIGHTS = (5, 2, 1)
 SHARE_PERCENT = 150
@@ -145,11 +145,9 @@ def repeated(rows: DataFrame) -> DataFrame:
         F.array().cast("array<bigint>")
     )
     pieces = F.concat(times, F.when(F.col("part") > 0, F.array(F.col("part"))).otherwise(F.array().cast("array<bigint>")))
-    head = F.regexp_extract(
-        F.col("doc.text"), F.concat(F.lit(r"^(?:[\x20\x09-\x0D]*[^\x20\x09-\x0D]+){0,"), F.col("words"), F.lit("}")), 0
-    )
+    # Cut where a word ends: every part is a word and the gap before it.
+    parts = F.split("doc.text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
+    head = F.array_join(F.slice(parts, F.lit(1), F.greatest(F.col("words"), F.lit(0)).cast("int")), "")
     cut = (F.col("words") >= 0) & (F.col("words") < F.col("size"))
     text = F.when(cut, head).otherwise(F.col("doc.text"))
-    return rows.withColumn("words", F.explode(pieces)).select(
-        *[(text if c == "text" else F.col(f"doc.`{c}`")).alias(c) for c in columns]
-    )
+    return rows.withColumn("words", F.explode(pieces)).select(*with_text(columns, text))

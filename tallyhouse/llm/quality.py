@@ -198,3 +198,8 @@ def judged(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
             (~failed & ~F.coalesce(far, F.lit(False))).alias("kept"),
         )
     )
+
+
+def accepted(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """The rows of `docs` that the rules keep, unchanged."""
+    return judged(docs, limits).where("kept").select("doc.*")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe_trie, jaccard_join, line_templates, mixing, phrases, quality, shared_files, token_shards, warc, wrappers
+from tallyhouse.llm import bpe_trie, jaccard_join, line_templates, mixing, phrases, pii, quality, shared_files, token_shards, warc, wrappers
 from tallyhouse.llm.text import stored
 
 
@@ -45,6 +45,10 @@ def op2_line_templates(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc.doc_id", "n_lines", "n_dropped", "text")
 
 
+def op3_skip_chain_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.found(documents(spark, folder))
+
+
 def op4_seekable_warc(spark: SparkSession, folder: str) -> DataFrame:
     records = warc.read(warc.write(pages(spark, folder)))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -86,7 +90,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op2_line_templates, op4_seekable_warc, op5_token_shards, op6_trie_bpe, op7_host_wrappers, op8_phrase_fingerprints, op9_source_mixing, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_line_templates, op3_skip_chain_pii, op4_seekable_warc, op5_token_shards, op6_trie_bpe, op7_host_wrappers, op8_phrase_fingerprints, op9_source_mixing, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -52,3 +52,9 @@ def words_of(text: Column) -> Column:
 def row_of(doc_id: str, text: str) -> Column:
     """A name for a row: rows with the same id and text share it."""
     return F.xxhash64(F.col(doc_id), text_of(F.col(text)))
+
+
+def with_text(columns: list[str], text: Column) -> list[Column]:
+    """The columns of `doc` with another text, and its length where they hold that."""
+    changed = {"text": text, "n_chars": F.length(text).cast("bigint")}
+    return [changed.get(c, F.col(f"doc.`{c}`")).alias(c) for c in columns]
