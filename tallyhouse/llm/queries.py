@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import bpe_trie, jaccard_join, line_templates, mixing, phrases, pii, quality, shared_files, token_shards, warc, wrappers
+from tallyhouse.llm.oracles import ORACLES
 from tallyhouse.llm.text import stored
 
 
@@ -94,4 +95,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
