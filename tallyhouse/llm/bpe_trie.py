@@ -20,14 +20,17 @@ import struct
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallyhouse.llm.text import text_of
 
-CACHED_CHUNKS = 600_000  # in each of two generations
+CACHED_CHUNKS = 500_000  # in each of two generations
+CACHED_MERGED = 300_000  # the same for `Merges`, where a miss costs little
 GROUP_BYTES = 4 << 20
 NEVER = 1 << 60
 KNOWN_PAIRS = 300_000
@@ -70,6 +73,8 @@ class Vocabulary:
             a, b, both = ids[left], ids[right], ids[left + right]
             self.rank[a << 32 | b], self.parts[both], self.born[both] = place, (a, b), place
             spelled[both] = spelled[a] + spelled[b]
+        self.single = {s: t for t, (s, *more) in spelled.items() if not more}
+        self.made = {place: token for token, place in enumerate(self.born) if place >= 0}
         self.tokens: dict = {}  # trie of the tokens' symbols; -1 holds the token
         for token, symbols in spelled.items():
             node = self.tokens
@@ -99,8 +104,29 @@ class Vocabulary:
             else:
                 return True
 
-    def encode(self, words: Iterable[bytes]) -> dict[bytes, list[int]]:
-        """Token ids of every distinct word, from one walk over their trie.
+    def spelled(self) -> Iterator[tuple[tuple[int, ...], int]]:
+        """Every token with its symbols."""
+        todo: list[tuple[tuple[int, ...], dict]] = [((), self.tokens)]
+        while todo:
+            symbols, node = todo.pop()
+            for s, below in node.items():
+                if s < 0:
+                    yield symbols, below
+                else:
+                    todo.append(((*symbols, s), below))
+
+    def encode_symbols(self, symbols: tuple[int, ...]) -> list[int]:
+        """Plain BPE: the pair of lowest rank is merged, again and again."""
+        row = [self.single[s] for s in symbols]
+        while len(row) > 1:
+            rank, at = min((self.rank.get(row[i] << 32 | row[i + 1], NEVER), i) for i in range(len(row) - 1))
+            if rank == NEVER:
+                break
+            row[at : at + 2] = [self.made[rank]]
+        return row
+
+    def encode(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
+        """Packed token ids of every distinct word, from one walk over their trie.
 
         A node carries the tokens that could still end below it: where each starts and
         how far it has been followed in the trie of all tokens.
@@ -111,7 +137,7 @@ class Vocabulary:
             for s in word[:-1]:
                 node = node.setdefault(s, {})
             node.setdefault(256 + word[-1], {})[-1] = word
-        found: dict[bytes, list[int]] = {}
+        found: dict[bytes, bytes] = {}
         tokens, known, follows = self.tokens, self.known, self.follows
         last, start = [0], [0]  # by depth on the current path
         todo = [(0, s, child, []) for s, child in root.items()]
@@ -147,7 +173,7 @@ class Vocabulary:
                 while at:
                     ids.append(last[at])
                     at = start[at]
-                found[node[-1]] = ids[::-1]
+                found[node[-1]] = struct.pack(f"<{len(ids)}I", *ids[::-1])
                 continue
             depth += 1
             if depth == len(last):
@@ -160,15 +186,56 @@ class Vocabulary:
         return found
 
 
+class Merges:
+    """The same encodings by a compiled merge loop, for words without the byte `END`.
+
+    The loop merges neighbours whose joined symbols are a token, the lowest rank first.
+    That is BPE as long as every token is what BPE makes of its own symbols, which is
+    checked. A last symbol is its byte and `END`, merged before everything else.
+    """
+
+    END = "\x01"
+
+    def __init__(self, vocabulary: Vocabulary):
+        end = self.END.encode()
+        ranks = {bytes([b]): b for b in range(256)} | {bytes([b]) + end: 256 + b for b in range(256)}
+        ids = np.zeros(512 + len(vocabulary.born), np.uint32)
+        self.closes = np.zeros(len(ids), bool)
+        for symbols, token in vocabulary.spelled():
+            if vocabulary.encode_symbols(symbols) != [token]:
+                raise ValueError("a token of this file is not what its symbols merge to")
+            spelling = b"".join(bytes([s]) if s < 256 else bytes([s - 256]) + end for s in symbols)
+            rank = ranks.setdefault(spelling, 512 + vocabulary.born[token])
+            ids[rank], self.closes[rank] = token, symbols[-1] > 255
+        self.ids = ids
+        self.core = tiktoken.Encoding("words", pat_str=f"[^{self.END}]*{self.END}", mergeable_ranks=ranks, special_tokens={})
+        self.fallback = vocabulary
+
+    def encode(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
+        plain = [w for w in words if self.END.encode() not in w]
+        found = self.fallback.encode({w for w in words if self.END.encode() in w})
+        text = "".join(w.decode() + self.END for w in plain)
+        ranks = self.core.encode_to_numpy(text, disallowed_special=()) if plain else np.empty(0, np.uint32)
+        packed = self.ids[ranks].astype("<u4").tobytes()
+        stops = (4 * (np.flatnonzero(self.closes[ranks]) + 1)).tolist()
+        start = 0
+        for word, stop in zip(plain, stops, strict=True):
+            found[word] = packed[start:stop]
+            start = stop
+        return found
+
+
 class Encoder:
     """Texts in UTF-8 to ids, packed as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, trie: bool = True):
         library = Tokenizer.from_file(path)
         self.normal, self.split = library.normalizer, library.pre_tokenizer
         self.special = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
         self.mark = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.vocabulary = Vocabulary(path)
+        self.words = self.vocabulary if trie else Merges(self.vocabulary)
+        self.most = CACHED_CHUNKS if trie else CACHED_MERGED
         self.chunks: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
@@ -202,8 +269,7 @@ class Encoder:
         known = self.chunks
         for word in words & self.older.keys():
             known[word] = self.older[word]
-        for word, ids in self.vocabulary.encode(words - known.keys()).items():
-            known[word] = struct.pack(f"<{len(ids)}I", *ids)
+        known.update(self.words.encode(words - known.keys()))
         for c, parts in cut.items():
             if c not in known:
                 known[c] = b"".join([struct.pack("<I", p) if isinstance(p, int) else known[p] for p in parts])
@@ -215,7 +281,7 @@ class Encoder:
             for text in group:
                 seen.update(text.split())
             seen -= self.chunks.keys()
-            if len(self.chunks) + len(seen) > CACHED_CHUNKS:
+            if len(self.chunks) + len(seen) > self.most:
                 self.older, self.chunks = self.chunks, {}
                 seen = {c for text in group for c in text.split()}
             again = seen & self.older.keys()
@@ -253,14 +319,14 @@ def grouped(texts: list[bytes]) -> Iterator[list[bytes]]:
         yield group
 
 
-_loaded: dict[str, Encoder] = {}
+_loaded: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, trie: bool = True) -> Encoder:
     """One per tokenizer file and worker process."""
-    if path not in _loaded:
-        _loaded[path] = Encoder(path)
-    return _loaded[path]
+    if (path, trie) not in _loaded:
+        _loaded[path, trie] = Encoder(path, trie)
+    return _loaded[path, trie]
 
 
 def id_limit(path: str) -> int:
@@ -268,11 +334,11 @@ def id_limit(path: str) -> int:
     return Tokenizer.from_file(path).get_vocab_size()
 
 
-def encoding(path: str) -> Callable[[Column], Column]:
+def encoding(path: str, trie: bool = True) -> Callable[[Column], Column]:
     """Column of texts → column of packed ids (empty for null and empty texts)."""
 
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array(encoder(path).batch([t or b"" for t in texts.to_pylist()]), pa.binary())
+        return pa.array(encoder(path, trie).batch([t or b"" for t in texts.to_pylist()]), pa.binary())
 
     udf = F.arrow_udf(run, "binary")
     return lambda text: udf(text_of(text).cast("binary"))

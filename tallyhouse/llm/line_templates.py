@@ -31,7 +31,7 @@ class Rules:
     least_tokens: int = 3  # shorter lines stay
     least_documents: int = 10
     long_tokens: int = 51  # from here on, two documents are enough
-    constant_percent: int = 70  # tokens of a template that are no fields
+    constant_percent: int = 50  # tokens of a template that are no fields
 
 
 def lines_of(text: Column) -> Column:

@@ -52,7 +52,7 @@ kept AS (
   FROM toks JOIN kept USING (leaf, place, token) GROUP BY leaf, masked
 ), matched AS (
   SELECT l.doc_id, l.line, l.leaf, l.tokens, named.template FROM lines l JOIN named USING (leaf, masked)
-  WHERE 100 * constant >= 70 * l.tokens
+  WHERE 100 * constant >= 50 * l.tokens
 ), often AS (
   SELECT leaf, template, min(doc_id) AS first FROM matched
   GROUP BY leaf, template, tokens HAVING count(DISTINCT doc_id) >= CASE WHEN tokens >= 51 THEN 2 ELSE 10 END

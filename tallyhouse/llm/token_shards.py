@@ -59,14 +59,14 @@ def sample(docs: DataFrame, tokenizer: str, end: bytes) -> list[bytes]:
     if not lowest:
         return []
     chosen = docs.where(lot <= lowest[-1]).limit(SAMPLE_DOCS)
-    ids = F.concat(bpe_trie.encoding(tokenizer)(F.col("text")), F.lit(bytearray(end)))
+    ids = F.concat(bpe_trie.encoding(tokenizer, trie=False)(F.col("text")), F.lit(bytearray(end)))
     return [bytes(r[0]) for r in chosen.select(F.substring(ids, 1, 4 * SAMPLE_IDS)).collect()]
 
 
 def _framed(arrays: Iterator[pa.Array], tokenizer: str, end: bytes, dictionary: bytes, width: int) -> Iterator[pa.Array]:
     pack = zstandard.ZstdCompressor(level=3, dict_data=_shared(dictionary))
     for texts in arrays:
-        ids = bpe_trie.encoder(tokenizer).batch([t or b"" for t in texts.to_pylist()])
+        ids = bpe_trie.encoder(tokenizer, trie=False).batch([t or b"" for t in texts.to_pylist()])
         counts = pa.array([(len(v) + len(end)) // 4 for v in ids], pa.int64())
         frames = pa.array([pack.compress(narrow(v + end, width)) for v in ids], pa.binary())
         yield pa.StructArray.from_arrays([counts, frames], names=["n", "frame"])
