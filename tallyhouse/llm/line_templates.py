@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.text import GAP, row_of, stored, text_of, whole, with_text
+from tallyhouse.llm.text import GAP, let, row_of, stored, text_of, whole, with_text
 
 FIELD = "<*>"
 BROADCAST_LEAVES = 1_000_000  # 8 MB of keys
@@ -40,53 +40,67 @@ def lines_of(text: Column) -> Column:
 
 def masked(line: Column) -> Column:
     """Tokens with a digit as fields, white space as single spaces."""
-    plain = F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", FIELD)).otherwise(line)
-    return F.trim(F.regexp_replace(plain, GAP, " "))
-
-
-def _lines(rows: DataFrame, rules: Rules) -> DataFrame:
-    """row, doc_id, line (number), masked, leaf, same (hash of masked), tokens (count)."""
-    each = rows.select("row", "doc_id", F.posexplode(lines_of(F.col("text"))).alias("line", "raw"))
-    each = each.select("row", "doc_id", "line", masked(F.col("raw")).alias("masked"))
-    each = each.withColumn("tokens", F.length("masked") - F.length(F.replace("masked", F.lit(" "))) + 1)
-    lead = F.substring_index("masked", " ", rules.leading)
-    return each.where((F.col("masked") != "") & (F.col("tokens") >= rules.least_tokens)).select(
-        "row", "doc_id", "line", "masked", F.xxhash64("tokens", lead).alias("leaf"), F.xxhash64("masked").alias("same"), "tokens"
+    digits = F.regexp_replace(line, r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", FIELD)
+    return F.trim(F.regexp_replace(F.when(line.rlike("[0-9]"), digits).otherwise(line), GAP, " "))
+
+
+def _lines(rows: DataFrame, rules: Rules, *fields: str) -> DataFrame:
+    """row, doc_id and of each line: its number, masked, tokens (count), leaf, same (hash of masked).
+
+    All of a line is worked out in one expression, so that nothing is done twice.
+    """
+
+    def described(text: Column, number: Column) -> Column:
+        tokens = F.length(text) - F.length(F.replace(text, F.lit(" "))) + 1
+        lead = F.substring_index(text, " ", rules.leading)
+        every = {
+            "line": number, "tokens": tokens, "masked": text, "leaf": F.xxhash64(tokens, lead), "same": F.xxhash64(text),
+        }
+        return F.struct(*[every[f].alias(f) for f in fields])
+
+    each = F.transform(lines_of(F.col("text")), lambda raw, i: let(masked(raw), lambda text: described(text, i)))
+    return rows.select("row", "doc_id", F.explode(F.filter(each, lambda x: x["tokens"] >= rules.least_tokens)).alias("x")).select(
+        "row", "doc_id", "x.*"
     )
 
 
-def _templates(lines: DataFrame, slim: DataFrame, rules: Rules) -> DataFrame:
+def _templates(rows: DataFrame, slim: DataFrame, rules: Rules) -> DataFrame:
     """(leaf, same, template) of lines in leaves that more than one row reaches."""
     leaves = slim.groupBy("leaf").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low <> high").select("leaf")
     leaves = stored(leaves.withColumnRenamed("leaf", "of_leaf"), "leaves")
     # A checked size decides; beyond it both sides are shuffled.
     chosen = F.broadcast(leaves) if leaves.count() <= BROADCAST_LEAVES else leaves
+    lines = _lines(rows, rules, "tokens", "masked", "leaf", "same")
     distinct = stored(
         lines.join(chosen, F.col("leaf") == F.col("of_leaf"), "left_semi")
         .groupBy("leaf", "same", "masked", "tokens").agg(F.count("*").alias("n")), "distinct-lines",
     )
-    tokens = distinct.select("leaf", "same", "n", F.posexplode(F.split("masked", " ")).alias("place", "token"))
-    tokens = tokens.select("leaf", "same", "n", "place", F.xxhash64("place", "token").alias("token"), (F.col("token") != FIELD).alias("fixed"))
-    size = distinct.groupBy(F.col("leaf").alias("size_leaf")).agg(F.sum("n").alias("size"))
-    counted = tokens.where("fixed").groupBy("leaf", "token").agg(F.sum("n").alias("n"))
+    size = stored(
+        distinct.groupBy(F.col("leaf").alias("size_leaf")).agg(F.sum("n").alias("size"), F.count("*").alias("different")), "sizes"
+    )
+    sized = distinct.join(size, F.col("leaf") == F.col("size_leaf"))
+    # Where all lines are the same, all their tokens are kept.
+    fixed = F.size(F.array_remove(F.split("masked", " "), FIELD))
+    alone = sized.where("different = 1").select("leaf", "same", "tokens", F.lit(0).cast("bigint").alias("kept"), fixed.cast("bigint").alias("constant"))
+    mixed = sized.where("different > 1").select("leaf", "same", "n", "size", "tokens", F.posexplode(F.split("masked", " ")).alias("place", "word"))
+    tokens = mixed.where(F.col("word") != FIELD).select("leaf", "same", "n", "size", "tokens", F.xxhash64("place", "word").alias("token"))
     common = (F.col("n") >= rules.least_documents) | (2 * F.col("n") > F.col("size"))
-    kept = counted.join(size, F.col("leaf") == F.col("size_leaf")).where(common).select(
+    kept = tokens.groupBy("leaf", "token").agg(F.sum("n").alias("n"), F.max("size").alias("size")).where(common).select(
         F.col("leaf").alias("kept_leaf"), F.col("token").alias("kept_token")
     )
     found = tokens.join(kept, (F.col("leaf") == F.col("kept_leaf")) & (F.col("token") == F.col("kept_token")))
     # The kept tokens and their places, as an order-free hash.
-    named = found.groupBy("leaf", "same").agg(F.bit_xor("token").alias("kept"), F.count("*").alias("constant"))
-    lengths = distinct.select(F.col("leaf").alias("l"), F.col("same").alias("s"), "tokens")
-    named = named.join(lengths, (F.col("leaf") == F.col("l")) & (F.col("same") == F.col("s")))
+    named = found.groupBy("leaf", "same").agg(
+        F.max("tokens").alias("tokens"), F.bit_xor("token").alias("kept"), F.count("*").alias("constant")
+    )
     enough = 100 * F.col("constant") >= rules.constant_percent * F.col("tokens")
-    return named.where(enough).select("leaf", "same", F.xxhash64("leaf", "kept", "constant").alias("template"))
+    return alone.unionByName(named).where(enough).select("leaf", "same", F.xxhash64("leaf", "kept", "constant").alias("template"))
 
 
 def recurring(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """(row, cut): the numbers of the lines to drop, for rows (row, doc_id, text) that lose any."""
-    lines = _lines(rows, rules)
-    slim = stored(lines.drop("masked"), "lines")
-    templates = _templates(lines, slim, rules).withColumnsRenamed({"leaf": "t_leaf", "same": "t_same"})
+    slim = stored(_lines(rows, rules, "line", "tokens", "leaf", "same"), "lines")
+    templates = _templates(rows, slim, rules).withColumnsRenamed({"leaf": "t_leaf", "same": "t_same"})
     matched = stored(
         slim.join(templates, (F.col("leaf") == F.col("t_leaf")) & (F.col("same") == F.col("t_same")))
         .select("row", "doc_id", "line", "template", "tokens"), "matched",
