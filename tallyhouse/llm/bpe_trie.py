@@ -39,10 +39,13 @@ KNOWN_PAIRS = 300_000
 # through the library. U+00D7 and U+00F7 are signs, not letters.
 PLAIN = re.compile("[\x21-\x7e\xc0-\xff]*")
 PLAIN_PIECES = re.compile(
-    "'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+"
+    "'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\x20\x09-\x0da-z0-9\xdf-\xf6\xf8-\xff]+"
 )
 
 
+PLAIN_TEXT = re.compile("[\x20-\x7e\x09-\x0d\xc0-\xff]*")
+
+
 def byte_letters() -> list[str]:
     """The letter that stands for each byte in byte-level vocabularies.
 
@@ -210,19 +213,36 @@ class Merges:
         self.ids = ids
         self.core = tiktoken.Encoding("words", pat_str=f"[^{self.END}]*{self.END}", mergeable_ranks=ranks, special_tokens={})
         self.fallback = vocabulary
+        self.young: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
         plain = [w for w in words if self.END.encode() not in w]
         found = self.fallback.encode({w for w in words if self.END.encode() in w})
-        text = "".join(w.decode() + self.END for w in plain)
-        ranks = self.core.encode_to_numpy(text, disallowed_special=()) if plain else np.empty(0, np.uint32)
+        found.update(zip(plain, self._merged([w.decode() for w in plain]), strict=True))
+        return found
+
+    def _merged(self, words: list[str]) -> list[bytes]:
+        if not words:
+            return []
+        ranks = self.core.encode_to_numpy(self.END.join(words) + self.END, disallowed_special=())
         packed = self.ids[ranks].astype("<u4").tobytes()
         stops = (4 * (np.flatnonzero(self.closes[ranks]) + 1)).tolist()
-        start = 0
-        for word, stop in zip(plain, stops, strict=True):
-            found[word] = packed[start:stop]
-            start = stop
-        return found
+        return [packed[a:b] for a, b in zip([0, *stops], stops)]
+
+    def texts(self, texts: list[str]) -> list[bytes]:
+        """Encodings of whole texts that `PLAIN_TEXT` matches, without special tokens."""
+        pieces = [PLAIN_PIECES.findall(t.lower()) for t in texts]
+        seen: set[str] = set().union(*pieces)
+        new = seen - self.young.keys()
+        if len(self.young) + len(new) > CACHED_MERGED:
+            self.older, self.young, new = self.young, {}, seen
+        again = new & self.older.keys()
+        self.young.update((w, self.older[w]) for w in again)
+        fresh = list(new - again)
+        self.young.update(zip(fresh, self._merged(fresh), strict=True))
+        get = self.young.__getitem__
+        return [b"".join(map(get, p)) for p in pieces]
 
 
 class Encoder:
@@ -275,6 +295,19 @@ class Encoder:
                 known[c] = b"".join([struct.pack("<I", p) if isinstance(p, int) else known[p] for p in parts])
 
     def batch(self, texts: list[bytes]) -> list[bytes]:
+        if isinstance(self.words, Vocabulary):
+            return self.by_chunks(texts)
+        done: list[bytes] = []
+        for group in grouped(texts):
+            plain = {i: t.decode() for i, t in enumerate(group) if b"<|" not in t and utf8(t)}
+            plain = {i: t for i, t in plain.items() if PLAIN_TEXT.fullmatch(t)}
+            found = dict(zip(plain, self.words.texts(list(plain.values())), strict=True))
+            rest = [i for i in range(len(group)) if i not in plain]
+            found.update(zip(rest, self.by_chunks([group[i] for i in rest]), strict=True))
+            done.extend(found[i] for i in range(len(group)))
+        return done
+
+    def by_chunks(self, texts: list[bytes]) -> list[bytes]:
         done: list[bytes] = []
         for group in grouped(texts):
             seen: set[bytes] = set()
@@ -294,6 +327,14 @@ class Encoder:
         return done
 
 
+def utf8(text: bytes) -> bool:
+    try:
+        text.decode()
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
 @contextmanager
 def uncollected():
     """The trie is many small objects without cycles: searching them for cycles is half the work."""
