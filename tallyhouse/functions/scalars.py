@@ -17,8 +17,7 @@ TRUE_WORDS = ("1", "true", "yes", "t")
 
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 ISO_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?([+-]\d{2}:?\d{2}(:?\d{2})?|Z)?)?$"
-# At most 200 digits and a two-digit exponent, so the value is always finite.
-PLAIN_NUMBER = r"^[+-]?(\d{1,200}(\.\d*)?|\.\d+)([eE][+-]?\d{1,2})?$"
+PLAIN_NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 BARE_HOUR = r"^(\d{4}-\d{2}-\d{2}[T ]\d{2})(?=[+-]|Z|$)"
 
 
@@ -52,9 +51,10 @@ def parse_decimal(c: Column | str, precision: int, scale: int) -> Column:
 
 
 def parse_number(c: Column | str) -> Column:
-    """Finite double; 'NaN', 'inf' and suffixed literals do not count as numbers."""
+    """Finite double of any length; 'NaN', 'inf' and suffixed literals do not count as numbers."""
     text = decimal_text(c)
-    return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
+    value = text.try_cast("double")
+    return F.when(text.rlike(PLAIN_NUMBER) & (F.abs(value) < float("inf")), value)
 
 
 def number_text(value: Column) -> Column:

@@ -12,9 +12,6 @@ from tallyhouse.functions.text import blank_to_null
 from tallyhouse.schemas import STAGING, STAGING_REQUIRED, staging_columns
 
 GROUP = ("seq_source", "seq_part", "seq_block")
-# One row per file split; at about 40 bytes each this stays far below the
-# broadcast limit of Spark. More groups than this are joined with a shuffle.
-BROADCAST_GROUPS = 1_000_000
 
 
 def reject_reason(table: str) -> Column:
@@ -35,7 +32,7 @@ def staged(rows: DataFrame, table: str, batch_id: int, now: datetime) -> DataFra
 
     def value(column: str) -> Column:
         if column == "product_id":
-            return F.col(column).cast("int")
+            return F.col(column).try_cast("int") if column in present else F.lit(None).cast("int")
         return blank_to_null(column) if column in present else F.lit(None).cast("string")
 
     shaped = rows.select(
@@ -63,8 +60,6 @@ def with_load_seq(rows: DataFrame) -> DataFrame:
     starts = spans.select(
         *GROUP, "__low", F.coalesce(F.sum("__span").over(earlier), F.lit(0)).alias("__start")
     )
-    if spans.count() <= BROADCAST_GROUPS:
-        starts = F.broadcast(starts)
     return (
         rows.join(starts, list(GROUP))
         .withColumn("load_seq", F.col("__start") + F.col("seq_row") - F.col("__low") + 1)

@@ -78,12 +78,19 @@ def event_lines(lines: DataFrame) -> DataFrame:
 
 
 def _items(documents: DataFrame, path: str) -> DataFrame:
-    """Elements of an array inside each document, in order; broken documents give none."""
+    """Elements of an array inside each document, in order; broken documents give none.
+
+    The reader cuts the document into its elements, which stay JSON text: only an
+    element has to fit into a VARIANT, not the document.
+    """
     carry = carried(documents)
-    parsed = documents.select(F.try_parse_json("content").alias("__doc"), *carry)
-    items = parsed.select(
-        F.explode(F.try_variant_get("__doc", f"$.{path}", "array<variant>")).alias("__item"), *carry
-    )
+    *outer, last = path.split(".")
+    schema = f"struct<`{last}`: array<string>>"
+    for name in reversed(outer):
+        schema = f"struct<`{name}`: {schema}>"
+    parsed = documents.select(F.from_json("content", schema).alias("__doc"), *carry)
+    elements = parsed.select(F.explode(f"__doc.{path}").alias("__json"), *carry)
+    items = elements.select(F.try_parse_json("__json").alias("__item"), *carry)
     if "load_seq" in carry:
         return items
     rank = F.col("seq_part") if "seq_part" in carry else 0

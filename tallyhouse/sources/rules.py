@@ -38,37 +38,27 @@ def nothing() -> Column:
 
 
 def normalise_manifest_rows(rows: DataFrame, table: str) -> DataFrame:
-    """Defaults and spellings for rows that come through the manifest."""
+    """Defaults and spellings for rows that come through the manifest.
+
+    An entry may list fewer columns than its table has; the others stay absent.
+    """
+    rules: dict[str, Column] = {}
     if table == "abs_clients_raw":
-        kind = blank_to_null("client_type")
-        business = F.upper(strip("client_type")).isin(*BUSINESS_WORDS)
-        return rows.withColumns({
-            "source_client_id": strip("source_client_id"),
-            "client_type": F.when(kind.isNull(), F.col("client_type"))
-            .when(business, F.lit("BUSINESS"))
-            .otherwise(F.lit("INDIVIDUAL")),
-            "status": or_default("status", "ACTIVE"),
-        })
-    if table == "abs_transactions_raw":
-        ids = ("source_transaction_id", "source_client_id", "source_account_id")
-        return rows.withColumns({
-            **{c: F.coalesce(stripped(c), F.col(c)) for c in ids},
-            "channel_code": or_default("channel_code", "ONLINE"),
-            "currency_code": or_default("currency_code", "INR"),
-            "direction": or_default("direction", "D"),
-            "status": or_default("status", "POSTED"),
-        })
-    if table == "abs_accounts_raw":
-        mask = F.concat(F.lit("****"), F.right(strip("source_account_id"), F.lit(4)))
-        return rows.withColumn(
-            "account_number_masked",
-            F.when(
-                blank_to_null("account_number_masked").isNull()
-                & blank_to_null("source_account_id").isNotNull(),
-                mask,
-            ).otherwise(F.col("account_number_masked")),
+        rules["source_client_id"] = strip("source_client_id")
+        rules["client_type"] = F.when(blank_to_null("client_type").isNull(), F.col("client_type")).otherwise(
+            F.when(F.upper(strip("client_type")).isin(*BUSINESS_WORDS), "BUSINESS").otherwise("INDIVIDUAL")
         )
-    return rows
+        rules["status"] = or_default("status", "ACTIVE")
+    elif table == "abs_transactions_raw":
+        for c in ("source_transaction_id", "source_client_id", "source_account_id"):
+            rules[c] = F.coalesce(stripped(c), F.col(c))
+        defaults = {"channel_code": "ONLINE", "currency_code": "INR", "direction": "D", "status": "POSTED"}
+        rules |= {c: or_default(c, value) for c, value in defaults.items()}
+    elif table == "abs_accounts_raw" and {"account_number_masked", "source_account_id"} <= set(rows.columns):
+        mask = F.concat(F.lit("****"), F.right(strip("source_account_id"), F.lit(4)))
+        unmasked = blank_to_null("account_number_masked").isNull() & blank_to_null("source_account_id").isNotNull()
+        rules["account_number_masked"] = F.when(unmasked, mask).otherwise(F.col("account_number_masked"))
+    return rows.withColumns({c: rule for c, rule in rules.items() if c in rows.columns})
 
 
 TSV_TRANSACTION_COLUMNS = (

@@ -7,6 +7,7 @@ UTF-8 if every byte sequence is valid, else windows-1251.
 from __future__ import annotations
 
 import csv
+import re
 from collections import defaultdict
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -45,13 +46,15 @@ class Hints:
 UNKNOWN = Hints()
 
 
-def sniff(spark: SparkSession, paths: Sequence[str], hints: Hints = UNKNOWN) -> list[TextFile]:
+def sniff(
+    spark: SparkSession, paths: Sequence[str], hints: Hints = UNKNOWN, delimiter: str = ","
+) -> list[TextFile]:
     """Encoding, first line and quoting of every non-empty file, in the order given.
 
     One distributed pass: a newline byte is never part of a longer UTF-8 sequence,
     so a file is valid UTF-8 exactly when each of its lines is. A quoted field
-    spans lines exactly when some line holds an odd number of quotes; only those
-    files give up splitting.
+    spans lines exactly when some line ends inside a field that began with a quote;
+    only those files give up splitting. Quotes inside a field mean nothing.
     """
 
     def head(fact: tuple[str, bool, bool]) -> TextFile | None:
@@ -67,18 +70,20 @@ def sniff(spark: SparkSession, paths: Sequence[str], hints: Hints = UNKNOWN) ->
 
     # The first line of a file is a job of one task, so several run side by side.
     with ThreadPoolExecutor(HEAD_JOBS) as pool:
-        found = pool.map(head, _facts(spark, paths, hints))
+        found = pool.map(head, _facts(spark, paths, hints, delimiter))
     return [file for file in found if file]
 
 
-def _facts(spark: SparkSession, paths: Sequence[str], hints: Hints) -> list[tuple[str, bool, bool]]:
+def _facts(
+    spark: SparkSession, paths: Sequence[str], hints: Hints, delimiter: str
+) -> list[tuple[str, bool, bool]]:
     if hints.encoding and hints.quoted_newlines is not None:
         return [
             (metadata_path(file), True, False)
             for path in paths
             for file in sorted(spark.read.text(path).inputFiles())
         ]
-    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
+    still_open = rf'(^|{re.escape(delimiter)})"[^"]*+(""[^"]*+)*+$'
     lines = _stack([
         spark.read.text(path).select(
             F.lit(i).alias("given"), F.col("_metadata.file_path").alias("path"), "value"
@@ -89,7 +94,7 @@ def _facts(spark: SparkSession, paths: Sequence[str], hints: Hints) -> list[tupl
         lines.groupBy("given", "path")
         .agg(
             F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
-            F.bool_or(quotes % 2 == 1).alias("odd"),
+            F.bool_or(F.col("value").rlike(still_open)).alias("odd"),
         )
         .collect()  # one row per file
     )
@@ -128,7 +133,7 @@ def read_delimited(
     parsed. Files that share encoding and header are one scan. `by_position` skips
     the header and names the columns by their place. None when nothing was found.
     """
-    files = sniff(spark, paths, hints)
+    files = sniff(spark, paths, hints, delimiter)
     if not files:
         return None
     groups: dict[tuple, list[str]] = defaultdict(list)

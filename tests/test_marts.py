@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import marts, profile, segments
-from tallyhouse.plans import params, serving
+from tallyhouse.plans import serving
 from tallyhouse.schemas import CORE
 
 RD = date(2024, 1, 30)
@@ -213,14 +213,3 @@ def test_daily_serving(spark):
     serving.client_activity_daily(mart, ago(400), RD)
     with pytest.raises(ValueError):
         serving.client_activity_daily(mart, ago(401), RD)
-
-
-def test_job_parameters():
-    assert params.report_date({"report_date": "2026-04-01"}, date(2020, 1, 1)) == date(2026, 4, 1)
-    assert params.report_date({}, datetime(2020, 1, 1, 5)) == date(2020, 1, 1)
-    assert params.report_date() == date.today()
-    assert params.activity_range({"report_date": "2026-04-01"}) == (date(2025, 2, 25), date(2026, 4, 1))
-    assert params.activity_range({"report_date": "2026-04-01", "activity_days_back": 1}) == (date(2026, 3, 31), date(2026, 4, 1))
-    both = {"activity_from": "2026-01-01", "activity_to": "2026-02-01"}
-    assert params.activity_range(both) == (date(2026, 1, 1), date(2026, 2, 1))
-    assert params.activity_range({"activity_from": "2026-01-01", "report_date": "2026-04-01"})[0] == date(2025, 2, 25)

@@ -42,6 +42,10 @@ def executed(frame):
     return text.split("== Initial Plan ==")[0]
 
 
+def scans(plan):
+    return len(re.findall(r"FileScan parquet|Scan parquet", plan))
+
+
 def shuffles(plan):
     return len(re.findall(r"(?<![A-Za-z])Exchange ", plan))
 
@@ -127,7 +131,7 @@ def test_snapshot_joins_reuse_the_partitioning_of_the_aggregates(spark, tmp_path
     with settings(spark, **NO_BROADCAST, spark__sql__adaptive__enabled="false"):
         metrics = segments.client_metrics(t["clients"], t["transactions"], t["digital_events"], t["products"], RD)
         plan = executed(segments.classify(metrics, RD))
-        assert shuffles(plan) == 6 and "SinglePartition" not in plan
+        assert shuffles(plan) == 4 and scans(plan) == 4 and "SinglePartition" not in plan
         export = profile.profile_export(
             t["clients"], t["accounts"], t["products"], t["transactions"], t["digital_events"], t["appeals"],
             t["client_segments_history"], RD,

@@ -95,3 +95,9 @@ def test_integers(rows):
 def test_unreadable_is_not_blank(rows):
     column = scalars.unreadable("x", scalars.parse_date("x"))
     assert values(rows, column, "soon", " ", None, "2021-01-01") == [True, False, False, False]
+
+
+def test_numbers_of_any_length_count_while_they_are_finite(rows):
+    given = ("1e100", "1e-100", "9" * 221, "1e309", "-1e309", "9" * 400)
+    found = rows("v string", *[(v,) for v in given]).select(scalars.parse_number("v").alias("n")).collect()
+    assert [r.n for r in found] == [1e100, 1e-100, float("9" * 221), None, None, None]

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -48,7 +49,7 @@ def test_files_with_different_headers_keep_their_order(spark, tmp_path):
 def test_a_quoted_newline_is_found_and_read(spark, tmp_path):
     path = tmp_path / "feed.tsv"
     path.write_text('x\ty\n1\t"two\nlines"\n2\t"say ""hi"""\n')
-    assert sniff(spark, [str(path)])[0].quoted_newlines
+    assert sniff(spark, [str(path)], delimiter="\t")[0].quoted_newlines
     found = read_delimited(spark, [str(path)], ["x", "y"], "\t")
     assert in_order(found, "x", "y") == [("1", "two\nlines"), ("2", 'say "hi"')]
 
@@ -305,3 +306,42 @@ def test_staging_refuses_long_and_missing_values(rows):
     assert [(r.source_client_id, r.phone, r.reject_reason) for r in got] == [
         ("a", None, None), (None, "x", "source_client_id is missing"), ("b", "x", "tax_id is longer than 20")
     ]
+
+
+def test_a_quote_inside_a_field_does_not_stop_splitting(spark, tmp_path):
+    path = tmp_path / "feed.tsv"
+    path.write_text('x\ty\n1\t10" screen\n2\t"a ""b"""\n')
+    assert not sniff(spark, [str(path)], delimiter="\t")[0].quoted_newlines
+
+
+def test_of_a_repeated_key_the_last_value_counts(spark, tmp_path):
+    (tmp_path / "events.jsonl").write_text('{"event_id": "1", "event_id": "2", "channel": "WEB"}\n')
+    event = documents.event_lines(read_lines(spark, [str(tmp_path / "events.jsonl")])).first()
+    assert event.source_event_id == "2" and event.channel_code == "WEB"
+    body = '{"Data": {"Account": [{"AccountId": "1", "AccountId": "2"}, {"AccountId": "3"}]}}'
+    (tmp_path / "accounts.json").write_text(body)
+    found = documents.open_banking_accounts(read_documents(spark, [str(tmp_path / "accounts.json")])).collect()
+    assert [r.source_account_id for r in found] == ["2", "3"]
+
+
+def test_a_document_above_the_variant_limit_is_read_whole(spark, tmp_path):
+    path, rows = tmp_path / "big.json", 70_000
+    with path.open("w") as out:
+        out.write('{"Data": {"Transaction": [')
+        for i in range(rows):
+            out.write("," * (i > 0) + f'{{"TransactionId": "{i}", "TransactionInformation": "{"x" * 1950}"}}')
+        out.write("]}}")
+    assert path.stat().st_size > 128 << 20
+    found = documents.open_banking_transactions(read_documents(spark, [str(path)]))
+    assert found.selectExpr("count(distinct source_transaction_id)").first()[0] == rows
+
+
+def test_manifest_rows_may_lack_columns(rows):
+    for table in ("abs_clients_raw", "abs_transactions_raw", "abs_accounts_raw"):
+        found = rules.normalise_manifest_rows(rows("status string, city string", (None, "x")), table)
+        assert found.columns == ["status", "city"]
+
+
+def test_a_bad_product_id_is_refused_and_does_not_fail(rows):
+    found = staged(rows("product_id string, product_name string", ("ABC", "x"), ("7", "y")), "product_catalog_raw", 1, datetime(2024, 1, 1))
+    assert {r.product_id: bool(r.reject_reason) for r in found.collect()} == {None: True, 7: False}
