@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,20 +16,54 @@ from tallyhouse.sources.rules import MIDDAY, carried, normalise_manifest_rows, n
 # message kind -> (row element, operation type)
 MESSAGES = {"053": ("Stmt", "CAMT_STMT"), "054": ("Ntfctn", "CAMT_NTF")}
 
-# Elements that hold others are read as text: the rules look for a name at any
-# depth below them. The reader has decoded entities by then.
+# The parties of a transaction in the order of the standard. Every place
+# that may hold a name or a remark is typed, so what is written inside a text can
+# never pass for an element.
+PARTIES = ("InitgPty", "Dbtr", "UltmtDbtr", "Cdtr", "UltmtCdtr", "TradgPty", "Prtry")
+TEXTS = "array<string>"
+PARTY = f"struct<Nm: {TEXTS}, Pty: array<struct<Nm: {TEXTS}>>>"
+SAID = (
+    f"Nm: {TEXTS}, Ustrd: {TEXTS}, RmtInf: array<struct<Ustrd: {TEXTS}>>, "
+    f"RltdPties: array<struct<{', '.join(f'{p}: array<{PARTY}>' for p in PARTIES)}>>"
+)
 STATEMENT = (
-    "Acct array<string>, "
+    f"Acct array<struct<Id: array<struct<_VALUE: string, Id: {TEXTS}, Othr: array<struct<Id: {TEXTS}>>>>>>, "
     "Ntry array<struct<Amt: array<struct<_VALUE: string, _Ccy: string>>, CdtDbtInd: array<string>, "
-    "BookgDt: array<string>, AcctSvcrRef: array<string>, NtryDtls: array<string>>>"
+    f"BookgDt: array<struct<Dt: {TEXTS}>>, AcctSvcrRef: array<string>, {SAID}, "
+    f"NtryDtls: array<struct<{SAID}, TxDtls: array<struct<{SAID}>>>>>>"
 )
 DESCRIPTION_WIDTH = 2000
 
 
-def _inside(fragment: Column, element: str) -> Column:
-    """Texts of the named elements in a fragment, in document order."""
-    pattern = rf"(?s)<(?:[\w.-]+:)?{element}(?:\s[^>]*)?>(.*?)</(?:[\w.-]+:)?{element}\s*>"
-    return F.regexp_extract_all(fragment, F.lit(pattern), F.lit(1))
+def _none() -> Column:
+    return F.array().cast(TEXTS)
+
+
+def _each(values: Column, texts: Callable[[Column], Column]) -> Column:
+    """The texts of all elements, in order; none where the elements are missing."""
+    return F.coalesce(F.flatten(F.transform(values, lambda v: F.coalesce(texts(v), _none()))), _none())
+
+
+def _names(holder: Column) -> Column:
+    """Names given directly and by the related parties."""
+
+    def of_party(party: Column) -> Column:
+        return F.concat(F.coalesce(party["Nm"], _none()), _each(party["Pty"], lambda p: p["Nm"]))
+
+    def of_parties(parties: Column) -> Column:
+        return F.concat(*[_each(parties[name], of_party) for name in PARTIES])
+
+    return F.concat(F.coalesce(holder["Nm"], _none()), _each(holder["RltdPties"], of_parties))
+
+
+def _remarks(holder: Column) -> Column:
+    return F.concat(F.coalesce(holder["Ustrd"], _none()), _each(holder["RmtInf"], lambda r: r["Ustrd"]))
+
+
+def _everywhere(entry: Column, texts: Callable[[Column], Column]) -> Column:
+    """Texts of an entry, its details and their transactions."""
+    details = _each(entry["NtryDtls"], lambda d: F.concat(texts(d), _each(d["TxDtls"], texts)))
+    return F.concat(texts(entry), details)
 
 
 def _first_text(values: Column) -> Column:
@@ -38,15 +72,14 @@ def _first_text(values: Column) -> Column:
 
 def account_number(account: Column) -> Column:
     """First all-digit id inside an `Othr`, else the first all-digit id anywhere."""
-    other = F.flatten(F.transform(_inside(account, "Othr"), lambda o: _inside(o, "Id")))
-    leaf = F.regexp_extract_all(
-        account, F.lit(r"(?s)<(?:[\w.-]+:)?Id(?:\s[^>]*)?>([^<]*)</"), F.lit(1)
-    )
+    ids = account["Id"]
+    other = _each(ids, lambda i: _each(i["Othr"], lambda o: o["Id"]))
+    plain = _each(ids, lambda i: F.concat(F.array(F.coalesce(i["_VALUE"], F.lit(""))), F.coalesce(i["Id"], _none())))
 
     def digits(values: Column) -> Column:
         return F.get(F.filter(F.transform(values, strip), is_digits), F.lit(0))
 
-    return F.coalesce(digits(other), digits(leaf))
+    return F.coalesce(digits(other), digits(plain))
 
 
 def read_statements(spark: SparkSession, paths: Sequence[str], kind: str) -> DataFrame:
@@ -82,16 +115,11 @@ def entries(statements: DataFrame, accounts: DataFrame | None, kind: str) -> Dat
             F.col("seq_part") if "seq_part" in carry else 0,
             F.col("seq_block") if "seq_block" in carry else 0,
         )
-    details = F.array_join(F.col("e.NtryDtls"), "")
     customers = F.filter(
-        F.transform(
-            _inside(details, "Nm"), lambda n: F.regexp_extract(n, r"Customer ([0-9]+)", 1)
-        ),
+        F.transform(_everywhere(F.col("e"), _names), lambda n: F.regexp_extract(n, r"Customer ([0-9]+)", 1)),
         lambda c: c != "",
     )
-    days = F.filter(
-        F.transform(F.col("e.BookgDt"), lambda b: F.get(_inside(b, "Dt"), F.lit(0))), lambda d: d != ""
-    )
+    days = F.filter(F.transform(F.col("e.BookgDt"), lambda b: F.get(b["Dt"], F.lit(0))), lambda d: d != "")
     amount = F.get("e.Amt", F.lit(0))
     rows = rows.select(
         "__account",
@@ -101,7 +129,7 @@ def entries(statements: DataFrame, accounts: DataFrame | None, kind: str) -> Dat
         cut(or_default(amount["_Ccy"], "INR"), 8).alias("__currency"),
         F.coalesce(_first_text(F.col("e.CdtDbtInd")), F.lit("DBIT")).alias("__side"),
         cut(strip(F.try_element_at(days, F.lit(-1))), 10).alias("__day"),
-        _first_text(_inside(details, "Ustrd")).alias("__remark"),
+        _first_text(_everywhere(F.col("e"), _remarks)).alias("__remark"),
         F.try_element_at(customers, F.lit(-1)).alias("__named"),
     ).where("__ref <> ''")
     if accounts is None:

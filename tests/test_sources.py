@@ -345,3 +345,18 @@ def test_manifest_rows_may_lack_columns(rows):
 def test_a_bad_product_id_is_refused_and_does_not_fail(rows):
     found = staged(rows("product_id string, product_name string", ("ABC", "x"), ("7", "y")), "product_catalog_raw", 1, datetime(2024, 1, 1))
     assert {r.product_id: bool(r.reject_reason) for r in found.collect()} == {None: True, 7: False}
+
+
+def test_free_text_never_names_the_customer(spark, tmp_path):
+    entry = "<Ntry><Amt>1</Amt><AcctSvcrRef>{}</AcctSvcrRef>{}</Ntry>"
+    told = "<RmtInf><Ustrd>see &lt;Nm&gt;Customer 99&lt;/Nm&gt;</Ustrd></RmtInf>"
+    party = "<RltdPties><Cdtr>{}</Cdtr></RltdPties>"
+    inner = "<NtryDtls><TxDtls>" + party.format("<Nm>Customer 7</Nm>") + told + "</TxDtls></NtryDtls>"
+    later = "<NtryDtls>" + party.format("<Pty><Nm>Customer 9</Nm></Pty>") + "</NtryDtls>"
+    body = entry.format("a", inner) + entry.format("b", "<Nm>Customer 8</Nm><Ustrd>direct</Ustrd>") + entry.format("c", later)
+    path = tmp_path / "camt.xml"
+    path.write_text(f"<D><Stmt><Acct><Id><Othr><Id>600</Id></Othr></Id></Acct>{body}</Stmt></D>")
+    found = camt.entries(camt.read_statements(spark, [str(path)], "053"), None, "053")
+    assert in_order(found, "source_transaction_id", "source_client_id", "description") == [
+        ("ISO053-a", "7", "see <Nm>Customer 99</Nm>"), ("ISO053-b", "8", "direct"), ("ISO053-c", "9", "camt 053"),
+    ]
