@@ -57,7 +57,7 @@ def op4_seekable_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_token_shards(spark: SparkSession, folder: str) -> DataFrame:
     shards = token_shards.write(documents(spark, folder), tokenizer(), end_id=1)
-    return token_shards.read(shards).select("doc_id", "start", "n_tokens", token_shards.crc32(F.col("ids")).alias("ids_crc32"))
+    return token_shards.read(shards).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def op6_trie_bpe(spark: SparkSession, folder: str) -> DataFrame:

@@ -15,13 +15,13 @@ from __future__ import annotations
 
 import hashlib
 import struct
-import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import bpe_trie, shared_files
@@ -37,11 +37,11 @@ ROWS = 512
 
 def narrow(ids: bytes, width: int) -> bytes:
     """Packed 32-bit ids in `width` bytes each."""
-    return ids if width == 4 else memoryview(pa.array(memoryview(ids).cast("I")).cast(pa.uint16()).buffers()[1])[: len(ids) // 2].tobytes()
+    return ids if width == 4 else np.frombuffer(ids, "<u4").astype("<u2").tobytes()
 
 
 def wide(ids: bytes, width: int) -> bytes:
-    return ids if width == 4 else struct.pack(f"<{len(ids) // 2}I", *memoryview(ids).cast("H"))
+    return ids if width == 4 else np.frombuffer(ids, "<u2").astype("<u4").tobytes()
 
 
 def trained(samples: list[bytes]) -> bytes:
@@ -202,8 +202,3 @@ def _documents(shard: Shard, start: int) -> Iterator[pa.RecordBatch]:
             start += entry[4]
         columns = [pa.array(v, pa.int64()) for v in (keys, starts, counts)]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(ids, pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
-
-
-def crc32(ids: Column) -> Column:
-    run = F.arrow_udf(lambda v: pa.array([zlib.crc32(x) for x in v.to_pylist()], pa.int64()), "bigint")
-    return run(ids)

@@ -5,6 +5,7 @@ import struct
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallyhouse.llm import bpe_trie, shared_files, token_shards
@@ -55,7 +56,7 @@ def test_shards_round_trip(docs, library, prose):
     made = texts(prose)
     table = docs(*[(3 * (len(made) - i), t, "en", "s") for i, t in enumerate(made)])
     shards = token_shards.write(table, tokenizer())
-    rows = sorted(token_shards.read(shards).select("*", token_shards.crc32("ids").alias("crc")).collect())
+    rows = sorted(token_shards.read(shards).select("*", F.crc32("ids").alias("crc")).collect())
     start = 0
     for row, text in zip(rows, reversed(made), strict=True):
         ids = library.encode(text, add_special_tokens=False).ids + [1]
