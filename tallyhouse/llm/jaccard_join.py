@@ -413,5 +413,6 @@ def representatives(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     kept = stored(least.select("kept_row"), "kept")
     rows = whole(docs).withColumn("row", row_of("doc.doc_id", "doc.text"))
     wordless = F.coalesce(F.regexp_replace(F.col("doc.text"), GAP, ""), F.lit("")) == ""
-    chosen = rows.where(~wordless).join(kept, F.col("row") == F.col("kept_row"), "left_semi").dropDuplicates(["row"])
+    chosen = rows.where(~wordless).join(kept.hint("merge"), F.col("row") == F.col("kept_row"), "left_semi")
+    chosen = chosen.dropDuplicates(["row"])
     return chosen.unionByName(rows.where(wordless)).select("doc.*")

@@ -127,7 +127,8 @@ def cleaned(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     rows = whole(docs).withColumn("row", row_of("doc.doc_id", "doc.text"))
     slim = rows.select("row", F.col("doc.doc_id").cast("bigint").alias("doc_id"), text_of(F.col("doc.text")).alias("text"))
     cuts = stored(recurring(slim, rules), "cuts")
-    joined = rows.join(cuts, F.col("row") == F.col("cut_row"), "left")
+    # Cuts grow with the documents, so they are shuffled at every size.
+    joined = rows.join(cuts.hint("merge"), F.col("row") == F.col("cut_row"), "left")
     lines = lines_of(text_of(F.col("doc.text")))
     last = F.size(lines) - 1
     left = F.transform(F.array_except(F.sequence(F.lit(0), last), "cut"), lambda i: F.get(F.col("lines"), i))
