@@ -329,7 +329,7 @@ def src_crm_campaigns(v: Views) -> DataFrame:
 @query
 def src_credit_risk(v: Views) -> DataFrame:
     number = F.col("c_custkey")
-    sheet = sheet_rows(v).where("c_acctbal <> 0").select(
+    sheet = sheet_rows(v).select(
         F.col("key").alias("customer_id"),
         F.col("c_acctbal").alias("limit_balance"),
         F.col("c_mktsegment").alias("sex"),
@@ -443,8 +443,9 @@ def parse_scalars(v: Views) -> DataFrame:
 
 @query
 def surrogate_ids(v: Views) -> DataFrame:
-    rows = v.table("orders").where("o_orderpriority <> '5-LOW'").select("o_orderkey")
-    return present(ids.surrogate_ids(rows, "id", order="o_orderkey", after=1000))
+    # Order values with gaps.
+    rows = v.table("orders").select("o_orderkey", (F.col("o_orderkey") * 7).alias("place"))
+    return present(ids.surrogate_ids(rows, "id", order="place", after=1000), "o_orderkey", "id")
 
 
 def resolved(v: Views) -> DataFrame:

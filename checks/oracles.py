@@ -369,10 +369,10 @@ ORACLES: dict[str, str] = {
                LEFT('subscribed', 8) AS term_deposit_subscribed
         FROM customer WHERE c_custkey % 8 <> 0""",
     "src_credit_risk": """
-        SELECT 'ABS-' || CAST(c_custkey AS VARCHAR) AS customer_id, CAST(c_acctbal AS VARCHAR) AS limit_balance,
+        SELECT 'ABS-' || CAST(c_custkey AS VARCHAR) AS customer_id, CASE WHEN c_acctbal <> 0 THEN CAST(c_acctbal AS VARCHAR) END AS limit_balance,
                LEFT(c_mktsegment, 8) AS sex, CASE WHEN c_custkey % 3 <> 0 THEN CAST(c_custkey % 3 AS VARCHAR) END AS pay_status_m1,
                CAST(NULL AS VARCHAR) AS pay_status_m2, CAST(c_custkey % 2 AS VARCHAR) AS default_next_month
-        FROM customer WHERE c_custkey % 8 <> 0 AND c_acctbal <> 0""",
+        FROM customer WHERE c_custkey % 8 <> 0""",
     "stg_append": """
         SELECT load_seq AS id, 7::BIGINT AS batch_id, source_client_id, NULLIF(client_type, '') AS client_type,
                NULLIF(tax_id, '') AS tax_id, NULLIF(status, '') AS status, CAST(NULL AS VARCHAR) AS reject_reason FROM v_abs_clients_raw""",
@@ -402,7 +402,7 @@ ORACLES: dict[str, str] = {
                CASE WHEN o_orderkey % 3 = 2 THEN 'true' ELSE 'false' END AS decimal_unreadable
         FROM orders""",
     "surrogate_ids": """
-        SELECT o_orderkey, 1000 + ROW_NUMBER() OVER (ORDER BY o_orderkey) AS id FROM orders WHERE o_orderpriority <> '5-LOW'""",
+        SELECT o_orderkey, 1000 + ROW_NUMBER() OVER (ORDER BY o_orderkey) AS id FROM orders""",
     "resolve_abs_clients": """
         SELECT source_client_id, client_id, CASE WHEN founder THEN 'ABS_TAX_KEY' ELSE 'ABS_DEDUP_TAX' END AS match_rule,
                CASE WHEN founder THEN 'true' ELSE 'false' END AS is_primary FROM o_resolved WHERE sys = 1""",

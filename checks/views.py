@@ -101,7 +101,8 @@ VIEWS: dict[str, str] = {
                CAST(NULL AS DATE) AS effective_to,
                (c_custkey + k) % 4 <> 0 AS is_current,
                CASE WHEN (c_custkey + k) % 3 = 0 THEN 'MANUAL' ELSE 'ETL_SEGMENTATION' END AS assigned_by
-        FROM customer CROSS JOIN (VALUES (0), (1), (2)) AS t(k)""",
+        FROM (SELECT c_custkey, 0 AS k FROM customer UNION ALL SELECT c_custkey, 1 FROM customer
+              UNION ALL SELECT c_custkey, 2 FROM customer) AS t""",
     # staging shapes
     "v_abs_clients_raw": """
         SELECT c_custkey + 1 AS load_seq, 'ABS-' || CAST(c_custkey AS STRING) AS source_client_id,
