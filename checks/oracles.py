@@ -160,28 +160,32 @@ PARTS: dict[str, str] = {
                CAST(default_next_month AS BIGINT) AS defaults
         FROM v_credit_raw r JOIN o_lookup c ON c.src = TRIM(r.customer_id)""",
     # segments and profile
+    # Everything a client does as one list of dated rows.
+    "o_moves": """
+        SELECT 'T' AS kind, client_id, operation_date AS day, operation_ts AS moment, channel_id, NULL::BOOLEAN AS ok,
+               CASE direction WHEN 'D' THEN amount ELSE 0 END AS paid, CASE direction WHEN 'C' THEN amount ELSE 0 END AS got
+        FROM v_transactions
+        UNION ALL SELECT 'E', client_id, event_date, event_ts, channel_id, success_flag, 0, 0 FROM v_digital_events
+        UNION ALL SELECT 'A', client_id, created_date, NULL, channel_id, NULL, 0, 0 FROM v_appeals""",
     "o_tx30": f"""
-        SELECT client_id, COUNT(*) AS op_30, {_direction('D')} AS debit_30, {_direction('C')} AS credit_30
-        FROM v_transactions WHERE operation_date >= {RD} - 30 AND operation_date <= {RD} GROUP BY 1""",
+        SELECT client_id, COUNT(*) AS op_30, SUM(paid) AS debit_30, SUM(got) AS credit_30
+        FROM o_moves WHERE kind = 'T' AND {RD} - day BETWEEN 0 AND 30 GROUP BY client_id""",
     "o_metrics": f"""
-        SELECT c.client_id, COALESCE(c.registration_date, CAST(c.created_at AS DATE)) AS anchor_date,
-               COALESCE(t.op_30, 0) AS op_30, COALESCE(t.debit_30, 0) + COALESCE(t.credit_30, 0) AS turnover_30,
-               la.last_tx_ts, ld.last_ev_ts, COALESCE(d.ev_30, 0) AS ev_30, COALESCE(p.n, 0) AS active_products
-        FROM v_clients c LEFT JOIN o_tx30 t ON t.client_id = c.client_id
-        LEFT JOIN (SELECT client_id, MAX(operation_ts) AS last_tx_ts FROM v_transactions GROUP BY 1) la ON la.client_id = c.client_id
-        LEFT JOIN (SELECT client_id, MAX(event_ts) AS last_ev_ts FROM v_digital_events GROUP BY 1) ld ON ld.client_id = c.client_id
-        LEFT JOIN (SELECT client_id, COUNT(*) AS ev_30 FROM v_digital_events
-                   WHERE event_date >= {RD} - 30 AND event_date <= {RD} GROUP BY 1) d ON d.client_id = c.client_id
-        LEFT JOIN (SELECT client_id, COUNT(*) AS n FROM v_products WHERE status = 'ACTIVE' GROUP BY 1) p ON p.client_id = c.client_id""",
+        SELECT client_id, COALESCE(any_value(registration_date), CAST(any_value(created_at) AS DATE)) AS anchor_date,
+               COUNT(*) FILTER (WHERE kind = 'T' AND {RD} - day BETWEEN 0 AND 30) AS op_30,
+               COALESCE(SUM(paid + got) FILTER (WHERE {RD} - day BETWEEN 0 AND 30), 0) AS turnover_30,
+               MAX(moment) FILTER (WHERE kind = 'T') AS last_tx_ts, MAX(moment) FILTER (WHERE kind = 'E') AS last_ev_ts,
+               COUNT(*) FILTER (WHERE kind = 'E' AND {RD} - day BETWEEN 0 AND 30) AS ev_30,
+               (SELECT COUNT(*) FROM v_products p WHERE p.client_id = v_clients.client_id AND p.status = 'ACTIVE') AS active_products
+        FROM v_clients LEFT JOIN o_moves USING (client_id) GROUP BY client_id""",
     "o_segments": f"""
-        SELECT client_id, CASE
-            WHEN anchor_date >= {RD} - 90 THEN 3
-            WHEN (last_tx_ts IS NULL AND last_ev_ts IS NULL)
-              OR GREATEST(COALESCE(CAST(last_tx_ts AS DATE), DATE '1970-01-01'),
-                          COALESCE(CAST(last_ev_ts AS DATE), DATE '1970-01-01')) < {RD} - 180 THEN 4
-            WHEN turnover_30 >= 250000 OR op_30 >= 12 OR active_products >= 4 THEN 5
-            WHEN op_30 >= 3 OR ev_30 >= 6 OR turnover_30 >= 15000 THEN 1 ELSE 2 END AS segment_type_id
-        FROM o_metrics""",
+        SELECT client_id, arg_min(segment, place) AS segment_type_id FROM (
+            SELECT client_id, 1 AS place, 3 AS segment FROM o_metrics WHERE {RD} - anchor_date <= 90
+            UNION ALL SELECT client_id, 2, 4 FROM o_metrics
+            WHERE COALESCE({RD} - GREATEST(CAST(last_tx_ts AS DATE), CAST(last_ev_ts AS DATE)) > 180, TRUE)
+            UNION ALL SELECT client_id, 3, 5 FROM o_metrics WHERE turnover_30 >= 250000 OR op_30 >= 12 OR active_products >= 4
+            UNION ALL SELECT client_id, 4, 1 FROM o_metrics WHERE op_30 >= 3 OR ev_30 >= 6 OR turnover_30 >= 15000
+            UNION ALL SELECT client_id, 5, 2 FROM o_metrics) GROUP BY client_id""",
     "o_kept_history": "SELECT * FROM v_segment_history WHERE assigned_by <> 'ETL_SEGMENTATION'",
     "o_history": f"""
         SELECT segment_history_id, client_id, segment_type_id, effective_from, is_current, assigned_by FROM o_kept_history
@@ -206,50 +210,34 @@ PARTS: dict[str, str] = {
                    WHERE event_date >= {RD} - 30 GROUP BY 1) e ON e.client_id = c.client_id
         LEFT JOIN o_current s ON s.client_id = c.client_id""",
     # marts
-    "o_tx_day": f"""
-        SELECT operation_date AS activity_date, client_id, COALESCE(ch.channel_code, 'UNKNOWN') AS channel_code,
-               COUNT(*) AS operations_cnt, {_direction('D')} AS debit_amount, {_direction('C')} AS credit_amount
-        FROM v_transactions t LEFT JOIN v_channels ch ON ch.channel_id = t.channel_id
-        WHERE operation_date BETWEEN {D0} AND {D1} GROUP BY 1, 2, 3""",
-    "o_ev_day": f"""
-        SELECT event_date AS activity_date, client_id, COALESCE(ch.channel_code, 'UNKNOWN') AS channel_code,
-               COUNT(*) AS digital_events_cnt, SUM(CASE WHEN success_flag IS TRUE THEN 1 ELSE 0 END) AS digital_success_cnt,
-               SUM(CASE WHEN success_flag IS FALSE THEN 1 ELSE 0 END) AS digital_fail_cnt
-        FROM v_digital_events t LEFT JOIN v_channels ch ON ch.channel_id = t.channel_id
-        WHERE event_date BETWEEN {D0} AND {D1} GROUP BY 1, 2, 3""",
-    "o_ap_day": f"""
-        SELECT created_date AS activity_date, client_id, COALESCE(ch.channel_code, 'UNKNOWN') AS channel_code,
-               COUNT(*) AS appeals_opened_cnt
-        FROM v_appeals t LEFT JOIN v_channels ch ON ch.channel_id = t.channel_id
-        WHERE created_date BETWEEN {D0} AND {D1} GROUP BY 1, 2, 3""",
-    "o_keys": """
-        SELECT activity_date, client_id, channel_code FROM o_tx_day UNION
-        SELECT activity_date, client_id, channel_code FROM o_ev_day UNION
-        SELECT activity_date, client_id, channel_code FROM o_ap_day""",
+    "o_day": f"""
+        SELECT kind, day AS activity_date, client_id, paid, got, ok,
+               COALESCE((SELECT channel_code FROM v_channels ch WHERE ch.channel_id = o_moves.channel_id), 'UNKNOWN') AS channel_code
+        FROM o_moves WHERE day BETWEEN {D0} AND {D1}""",
     "o_activity": """
-        SELECT k.activity_date, k.client_id, k.channel_code, COALESCE(t.operations_cnt, 0) AS operations_cnt,
-               COALESCE(t.debit_amount, 0) AS debit_amount, COALESCE(t.credit_amount, 0) AS credit_amount,
-               COALESCE(e.digital_events_cnt, 0) AS digital_events_cnt, COALESCE(e.digital_success_cnt, 0) AS digital_success_cnt,
-               COALESCE(e.digital_fail_cnt, 0) AS digital_fail_cnt, COALESCE(a.appeals_opened_cnt, 0) AS appeals_opened_cnt
-        FROM o_keys k
-        LEFT JOIN o_tx_day t ON t.activity_date = k.activity_date AND t.client_id = k.client_id AND t.channel_code = k.channel_code
-        LEFT JOIN o_ev_day e ON e.activity_date = k.activity_date AND e.client_id = k.client_id AND e.channel_code = k.channel_code
-        LEFT JOIN o_ap_day a ON a.activity_date = k.activity_date AND a.client_id = k.client_id AND a.channel_code = k.channel_code""",
+        SELECT activity_date, client_id, channel_code, COUNT(*) FILTER (WHERE kind = 'T') AS operations_cnt,
+               SUM(paid) AS debit_amount, SUM(got) AS credit_amount, COUNT(*) FILTER (WHERE kind = 'E') AS digital_events_cnt,
+               COUNT(*) FILTER (WHERE ok) AS digital_success_cnt, COUNT(*) FILTER (WHERE NOT ok) AS digital_fail_cnt,
+               COUNT(*) FILTER (WHERE kind = 'A') AS appeals_opened_cnt
+        FROM o_day GROUP BY ALL""",
+    "o_tx_day": "SELECT * FROM o_activity WHERE operations_cnt > 0",
+    "o_ev_day": "SELECT * FROM o_activity WHERE digital_events_cnt > 0",
+    "o_ap_day": "SELECT * FROM o_activity WHERE appeals_opened_cnt > 0",
     "o_financial": f"""
-        SELECT operation_date AS activity_date, client_id, COALESCE(ch.channel_code, 'UNKNOWN') AS channel_code,
-               COALESCE(ot.operation_type_code, 'UNKNOWN') AS operation_type_code, COUNT(*) AS operation_cnt,
-               {_direction('D')} AS debit_amount, {_direction('C')} AS credit_amount
-        FROM v_transactions t LEFT JOIN v_channels ch ON ch.channel_id = t.channel_id
-        LEFT JOIN v_operation_types ot ON ot.operation_type_id = t.operation_type_id
-        WHERE operation_date BETWEEN {D0} AND {D1} GROUP BY 1, 2, 3, 4""",
+        SELECT operation_date AS activity_date, client_id,
+               COALESCE((SELECT channel_code FROM v_channels c WHERE c.channel_id = t.channel_id), 'UNKNOWN') AS channel_code,
+               COALESCE((SELECT operation_type_code FROM v_operation_types o WHERE o.operation_type_id = t.operation_type_id), 'UNKNOWN')
+                 AS operation_type_code,
+               COUNT(*) AS operation_cnt, COALESCE(SUM(amount) FILTER (WHERE direction = 'D'), 0) AS debit_amount,
+               COALESCE(SUM(amount) FILTER (WHERE direction = 'C'), 0) AS credit_amount
+        FROM v_transactions t WHERE operation_date BETWEEN {D0} AND {D1} GROUP BY ALL""",
     "o_digital": f"""
-        SELECT event_date AS activity_date, client_id, COALESCE(ch.channel_code, 'UNKNOWN') AS channel_code,
-               COALESCE(et.event_type_code, 'UNKNOWN') AS event_type_code, COUNT(*) AS event_cnt,
-               SUM(CASE WHEN success_flag IS TRUE THEN 1 ELSE 0 END) AS success_cnt,
-               SUM(CASE WHEN success_flag IS FALSE THEN 1 ELSE 0 END) AS fail_cnt
-        FROM v_digital_events t LEFT JOIN v_channels ch ON ch.channel_id = t.channel_id
-        LEFT JOIN v_event_types et ON et.event_type_id = t.event_type_id
-        WHERE event_date BETWEEN {D0} AND {D1} GROUP BY 1, 2, 3, 4""",
+        SELECT event_date AS activity_date, client_id,
+               COALESCE((SELECT channel_code FROM v_channels c WHERE c.channel_id = t.channel_id), 'UNKNOWN') AS channel_code,
+               COALESCE((SELECT event_type_code FROM v_event_types k WHERE k.event_type_id = t.event_type_id), 'UNKNOWN') AS event_type_code,
+               COUNT(*) AS event_cnt, COUNT(*) FILTER (WHERE success_flag) AS success_cnt,
+               COUNT(*) FILTER (WHERE NOT success_flag) AS fail_cnt
+        FROM v_digital_events t WHERE event_date BETWEEN {D0} AND {D1} GROUP BY ALL""",
     "o_segment_metrics": f"""
         SELECT {RD} AS report_date, COALESCE(current_segment_type_id, 0) AS segment_type_id, COUNT(*) AS clients_cnt,
                COUNT(*) FILTER (WHERE operations_cnt_30d > 0 OR digital_events_cnt_30d > 0) AS active_clients_30d,
