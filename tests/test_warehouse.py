@@ -226,7 +226,7 @@ def test_all_feeds_of_a_datasets_folder(spark, warehouse, feeds, tmp_path):
     tx = {r.source_transaction_id: r for r in warehouse.core("transactions").collect()}
     assert sorted(tx) == ["ISO053-r1", "ISO054-n1", "OB1", "T-1", "T-2", "T-3", "X1"]
     assert tx["ISO053-r1"].operation_type_id == 18 and tx["ISO053-r1"].channel_id is None
-    assert {r.product_id for r in warehouse.core("ref_product_catalog").collect()} == {101, 102}
+    assert {r.product_id for r in warehouse.core("ref_product_catalog").collect()} == {8811, 8824}
     assert [r.job for r in warehouse.core("crm_marketing_leads").collect()] == ["clerk"]
     assert warehouse.core("credit_risk_features").first().limit_balance == Decimal("1000.00")
     assert {r.source_appeal_id: r.appeal_type_id for r in warehouse.core("appeals").collect()} == {"Q-1": 1, "9": 4}
