@@ -51,7 +51,7 @@ def _lines(rows: DataFrame, rules: Rules, *fields: str) -> DataFrame:
     """
 
     def described(text: Column, number: Column) -> Column:
-        tokens = F.length(text) - F.length(F.replace(text, F.lit(" "))) + 1
+        tokens = F.octet_length(text) - F.octet_length(F.replace(text, F.lit(" "))) + 1
         lead = F.substring_index(text, " ", rules.leading)
         every = {
             "line": number, "tokens": tokens, "masked": text, "leaf": F.xxhash64(tokens, lead), "same": F.xxhash64(text),
