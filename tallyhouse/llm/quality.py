@@ -184,7 +184,9 @@ def judged(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     joined = whole(docs).join(
         stored(references(docs, limits), "references"), F.col("doc.lang").cast("string").eqNullSafe(F.col("ref_lang")), "left"
     )
-    measured = joined.withColumn("m", let(text, lambda t: let(words_of(t), lambda w: let(character_counts(t), lambda c: base(t, w, c)))))
+    counts = let(text, lambda t: let(words_of(t), lambda w: let(character_counts(t), lambda c: base(t, w, c))))
+    # A generated column is worked out once, also where rows are filtered by it.
+    measured = joined.withColumn("m", F.explode(F.array(counts)))
     long = F.col("m.found").isNotNull()
     n, repeats = F.col("m.n_words"), F.col("m.n_repeat_words")
     failed = (n < limits.base_words) | (100 * repeats > limits.repeat_percent * n)
