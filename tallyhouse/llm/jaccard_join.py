@@ -288,7 +288,8 @@ def links(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
         return _small_regions(batches, rule)
 
     measure = F.arrow_udf(run, "struct<linked: boolean, first: array<bigint>>")
-    cut = stored(sliced(docs, rule), "slices")
+    # Cut anew where it is read again: the texts are smaller than their slices.
+    cut = sliced(docs, rule)
     shared = cut.groupBy("sig").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("n"))
     shared = shared.where("low < high").select(F.col("sig").alias("shared_sig"), "n")
     together = stored(cut.join(shared, F.col("sig") == F.col("shared_sig")).select("sig", "key", "n"), "together")
