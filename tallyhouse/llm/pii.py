@@ -3,9 +3,10 @@
 Patterns find e-mail addresses, IP addresses, card and phone numbers. What they miss is
 often a second mention in another form: a phone number without its prefix, an address
 that is broken off. A conditional random field labels all tokens that hold a digit or an
-@. Neighbours share a potential, and so do distant tokens that are equal or have the
-same digits: each is linked to the mention before it, so a document has no more links
-than tokens. Loopy message passing carries what the patterns have found along both kinds
+@. Neighbours share a potential, and so do distant tokens that are mentions of one thing
+in any form: equal tokens, addresses that begin alike, numbers that share seven digits at
+an end, however they are cut into groups. Each is linked to the last and the first mention
+of the same key, a few links a token. Loopy message passing carries what the patterns have found along both kinds
 of edges; tokens that come out as an entity with high probability are added.
 
 The field is trained on the pattern's own labels in a bounded sample of documents
@@ -32,6 +33,8 @@ SAMPLE_DOCS, SAMPLE_CHARS = 2000, 20_000
 LEAST_PROBABILITY = 0.9
 ROUNDS, DAMPING = 30, 0.5
 LEAST_DIGITS = 5  # numbers with fewer are not taken for one another
+SHARED_DIGITS = 7  # of numbers that differ in prefix or grouping
+LONGEST_NUMBER = 19  # digits of a run of groups that is one number
 GROUP_DOCS = 256
 MOST_DIGITS = {2: 19, 3: 15}  # of a card, of a phone number
 
@@ -43,6 +46,7 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 HINT = re.compile("[0-9@]")
 TOKEN = re.compile(r"[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+")
+BETWEEN = frozenset(" ().-/")  # what separates the groups of one number
 CORE = re.compile(r"[0-9A-Za-z+(](?:.*[0-9A-Za-z)])?", re.S)
 Span = tuple[int, int, int]  # kind, start, end
 
@@ -110,12 +114,13 @@ class Tokens:
     labels: list[int]  # what the patterns say
     features: list[list[float]]
     follows: list[bool]  # stands next to the token before
-    mention: list[int]  # the last token before with the same content, or -1
+    mentions: list[list[int]]  # the tokens before, last and first of each key, that are the same thing
+    equal: list[list[int]]  # those of them that are written with the same letters or digits
 
 
 def tokens_of(text: str, base: list[Span]) -> Tokens:
-    found = Tokens([], [], [], [], [])
-    seen: dict[str, int] = {}
+    found = Tokens([], [], [], [], [], [])
+    cores: list[str] = []
     at = 0
     for m in TOKEN.finditer(text):
         core = CORE.search(m.group())
@@ -130,13 +135,70 @@ def tokens_of(text: str, base: list[Span]) -> Tokens:
         found.spans.append((start, end))
         found.labels.append(label)
         found.features.append(features(core.group(), m.group()))
-        key = content(core.group())
-        found.mention.append(seen.get(key, -1) if key else -1)
-        if key:
-            seen[key] = number
+        cores.append(core.group())
+    found.mentions, found.equal = mentions(text, found.spans, cores)
     return found
 
 
+def runs(text: str, spans: list[tuple[int, int]], cores: list[str]) -> Iterator[tuple[int, int]]:
+    """Neighbouring tokens that may be groups of one number, as (first, after the last)."""
+    plain = [not any(c.isalpha() or c == "@" for c in core) for core in cores]
+    first = 0
+    for i in range(1, len(cores) + 1):
+        if i < len(cores) and plain[i - 1] and plain[i]:
+            a, b = spans[i - 1][1], spans[i][0]
+            if b - a <= 3 and BETWEEN.issuperset(text[a:b]):
+                continue
+        yield first, i
+        first = i
+
+
+def number_keys(cores: list[str]) -> list[set[str]]:
+    """For each group of a run: the digits that end and that start with it, and those that end the run."""
+    groups = [digits_of(c) for c in cores]
+    whole = "".join(groups) if sum(map(len, groups)) <= LONGEST_NUMBER else ""
+    keys: list[set[str]] = [set() for _ in groups]
+    for order, sign in ((range(len(groups)), "<"), (range(len(groups) - 1, -1, -1), ">")):
+        near = ""
+        for i in order:
+            near = (near + groups[i])[-SHARED_DIGITS:] if sign == "<" else (groups[i] + near)[:SHARED_DIGITS]
+            if len(near) == SHARED_DIGITS:
+                keys[i].add(sign + near)
+    if len(whole) >= SHARED_DIGITS:
+        for each in keys:
+            each.add("<" + whole[-SHARED_DIGITS:])
+    return keys
+
+
+def mentions(text: str, spans: list[tuple[int, int]], cores: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+    """Of each token the earlier ones that share a key: the last and the first of each key; and the equal ones.
+
+    Groups of one number are no mentions of one another, unless they are equal.
+    """
+    seen: dict[str, tuple[int, int]] = {}
+    found: list[list[int]] = []
+    equal: list[list[int]] = []
+
+    def met(keys: set[str]) -> set[int]:
+        return {i for k in keys if k in seen for i in seen[k]}
+
+    def keep(keys: set[str], i: int) -> None:
+        for k in keys:
+            seen[k] = (seen[k][0] if k in seen else i, i)
+
+    for first, after in runs(text, spans, cores):
+        numbers = number_keys(cores[first:after]) if "@" not in cores[first] else [set()]
+        linked = [met(keys) for keys in numbers]
+        for i, same in enumerate(linked, first):
+            own, start = {content(cores[i])} - {""}, {begins(cores[i])} - {""}
+            equal.append(sorted(met(own)))
+            found.append(sorted(same | met(own | start)))
+            keep(own | start, i)
+        for i, keys in enumerate(numbers, first):
+            keep(keys, i)
+    return found, equal
+
+
 def content(token: str) -> str:
     """What makes two tokens mentions of one thing; '' if it is too little to tell."""
     if "@" in token:
@@ -145,6 +207,13 @@ def content(token: str) -> str:
     return digits if len(digits) >= LEAST_DIGITS and 2 * len(digits) >= len(token) else ""
 
 
+def begins(token: str) -> str:
+    """An address up to the first dot after the @: all that is left where it is broken off."""
+    local, at, domain = token.lower().partition("@")
+    label = domain.partition(".")[0]
+    return f"^{local}@{label}" if at and local and label else ""
+
+
 def features(core: str, whole: str) -> list[float]:
     digits = digits_of(core)
     letters = sum(c.isalpha() for c in core)
@@ -181,10 +250,11 @@ def trained(texts: list[str], steps: int = 300) -> Field:
         found = tokens_of(text, base_spans(text))
         rows += found.features
         labels += found.labels
-        for i, (near, mention) in enumerate(zip(found.follows, found.mention, strict=True)):
+        # The patterns miss other forms, so only equal mentions tell how labels go together.
+        for i, (near, same) in enumerate(zip(found.follows, found.equal, strict=True)):
             if near:
                 chain[found.labels[i - 1], found.labels[i]] += 1
-            if mention >= 0:
+            for mention in same:
                 skip[found.labels[mention], found.labels[i]] += 1
     if not rows:
         return Field(np.zeros((0, LABELS)), np.zeros((LABELS, LABELS)), np.zeros((LABELS, LABELS)))
@@ -256,12 +326,11 @@ def added_spans(texts: list[str], bases: list[list[Span]], model: Field) -> list
     nodes[sure, known[sure]] = 0.0
     left, right, edges, offset = [], [], [], 0
     for _, p in parts:
-        for i, (near, mention) in enumerate(zip(p.follows, p.mention, strict=True)):
-            for before, table in ((i - 1, model.chain if near else None), (mention, model.skip if mention >= 0 else None)):
-                if table is not None:
-                    left.append(offset + before)
-                    right.append(offset + i)
-                    edges.append(table)
+        for i, (near, same) in enumerate(zip(p.follows, p.mentions, strict=True)):
+            for before, table in ([(i - 1, model.chain)] if near else []) + [(m, model.skip) for m in same]:
+                left.append(offset + before)
+                right.append(offset + i)
+                edges.append(table)
         offset += len(p.spans)
     tables = np.array(edges) if edges else np.zeros((0, LABELS, LABELS))
     chance = marginals(nodes, np.array(left, int), np.array(right, int), tables)

@@ -117,6 +117,34 @@ def test_a_second_mention_gets_the_label_of_the_first():
     assert pii.added_spans([alone], [pii.base_spans(alone)], model()) == [[]]
 
 
+def test_mentions_in_other_forms_are_linked():
+    def linked(text: str) -> set[tuple[str, str]]:
+        found = pii.tokens_of(text, [])
+        words = [text[a:b] for a, b in found.spans]
+        return {(words[m], words[i]) for i, same in enumerate(found.mentions) for m in same}
+
+    assert ("jane@firm.com", "jane@firm") in linked("Write jane@firm.com today, later jane@firm is enough")
+    assert ("+49-30-1234567", "030-1234567") in linked("Call +49-30-1234567 or locally 030-1234567")
+    blocks = linked("Paid by 4716 2210 5188 5662 now, then 4716 2210 5188 5662 again, and 4716221051885662")
+    assert {(g, g) for g in ("4716", "2210", "5188", "5662")} <= blocks
+    assert {("5662", "4716221051885662"), ("4716", "4716221051885662")} <= blocks
+    assert not linked("4716 2210 5188 5662") and not linked("jane@firm.com and jane@other.com, 555 1234 and 555 1235")
+
+
+def test_a_label_reaches_other_forms():
+    trained = pii.trained([
+        f"call +1 (743) 555-{i:04}, again +1 (743) 555-{i:04}, mail me.{i}@mail{i}.example.com or me.{i}@mail{i}.example.com, "
+        f"item {i * 7919 + 10**6} and item {i * 7919 + 10**6}" for i in range(300)
+    ])
+
+    def added(text: str) -> list[str]:
+        return [text[a:b] for _, a, b in pii.added_spans([text], [pii.base_spans(text)], trained)[0]]
+
+    assert added("Call +49 30 8834567 now, 8834567 later") == ["8834567"]
+    assert added("Call +49 30 8834567 now, 030 8834567 later") == ["030 8834567"]
+    assert added("Call 8834567 today. " * 3) == []
+
+
 def test_messages_agree_with_exact_marginals_on_a_tree():
     rng = np.random.default_rng(2)
     nodes, edges = rng.normal(size=(3, pii.LABELS)), rng.normal(size=(2, pii.LABELS, pii.LABELS))
