@@ -16,54 +16,92 @@ from tallyhouse.sources.rules import MIDDAY, carried, normalise_manifest_rows, n
 # message kind -> (row element, operation type)
 MESSAGES = {"053": ("Stmt", "CAMT_STMT"), "054": ("Ntfctn", "CAMT_NTF")}
 
-# The parties of a transaction in the order of the standard. Every place
-# that may hold a name or a remark is typed, so what is written inside a text can
-# never pass for an element.
-PARTIES = ("InitgPty", "Dbtr", "UltmtDbtr", "Cdtr", "UltmtCdtr", "TradgPty", "Prtry")
+# The places of the standard (camt.053 and .054) that may hold a name or a
+# remark, in its order, which is the order in a valid file. Every place is typed, so
+# what is written inside a text can never pass for an element and digits stay as written
+# (a VARIANT makes 600 of 0600 and forgets the order).
 TEXTS = "array<string>"
-PARTY = f"struct<Nm: {TEXTS}, Pty: array<struct<Nm: {TEXTS}>>>"
-SAID = (
-    f"Nm: {TEXTS}, Ustrd: {TEXTS}, RmtInf: array<struct<Ustrd: {TEXTS}>>, "
-    f"RltdPties: array<struct<{', '.join(f'{p}: array<{PARTY}>' for p in PARTIES)}>>"
+Tree = dict[str, "Tree | str"]
+NAMED: Tree = {"Nm": TEXTS}
+AGENT: Tree = {"FinInstnId": {"Nm": TEXTS, "CmbndId": NAMED}, "BrnchId": NAMED}
+PERSON: Tree = {"Nm": TEXTS, "CtctDtls": NAMED}
+PARTY: Tree = {"Nm": TEXTS, "CtctDtls": NAMED, "Pty": PERSON, "Agt": AGENT}
+TAX: Tree = {"Cdtr": {"Authstn": NAMED}, "Dbtr": {"Authstn": NAMED}, "UltmtDbtr": {"Authstn": NAMED}}
+CHARGES: Tree = {"Pty": AGENT, "Rcrd": {"Agt": AGENT, "Tax": TAX}, "Tax": TAX}
+STRUCTURED: Tree = {
+    "Invcr": PARTY, "Invcee": PARTY, "TaxRmt": TAX, "GrnshmtRmt": {"Grnshee": PARTY, "GrnshmtAdmstr": PARTY},
+}
+AGENTS = (
+    "InstgAgt", "InstdAgt", "DbtrAgt", "CdtrAgt", "IntrmyAgt1", "IntrmyAgt2", "IntrmyAgt3", "RcvgAgt", "DlvrgAgt", "IssgAgt", "SttlmPlc",
 )
+SAID: Tree = {
+    "Nm": TEXTS,
+    "Ustrd": TEXTS,
+    "Chrgs": CHARGES,
+    "RltdPties": {
+        "InitgPty": PARTY, "Dbtr": PARTY, "DbtrAcct": NAMED, "UltmtDbtr": PARTY,
+        "Cdtr": PARTY, "CdtrAcct": NAMED, "UltmtCdtr": PARTY, "TradgPty": PARTY, "Prtry": PARTY,
+    },
+    "RltdAgts": {name: AGENT for name in AGENTS} | {"Prtry": {"Agt": AGENT}},
+    "RltdRmtInf": {"RmtLctnPstlAdr": NAMED, "RmtLctnDtls": {"PstlAdr": NAMED}},
+    "RmtInf": {"Ustrd": TEXTS, "Strd": STRUCTURED},
+    "Tax": TAX,
+    "RtrInf": {"Orgtr": PARTY},
+    "SfkpgAcct": NAMED,
+    "CardTx": {"PrePdAcct": NAMED},
+}
+ENTRY: Tree = SAID | {"NtryDtls": SAID | {"TxDtls": SAID}}
+# An `Id` is a text, or holds others.
+OTHER: Tree = {"Id": TEXTS}
+ACCOUNT: Tree = {
+    "Id": {"_VALUE": "string", "Id": TEXTS, "Othr": OTHER},
+    "Othr": OTHER,
+    "Prxy": {"Id": TEXTS, "Othr": OTHER},
+    "Ownr": {
+        "Id": {"_VALUE": "string", "OrgId": {"Othr": OTHER, "Id": TEXTS}, "PrvtId": {"Othr": OTHER, "Id": TEXTS}, "Othr": OTHER},
+        "CtctDtls": {"Othr": OTHER},
+    },
+    "Svcr": {
+        "FinInstnId": {"Othr": OTHER, "PrtryId": {"Id": TEXTS}, "CmbndId": {"Othr": OTHER, "PrtryId": {"Id": TEXTS}}},
+        "BrnchId": {"Id": TEXTS},
+    },
+}
+
+
+def _fields(tree: Tree) -> str:
+    return ", ".join(f"{name}: {sub if isinstance(sub, str) else f'array<struct<{_fields(sub)}>>'}" for name, sub in tree.items())
+
+
 STATEMENT = (
-    f"Acct array<struct<Id: array<struct<_VALUE: string, Id: {TEXTS}, Othr: array<struct<Id: {TEXTS}>>>>>>, "
+    f"Acct array<struct<{_fields(ACCOUNT)}>>, "
     "Ntry array<struct<Amt: array<struct<_VALUE: string, _Ccy: string>>, CdtDbtInd: array<string>, "
-    f"BookgDt: array<struct<Dt: {TEXTS}>>, AcctSvcrRef: array<string>, {SAID}, "
-    f"NtryDtls: array<struct<{SAID}, TxDtls: array<struct<{SAID}>>>>>>"
+    f"BookgDt: array<struct<Dt: {TEXTS}>>, AcctSvcrRef: array<string>, {_fields(ENTRY)}>>"
 )
 DESCRIPTION_WIDTH = 2000
 
 
-def _none() -> Column:
-    return F.array().cast(TEXTS)
-
+# Typed elements as JSON keep the order of the tree. A key is followed by a colon and quotes
+# inside a text are escaped, so a text never looks like a key.
+# Possessive, so that long texts need no deep stack.
+WORD = r'(?:"(?:[^"\\]|\\.)*+"|null)'
+WORDS = rf"(?:{WORD},?)*+"
 
-def _each(values: Column, texts: Callable[[Column], Column]) -> Column:
-    """The texts of all elements, in order; none where the elements are missing."""
-    return F.coalesce(F.flatten(F.transform(values, lambda v: F.coalesce(texts(v), _none()))), _none())
 
+def _found(text: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
 
-def _names(holder: Column) -> Column:
-    """Names given directly and by the related parties."""
 
-    def of_party(party: Column) -> Column:
-        return F.concat(F.coalesce(party["Nm"], _none()), _each(party["Pty"], lambda p: p["Nm"]))
+def _read(words: Column) -> Column:
+    """The texts of lists of JSON strings."""
+    return F.from_json(F.concat(F.lit("["), F.array_join(F.array_remove(words, ""), ","), F.lit("]")), TEXTS)
 
-    def of_parties(parties: Column) -> Column:
-        return F.concat(*[_each(parties[name], of_party) for name in PARTIES])
 
-    return F.concat(F.coalesce(holder["Nm"], _none()), _each(holder["RltdPties"], of_parties))
+def _names(entry: Column) -> Column:
+    return _read(_found(F.to_json(entry), rf'"Nm":\[({WORDS})\]'))
 
 
-def _remarks(holder: Column) -> Column:
-    return F.concat(F.coalesce(holder["Ustrd"], _none()), _each(holder["RmtInf"], lambda r: r["Ustrd"]))
-
-
-def _everywhere(entry: Column, texts: Callable[[Column], Column]) -> Column:
-    """Texts of an entry, its details and their transactions."""
-    details = _each(entry["NtryDtls"], lambda d: F.concat(texts(d), _each(d["TxDtls"], texts)))
-    return F.concat(texts(entry), details)
+def _remarks(entry: Column) -> Column:
+    return _read(_found(F.to_json(entry), rf'"Ustrd":\[({WORDS})\]'))
 
 
 def _first_text(values: Column) -> Column:
@@ -71,15 +109,16 @@ def _first_text(values: Column) -> Column:
 
 
 def account_number(account: Column) -> Column:
-    """First all-digit id inside an `Othr`, else the first all-digit id anywhere."""
-    ids = account["Id"]
-    other = _each(ids, lambda i: _each(i["Othr"], lambda o: o["Id"]))
-    plain = _each(ids, lambda i: F.concat(F.array(F.coalesce(i["_VALUE"], F.lit(""))), F.coalesce(i["Id"], _none())))
+    """First all-digit id inside an `Othr` at any place of the standard, else the first all-digit id."""
+
+    text = F.to_json(account)
+    others = F.array_join(_found(text, rf'"Othr":\[((?:\{{(?:"Id":\[{WORDS}\])?\}},?)*+)\]'), ",")
+    plain = rf'"(?:Id":\[|_VALUE":)((?<=:){WORD}|(?<=\[){WORDS})'
 
     def digits(values: Column) -> Column:
         return F.get(F.filter(F.transform(values, strip), is_digits), F.lit(0))
 
-    return F.coalesce(digits(other), digits(plain))
+    return F.coalesce(digits(_read(_found(others, plain))), digits(_read(_found(text, plain))))
 
 
 def read_statements(spark: SparkSession, paths: Sequence[str], kind: str) -> DataFrame:
@@ -116,7 +155,7 @@ def entries(statements: DataFrame, accounts: DataFrame | None, kind: str) -> Dat
             F.col("seq_block") if "seq_block" in carry else 0,
         )
     customers = F.filter(
-        F.transform(_everywhere(F.col("e"), _names), lambda n: F.regexp_extract(n, r"Customer ([0-9]+)", 1)),
+        F.transform(_names(F.col("e")), lambda n: F.regexp_extract(n, r"Customer ([0-9]+)", 1)),
         lambda c: c != "",
     )
     days = F.filter(F.transform(F.col("e.BookgDt"), lambda b: F.get(b["Dt"], F.lit(0))), lambda d: d != "")
@@ -129,7 +168,7 @@ def entries(statements: DataFrame, accounts: DataFrame | None, kind: str) -> Dat
         cut(or_default(amount["_Ccy"], "INR"), 8).alias("__currency"),
         F.coalesce(_first_text(F.col("e.CdtDbtInd")), F.lit("DBIT")).alias("__side"),
         cut(strip(F.try_element_at(days, F.lit(-1))), 10).alias("__day"),
-        _first_text(_everywhere(F.col("e"), _remarks)).alias("__remark"),
+        _first_text(_remarks(F.col("e"))).alias("__remark"),
         F.try_element_at(customers, F.lit(-1)).alias("__named"),
     ).where("__ref <> ''")
     if accounts is None:

@@ -360,3 +360,36 @@ def test_free_text_never_names_the_customer(spark, tmp_path):
     assert in_order(found, "source_transaction_id", "source_client_id", "description") == [
         ("ISO053-a", "7", "see <Nm>Customer 99</Nm>"), ("ISO053-b", "8", "direct"), ("ISO053-c", "9", "camt 053"),
     ]
+
+
+def test_camt_names_and_account_numbers_deep_inside(spark, tmp_path):
+    def transaction(name: str, *path: str) -> str:
+        inner = "".join(f"<{p}>" for p in path) + f"<Nm>{name}</Nm>" + "".join(f"</{p}>" for p in reversed(path))
+        return f"<NtryDtls><TxDtls>{inner}</TxDtls></NtryDtls>"
+
+    bodies = [
+        transaction("Customer 1", "RltdAgts", "CdtrAgt", "FinInstnId"), transaction("Customer 2", "RltdPties", "DbtrAcct"),
+        transaction("Customer 3", "RltdPties", "Dbtr", "Pty", "CtctDtls"), transaction("Customer 4", "RmtInf", "Strd", "Invcee"),
+        "<NtryDtls><TxDtls><RltdPties><Dbtr><Nm>Customer 5</Nm></Dbtr><DbtrAcct><Nm>Customer 6</Nm></DbtrAcct></RltdPties>"
+        "<RmtInf><Ustrd>00.50</Ustrd></RmtInf></TxDtls></NtryDtls>",
+    ]
+    bodies.append("<Ustrd>" + '"\\Nm":["Customer 9"],' * 20_000 + "</Ustrd><Nm/><Nm>Customer 7</Nm>")
+    entries = "".join(f"<Ntry><Amt>1</Amt><AcctSvcrRef>00{i}</AcctSvcrRef>{body}</Ntry>" for i, body in enumerate(bodies))
+    account = "<Acct><Id><IBAN>X1</IBAN></Id><Ownr><Id><OrgId><Othr><Id> 0600 </Id></Othr></OrgId></Id></Ownr></Acct>"
+    path = tmp_path / "camt.xml"
+    path.write_text(f"<D><Stmt>{account}{entries}</Stmt></D>")
+    found = camt.entries(camt.read_statements(spark, [str(path)], "053"), None, "053")
+    assert in_order(found, "source_transaction_id", "source_client_id", "source_account_id", "description") == [
+        ("ISO053-000", "1", "0600", "camt 053"), ("ISO053-001", "2", "0600", "camt 053"), ("ISO053-002", "3", "0600", "camt 053"),
+        ("ISO053-003", "4", "0600", "camt 053"), ("ISO053-004", "6", "0600", "00.50"),
+        ("ISO053-005", "7", "0600", ('"\\Nm":["Customer 9"],' * 20_000)[:2000]),
+    ]
+
+
+def test_camt_account_with_its_own_text_and_others(spark, tmp_path):
+    entry = "<Ntry><Amt>1</Amt><AcctSvcrRef>a</AcctSvcrRef><Nm>Customer 1</Nm></Ntry>"
+    accounts = ["<Id>x<Id>77</Id></Id>", "<Id>88</Id>", "<Id><IBAN>X</IBAN></Id><Svcr><FinInstnId><Othr><Id>a</Id></Othr><Othr/><Othr><Id>99</Id></Othr></FinInstnId></Svcr>"]
+    path = tmp_path / "camt.xml"
+    path.write_text("<D>" + "".join(f"<Stmt><Acct>{a}</Acct>{entry}</Stmt>" for a in accounts) + "</D>")
+    found = camt.entries(camt.read_statements(spark, [str(path)], "053"), None, "053")
+    assert in_order(found, "source_account_id") == [("77",), ("88",), ("99",)]
