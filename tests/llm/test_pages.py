@@ -42,6 +42,15 @@ def test_text_without_an_article_element(spark, prose):
         assert r.text == f"{prose(r.page_id, 80)} {prose(r.page_id + 500, 60)}"
 
 
+def test_copies_of_a_page_do_not_fill_the_sample(spark, prose):
+    def plain(i: int) -> str:
+        return f'<body><div class="c1"><h4>Read this first</h4><p>{prose(i, 80)}</p><p>{prose(i + 500, 60)}</p></div></body>'
+
+    rows = [(i, "http://x.example/", plain(i % 12)) for i in range(240)]
+    for r in wrappers.main_texts(spark.createDataFrame(rows, PAGES)).collect():
+        assert r.text == f"{prose(r.page_id % 12, 80)} {prose(r.page_id % 12 + 500, 60)}"
+
+
 def test_wrapper_has_slots_options_and_groups():
     pages = [page("<h1>A</h1>" + f"<p>{t}</p>" * n, "Home") for t, n in (("x", 1), ("y", 3), ("z", 2))]
     pages.append(page("<h1>B</h1><p>q</p><hr><p>r</p>", "Home"))
