@@ -184,7 +184,76 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM base
 """
 
+
+def _k_means(k: int, width: int, scale: int, rounds: int) -> str:
+    steps = [f"""WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {width} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {width}
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR)) NULLS LAST, v) - 1 AS c, v AS m FROM kept QUALIFY c < {k}
+)"""]
+    distance = f"list_sum(list_transform(range(1, {width + 1}), lambda i: (v[i] - m[i]) * (v[i] - m[i])))"
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT rid, any_value(vec_id) AS vec_id, any_value(v) AS v, min(CAST({distance} AS BIGINT) * {k} + c) AS best FROM kept, c{r} GROUP BY rid
+)""")
+        if r < rounds:
+            steps.append(f"""s{r} AS (
+  SELECT best % {k} AS c, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+  FROM (SELECT best, generate_subscripts(v, 1) AS i, unnest(v) AS x FROM a{r}) GROUP BY ALL
+), c{r + 1} AS MATERIALIZED (
+  SELECT c, coalesce(moved, m) AS m FROM c{r} LEFT JOIN (
+    SELECT c, list((s - (s % n + n) % n) // n ORDER BY i) AS moved FROM s{r} GROUP BY c
+  ) USING (c)
+)""")
+    return ",\n".join(steps) + f"""
+SELECT vec_id, CAST(best % {k} AS INTEGER) AS cluster, best // {k} AS distance,
+  CAST(sum(best // {k}) OVER (PARTITION BY best % {k}) AS BIGINT) AS cluster_inertia, CAST(sum(best // {k}) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON c = best % {k}
+"""
+
+
+# A run of q words' period is at least 12 and 2q words long, so its first six words stand again q words on.
+SQUARE_CATCHING = rf"""
+WITH hashed AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), {WORD}) AS ws,
+    xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+      lambda ch: CAST(ascii(ch) AS BIGINT))), lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [CAST(0 AS BIGINT) FOR i IN range(8)]),
+      lambda x, unused: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) AS h
+  FROM documents
+), drawn AS (
+  SELECT *, len(ws) AS n, h // 10 % greatest(len(ws), 1) AS a, 1 + (len(ws) - h // 10 % greatest(len(ws), 1)) // (3 + h // 10 % 8) AS p FROM hashed
+), docs AS MATERIALIZED (
+  SELECT rid, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(n), lambda i: ws[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END]) ELSE ws END AS ws
+  FROM drawn
+), grams AS MATERIALIZED (
+  SELECT rid, i, hash(ws[i + 1:i + 6]) AS h, ws[i + 1:i + 6] AS gram FROM (SELECT rid, ws, unnest(range(n - 5)) AS i FROM docs)
+), pairs AS (
+  SELECT a.rid, a.i, b.i - a.i AS period FROM grams a JOIN grams b ON a.rid = b.rid AND a.h = b.h AND a.i < b.i AND a.gram = b.gram
+), islands AS (SELECT *, i - row_number() OVER (PARTITION BY rid, period ORDER BY i) AS island FROM pairs),
+stretches AS (
+  SELECT rid, period, min(i) AS start, count(*) + 5 AS same FROM islands GROUP BY rid, period, island
+  HAVING same >= period AND same + period >= 12
+), runs AS MATERIALIZED (
+  SELECT rid, start, same + period AS length, min(period) AS period FROM stretches GROUP BY ALL
+), dropped AS (SELECT DISTINCT rid, unnest(range(start + period, start + length)) AS i FROM runs),
+words AS (SELECT rid, unnest(range(n)) AS i, unnest(ws) AS word FROM docs),
+collapsed AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY i) AS kept FROM words ANTI JOIN dropped USING (rid, i) GROUP BY rid
+), listed AS (
+  SELECT rid, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+    max(struct_pack(length := length, later := -start, wider := -period)) AS top
+  FROM runs GROUP BY rid
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, -top.later AS start, top.length AS length, -top.wider AS period,
+  1000 * top.length // -top.wider AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM docs LEFT JOIN listed USING (rid) LEFT JOIN collapsed USING (rid)
+"""
+
 ORACLES = {
     "op1_jaccard_join": JACCARD_JOIN, "op2_line_templates": LINE_TEMPLATES, "op4_seekable_warc": SEEKABLE_WARC,
     "op9_source_mixing": SOURCE_MIXING, "op10_quality_rules": QUALITY_RULES,
+    "op11_va_file": _k_means(k=40, width=64, scale=256, rounds=5), "op12_square_catching": SQUARE_CATCHING,
 }

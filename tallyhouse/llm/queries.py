@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe_trie, jaccard_join, line_templates, mixing, phrases, pii, quality, shared_files, token_shards, warc, wrappers
+from tallyhouse.llm import (
+    bpe_trie, jaccard_join, line_templates, mixing, periodic_runs, phrases, pii, prefix_counts, quality, shared_files, token_shards, va_file,
+    warc, wrappers,
+)
 from tallyhouse.llm.oracles import ORACLES
-from tallyhouse.llm.text import stored
+from tallyhouse.llm.text import let, stored, text_of, words_of
 
 
 # Rows sent to a Python worker at once: texts can be long.
@@ -90,8 +93,49 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_va_file(spark: SparkSession, folder: str) -> DataFrame:
+    prepare(spark)
+    rows = va_file.integers(spark.read.parquet(f"{folder}/embeddings.parquet"), "vec_id", "embedding", width=64, scale=256)
+    found = va_file.with_totals(va_file.clustered(rows, width=64, k=40, rounds=5, seed="2:"))
+    return found.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where a tenth of the documents repeats its words from some word on with a period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        a = (g % n).cast("int")
+        p = (F.floor((n - a) / (g % 8 + 3)) + 1).cast("int")
+        place = lambda i: F.when(i >= a, a + (i - a) % p).otherwise(i)
+        moved = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, place(i)))
+        return F.when(n > 0, F.array_join(moved, " ")).otherwise("")
+
+    text = text_of(F.col("text"))
+    return docs.select("doc_id", F.when(h % 10 == 0, let(words_of(text), repeated)).otherwise(text).alias("text"))
+
+
+def op12_square_catching(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.found(with_periods(documents(spark, folder)), least=12)
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    # The longest run; of equals the first, then that of the smallest period.
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r.alias("run"))))["run"]
+    lines = F.concat(F.array_join(F.transform("runs", line), "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    rows = found.select("doc.doc_id", "runs", "collapsed", longest.alias("run"), lines.alias("lines"))
+    exponent = F.floor(F.col("run.length") * 1000 / F.col("run.period")).alias("exponent_milli")
+    digests = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{n}_sha256") for c, n in (("lines", "runs"), ("collapsed", "collapsed"))]
+    return rows.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), "run.start", "run.length", "run.period", exponent, *digests)
+
+
+def op13_prefix_counts(spark: SparkSession, folder: str) -> DataFrame:
+    prefixes = prefix_counts.prefixed(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
+    return prefix_counts.budgeted(prefixes, limit=4096).select("doc.doc_id", "n_bytes", "n_tokens", "over_limit", "fit_chars")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op2_line_templates, op3_skip_chain_pii, op4_seekable_warc, op5_token_shards, op6_trie_bpe, op7_host_wrappers, op8_phrase_fingerprints, op9_source_mixing, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_line_templates, op3_skip_chain_pii, op4_seekable_warc, op5_token_shards, op6_trie_bpe, op7_host_wrappers, op8_phrase_fingerprints, op9_source_mixing, op10_quality_rules, op11_va_file, op12_square_catching, op13_prefix_counts)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -67,4 +67,4 @@ def test_registered(spark):
     import __spark_entry__ as contract
 
     names = [q for q in contract.queries() if re.match(r"op\d+_|pipeline$", q)]
-    assert len(names) == 11 and set(contract.oracle_sql()) & set(names) == {f for f in names if f.split("_")[0] in ("op1", "op2", "op4", "op9", "op10")}
+    assert len(names) == 14 and set(contract.oracle_sql()) & set(names) == {f for f in names if f.split("_")[0] in ("op1", "op2", "op4", "op9", "op10", "op11", "op12")}
