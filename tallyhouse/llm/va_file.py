@@ -72,6 +72,20 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False).reshape(-1, width)
 
 
+def _tables(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """The batches' rows in tables of `rows` rows; the last may be shorter."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        while n >= rows:
+            table = pa.Table.from_batches(held).combine_chunks()
+            yield table.slice(0, rows)
+            held, n = table.slice(rows).to_batches(), n - rows
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def _batch(schema: list[tuple[str, pa.DataType]], rows: list[tuple]) -> pa.RecordBatch:
     columns = zip(*rows, strict=True)
     return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, (_, kind) in zip(columns, schema, strict=True)], names=[n for n, _ in schema])
@@ -88,29 +102,20 @@ def written(rows: DataFrame, width: int) -> DataFrame:
     folder, most = shared_files.new_folder(rows.sparkSession, "vectors"), largest(width)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batches = (b for b in batches if b.num_rows)
-        start = next(batches, None)
-        if start is None:
+        blocks = _tables(batches, BLOCK)
+        table, path, first = next(blocks, None), shared_files.unique(folder, "part", "vec"), 0
+        if table is None:
             return
-        path, first, held, size = shared_files.unique(folder, "part", "vec"), 0, [start], start.num_rows
         with shared_files.writing(path) as out:
-            while held:
-                more = next(batches, None) if size < BLOCK else None
-                if more is not None:
-                    held.append(more)
-                    size += more.num_rows
-                    continue
-                table = pa.Table.from_batches(held).combine_chunks()
-                here, rest = table.slice(0, BLOCK), table.slice(BLOCK)
-                held, size = rest.to_batches(), rest.num_rows
-                v = _matrix(here.column("v").combine_chunks(), width)
+            while table is not None:
+                v = _matrix(table.column("v").combine_chunks(), width)
                 if abs(v).max() > most:
                     raise ValueError(f"a scaled component lies beyond {most}, distances would not fit 64 bits")
                 out.write(v.astype(RECORD).tobytes())
                 floats = v.astype(np.float64)
                 spread = v.min(0), v.max(0), floats.sum(0), (floats * floats).sum(0)
-                yield _batch(_SHAPE_KINDS, [(path, first, len(v), here.column("id").to_pylist(), *(s.tolist() for s in spread))])
-                first += len(v)
+                yield _batch(_SHAPE_KINDS, [(path, first, len(v), table.column("id").to_pylist(), *(s.tolist() for s in spread))])
+                first, table = first + len(v), next(blocks, None)
 
     return stored(rows.mapInArrow(write, SHAPE), "vector-blocks")
 

@@ -51,9 +51,10 @@ def same(result, rows, width=8, k=5, rounds=3, scale=256):
     assert got == want and result.centroids.tolist() == centroids
 
 
-@pytest.mark.parametrize("block", [16, 4096])
-def test_equals_plain_k_means(spark, block, monkeypatch):
+@pytest.mark.parametrize(("block", "batch"), [(16, 1024), (16, 8), (10, 7), (7, 50), (4096, 1024)])
+def test_equals_plain_k_means(spark, block, batch, monkeypatch):
     monkeypatch.setattr(va_file, "BLOCK", block)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
     rows = vectors(300, 8)
     same(found(spark, rows), rows)
 
