@@ -15,7 +15,7 @@ from tallyhouse.functions import scalars
 from tallyhouse.operators import identity, ids, loaders, marts, profile, segments, staging, upsert
 from tallyhouse.plans import load, serving
 from tallyhouse.plans.warehouse import Warehouse, laid_out
-from tallyhouse.schemas import MART_SORT, STAGING
+from tallyhouse.schemas import CORE, MART_SORT, STAGING
 from tallyhouse.session import scratch_path
 from tallyhouse.sources import camt, documents, manifest, rules
 from tallyhouse.sources.files import children, from_source, ordered_by
@@ -607,6 +607,35 @@ def fold_upsert(v: Views) -> DataFrame:
     return present(upsert.fold_upsert(incoming, ["source_transaction_id"], ["amount", "status"], target))
 
 
+@query
+def merge_batches(v: Views) -> DataFrame:
+    """Three loads of transactions merged into a stored table: all but every ninth key, the ninth, corrections."""
+    warehouse = Warehouse(v.spark, scratch_path(v.spark, "warehouse"))
+    key = F.col("transaction_id")
+    names = [c.strip().split(" ") for c in CORE["transactions"].schema.replace("(18,2)", "(18;2)").split(",")]
+    columns = {n: kind.replace(";", ",") for n, kind in names}
+
+    def batch(rows: DataFrame, status: str, bonus: int) -> DataFrame:
+        given = rows.select(
+            "transaction_id", F.lit(1).alias("source_system_id"), F.concat(F.lit("T"), key.cast("string")).alias("source_transaction_id"),
+            "client_id", "operation_date", (F.col("amount") + bonus).alias("amount"), F.lit(status).alias("status"),
+        )
+        shaped = given.select(*[
+            (F.col(c) if c in given.columns else F.lit(None)).cast(kind).alias(c) for c, kind in columns.items()
+        ])
+        return written(v, shaped)
+
+    rows = v("v_transactions")
+    warehouse.merge_core("transactions", batch(rows.where(key % 9 != 0), "NEW", 0))
+    warehouse.merge_core("transactions", batch(rows.where(key % 9 == 0), "LATE", 0))
+    corrected = warehouse.merge_core("transactions", batch(rows.where(key % 50 == 7), "CORRECTED", 1))
+    counts = corrected.groupBy("status").agg(F.count("*").alias("returned_cnt"))
+    return present(
+        warehouse.core("transactions").join(counts, "status", "left"),
+        "transaction_id", "source_transaction_id", "operation_date", "amount", "status", "returned_cnt",
+    )
+
+
 @query
 def seed_dictionaries(v: Views) -> DataFrame:
     """Seeded twice, the channel table still has one row per channel; counted over the facts."""

@@ -473,6 +473,13 @@ ORACLES: dict[str, str] = {
                    QUALIFY ROW_NUMBER() OVER (PARTITION BY source_transaction_id ORDER BY load_seq) = 1) f ON f.k = t.k
         LEFT JOIN (SELECT source_transaction_id AS k, {dec('amount')} AS amount, status FROM v_transactions_raw
                    QUALIFY ROW_NUMBER() OVER (PARTITION BY source_transaction_id ORDER BY load_seq DESC) = 1) l ON l.k = f.k""",
+    "merge_batches": f"""
+        SELECT transaction_id, 'T' || CAST(transaction_id AS VARCHAR) AS source_transaction_id,
+               strftime(operation_date, '%Y-%m-%d') AS operation_date,
+               {num("amount + CASE WHEN transaction_id % 50 = 7 THEN 1 ELSE 0 END")} AS amount,
+               CASE WHEN transaction_id % 50 = 7 THEN 'CORRECTED' WHEN transaction_id % 9 = 0 THEN 'LATE' ELSE 'NEW' END AS status,
+               CASE WHEN transaction_id % 50 = 7 THEN COUNT(*) FILTER (WHERE transaction_id % 50 = 7) OVER () END AS returned_cnt
+        FROM v_transactions""",
     "seed_dictionaries": f"""
         SELECT {big('ch.channel_id')} AS channel_id, ch.channel_code, COUNT(t.transaction_id) AS transactions_cnt
         FROM v_channels ch LEFT JOIN v_transactions t ON t.channel_id = ch.channel_id GROUP BY 1, 2""",

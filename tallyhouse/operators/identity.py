@@ -165,12 +165,17 @@ def client_source_map(
         F.max_by("match_rule", "load_seq").alias("match_rule"),
         F.lit(now).cast("timestamp").alias("matched_at"),
     )
+    return folded if target is None else merged_source_map(target, folded)
+
+
+def merged_source_map(target: DataFrame | None, folded: DataFrame) -> DataFrame:
+    """Folded rows over the rows of the map that have their keys; others may be among them."""
     if target is None:
         return folded
     return (
         target.withColumn("__new", F.lit(0))
         .unionByName(folded.withColumn("__new", F.lit(1)))
-        .groupBy(*key)
+        .groupBy(*CORE["client_source_map"].key)
         .agg(
             F.max_by("client_id", "__new").alias("client_id"),
             F.bool_or("is_primary").alias("is_primary"),

@@ -10,9 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import identity, loaders, marts, profile, segments
-from tallyhouse.operators.ids import highest_id
 from tallyhouse.operators.staging import batch_counts, batch_note, staged
-from tallyhouse.operators.upsert import apply_to
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.schemas import CORE, STAGING, staging_columns
 from tallyhouse.sources import camt, documents, manifest, rules
@@ -160,7 +158,7 @@ def load_sources(
     now = now or now_utc()
     if reset:
         warehouse.reset()
-    batch_id = highest_id(warehouse.core("load_batch"), "batch_id") + 1
+    batch_id = warehouse.highest("load_batch") + 1
     log_batch(warehouse, batch_id, status="RUNNING", started_at=now)
     for table, sources in gather(warehouse, roots, datasets, hints).items():
         if sources:
@@ -214,15 +212,13 @@ def conform(
     def materialise(name: str, rows: DataFrame) -> DataFrame:
         return warehouse.materialise(batch_id, name, rows)
 
-    clients_now, history_now = warehouse.core("clients"), warehouse.core("client_history")
-    after_client = highest_id(clients_now, "client_id")
-    after_history = highest_id(history_now, "client_history_id")
+    after_client, after_history = warehouse.highest("clients"), warehouse.highest("client_history")
     resolved = materialise(
         "resolved",
         identity.resolve_identities(
             raw("abs_clients_raw"),
             raw("crm_clients_raw"),
-            known=clients_now if reuse_clients else None,
+            known=warehouse.core("clients") if reuse_clients else None,
             after=after_client,
         ),
     )
@@ -230,28 +226,22 @@ def conform(
     history = materialise(
         "client_history", identity.client_history(fresh, now, after_client, after_history)
     )
-    _append(warehouse, "clients", clients_now, fresh)
-    _append(warehouse, "client_history", history_now, history)
-    warehouse.write_core(
-        "client_source_map",
-        identity.client_source_map(resolved, now, warehouse.core("client_source_map")),
-    )
+    # Rows a failed attempt has already added are left alone.
+    warehouse.merge_core("clients", fresh)
+    warehouse.merge_core("client_history", history)
+    sources = materialise("source_map", identity.client_source_map(resolved, now))
+    warehouse.merge_core("client_source_map", sources, identity.merged_source_map)
     lookup = materialise("source_clients", identity.source_client_lookup(resolved))
 
     def load(table: str, source: str, rule: Callable[..., DataFrame], *related: object) -> DataFrame | None:
         """The rows of this batch as stored, None when the batch has none."""
         if not warehouse.has_staging(source, batch_id):
             return None
-        spec = CORE[table]
         typed = materialise(table, rule(raw(source), *related))
         warehouse.write_rejects(table, batch_id, loaders.rejects(table, typed))
-        current = warehouse.core(table)
-        after = highest_id(current, spec.id) if spec.id else 0
-        # The merge looks at the batch three times, so it is folded once beforehand.
-        batch = materialise(f"{table}_folded", loaders.folded(table, typed, after))
-        merged = batch if current is None else apply_to(current, batch, spec.key, spec.updates)
-        written = warehouse.write_core(table, merged)
-        return written.join(batch.select(*spec.key), list(spec.key), "left_semi")
+        # The merge looks at the batch several times, so it is folded once beforehand.
+        batch = materialise(f"{table}_folded", loaders.folded(table, typed, warehouse.highest(table)))
+        return warehouse.merge_core(table, batch)
 
     accounts = load("accounts", "abs_accounts_raw", loaders.accounts, lookup, now)
     products = load("products", "abs_products_raw", loaders.products, lookup, now, accounts)
@@ -267,13 +257,6 @@ def conform(
     warehouse.drop_work(batch_id)
 
 
-def _append(warehouse: Warehouse, table: str, current: DataFrame | None, rows: DataFrame) -> None:
-    """Add new rows; those a failed attempt has already added are left alone."""
-    key = list(CORE[table].key)
-    merged = rows if current is None else apply_to(current, rows, key, ())
-    warehouse.write_core(table, merged)
-
-
 def refresh_profile(warehouse: Warehouse, report_date: date) -> int:
     """Reassign the segments and replace the profile slice of the report date."""
 

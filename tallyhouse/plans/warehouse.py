@@ -1,36 +1,48 @@
 """Where tables live and how a new state of one becomes visible.
 
     stg/<table>/batch_id=<n>/      one folder per load, rewritten whole on a retry
-    core/<table>/v=<n>/            full states; the newest one with _SUCCESS counts
-    marts/<mart>/<date>=<day>/     replaced by date
+    core/<table>/                  pieces cut by hash buckets of the conflict key, see `live`
+    marts/<mart>/                  pieces cut by date, see `live`
     rejects/<table>/batch_id=<n>/  refused rows with the reason
     work/batch_id=<n>/             materialised steps of a running load
 
-Everything is Parquet written by executors. A core state is committed by the
-_SUCCESS file Spark writes last, so a lost executor or a failed job leaves the
-previous state in place.
+Everything is Parquet written by executors. A state of a core table or a mart is a list of
+live pieces; the next one appears by one rename, so a lost executor or a failed job leaves
+the previous state in place, whatever marks Spark leaves behind. A merge writes the rows of
+the batch and the pieces that hold one of its keys; all other pieces are kept by reference.
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.operators.ids import highest_id
 from tallyhouse.operators.staging import with_load_seq
+from tallyhouse.plans.live import WRITE, Live, LiveTable, Piece, bucket_of
 from tallyhouse.operators.upsert import apply_to
 from tallyhouse.reference_data import DICTIONARIES, dictionary
 from tallyhouse.schemas import CORE, MART_DATE, MART_SORT, MARTS, staging_columns
 from tallyhouse.session import configure
-from tallyhouse.sources.files import children, delete, exists
+from tallyhouse.sources.files import delete, exists, write_small
 
 # Facts are laid out by date, so window filters skip row groups by their min/max.
 CLUSTER = {
     "transactions": ("operation_date", "client_id", "transaction_id"),
     "digital_events": ("event_date", "client_id", "digital_event_id"),
 }
-KEPT_VERSIONS = 2
+# A bucket is meant to hold this many rows; with twice as many a table is cut anew.
+BUCKET_ROWS = 4_000_000
+# Pieces of a bucket are folded into one when this many of a size class have come together,
+# classes being that many times larger each, so a row is rewritten once a class.
+FOLD_AT = 8
+DONE = "_complete"
 
 
 def staging_schema(table: str) -> str:
@@ -81,38 +93,111 @@ class Warehouse:
 
     # core
 
-    def versions(self, table: str) -> list[int]:
-        """Committed versions, oldest first."""
-        found = children(self.spark, self.path("core", table))
-        numbers = sorted(int(n[2:]) for n in found if n.startswith("v="))
-        return [n for n in numbers if exists(self.spark, self._version(table, n) + "/_SUCCESS")]
+    def _table(self, table: str) -> LiveTable:
+        return LiveTable(self.spark, self.path("core", table), "bucket", "int")
+
+    def _schema(self, table: str) -> str:
+        return CORE[table].schema if table in CORE else DICTIONARIES[table][1]
 
-    def _version(self, table: str, number: int) -> str:
-        return self.path("core", table, f"v={number}")
+    def versions(self, table: str) -> list[int]:
+        """Numbers of the states that can be read, oldest first."""
+        return self._table(table).numbers()
 
     def core(self, table: str) -> DataFrame | None:
         """The current state, None when the table was never written."""
-        versions = self.versions(table)
-        return self._read(table, versions[-1]) if versions else None
-
-    def _read(self, table: str, number: int) -> DataFrame:
-        schema = CORE[table].schema if table in CORE else DICTIONARIES[table][1]
-        return self.spark.read.schema(schema).parquet(self._version(table, number))
+        live = self._table(table).live()
+        return None if live is None else self._table(table).read(self._schema(table), live)
 
     def core_or_empty(self, table: str) -> DataFrame:
         current = self.core(table)
-        return self.empty(CORE[table].schema) if current is None else current
+        return self.empty(self._schema(table)) if current is None else current
+
+    def highest(self, table: str) -> int:
+        """The highest id given out, kept with the state; 0 for a table without rows or ids."""
+        live, column = self._table(table).live(), CORE[table].id
+        if live is None or not column:
+            return 0
+        return highest_id(self.core(table), column) if live.highest is None else live.highest
+
+    def _arranged(self, table: str, rows: DataFrame, buckets: int) -> DataFrame:
+        """Rows with their bucket, ready to be written: a task writes few buckets, facts sorted by date."""
+        key = CORE[table].key if table in CORE else ()
+        rows = rows.withColumn("bucket", bucket_of(key, buckets))
+        if table in CLUSTER:
+            order = ("bucket", *CLUSTER[table])
+            return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        return rows.hint("rebalance", "bucket") if buckets > 1 else rows
 
     def write_core(self, table: str, rows: DataFrame) -> DataFrame:
-        """Write the next state; it may be computed from the current one."""
-        versions = self.versions(table)
-        number = versions[-1] + 1 if versions else 1
-        if table in CLUSTER:
-            rows = rows.repartitionByRange(*CLUSTER[table]).sortWithinPartitions(*CLUSTER[table])
-        rows.write.mode("overwrite").parquet(self._version(table, number))
-        for old in versions[: -(KEPT_VERSIONS - 1)]:
-            delete(self.spark, self._version(table, old))
-        return self._read(table, number)
+        """Write the next state whole; it may be computed from the current one."""
+        home = self._table(table)
+        before = home.live()
+        buckets = _buckets(before.total()) if before else 1
+        write, slots = home.write(self._arranged(table, rows, buckets))
+        after = home.swap(before, Live(buckets=buckets).with_write(slots, write))
+        return home.read(self._schema(table), after)
+
+    def merge_core(
+        self, table: str, batch: DataFrame, merged: Callable[[DataFrame | None, DataFrame], DataFrame] | None = None
+    ) -> DataFrame:
+        """Merge a batch with one row per key (stored, as it is read several times); the batch's rows as they are now.
+
+        Only the pieces that hold a key of the batch are read whole and written again, none for
+        a table without updated columns; new keys come as pieces of their own. `merged` gives
+        the new rows of target rows (None without a target) and batch.
+        """
+        home, key, updates = self._table(table), list(CORE[table].key), CORE[table].updates
+        before = home.live()
+        if before is None:
+            rows = batch if merged is None else merged(None, batch)
+            buckets = _buckets(batch.count())
+            write, slots = home.write(self._arranged(table, rows, buckets))
+            after = Live(buckets=buckets).with_write(slots, write)
+            after = home.swap(None, replace(after, highest=self._raised(table, 0, batch)))
+            return home.read(self._schema(table), after)
+
+        hit = self._holding(home, table, batch, before)
+        held = home.read(self._schema(table), before, hit)
+        if merged is not None:
+            gone, rows = hit, merged(held, batch)
+        elif updates:
+            gone, rows = hit, apply_to(held, batch, key, updates)
+        else:
+            gone, rows = [], batch.join(held.select(*key), key, "left_anti").select(*held.columns)
+        folded = _to_fold(before.without(gone))
+        if folded:
+            rows = rows.unionByName(home.read(self._schema(table), before, folded))
+        write, slots = home.write(self._arranged(table, rows, before.buckets))
+        after = before.without([*gone, *folded]).with_write(slots, write)
+        after = home.swap(before, replace(after, highest=self._raised(table, self.highest(table), batch)))
+        if after.total() > 2 * BUCKET_ROWS * after.buckets:
+            self._cut_anew(home, table, after)
+            return self.core(table).join(batch.select(*key), key, "left_semi")
+        now = [(write, slot) for slot in slots] + [p for p in hit if p in after.rows]
+        return home.read(self._schema(table), after, now).join(batch.select(*key), key, "left_semi")
+
+    def _holding(self, home: LiveTable, table: str, batch: DataFrame, live: Live) -> list[Piece]:
+        """The pieces that hold a key of the batch; only the keys of the batch's buckets are read."""
+        key = list(CORE[table].key)
+        keys = batch.select(*key, bucket_of(key, live.buckets).alias("bucket"))
+        touched = {f"bucket={r.bucket}" for r in keys.select("bucket").distinct().collect()}  # at most `buckets`
+        near = [p for p in live.rows if p[1] in touched]
+        if not near:
+            return []
+        there = home.read(self._schema(table), live, near, extra=("bucket", WRITE)).select(*key, "bucket", WRITE)
+        # At most one row a piece.
+        found = there.join(keys.select(*key), key, "left_semi").select(WRITE, "bucket").distinct().collect()
+        return sorted((f"{WRITE}={r[0]}", f"bucket={r[1]}") for r in found)
+
+    def _raised(self, table: str, highest: int, batch: DataFrame) -> int | None:
+        column = CORE[table].id
+        return max(highest, highest_id(batch, column)) if column else None
+
+    def _cut_anew(self, home: LiveTable, table: str, live: Live) -> None:
+        """Twice the rows, twice the buckets: the one full rewrite, once a doubling."""
+        buckets = _buckets(live.total())
+        write, slots = home.write(self._arranged(table, home.read(self._schema(table), live), buckets))
+        home.swap(live, Live(buckets=buckets, highest=live.highest).with_write(slots, write))
 
     def seed_dictionaries(self) -> None:
         """Insert missing dictionary rows; only segment names are refreshed."""
@@ -145,8 +230,9 @@ class Warehouse:
         continues with the ids it has already given out.
         """
         folder = self.path("work", f"batch_id={batch_id}", name)
-        if not exists(self.spark, f"{folder}/_SUCCESS"):
+        if not exists(self.spark, f"{folder}/{DONE}"):
             rows.write.mode("overwrite").parquet(folder)
+            write_small(self.spark, f"{folder}/{DONE}", "")
         return self.spark.read.schema(rows.schema).parquet(folder)
 
     def drop_work(self, batch_id: int) -> None:
@@ -158,10 +244,8 @@ class Warehouse:
     # snapshots and marts
 
     def profile_export(self) -> DataFrame:
-        folder, schema = self.path("core", "client_profile_export"), CORE["client_profile_export"].schema
-        if not exists(self.spark, folder):
-            return self.empty(schema)
-        return self.spark.read.schema(schema).parquet(folder)
+        schema = CORE["client_profile_export"].schema
+        return read_dates(self.spark, self.path("core", "client_profile_export"), schema, "report_date")
 
     def write_profile_export(self, rows: DataFrame, report_date: date) -> int:
         return replace_dates(
@@ -170,10 +254,7 @@ class Warehouse:
         )
 
     def mart(self, name: str) -> DataFrame:
-        folder = self.path("marts", name)
-        if not exists(self.spark, folder):
-            return self.empty(MARTS[name])
-        return self.spark.read.schema(MARTS[name]).parquet(folder)
+        return read_dates(self.spark, self.path("marts", name), MARTS[name], MART_DATE[name])
 
     def write_mart(
         self, name: str, rows: DataFrame, first: date, last: date, now: datetime | None = None
@@ -203,41 +284,38 @@ def laid_out(rows: DataFrame, day: str, sort: tuple[str, ...]) -> DataFrame:
 def replace_dates(
     rows: DataFrame, folder: str, day: str, first: date, last: date, sort: tuple[str, ...]
 ) -> int:
-    """Replace the partitions of `folder` from `first` to `last` by `rows`.
+    """Replace the days of `folder` from `first` to `last` by `rows`; the number of rows written.
 
-    Partitions with new rows are swapped by Spark's dynamic overwrite when the job
-    commits. A day of the range that received no rows still holds its old files
-    afterwards, and is dropped. Days outside the range are not touched.
+    The new days are written aside and the old ones, also those that got no rows, go by the
+    same swap of the list: a reader sees all of the range as it was or as it is. Days outside
+    the range are not touched.
     """
-    spark = rows.sparkSession
-    before = _files_by_day(spark, folder, day, first, last)
-    counted = Observation()
+    home = LiveTable(rows.sparkSession, folder, day, "date")
+    before = home.live()
     inside = rows.where((F.col(day) >= F.lit(first)) & (F.col(day) <= F.lit(last)))
-    (
-        laid_out(inside, day, sort)
-        .observe(counted, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day)
-        .parquet(folder)
-    )
-    after = _files_by_day(spark, folder, day, first, last)
-    for name, files in before.items():
-        if after.get(name) == files:
-            delete(spark, f"{folder}/{name}")
-    return counted.get["rows"]
-
-
-def _files_by_day(
-    spark: SparkSession, folder: str, day: str, first: date, last: date
-) -> dict[str, list[str]]:
-    prefix = f"{day}="
-
-    def wanted(name: str) -> bool:
-        return name.startswith(prefix) and first.isoformat() <= name[len(prefix):] <= last.isoformat()
-
-    return {
-        name: children(spark, f"{folder}/{name}") for name in children(spark, folder) if wanted(name)
-    }
+    write, slots = home.write(laid_out(inside, day, sort))
+    span = f"{day}={first.isoformat()}", f"{day}={last.isoformat()}"
+    kept = before or Live()
+    home.swap(before, kept.without([p for p in kept.rows if span[0] <= p[1] <= span[1]]).with_write(slots, write))
+    return sum(slots.values())
+
+
+def read_dates(spark: SparkSession, folder: str, schema: str, day: str) -> DataFrame:
+    """The rows of a folder whose days are replaced by `replace_dates`, none if it was never written."""
+    home = LiveTable(spark, folder, day, "date")
+    return home.read(schema, home.live() or Live())
+
+
+def _buckets(rows: int) -> int:
+    """A power of two."""
+    return 1 << max(0, math.ceil(math.log2(max(1, rows) / BUCKET_ROWS)))
+
+
+def _to_fold(live: Live) -> list[Piece]:
+    """Pieces of buckets and size classes of which there are too many."""
 
+    def kind(piece: Piece) -> tuple[str, int]:
+        return piece[1], int(math.log(max(1, live.rows[piece]), FOLD_AT))
 
+    count = Counter(kind(p) for p in live.rows)
+    return sorted(p for p in live.rows if count[kind(p)] >= FOLD_AT)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,32 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def read_small(spark: SparkSession, path: str) -> str:
+    """The whole of a small text file."""
+    fs, hadoop_path = _fs(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small new file; it appears complete, under its name, by one rename."""
+    fs, hadoop_path = _fs(spark, path)
+    if fs.exists(hadoop_path):
+        raise FileExistsError(f"{path} is there already: another job writes this table")
+    aside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(hadoop_path.getParent(), f".{uuid.uuid4().hex}")
+    stream = fs.create(aside)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not fs.rename(aside, hadoop_path):
+        fs.delete(aside, False)
+        raise FileExistsError(f"{path} is there already: another job writes this table")
+
+
 def metadata_path(path: str) -> str:
     """A listed path as `_metadata.file_path` spells it: one slash after 'file:'."""
     return re.sub(r"^file:/+", "file:/", path)

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 
 from tallyhouse.plans import load, serving
-from tallyhouse.plans.warehouse import Warehouse, replace_dates
+from tallyhouse.plans.warehouse import Warehouse, read_dates, replace_dates
 from tallyhouse.schemas import CORE, STAGING
 from tallyhouse.session import scratch_root
 from tallyhouse.sources.files import children
@@ -22,7 +22,7 @@ def warehouse(spark, tmp_path):
 
 
 def stored(spark, folder):
-    frame = spark.read.schema(DAY).parquet(folder)
+    frame = read_dates(spark, folder, DAY, "day")
     return sorted((r.day, r.client_id, r.n) for r in frame.collect())
 
 
