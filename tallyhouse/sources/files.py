@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,33 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def file_uri(spark: SparkSession, path: str) -> str | None:
+    """The full name of a file, None for a folder or a pattern."""
+    fs, hadoop_path = _fs(spark, path)
+    if not fs.exists(hadoop_path):
+        return None
+    status = fs.getFileStatus(hadoop_path)
+    return status.getPath().toString() if status.isFile() else None
+
+
+def first_bytes(spark: SparkSession, path: str, most: int, by_line: Callable[[bytes], bool]) -> bytes:
+    """A file's first line, at most `most` bytes; where `by_line` of its first two bytes is false, that many bytes."""
+    fs, hadoop_path = _fs(spark, path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop
+    stream = fs.open(hadoop_path)
+    try:
+        begin = bytes(stream.readNBytes(2))
+        if not by_line(begin):
+            return begin + bytes(stream.readNBytes(most))
+        stream.seek(0)
+        line = hadoop.io.Text()
+        hadoop.util.LineReader(stream).readLine(line, most, most)
+        # An empty first line is not an empty file.
+        return bytes(line.copyBytes()) or begin
+    finally:
+        stream.close()
+
+
 def read_small(spark: SparkSession, path: str) -> str:
     """The whole of a small text file."""
     fs, hadoop_path = _fs(spark, path)

@@ -17,14 +17,16 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.sources.files import metadata_path, positioned, ranked
+from tallyhouse.sources.files import file_uri, first_bytes, metadata_path, positioned, ranked
+from tallyhouse.sources.records import PLACE, line_ends, read_records
 
 # Byte order marks and the charset each one announces.
 UTF16_MARKS = {"FFFE": "UTF-16LE", "FEFF": "UTF-16BE"}
 FALLBACK = "windows-1251"
 MARK = "\ufeff"
-HEAD_JOBS = 16
-PYTHON_CODEC = {"UTF-8": "utf-8", FALLBACK: "cp1251"}
+HEAD_READERS = 16
+HEAD_BYTES = 1 << 16  # the longest first line
+PYTHON_CODEC = {FALLBACK: "cp1251"}
 
 
 @dataclass(frozen=True)
@@ -51,74 +53,61 @@ def sniff(
 ) -> list[TextFile]:
     """Encoding, first line and quoting of every non-empty file, in the order given.
 
-    One distributed pass: a newline byte is never part of a longer UTF-8 sequence,
-    so a file is valid UTF-8 exactly when each of its lines is. A quoted field
-    spans lines exactly when some line ends inside a field that began with a quote;
-    only those files give up splitting. Quotes inside a field mean nothing.
+    One distributed pass, whatever the number of files: a newline byte is never part of a
+    longer UTF-8 sequence, so a file is valid UTF-8 exactly when each of its lines is. A
+    quoted field spans lines exactly when some line ends inside a field that began with a
+    quote. Quotes inside a field mean nothing. First lines are read by the driver.
     """
-
-    def head(fact: tuple[str, bool, bool]) -> TextFile | None:
-        path, utf8, odd = fact
-        line = spark.read.text(path).select(F.hex(F.col("value").cast("binary"))).first()
-        if line is None:
-            return None
-        charset = hints.encoding or UTF16_MARKS.get(line[0][:4]) or ("UTF-8" if utf8 else FALLBACK)
-        spans = odd if hints.quoted_newlines is None else hints.quoted_newlines
-        codec = PYTHON_CODEC.get(charset)
-        text = bytes.fromhex(line[0]).decode(codec).lstrip(MARK) if codec else ""
-        return TextFile(path, charset, text, spans)
-
-    # The first line of a file is a job of one task, so several run side by side.
-    with ThreadPoolExecutor(HEAD_JOBS) as pool:
-        found = pool.map(head, _facts(spark, paths, hints, delimiter))
-    return [file for file in found if file]
+    files = _files(spark, paths)
+    facts = _facts(spark, files, hints, delimiter)
+
+    def by_line(begin: bytes) -> bool:
+        return not (hints.encoding or UTF16_MARKS.get(begin.hex().upper(), "")).startswith("UTF-16")
+
+    with ThreadPoolExecutor(HEAD_READERS) as pool:
+        heads = list(pool.map(lambda path: first_bytes(spark, path, HEAD_BYTES, by_line), files))
+    found = []
+    for path, head in zip(files, heads, strict=True):
+        if not head:
+            continue
+        utf8, spans = facts.get(path, (True, False))
+        mark = UTF16_MARKS.get(head[:2].hex().upper())
+        charset = hints.encoding or mark or ("UTF-8" if utf8 else FALLBACK)
+        # A hint may name the charset in any of its spellings.
+        text = head.decode(PYTHON_CODEC.get(charset, charset), errors="replace")
+        line = re.split(r"\r\n|\r|\n", text.lstrip(MARK), maxsplit=1)[0]
+        found.append(TextFile(path, charset, line, spans if hints.quoted_newlines is None else hints.quoted_newlines))
+    return found
+
+
+def _files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Files in the order given, those of a folder by name, spelled as `_metadata.file_path` does."""
+    found = []
+    for path in paths:
+        single = file_uri(spark, path)
+        found += [single] if single else sorted(spark.read.text(path).inputFiles())
+    return [metadata_path(f) for f in found]
 
 
 def _facts(
-    spark: SparkSession, paths: Sequence[str], hints: Hints, delimiter: str
-) -> list[tuple[str, bool, bool]]:
-    if hints.encoding and hints.quoted_newlines is not None:
-        return [
-            (metadata_path(file), True, False)
-            for path in paths
-            for file in sorted(spark.read.text(path).inputFiles())
-        ]
-    still_open = rf'(^|{re.escape(delimiter)})"[^"]*+(""[^"]*+)*+$'
-    lines = _stack([
-        spark.read.text(path).select(
-            F.lit(i).alias("given"), F.col("_metadata.file_path").alias("path"), "value"
-        )
-        for i, path in enumerate(paths)
-    ])
-    facts = (
-        lines.groupBy("given", "path")
-        .agg(
-            F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
-            F.bool_or(F.col("value").rlike(still_open)).alias("odd"),
-        )
-        .collect()  # one row per file
+    spark: SparkSession, files: list[str], hints: Hints, delimiter: str
+) -> dict[str, tuple[bool, bool]]:
+    if not files or (hints.encoding and hints.quoted_newlines is not None):
+        return {}
+    lines = spark.read.text(files).select(F.col("_metadata.file_path").alias("path"), "value")
+    # Cheap and never false for a line that ends inside, so few lines are taken apart.
+    maybe = F.col("value").rlike(rf'(^|{re.escape(delimiter)})"[^"]*+(""[^"]*+)*+$')
+    facts = lines.groupBy("path").agg(
+        F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
+        F.bool_or(F.when(maybe, line_ends(F.col("value"), delimiter)["outside"]).otherwise(False)).alias("spans"),
     )
-    return [
-        (f["path"], f["utf8"], f["odd"]) for f in sorted(facts, key=lambda f: (f["given"], f["path"]))
-    ]
+    return {f["path"]: (f["utf8"], f["spans"]) for f in facts.collect()}  # one row per file
 
 
 def _stack(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _header(spark: SparkSession, file: TextFile, delimiter: str) -> tuple[str, ...]:
-    if file.head:
-        return tuple(next(csv.reader([file.head], delimiter=delimiter)))
-    # UTF-16: the reader itself has to find the line, in one small job.
-    names = (
-        spark.read.option("header", True).option("sep", delimiter).option("quote", '"')
-        .option("escape", '"').option("encoding", file.encoding).option("multiLine", True)
-        .csv(file.path).columns
-    )
-    return tuple(n.lstrip(MARK) for n in names)
-
-
 def read_delimited(
     spark: SparkSession,
     paths: Sequence[str],
@@ -138,27 +127,31 @@ def read_delimited(
         return None
     groups: dict[tuple, list[str]] = defaultdict(list)
     for file in files:
-        header = tuple(columns) if by_position else _header(spark, file, delimiter)
-        multiline = file.quoted_newlines or file.encoding.startswith("UTF-16")
-        groups[(file.encoding, header, multiline)].append(file.path)
+        header = tuple(columns) if by_position else tuple(next(csv.reader([file.head], delimiter=delimiter), ()))
+        groups[(file.encoding, header, file.quoted_newlines)].append(file.path)
 
     parts = []
-    for (charset, header, multiline), members in groups.items():
+    for (charset, header, spans), members in groups.items():
         # With a repeated name the last column wins.
         place = {name: f"_c{i}" for i, name in enumerate(header)}
+        schema = ", ".join(f"_c{i} string" for i in range(max(1, len(header))))
+        options = {"sep": delimiter, "quote": '"', "escape": '"'}
+        picked = [F.col(place[c]).alias(c) if c in place else F.lit(None).cast("string").alias(c) for c in columns]
+        wide = charset.startswith("UTF-16")  # its bytes cannot be cut at newlines
+        if spans and not wide:
+            text = F.col("value") if charset == "UTF-8" else F.decode(F.col("value").cast("binary"), charset)
+            records = read_records(spark, members, delimiter, text)
+            fields = F.from_csv("record", schema, options | {"multiLine": "true"})
+            rows = records.select(*PLACE, fields.alias("f")).select(*PLACE, "f.*").select(
+                *picked, "__path", F.col("__block").alias("seq_block"), F.col("__row").alias("seq_row")
+            )
+            parts.append(rows)
+            continue
         rows = (
-            spark.read.schema(", ".join(f"_c{i} string" for i in range(len(header))))
-            .option("header", True).option("sep", delimiter).option("quote", '"')
-            .option("escape", '"').option("encoding", charset).option("multiLine", multiline)
+            spark.read.schema(schema).options(**options)
+            .option("header", True).option("encoding", charset).option("multiLine", wide)
             .csv(members)
-            .select(
-                *[
-                    F.col(place[c]).alias(c) if c in place else F.lit(None).cast("string").alias(c)
-                    for c in columns
-                ],
-                F.col("_metadata.file_path").alias("__path"),
-                F.col("_metadata.file_block_start").alias("__block"),
-            )
+            .select(*picked, F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("__block"))
         )
         parts.append(positioned(rows, block=F.col("__block")).drop("seq_part", "__block"))
     return ranked(_stack(parts), [f.path for f in files])
