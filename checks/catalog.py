@@ -69,28 +69,41 @@ def src_delimited(v: Views) -> DataFrame:
     return present(read_delimited(v.spark, [f"{folder}/a", f"{folder}/b"], columns, ";"), *columns)
 
 
+# The other five feeds: view, id column, a value column (events carry quotes, complaints newlines).
+SINGLE_FEEDS = {
+    "abs_accounts": ("v_accounts_raw", "source_account_id", "status"),
+    "abs_products": ("v_products_raw", "source_product_id", "amount_limit"),
+    "abs_transactions": ("v_transactions_raw", "source_transaction_id", "amount"),
+    "dbo_events": ("v_events_raw", "source_event_id", "payload_json"),
+    "appeals": ("v_appeals_raw", "source_appeal_id", "result_text"),
+}
+
+
 @query
 def src_csv_set(v: Views) -> DataFrame:
+    """All seven feeds, the clients from two roots."""
     folder = scratch_path(v.spark, "csv")
     clients = v("v_abs_clients_raw")
     feeds = {
-        "0/abs_clients.csv": clients.where("load_seq % 2 = 1").drop("load_seq"),
-        "1/abs_clients.csv": clients.where("load_seq % 2 = 0").drop("load_seq"),
-        "0/crm_clients.csv": v("v_crm_clients_raw").drop("load_seq"),
-    }
+        "0/abs_clients.csv": clients.where("load_seq % 2 = 1"),
+        "1/abs_clients.csv": clients.where("load_seq % 2 = 0"),
+        "0/crm_clients.csv": v("v_crm_clients_raw"),
+    } | {f"0/{name}.csv": v(view) for name, (view, _, _) in SINGLE_FEEDS.items()}
     for name, rows in feeds.items():
         (
-            rows.write.option("header", True).option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/{name}")
+            rows.drop("load_seq").write.option("header", True).option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/{name}")
         )
     found = load.read_csv_set(Warehouse(v.spark, folder), [f"{folder}/0", f"{folder}/1"])
     # Files are numbered in load order: the first root delivered one folder of files.
     first_root = len(children(v.spark, f"{folder}/0/abs_clients.csv", ".csv"))
+    shown = {"abs_clients_raw": ("source_client_id", "tax_id"), "crm_clients_raw": ("source_client_id", "tax_id")}
+    shown |= {f"{name}_raw": columns for name, (_, *columns) in SINGLE_FEEDS.items()}
     rows = [
         staged_rows(found[table], table).select(
             F.lit(table).alias("table_name"),
-            F.col("source_client_id").alias("source_id"),
-            F.col("tax_id").alias("value"),
+            F.col(shown[table][0]).alias("source_id"),
+            F.col(shown[table][1]).alias("value"),
             (F.col("seq_part") >= (first_root if table == "abs_clients_raw" else 10**9)).cast("int").alias("root"),
         )
         for table in found
@@ -240,7 +253,7 @@ def src_complaints(v: Views) -> DataFrame:
 
 @query
 def src_camt(v: Views) -> DataFrame:
-    """Statements written as XML files and read back, with the account owner looked up."""
+    """Statements and notifications written as XML files and read back, with the account owner looked up."""
     folder = scratch_path(v.spark, "camt")
     key = F.col("o_orderkey")
     price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
@@ -274,15 +287,17 @@ def src_camt(v: Views) -> DataFrame:
             "Ntry",
         )
     )
-    statements.write.format("xml").option("rowTag", "Stmt").option("rootTag", "BkToCstmrStmt").save(folder)
+    for kind, (tag, _) in camt.MESSAGES.items():
+        statements.write.format("xml").option("rowTag", tag).option("rootTag", "BkToCstmrStmt").save(f"{folder}/{kind}")
     owners = orders.select(
         F.col("o_custkey").cast("string").alias("account_id"),
         F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("client_id"),
         key.alias("load_seq"),
     )
-    read = camt.read_statements(v.spark, [folder], "053")
+    owner = identity.account_client_map(owners)
+    read = [camt.entries(camt.read_statements(v.spark, [f"{folder}/{kind}"], kind), owner, kind) for kind in camt.MESSAGES]
     return present(
-        camt.entries(read, identity.account_client_map(owners), "053"),
+        reduce(DataFrame.unionByName, read),
         "source_transaction_id", "source_client_id", "source_account_id", "operation_type_code",
         "operation_ts", "amount", "currency_code", "direction", "description",
     )

@@ -271,7 +271,12 @@ ORACLES: dict[str, str] = {
     "src_csv_set": """
         SELECT 'abs_clients_raw' AS table_name, source_client_id AS source_id, NULLIF(tax_id, '') AS value,
                CAST(CASE WHEN load_seq % 2 = 1 THEN 0 ELSE 1 END AS BIGINT) AS root FROM v_abs_clients_raw
-        UNION ALL SELECT 'crm_clients_raw', source_client_id, tax_id, 0 FROM v_crm_clients_raw""",
+        UNION ALL SELECT 'crm_clients_raw', source_client_id, tax_id, 0 FROM v_crm_clients_raw
+        UNION ALL SELECT 'abs_accounts_raw', source_account_id, NULLIF(status, ''), 0 FROM v_accounts_raw
+        UNION ALL SELECT 'abs_products_raw', source_product_id, NULLIF(amount_limit, ''), 0 FROM v_products_raw
+        UNION ALL SELECT 'abs_transactions_raw', source_transaction_id, NULLIF(amount, ''), 0 FROM v_transactions_raw
+        UNION ALL SELECT 'dbo_events_raw', source_event_id, NULLIF(payload_json, ''), 0 FROM v_events_raw
+        UNION ALL SELECT 'appeals_raw', source_appeal_id, NULLIF(result_text, ''), 0 FROM v_appeals_raw""",
     "src_manifest": """
         SELECT CAST(c_custkey AS VARCHAR) AS source_client_id,
                CASE WHEN c_mktsegment = 'MACHINERY' THEN 'BUSINESS' ELSE 'INDIVIDUAL' END AS client_type,
@@ -338,14 +343,14 @@ ORACLES: dict[str, str] = {
                concat_ws(' ', NULLIF(role, ''), NULLIF(LEFT(text, 500), '')) AS result_text
         FROM conversations WHERE turn % 7 <> 6""",
     "src_camt": f"""
-        SELECT 'ISO053-R' || CAST(o_orderkey AS VARCHAR) AS source_transaction_id,
+        SELECT 'ISO' || kind || '-R' || CAST(o_orderkey AS VARCHAR) AS source_transaction_id,
                CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderkey AS VARCHAR) ELSE 'C' || CAST(o_custkey AS VARCHAR) END AS source_client_id,
-               CAST(o_custkey AS VARCHAR) AS source_account_id, 'CAMT_STMT' AS operation_type_code,
+               CAST(o_custkey AS VARCHAR) AS source_account_id, operation AS operation_type_code,
                CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || 'T12:00:00+00:00' AS operation_ts,
                {_FLOAT_TEXT.format(x=_PRICE)} AS amount, CASE WHEN o_orderkey % 2 = 0 THEN 'EUR' ELSE 'INR' END AS currency_code,
                CASE WHEN o_orderstatus = 'F' THEN 'C' ELSE 'D' END AS direction,
-               CASE WHEN o_orderkey % 4 = 0 THEN 'pay & <go>' ELSE 'camt 053' END AS description
-        FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderkey <> 0""",
+               CASE WHEN o_orderkey % 4 = 0 THEN 'pay & <go>' ELSE 'camt ' || kind END AS description
+        FROM orders, (VALUES ('053', 'CAMT_STMT'), ('054', 'CAMT_NTF')) AS m(kind, operation) WHERE o_orderkey % 5 <> 0 AND o_orderkey <> 0""",
     "account_client_map": """
         SELECT 'A' || CAST(o_orderkey % 4000 AS VARCHAR) AS account_id, CAST(o_custkey AS VARCHAR) AS source_client_id FROM orders
         WHERE o_orderkey % 6 <> 0

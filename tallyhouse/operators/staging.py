@@ -12,6 +12,8 @@ from tallyhouse.functions.text import blank_to_null
 from tallyhouse.schemas import STAGING, STAGING_REQUIRED, staging_columns
 
 GROUP = ("seq_source", "seq_part", "seq_block")
+# What a refused row keeps besides its place: staging column and the reader's column.
+REFUSED = {"reject_reason": "reject_reason", "raw_text": "raw_text", "source_file": "__path"}
 
 
 def reject_reason(table: str) -> Column:
@@ -27,7 +29,10 @@ def reject_reason(table: str) -> Column:
 
 
 def staged(rows: DataFrame, table: str, batch_id: int, now: datetime) -> DataFrame:
-    """Rows in staging shape; '' becomes NULL and columns the source lacks are NULL."""
+    """Rows in staging shape; '' becomes NULL and columns the source lacks are NULL.
+
+    Records the reader has refused keep its reason and their text.
+    """
     present = set(rows.columns)
 
     def value(column: str) -> Column:
@@ -35,16 +40,20 @@ def staged(rows: DataFrame, table: str, batch_id: int, now: datetime) -> DataFra
             return F.col(column).try_cast("int") if column in present else F.lit(None).cast("int")
         return blank_to_null(column) if column in present else F.lit(None).cast("string")
 
+    def given(column: str) -> Column:
+        return F.col(column) if column in present else F.lit(None).cast("string")
+
     shaped = rows.select(
         F.lit(batch_id).cast("bigint").alias("batch_id"),
         *[value(c).alias(c) for c in staging_columns(table)],
         F.lit(now).cast("timestamp").alias("loaded_at"),
         *[c for c in (*GROUP, "seq_row") if c in present],
+        *[given(c).alias(name) for name, c in REFUSED.items()],
     )
     for column in GROUP[:1]:
         if column not in present:
             shaped = shaped.withColumn(column, F.lit(0))
-    return shaped.withColumn("reject_reason", reject_reason(table))
+    return shaped.withColumn("reject_reason", F.coalesce("reject_reason", reject_reason(table)))
 
 
 def with_load_seq(rows: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.schemas import CORE, STAGING, staging_columns
 from tallyhouse.sources import camt, documents, manifest, rules
 from tallyhouse.sources.files import exists, from_source
-from tallyhouse.sources.text import UNKNOWN, Hints, read_delimited, read_documents, read_lines
+from tallyhouse.sources.text import UNKNOWN, Hints, read_delimited, read_elements, read_lines
 
 # File names the feeds arrive under.
 CSV_SET = {
@@ -40,8 +40,8 @@ CAMT_FILES = {
 }
 # The two sheets of the CRM workbook, exported.
 SHEETS = {
-    "xlsx_crm/crm_campaigns.csv": ("crm_marketing_raw", rules.crm_campaigns),
-    "xlsx_crm/credit_card_risk.csv": ("credit_risk_raw", rules.credit_risk),
+    "xlsx_crm/crm_campaigns.csv": ("crm_marketing_raw", rules.read_crm_campaigns),
+    "xlsx_crm/credit_card_risk.csv": ("credit_risk_raw", rules.read_credit_risk),
 }
 # Loaders run in this order, which fixes "first" and "last" between sources.
 RANK_CSV, RANK_TSV, RANK_EVENTS, RANK_JSON, RANK_XML, RANK_SHEETS, RANK_MANIFEST = (
@@ -97,25 +97,26 @@ def gather(
         for path in present(TSV_TRANSACTIONS, [datasets]):
             rows = read_delimited(spark, [path], rules.TSV_TRANSACTION_COLUMNS, "\t", hints)
             if rows is not None:
-                add("abs_transactions_raw", rules.tsv_transactions(rows), RANK_TSV)
+                add("abs_transactions_raw", rules.read_tsv_transactions(rows), RANK_TSV)
         for path in present(TSV_PRODUCTS, [datasets]):
             rows = read_delimited(spark, [path], staging_columns("product_catalog_raw"), "\t", hints)
             if rows is not None:
-                add("product_catalog_raw", rules.tsv_catalog(rows), RANK_TSV)
+                add("product_catalog_raw", rules.read_tsv_catalog(rows), RANK_TSV)
 
     logs = present(EVENT_LOG, everywhere)
     lines = read_lines(spark, logs, hints) if logs else None
     if lines is not None:
-        add("dbo_events_raw", documents.event_lines(lines), RANK_EVENTS)
+        add("dbo_events_raw", documents.read_event_lines(lines), RANK_EVENTS)
 
-    for name, table, normalise in (
-        (JSON_ACCOUNTS, "abs_accounts_raw", documents.open_banking_accounts),
-        (JSON_TRANSACTIONS, "abs_transactions_raw", documents.open_banking_transactions),
-        (JSON_COMPLAINTS, "appeals_raw", documents.complaints),
+    for name, table, where, normalise in (
+        (JSON_ACCOUNTS, "abs_accounts_raw", documents.ACCOUNTS, documents.read_open_banking_accounts),
+        (JSON_TRANSACTIONS, "abs_transactions_raw", documents.TRANSACTIONS, documents.read_open_banking_transactions),
+        (JSON_COMPLAINTS, "appeals_raw", documents.COMPLAINTS, documents.read_complaints),
     ):
         paths = present(name, everywhere)
-        if paths:
-            add(table, normalise(read_documents(spark, paths)), RANK_JSON)
+        elements = read_elements(spark, paths, where) if paths else None
+        if elements is not None:
+            add(table, normalise(elements), RANK_JSON)
 
     owners = None
     tables = present(TSV_ACCOUNTS, everywhere)
@@ -130,7 +131,7 @@ def gather(
                 statements = camt.read_statements(spark, [path], kind)
                 add(
                     "abs_transactions_raw",
-                    camt.entries(statements, owners, kind),
+                    camt.read_entries(statements, owners, kind),
                     RANK_XML + i * len(CAMT_FILES) + j,
                 )
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.ids import highest_id
-from tallyhouse.operators.staging import with_load_seq
+from tallyhouse.operators.staging import REFUSED, with_load_seq
 from tallyhouse.plans.live import WRITE, Live, LiveTable, Piece, bucket_of
 from tallyhouse.operators.upsert import apply_to
 from tallyhouse.reference_data import DICTIONARIES, dictionary
@@ -48,7 +48,7 @@ DONE = "_complete"
 def staging_schema(table: str) -> str:
     fields = [f"{c} {'int' if c == 'product_id' else 'string'}" for c in staging_columns(table)]
     return ", ".join([*fields, "loaded_at timestamp", "seq_part int", "seq_block bigint",
-                      "seq_row bigint", "seq_source int", "reject_reason string"])
+                      "seq_row bigint", "seq_source int", *[f"{c} string" for c in REFUSED]])
 
 
 class Warehouse:
@@ -85,7 +85,7 @@ class Warehouse:
         rows = self.spark.read.schema(schema).parquet(folder)
         if refused:
             return rows.where("reject_reason IS NOT NULL")
-        rows = rows.where("reject_reason IS NULL").drop("reject_reason")
+        rows = rows.where("reject_reason IS NULL").drop(*REFUSED)
         return with_load_seq(rows) if numbered else rows
 
     def has_staging(self, table: str, batch_id: int) -> bool:

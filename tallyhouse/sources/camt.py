@@ -1,139 +1,132 @@
-"""ISO 20022 account statements (camt.053) and notifications (camt.054)."""
+"""ISO 20022 account statements (camt.053) and notifications (camt.054).
+
+A file is read in pieces that end at an entry's tag, by as many tasks as it has blocks, so a
+statement of any length is no unit of work. An entry belongs to the statement opened last
+before it: each block says what it opened last, one row a block is taken in file order, and
+an entry looks at the openings of its block and at what its block began with.
+
+Names and remarks count at any depth of an entry, in the order of the text. Inside a text
+every `<` is written `&lt;`, so what a text says never passes for an element.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.scalars import number_text, parse_number
 from tallyhouse.functions.text import cut, is_digits, or_default, strip, stripped
 from tallyhouse.operators.lookup import lookup
-from tallyhouse.sources.files import positioned
-from tallyhouse.sources.rules import MIDDAY, carried, normalise_manifest_rows, nothing
+from tallyhouse.sources.files import ranked
+from tallyhouse.sources.rules import MIDDAY, accepted, carried, normalise_manifest_rows, nothing, tagged
+from tallyhouse.sources.text import listed_files
 
 # message kind -> (row element, operation type)
 MESSAGES = {"053": ("Stmt", "CAMT_STMT"), "054": ("Ntfctn", "CAMT_NTF")}
-
-# The places of the standard (camt.053 and .054) that may hold a name or a
-# remark, in its order, which is the order in a valid file. Every place is typed, so
-# what is written inside a text can never pass for an element and digits stay as written
-# (a VARIANT makes 600 of 0600 and forgets the order).
-TEXTS = "array<string>"
-Tree = dict[str, "Tree | str"]
-NAMED: Tree = {"Nm": TEXTS}
-AGENT: Tree = {"FinInstnId": {"Nm": TEXTS, "CmbndId": NAMED}, "BrnchId": NAMED}
-PERSON: Tree = {"Nm": TEXTS, "CtctDtls": NAMED}
-PARTY: Tree = {"Nm": TEXTS, "CtctDtls": NAMED, "Pty": PERSON, "Agt": AGENT}
-TAX: Tree = {"Cdtr": {"Authstn": NAMED}, "Dbtr": {"Authstn": NAMED}, "UltmtDbtr": {"Authstn": NAMED}}
-CHARGES: Tree = {"Pty": AGENT, "Rcrd": {"Agt": AGENT, "Tax": TAX}, "Tax": TAX}
-STRUCTURED: Tree = {
-    "Invcr": PARTY, "Invcee": PARTY, "TaxRmt": TAX, "GrnshmtRmt": {"Grnshee": PARTY, "GrnshmtAdmstr": PARTY},
-}
-AGENTS = (
-    "InstgAgt", "InstdAgt", "DbtrAgt", "CdtrAgt", "IntrmyAgt1", "IntrmyAgt2", "IntrmyAgt3", "RcvgAgt", "DlvrgAgt", "IssgAgt", "SttlmPlc",
-)
-SAID: Tree = {
-    "Nm": TEXTS,
-    "Ustrd": TEXTS,
-    "Chrgs": CHARGES,
-    "RltdPties": {
-        "InitgPty": PARTY, "Dbtr": PARTY, "DbtrAcct": NAMED, "UltmtDbtr": PARTY,
-        "Cdtr": PARTY, "CdtrAcct": NAMED, "UltmtCdtr": PARTY, "TradgPty": PARTY, "Prtry": PARTY,
-    },
-    "RltdAgts": {name: AGENT for name in AGENTS} | {"Prtry": {"Agt": AGENT}},
-    "RltdRmtInf": {"RmtLctnPstlAdr": NAMED, "RmtLctnDtls": {"PstlAdr": NAMED}},
-    "RmtInf": {"Ustrd": TEXTS, "Strd": STRUCTURED},
-    "Tax": TAX,
-    "RtrInf": {"Orgtr": PARTY},
-    "SfkpgAcct": NAMED,
-    "CardTx": {"PrePdAcct": NAMED},
-}
-ENTRY: Tree = SAID | {"NtryDtls": SAID | {"TxDtls": SAID}}
-# An `Id` is a text, or holds others.
-OTHER: Tree = {"Id": TEXTS}
-ACCOUNT: Tree = {
-    "Id": {"_VALUE": "string", "Id": TEXTS, "Othr": OTHER},
-    "Othr": OTHER,
-    "Prxy": {"Id": TEXTS, "Othr": OTHER},
-    "Ownr": {
-        "Id": {"_VALUE": "string", "OrgId": {"Othr": OTHER, "Id": TEXTS}, "PrvtId": {"Othr": OTHER, "Id": TEXTS}, "Othr": OTHER},
-        "CtctDtls": {"Othr": OTHER},
-    },
-    "Svcr": {
-        "FinInstnId": {"Othr": OTHER, "PrtryId": {"Id": TEXTS}, "CmbndId": {"Othr": OTHER, "PrtryId": {"Id": TEXTS}}},
-        "BrnchId": {"Id": TEXTS},
-    },
-}
-
-
-def _fields(tree: Tree) -> str:
-    return ", ".join(f"{name}: {sub if isinstance(sub, str) else f'array<struct<{_fields(sub)}>>'}" for name, sub in tree.items())
-
-
-STATEMENT = (
-    f"Acct array<struct<{_fields(ACCOUNT)}>>, "
-    "Ntry array<struct<Amt: array<struct<_VALUE: string, _Ccy: string>>, CdtDbtInd: array<string>, "
-    f"BookgDt: array<struct<Dt: {TEXTS}>>, AcctSvcrRef: array<string>, {_fields(ENTRY)}>>"
-)
 DESCRIPTION_WIDTH = 2000
+# What ends a piece: the tag of an entry, whatever its prefix.
+END = "Ntry>"
+PLACE = ("__path", "__block", "__row")
+# Direct children of an entry; the same names further inside mean something else.
+ENTRY = (
+    "Amt array<struct<_VALUE: string, _Ccy: string>>, CdtDbtInd array<string>, "
+    "BookgDt array<struct<Dt: array<string>>>, AcctSvcrRef array<string>, __broken string"
+)
 
 
-# Typed elements as JSON keep the order of the tree. A key is followed by a colon and quotes
-# inside a text are escaped, so a text never looks like a key.
-# Possessive, so that long texts need no deep stack.
-WORD = r'(?:"(?:[^"\\]|\\.)*+"|null)'
-WORDS = rf"(?:{WORD},?)*+"
+def _open(tag: str) -> str:
+    return rf"<(?:\w+:)?{tag}(?:\s[^<>]*)?>"
 
 
-def _found(text: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+def _close(tag: str) -> str:
+    return rf"</(?:\w+:)?{tag}\s*>"
 
 
-def _read(words: Column) -> Column:
-    """The texts of lists of JSON strings."""
-    return F.from_json(F.concat(F.lit("["), F.array_join(F.array_remove(words, ""), ","), F.lit("]")), TEXTS)
+def _texts(xml: Column, tag: str) -> Column:
+    """What stands directly after each opening tag, as written."""
+    return F.regexp_extract_all(xml, F.lit(_open(tag) + "([^<]*)"), F.lit(1))
 
 
-def _names(entry: Column) -> Column:
-    return _read(_found(F.to_json(entry), rf'"Nm":\[({WORDS})\]'))
+def _filled(values: Column) -> Column:
+    return F.filter(F.transform(values, strip), lambda v: v != "")
 
 
-def _remarks(entry: Column) -> Column:
-    return _read(_found(F.to_json(entry), rf'"Ustrd":\[({WORDS})\]'))
+def _decoded(text: Column) -> Column:
+    """Character references resolved, by the XML reader."""
+    read = F.from_xml(F.concat(F.lit("<r><t>"), text, F.lit("</t></r>")), "t string", {"rowTag": "r", "ignoreSurroundingSpaces": "false"})
+    return F.when(F.contains(text, F.lit("&")), read["t"]).otherwise(text)
 
 
-def _first_text(values: Column) -> Column:
-    return strip(F.get(F.filter(values, lambda v: v != ""), F.lit(0)))
+def _without_sections(xml: Column) -> Column:
+    """Comments dropped and CDATA written as plain text."""
+    begin, end = "<![CDATA[", "]]>"
+
+    def plain(part: Column, i: Column) -> Column:
+        size = F.locate(end, part) - 1
+        said = F.substring(part, F.lit(1), size)
+        for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            said = F.replace(said, F.lit(sign), F.lit(name))
+        after = F.substring(part, size + len(end) + 1, F.length(part))
+        return F.when((i == 0) | (size < 0), part).otherwise(F.concat(said, after))
+
+    joined = F.array_join(F.transform(F.split(xml, r"<!\[CDATA\["), plain), "")
+    xml = F.when(F.contains(xml, F.lit(begin)), joined).otherwise(xml)
+    return F.when(F.contains(xml, F.lit("<!--")), F.regexp_replace(xml, r"(?s)<!--.*?-->", "")).otherwise(xml)
 
 
 def account_number(account: Column) -> Column:
-    """First all-digit id inside an `Othr` at any place of the standard, else the first all-digit id."""
+    """First all-digit id inside an `Othr` at any depth, else the first all-digit id."""
+    others = F.array_join(F.regexp_extract_all(account, F.lit(rf"(?s){_open('Othr')}(.*?){_close('Othr')}"), F.lit(1)), "")
+
+    def digits(xml: Column) -> Column:
+        return F.get(F.filter(_filled(_texts(xml, "Id")), is_digits), F.lit(0))
 
-    text = F.to_json(account)
-    others = F.array_join(_found(text, rf'"Othr":\[((?:\{{(?:"Id":\[{WORDS}\])?\}},?)*+)\]'), ",")
-    plain = rf'"(?:Id":\[|_VALUE":)((?<=:){WORD}|(?<=\[){WORDS})'
+    return F.coalesce(digits(others), digits(account))
 
-    def digits(values: Column) -> Column:
-        return F.get(F.filter(F.transform(values, strip), is_digits), F.lit(0))
 
-    return F.coalesce(digits(_read(_found(others, plain))), digits(_read(_found(text, plain))))
+def _opening(header: Column, tag: str) -> Column:
+    """What the text between two entries does to the open statement: its account, or that it is closed; null if nothing."""
+    parts = F.split(header, _open(tag))
+    last = F.element_at(parts, -1)
+    account = F.regexp_extract(last, rf"(?s){_open('Acct')}(.*?){_close('Acct')}", 1)
+    opened = F.struct(F.lit(True).alias("open"), account.alias("account"))
+    closed = F.struct(F.lit(False).alias("open"), F.lit("").alias("account"))
+    ended = last.rlike(_close(tag))
+    return F.when((F.size(parts) > 1) & ~ended, opened).when(ended, closed)
 
 
 def read_statements(spark: SparkSession, paths: Sequence[str], kind: str) -> DataFrame:
-    """One row per statement or notification; large files are split between them."""
+    """One row per booked entry inside a statement or notification: `__entry` and `__account`, as XML, and position."""
     tag, _ = MESSAGES[kind]
-    parts = [
-        spark.read.format("xml").option("rowTag", tag).option("ignoreNamespace", True)
-        .schema(STATEMENT).load(path)
-        .select("*", F.lit(i).alias("seq_part"), F.col("_metadata.file_block_start").alias("seq_block"))
-        for i, path in enumerate(paths)
-    ]
-    whole = parts[0]
-    for other in parts[1:]:
-        whole = whole.unionByName(other)
-    return whole
+    files = listed_files(spark, paths)
+    pieces = spark.read.option("lineSep", END).text(files).select(
+        _without_sections(F.col("value")).alias("xml"), F.col("_metadata.file_path").alias("__path"),
+        F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__row"),
+    )
+    entry = F.col("xml").rlike(r"</(?:\w+:)?$")
+    parts = F.split(F.col("xml"), _open("Ntry"))  # more than one where the tag has attributes
+    header = F.when(~entry, F.col("xml")).when(F.size(parts) > 1, parts[0])
+    pieces = pieces.select(
+        *PLACE, _opening(header, tag).alias("opening"),
+        F.when(entry, F.regexp_replace(F.element_at(parts, -1), r"</(?:\w+:)?$", "")).alias("__entry"),
+    )
+    of_block = pieces.groupBy("__path", "__block").agg(
+        F.max_by("opening", F.when(F.col("opening").isNotNull(), F.col("__row"))).alias("last")
+    )
+    earlier = Window.partitionBy("of_path").orderBy("of_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = of_block.withColumnsRenamed({"__path": "of_path", "__block": "of_block"}).select(
+        "of_path", "of_block", F.last("last", ignorenulls=True).over(earlier).alias("carried")
+    )
+    so_far = Window.partitionBy("__path", "__block").orderBy("__row").rowsBetween(Window.unboundedPreceding, 0)
+    placed = pieces.withColumn("own", F.last("opening", ignorenulls=True).over(so_far))
+    placed = placed.join(blocks, (F.col("__path") == F.col("of_path")) & (F.col("__block") == F.col("of_block")))
+    state = F.coalesce("own", "carried")
+    rows = placed.where(F.col("__entry").isNotNull() & state["open"]).select(
+        "__path", F.col("__block").alias("seq_block"), F.col("__row").alias("seq_row"), state["account"].alias("__account"), "__entry"
+    )
+    return ranked(rows, files)
 
 
 def entries(statements: DataFrame, accounts: DataFrame | None, kind: str) -> DataFrame:
@@ -142,35 +135,32 @@ def entries(statements: DataFrame, accounts: DataFrame | None, kind: str) -> Dat
     `accounts` maps account_id to source_client_id for entries that do not name
     their customer.
     """
+    return accepted(read_entries(statements, accounts, kind))
+
+
+def read_entries(statements: DataFrame, accounts: DataFrame | None, kind: str) -> DataFrame:
+    """The same with refused entries, which lack an account, reference, customer or number."""
     _, operation = MESSAGES[kind]
-    located = statements.withColumn("__account", account_number(F.get("Acct", F.lit(0)))).where(
-        F.col("__account").isNotNull()
-    )
-    carry = [c for c in ("seq_part", "seq_block", "load_seq") if c in statements.columns]
-    rows = located.select("__account", *carry, F.explode("Ntry").alias("e"))
-    if "load_seq" not in carry:
-        rows = positioned(
-            rows,
-            F.col("seq_part") if "seq_part" in carry else 0,
-            F.col("seq_block") if "seq_block" in carry else 0,
-        )
-    customers = F.filter(
-        F.transform(_names(F.col("e")), lambda n: F.regexp_extract(n, r"Customer ([0-9]+)", 1)),
-        lambda c: c != "",
-    )
+    xml = F.col("__entry")
+    whole = F.concat(F.lit("<Ntry>"), xml, F.lit("</Ntry>"))
+    options = {"rowTag": "Ntry", "ignoreNamespace": "true", "columnNameOfCorruptRecord": "__broken"}
+    rows = statements.withColumn("e", F.from_xml(whole, ENTRY, options))
+    said = F.split(_decoded(F.array_join(_texts(xml, "Nm"), "\n")), "\n")
+    customers = F.filter(F.transform(said, lambda n: F.regexp_extract(n, r"Customer ([0-9]+)", 1)), lambda c: c != "")
     days = F.filter(F.transform(F.col("e.BookgDt"), lambda b: F.get(b["Dt"], F.lit(0))), lambda d: d != "")
     amount = F.get("e.Amt", F.lit(0))
+    first = lambda values: F.get(_filled(values), F.lit(0))
     rows = rows.select(
-        "__account",
-        *[c for c in carried(rows)],
-        _first_text(F.col("e.AcctSvcrRef")).alias("__ref"),
+        account_number(F.col("__account")).alias("__account"), "__entry", F.col("e.__broken").isNotNull().alias("__broken"),
+        *carried(rows),
+        F.coalesce(first(F.col("e.AcctSvcrRef")), F.lit("")).alias("__ref"),
         F.coalesce(stripped(amount["_VALUE"]), F.lit("0")).alias("__amount"),
         cut(or_default(amount["_Ccy"], "INR"), 8).alias("__currency"),
-        F.coalesce(_first_text(F.col("e.CdtDbtInd")), F.lit("DBIT")).alias("__side"),
+        F.coalesce(first(F.col("e.CdtDbtInd")), F.lit("DBIT")).alias("__side"),
         cut(strip(F.try_element_at(days, F.lit(-1))), 10).alias("__day"),
-        _first_text(_remarks(F.col("e"))).alias("__remark"),
+        strip(_decoded(first(_texts(xml, "Ustrd")))).alias("__remark"),
         F.try_element_at(customers, F.lit(-1)).alias("__named"),
-    ).where("__ref <> ''")
+    )
     if accounts is None:
         rows = rows.withColumn("__owner", nothing())
     else:
@@ -178,7 +168,14 @@ def entries(statements: DataFrame, accounts: DataFrame | None, kind: str) -> Dat
         rows = lookup(rows, F.col("__account"), owners, "account_id")
     client = F.coalesce("__named", "__owner")
     value = parse_number("__amount")
-    staged = rows.where((client != "") & (client != "0") & value.isNotNull()).select(
+    reason = (
+        F.when(F.col("__broken"), F.lit("entry is no XML"))
+        .when(F.col("__account").isNull(), F.lit("no account number"))
+        .when(F.col("__ref") == "", F.lit("no reference"))
+        .when(F.coalesce(client, F.lit("")).isin("", "0"), F.lit("no customer"))
+        .when(value.isNull(), F.lit("amount is no number"))
+    )
+    staged = rows.select(
         cut(F.concat(F.lit(f"ISO{kind}-"), F.col("__ref")), 100).alias("source_transaction_id"),
         strip(client).alias("source_client_id"),
         F.col("__account").alias("source_account_id"),
@@ -192,6 +189,7 @@ def entries(statements: DataFrame, accounts: DataFrame | None, kind: str) -> Dat
         F.lit("POSTED").alias("status"),
         F.lit(f"camt{kind}").alias("merchant_name"),
         cut(or_default("__remark", f"camt {kind}"), DESCRIPTION_WIDTH).alias("description"),
+        *tagged(reason, F.col("__entry")),
         *carried(rows),
     )
     return normalise_manifest_rows(staged, "abs_transactions_raw")

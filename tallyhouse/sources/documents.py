@@ -18,7 +18,7 @@ from tallyhouse.functions.text import (
     stripped,
 )
 from tallyhouse.sources.files import positioned
-from tallyhouse.sources.rules import carried, normalise_manifest_rows, nothing
+from tallyhouse.sources.rules import accepted, carried, normalise_manifest_rows, nothing, tagged
 
 # Keys kept of an event's payload, complaint channels.
 PAYLOAD_KEYS = ("ip_country", "account_id", "source_system")
@@ -54,13 +54,19 @@ def _truthy(value: Column) -> Column:
 
 def event_lines(lines: DataFrame) -> DataFrame:
     """Event log: one JSON object per line; blank, broken and non-object lines are skipped."""
-    # Each line explodes into its one event or none: a filter on the parsed value
-    # would be pushed below and parse every line a second time.
+    return accepted(read_event_lines(lines))
+
+
+def read_event_lines(lines: DataFrame) -> DataFrame:
+    """The same with refused lines, which are no JSON object; blank ones are no records."""
+    # Each line explodes into its one event: a filter on the parsed value would be
+    # pushed below and parse every line a second time.
     line = strip("line")
-    parsed = F.array_compact(F.array(F.try_parse_json(line)))
-    events = lines.where(F.startswith(line, F.lit("{"))).select(
-        F.explode(parsed).alias("__event"), *carried(lines)
-    )
+    looks = F.startswith(line, F.lit("{"))
+    parsed = F.array(F.struct(F.when(looks, F.try_parse_json(line)).alias("__event"), looks.alias("__looks")))
+    events = lines.where(line != "").select(F.explode(parsed).alias("__read"), F.col("line").alias("__line"), *carried(lines))
+    events = events.select("__read.*", "__line", *carried(lines))
+    reason = F.when(~F.col("__looks"), F.lit("no JSON object")).when(F.col("__event").isNull(), F.lit("no JSON"))
     payload = F.to_json(F.struct(*[part("__event", k).alias(k) for k in PAYLOAD_KEYS]))
     return events.select(
         text("__event", "event_id").alias("source_event_id"),
@@ -73,6 +79,7 @@ def event_lines(lines: DataFrame) -> DataFrame:
         stripped(text("__event", "session_id")).alias("session_id"),
         _truthy(part("__event", "success")).cast("string").alias("success_flag"),
         F.when(payload != "{}", payload).alias("payload_json"),
+        *tagged(reason, F.col("__line")),
         *carried(lines),
     )
 
@@ -80,25 +87,38 @@ def event_lines(lines: DataFrame) -> DataFrame:
 def _items(documents: DataFrame, path: str) -> DataFrame:
     """Elements of an array inside each document, in order; broken documents give none.
 
-    The reader cuts the document into its elements, which stay JSON text: only an
-    element has to fit into a VARIANT, not the document.
+    The rows are elements already cut (`__json`), or documents of one row each. Either way
+    only an element has to fit into a VARIANT, not the document.
     """
     carry = carried(documents)
+    if "__json" in documents.columns:
+        parsed = F.array(F.struct(F.when(F.col("__refused").isNull(), F.try_parse_json("__json")).alias("__item")))
+        items = documents.select(F.explode(parsed).alias("__read"), "__json", "__refused", *carry)
+        unread = F.when(F.col("__read.__item").isNull() & F.col("__json").isNotNull(), F.lit("element is no JSON"))
+        return items.select("__read.__item", "__json", F.coalesce("__refused", unread).alias("__refused"), *carry)
     *outer, last = path.split(".")
     schema = f"struct<`{last}`: array<string>>"
     for name in reversed(outer):
         schema = f"struct<`{name}`: {schema}>"
     parsed = documents.select(F.from_json("content", schema).alias("__doc"), *carry)
     elements = parsed.select(F.explode(f"__doc.{path}").alias("__json"), *carry)
-    items = elements.select(F.try_parse_json("__json").alias("__item"), *carry)
+    items = elements.select(F.try_parse_json("__json").alias("__item"), "__json", nothing().alias("__refused"), *carry)
     if "load_seq" in carry:
         return items
     rank = F.col("seq_part") if "seq_part" in carry else 0
     return positioned(items, rank)
 
 
+# Where the elements of each feed are.
+ACCOUNTS, TRANSACTIONS, COMPLAINTS = "Data.Account", "Data.Transaction", "complaints"
+
+
 def open_banking_accounts(documents: DataFrame) -> DataFrame:
-    items = _items(documents, "Data.Account")
+    return accepted(read_open_banking_accounts(documents))
+
+
+def read_open_banking_accounts(documents: DataFrame) -> DataFrame:
+    items = _items(documents, ACCOUNTS)
     status = or_default(text("__item", "Status"), "ACTIVE")
     number = F.coalesce(text("__item", "AccountId"), F.lit(""))
     sort = F.concat_ws(
@@ -119,6 +139,7 @@ def open_banking_accounts(documents: DataFrame) -> DataFrame:
         cut(
             F.when(F.lower(status) == "enabled", F.lit("ACTIVE")).otherwise(F.upper(status)), 30
         ).alias("status"),
+        *tagged(F.col("__refused"), F.col("__json")),
         *carried(items),
     )
 
@@ -128,7 +149,11 @@ def open_banking_transactions(documents: DataFrame) -> DataFrame:
 
     A path into anything else finds nothing, which is what the rule asks for.
     """
-    items = _items(documents, "Data.Transaction")
+    return accepted(read_open_banking_transactions(documents))
+
+
+def read_open_banking_transactions(documents: DataFrame) -> DataFrame:
+    items = _items(documents, TRANSACTIONS)
     indicator = F.lower(or_default(text("__item", "CreditDebitIndicator"), "Debit"))
     rows = items.select(
         text("__item", "TransactionId").alias("source_transaction_id"),
@@ -144,6 +169,7 @@ def open_banking_transactions(documents: DataFrame) -> DataFrame:
         cut(or_default(text("__item", "Status"), "POSTED"), 30).alias("status"),
         stripped(text("__item", "MerchantDetails.MerchantName")).alias("merchant_name"),
         stripped(text("__item", "TransactionInformation")).alias("description"),
+        *tagged(F.col("__refused"), F.col("__json")),
         *carried(items),
     )
     return normalise_manifest_rows(rows, "abs_transactions_raw")
@@ -168,15 +194,21 @@ def complaint_status(response: Column) -> Column:
 
 
 def complaints(documents: DataFrame) -> DataFrame:
-    items = _items(documents, "complaints")
-    number = strip(text("__item", "complaint_id"))
+    return accepted(read_complaints(documents))
+
+
+def read_complaints(documents: DataFrame) -> DataFrame:
+    """The same with refused records: unreadable ones, and those without a number."""
+    items = _items(documents, COMPLAINTS)
+    number = F.coalesce(strip(text("__item", "complaint_id")), F.lit(""))
+    reason = F.coalesce("__refused", F.when(number == "", F.lit("complaint_id is missing")))
     day = blank_to_null(cut(text("__item", "date_received"), 10))
     told = join_present([
         text("__item", "product"),
         text("__item", "issue"),
         cut(text("__item", "narrative"), NARRATIVE_WIDTH),
     ])
-    return items.where(number != "").select(
+    return items.select(
         number.alias("source_appeal_id"),
         F.coalesce(strip(text("__item", "customer_id")), F.lit("")).alias("source_client_id"),
         complaint_channel(text("__item", "submitted_via")).alias("channel_code"),
@@ -186,5 +218,6 @@ def complaints(documents: DataFrame) -> DataFrame:
         complaint_status(text("__item", "company_response")).alias("status"),
         F.lit("2").alias("priority"),
         blank_to_null(told).alias("result_text"),
+        *tagged(reason, F.col("__json")),
         *carried(items),
     )

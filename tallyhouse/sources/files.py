@@ -98,12 +98,12 @@ def metadata_path(path: str) -> str:
 
 
 def ranked(rows: DataFrame, paths: list[str], column: str = "__path") -> DataFrame:
-    """Replace the path column by `seq_part`, the file's rank in `paths` (load order)."""
+    """Add `seq_part`, the file's rank in `paths` (load order), to rows with their path."""
     if len(paths) == 1:
-        return rows.withColumn("seq_part", F.lit(0)).drop(column)
+        return rows.withColumn("seq_part", F.lit(0))
     order = [(path, i) for i, path in enumerate(paths)]
     ranks = rows.sparkSession.createDataFrame(order, f"{column} string, seq_part int")
-    return rows.join(ranks, column).drop(column)
+    return rows.join(ranks, column)
 
 
 def positioned(rows: DataFrame, part: F.Column | int = 0, block: F.Column | int = 0) -> DataFrame:

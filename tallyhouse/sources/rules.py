@@ -30,7 +30,21 @@ MIDDAY = "T12:00:00+00:00"
 
 
 def carried(rows: DataFrame) -> list[str]:
-    return [c for c in (*POSITION, "load_seq") if c in rows.columns]
+    return [c for c in (*POSITION, "load_seq", "__path") if c in rows.columns]
+
+
+def tagged(reason: Column, raw: Column) -> list[Column]:
+    """Two columns that keep a refused record with its reason; both are NULL for an accepted one."""
+    return [reason.alias("reject_reason"), F.when(reason.isNotNull(), raw).alias("raw_text")]
+
+
+def accepted(rows: DataFrame) -> DataFrame:
+    return rows.where("reject_reason IS NULL").drop("reject_reason", "raw_text")
+
+
+def as_read(rows: DataFrame) -> Column:
+    """A record as text: what was read, by column."""
+    return F.to_json(F.struct(*[c for c in rows.columns if not c.startswith("__") and c not in (*POSITION, "load_seq")]))
 
 
 def nothing() -> Column:
@@ -69,12 +83,20 @@ TSV_TRANSACTION_COLUMNS = (
 
 def tsv_transactions(rows: DataFrame) -> DataFrame:
     """External transactions: the sign of the amount is the direction, zero is a credit."""
+    return accepted(read_tsv_transactions(rows))
+
+
+def read_tsv_transactions(rows: DataFrame) -> DataFrame:
+    """The same with refused records: no id, or an amount that is no number."""
     value = parse_number("amount")
     day = strip(cut("transaction_date", 10))
     channel = F.when(blank_to_null("channel").isNull(), F.lit("ONLINE")).otherwise(
         recode(F.upper(strip("channel")), CHANNEL_CODES)
     )
-    return rows.where((strip("transaction_id") != "") & value.isNotNull()).select(
+    reason = F.when(F.coalesce(strip("transaction_id"), F.lit("")) == "", F.lit("transaction_id is missing")).when(
+        value.isNull(), F.lit("amount is no number")
+    )
+    return rows.select(
         strip("transaction_id").alias("source_transaction_id"),
         F.coalesce(strip("client_id"), F.lit("")).alias("source_client_id"),
         stripped("account_id").alias("source_account_id"),
@@ -88,17 +110,25 @@ def tsv_transactions(rows: DataFrame) -> DataFrame:
         F.lit("POSTED").alias("status"),
         stripped("merchant_category").alias("merchant_name"),
         stripped("counterparty").alias("description"),
+        *tagged(reason, as_read(rows)),
         *carried(rows),
     )
 
 
 def tsv_catalog(rows: DataFrame) -> DataFrame:
     """Product catalog: an id that is not all digits becomes 0 (and is not loaded later)."""
-    number = strip("product_id")
+    return accepted(read_tsv_catalog(rows))
+
+
+def read_tsv_catalog(rows: DataFrame) -> DataFrame:
+    """The same with refused records, which have no id."""
+    number = F.coalesce(strip("product_id"), F.lit(""))
     texts = [c for c in staging_columns("product_catalog_raw") if c != "product_id"]
-    return rows.where(number != "").select(
+    reason = F.when(number == "", F.lit("product_id is missing"))
+    return rows.select(
         F.when(is_digits(number), number.try_cast("int")).otherwise(0).alias("product_id"),
         *[stripped(c).alias(c) for c in texts],
+        *tagged(reason, as_read(rows)),
         *carried(rows),
     )
 
@@ -117,7 +147,8 @@ def _cell(rows: DataFrame, column: str) -> Column:
 def _sheet(rows: DataFrame, table: str, uncut: tuple[str, ...], keep_zero: tuple[str, ...] = ()) -> DataFrame:
     widths = STAGING[table]
     first = next(iter(widths))
-    return rows.where(blank_to_null(F.col(first).cast("string")).isNotNull()).select(
+    reason = F.when(blank_to_null(F.col(first).cast("string")).isNull(), F.lit(f"{first} is missing"))
+    return rows.select(
         *[
             (
                 F.col(c).cast("string")
@@ -128,16 +159,27 @@ def _sheet(rows: DataFrame, table: str, uncut: tuple[str, ...], keep_zero: tuple
             ).alias(c)
             for c in widths
         ],
+        *tagged(reason, as_read(rows)),
         *carried(rows),
     )
 
 
 def crm_campaigns(rows: DataFrame) -> DataFrame:
     """Exported campaign sheet, one row per contacted customer."""
+    return accepted(read_crm_campaigns(rows))
+
+
+def read_crm_campaigns(rows: DataFrame) -> DataFrame:
+    """The same with refused rows, whose first cell is empty."""
     return _sheet(rows, "crm_marketing_raw", uncut=(), keep_zero=("age",))
 
 
 def credit_risk(rows: DataFrame) -> DataFrame:
     """Exported credit card risk sheet."""
+    return accepted(read_credit_risk(rows))
+
+
+def read_credit_risk(rows: DataFrame) -> DataFrame:
+    """The same with refused rows, whose first cell is empty."""
     money = ("limit_balance", "bill_amt_m1", "bill_amt_m2", "pay_amt_m1", "pay_amt_m2")
     return _sheet(rows, "credit_risk_raw", uncut=money)

@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.sources.elements import END, cut_elements
 from tallyhouse.sources.files import file_uri, first_bytes, metadata_path, positioned, ranked
 from tallyhouse.sources.records import PLACE, line_ends, read_records
 
@@ -58,7 +59,7 @@ def sniff(
     quoted field spans lines exactly when some line ends inside a field that began with a
     quote. Quotes inside a field mean nothing. First lines are read by the driver.
     """
-    files = _files(spark, paths)
+    files = listed_files(spark, paths)
     facts = _facts(spark, files, hints, delimiter)
 
     def by_line(begin: bytes) -> bool:
@@ -80,7 +81,7 @@ def sniff(
     return found
 
 
-def _files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+def listed_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     """Files in the order given, those of a folder by name, spelled as `_metadata.file_path` does."""
     found = []
     for path in paths:
@@ -182,6 +183,45 @@ def read_documents(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     ])
 
 
+def read_elements(spark: SparkSession, paths: Sequence[str], path: str) -> DataFrame | None:
+    """Elements of the array at `path` in JSON documents: `__json`, position columns, and `__refused`.
+
+    Documents are cut by many tasks at once (`elements`); only those in UTF-16 are decoded
+    whole. A refused row has a reason, and in `__json` the text that could not be read.
+    """
+    files = listed_files(spark, paths)
+    if not files:
+        return None
+    pieces = spark.read.option("lineSep", END).text(files).groupBy(F.col("_metadata.file_path").alias("path"))
+    facts = {f["path"]: f["utf8"] for f in pieces.agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8")).collect()}
+    wide = [f for f in files if first_bytes(spark, f, 2, lambda begin: False)[:2].hex().upper() in UTF16_MARKS]
+    groups = {
+        "UTF-8": [f for f in facts if facts[f] and f not in wide],
+        FALLBACK: [f for f in facts if not facts[f] and f not in wide],
+    }
+    parts = []
+    for charset, members in groups.items():
+        if members:
+            text = F.col("value") if charset == "UTF-8" else F.decode(F.col("value").cast("binary"), charset)
+            parts.append(cut_elements(spark, members, path, text))
+    if wide:
+        *outer, last = path.split(".")
+        schema = f"`{last}`: array<string>"
+        for name in reversed(outer):
+            schema = f"`{name}`: struct<{schema}>"
+        whole = spark.read.format("binaryFile").load(wide).select(
+            F.col("_metadata.file_path").alias("__path"), decoded(F.col("content")).alias("content")
+        )
+        read = whole.withColumn("read", F.from_json("content", f"struct<{schema}, __broken: string>", {"columnNameOfCorruptRecord": "__broken"}))
+        broken = F.col("read.__broken").isNotNull()
+        items = F.when(broken, F.array("content")).otherwise(F.col("read." + ".".join(f"`{n}`" for n in path.split("."))))
+        parts.append(read.select("__path", broken.alias("broken"), F.posexplode(items).alias("at", "__json")).select(
+            "__path", F.lit(0).cast("bigint").alias("seq_block"), F.col("at").cast("bigint").alias("seq_row"), "__json",
+            F.when(F.col("broken"), F.lit("document is no JSON")).alias("__refused"),
+        ))
+    return ranked(_stack(parts), files) if parts else None
+
+
 def read_lines(spark: SparkSession, paths: Sequence[str], hints: Hints = UNKNOWN) -> DataFrame | None:
     """Lines with position columns. UTF-16 files are decoded whole, others split."""
     files = sniff(spark, paths, hints)
