@@ -25,8 +25,9 @@ round, without the old pivot. A region that has become small, by sets and by byt
 compared directly in one task. Nothing is capped: every link between different sets is
 found, or joins two sets that are linked to the same pivot.
 
-Copies have the same set and count once throughout. No large region is ever gathered: a
-round takes maxima of regions and joins on keys whose hot values Spark splits.
+Copies have the same set, and a set is cut and compared once. A slice that many sets share
+meets in one task, which then holds one row of each; as every set has many slices, that is a
+small share of all. No large region is ever gathered: a round takes maxima of regions.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.components import components
@@ -288,12 +289,11 @@ def links(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
         return _small_regions(batches, rule)
 
     measure = F.arrow_udf(run, "struct<linked: boolean, first: array<bigint>>")
-    # Cut anew where it is read again: the texts are smaller than their slices.
-    cut = sliced(docs, rule)
-    shared = cut.groupBy("sig").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("n"))
-    shared = shared.where("low < high").select(F.col("sig").alias("shared_sig"), "n")
-    together = stored(cut.join(shared, F.col("sig") == F.col("shared_sig")).select("sig", "key", "n"), "together")
-    # A set agrees in a slice with as many rows as share it. Counted over all slices, an
+    # Each set is cut once, and its slices are moved once: only those that different sets share are kept.
+    cut, same = sliced(_distinct(docs, sets), rule), Window.partitionBy("sig")
+    met = cut.select("sig", "key", F.min("key").over(same).alias("low"), F.max("key").over(same).alias("high"), F.count("*").over(same).alias("n"))
+    together = stored(met.where("low < high").select("sig", "key", "n"), "together")
+    # A set agrees in a slice with as many sets as share it. Counted over all slices, an
     # original agrees with more than its edited copies do.
     agree = together.groupBy("key").agg(F.sum("n").alias("agree")).withColumnRenamed("key", "agree_key")
     scored = together.join(agree, F.col("key") == F.col("agree_key")).select(F.col("sig").alias("group"), "key", "agree")
@@ -354,6 +354,13 @@ def _next_regions(placed: DataFrame, measured: DataFrame) -> DataFrame:
     return _chosen(leads.join(worth, F.col("group") == F.col("of"), "left_semi").drop("linked"))
 
 
+def _distinct(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """One row of every set; more only where a whole row is repeated."""
+    rows = stored(sets.groupBy("key").agg(F.min("row").alias("first_row")).select("first_row"), "first")
+    rows = F.broadcast(rows) if rows.count() <= BROADCAST_KEYS else rows
+    return docs.join(rows, row_of("doc_id", "text") == F.col("first_row"), "left_semi")
+
+
 def _texts(docs: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
     """One text of every set that has a region: text_key, text."""
     wanted = members.select(F.col("key").alias("wanted")).distinct()
