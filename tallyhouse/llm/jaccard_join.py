@@ -22,7 +22,8 @@ Recursion. Documents whose differences from the pivot share a shingle among the
 ones in a fixed order (as many as that bound asks for, additions before omissions)
 choose a pivot again, and those with the same old and new pivot are a region of the next
 round, without the old pivot. A region that has become small, by sets and by bytes, is
-compared directly in one task. Nothing is capped: every link between different sets is
+finished by one task, which measures all distances to its pivot and compares the pairs
+that the windows leave. Nothing is capped: every link between different sets is
 found, or joins two sets that are linked to the same pivot.
 
 Copies have the same set, and a set is cut and compared once. A slice that many sets share
@@ -48,7 +49,8 @@ from tallyhouse.llm.text import GAP, row_of, stored, text_of, whole
 
 CLASS_RATIO = 1.75
 BROADCAST_KEYS = 1_000_000  # 8 MB of keys
-SMALL_SETS, SMALL_BYTES = 128, 2 << 20  # of a region that is compared directly
+SMALL_SETS, SMALL_BYTES = 1024, 8 << 20  # of a region that one task compares
+COLUMNS = 1 << 15  # shingles of a small region laid out at once
 SLICED = "sig bigint, key bigint"
 
 
@@ -228,27 +230,53 @@ def _distances(texts: pa.Array, pivots: pa.Array, rule: Rule) -> pa.Array:
     return pa.array(found, MEASURE)
 
 
+def windows(distances: np.ndarray, sizes: np.ndarray, rule: Rule) -> np.ndarray:
+    """For each set, sorted by distance to the pivot, where the sets end that can be linked to it.
+
+    Differences from the pivot are apart by no more than the two sets differ (triangle
+    inequality), and a linked pair differs in at most as many shingles as its sizes allow.
+    """
+    most = np.array([rule.most_differing(int(n) + rule.largest_partner(int(n))) for n in sizes])
+    return np.searchsorted(distances, distances + most, side="right")
+
+
 def _compared(texts: list[bytes], keys: list[int], rule: Rule) -> list[tuple[int, int]]:
-    """Links that join a small region's sets: all pairs, as products of packed bits."""
+    """Links that join a small region's sets: pairs inside each other's window, as products of packed bits."""
     sets = list(shingle_sets(texts, rule.width))
-    sizes = np.array([len(s) for s in sets])
-    names, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(len(sets)), sizes)
+    sizes, n = np.array([len(s) for s in sets]), len(sets)
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(n), sizes)
     # What one set alone holds is in no intersection.
-    shared = count > 1
-    place = np.cumsum(shared) - 1
-    held = shared[column]
-    bits = np.zeros((len(sets), int(shared.sum()) + 63 & ~63), bool)
-    bits[owner[held], place[column[held]]] = True
-    packed = np.packbits(bits, axis=1).view(np.uint64)
-    found, joined = [], np.arange(len(sets))
-    for i in range(len(sets) - 1):
-        common = np.bitwise_count(packed[i + 1 :] & packed[i]).sum(axis=1, dtype=np.int64)
-        union = sizes[i + 1 :] + sizes[i] - common
-        for j in (np.flatnonzero(100 * common >= rule.percent * union) + i + 1).tolist():
+    held = count[column] > 1
+    owner, place = owner[held], (np.cumsum(count > 1) - 1)[column[held]]
+    # The set that shares most is the pivot.
+    pivot = np.bincount(owner, minlength=n).argmax()
+    of_pivot = np.zeros(int((count > 1).sum()), bool)
+    of_pivot[place[owner == pivot]] = True
+    distances = sizes + sizes[pivot] - 2 * np.bincount(owner, weights=of_pivot[place], minlength=n).astype(np.int64)
+    order = np.argsort(distances, kind="stable")
+    rank = np.empty(n, np.int64)
+    rank[order] = np.arange(n)
+    sizes, ends = sizes[order], windows(distances[order], sizes[order], rule)
+    by_place = np.argsort(place, kind="stable")
+    owner, place = rank[owner[by_place]], place[by_place]
+    common = np.zeros((n, n), np.int32)
+    for begin in range(0, len(of_pivot), COLUMNS):
+        part = slice(*np.searchsorted(place, (begin, begin + COLUMNS)))
+        bits = np.zeros((n, COLUMNS), bool)
+        bits[owner[part], place[part] - begin] = True
+        packed = np.packbits(bits, axis=1).view(np.uint64)
+        for i in range(n - 1):
+            if ends[i] > i + 1:
+                common[i, i + 1 : ends[i]] += np.bitwise_count(packed[i + 1 : ends[i]] & packed[i]).sum(axis=1, dtype=np.int32)
+    found, joined = [], np.arange(n)
+    for i in range(n - 1):
+        near = slice(i + 1, ends[i])
+        union = sizes[near] + sizes[i] - common[i, near]
+        for j in (np.flatnonzero(100 * common[i, near].astype(np.int64) >= rule.percent * union) + i + 1).tolist():
             if joined[i] != joined[j]:  # one link between what is joined already is enough
                 joined[joined == joined[j]] = joined[i]
-                found.append((keys[i], keys[j]))
+                found.append((keys[order[i]], keys[order[j]]))
     return found
 
 

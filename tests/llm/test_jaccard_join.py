@@ -93,3 +93,28 @@ def test_components(spark):
     nodes = {n for a, b in links if a != b for n in (a, b)}
     found = components(spark.createDataFrame(links, "a bigint, b bigint")).collect()
     assert {r.node: r.root for r in found} == {n: root[n] for n in nodes} and len(found) == len(nodes)
+
+
+@pytest.mark.parametrize("columns", [64, 1 << 15])
+def test_windows_prune_pairs_and_lose_no_link(prose, columns, monkeypatch):
+    monkeypatch.setattr(jj, "COLUMNS", columns)
+    rng, texts, rule = random.Random(11), [], jj.Rule(width=2, percent=80)
+    for s in range(12):
+        words = prose(s, 60 + 15 * s).split()
+        texts.append(" ".join(words))
+        for _ in range(6):  # near copies with more and more changes
+            words[rng.randrange(len(words))] = f"changed{rng.random()}"
+            texts.append(" ".join(words))
+    texts = list(dict.fromkeys(texts))
+    found = jj._compared([t.encode() for t in texts], list(range(len(texts))), rule)
+    group = list(range(len(texts)))
+    for a, b in found:
+        low, high = sorted((group[a], group[b]))
+        group = [low if g == high else g for g in group]
+    assert group == brute.components(texts, 2, 80)
+    sets = list(shingle_sets([t.encode() for t in texts], 2))
+    distances = np.array([len(np.setxor1d(s, sets[0])) for s in sets])
+    order = np.argsort(distances)
+    ends = jj.windows(distances[order], np.array([len(s) for s in sets])[order], rule)
+    compared, pairs = sum(max(0, e - i - 1) for i, e in enumerate(ends)), len(texts) * (len(texts) - 1) // 2
+    assert compared < 0.5 * pairs
