@@ -2,35 +2,46 @@
 
 Pages of a host come from the same templates. Their streams of tags and texts are
 aligned one after the other: what repeats side by side becomes a repeated group, what
-one page lacks an optional part, and texts that differ become slots; texts that all
+one page lacks an optional part, and texts that differ become slots; texts that the
 pages share are the template's. The result is a wrapper. It tells which container the
 host fills with text and which texts are fixed, and so what to take from every page.
 
-A wrapper is inferred from a bounded sample (`SAMPLE_PAGES` different pages a host, by
-lowest hash, the first `LONGEST_STREAM` tokens of each); every page is extracted whole. Containers that are no part of
-an article (menus, adverts, comments, …) are told by their element, role or name.
+All different pages of a host are aligned, each whole. A task aligns the pages it reads
+into one partial wrapper a host; partial wrappers are aligned with each other in rounds
+of at most about `FAN_IN`, so that no host meets in one task. A wrapper counts the
+pages of each node and keeps the text that most of them have there (a majority vote that
+can be merged), so its size follows the variety of the templates, not the number of pages.
+
+The container is where the slots' text is. Elements, roles and names that are customary
+for menus, adverts or comments tell other parts inside it, and outside it only as long
+as they leave a quarter of the host's text: a whole article in such a container is found.
 """
 
 from __future__ import annotations
 
 import html as markup
 import json
+import pickle
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from difflib import SequenceMatcher
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.text import stored, text_of
 
-SAMPLE_PAGES = 12
 BROADCAST_LOTS = 1_000_000  # 8 MB of keys
 LEAST_PAGES = 6  # so many different pages must share a text before it counts as the template's
 LONGEST_GROUP = 12  # tokens of a repeated group
-LONGEST_STREAM = 2000  # tokens of a sampled page that are aligned
+FAN_IN = 16  # partial wrappers of a host that one task aligns
+LONGEST_WRAPPER = 4000  # nodes; beyond them the rarest parts keep only their weight of text
+HELD_NODES = 400_000  # of all wrappers that a task holds before it hands them on
+CELLS = 250_000  # of an alignment; longer streams are first cut at tokens that both hold once
 
 ATTRIBUTES = r"""(?:"[^"]*"|'[^']*'|[^'">])*"""
 TOKEN = re.compile(
@@ -66,10 +77,14 @@ TEXT_NAMES = frozenset("article content post entry story main body text".split()
 
 @dataclass(frozen=True)
 class Place:
-    """Where a text stands: containers around it, and whether one of them is no part of an article."""
+    """Where a text stands: containers around it, and at which depths one is customarily no part of an article."""
 
     path: tuple[str, ...] = ()
-    outside: bool = False
+    marks: tuple[int, ...] = ()
+
+    def outside(self, depth: int = 0) -> bool:
+        """Whether a container below that depth is no part of an article."""
+        return bool(self.marks) and self.marks[-1] > depth
 
 
 @dataclass
@@ -136,13 +151,14 @@ def pieces(page: str) -> tuple[list[Piece], list[str]]:
         if name in VOID or raw.endswith("/"):
             continue
         if name in CONTAINERS or hidden or names and OUTSIDE_NAMES.intersection(names):
-            # A header belongs to the page, unless it stands in an article.
-            outside = place.outside or hidden or name in OUTSIDE or role in OUTSIDE_ROLES
+            outside = hidden or name in OUTSIDE or role in OUTSIDE_ROLES
             if name not in ("html", "body"):
                 outside = outside or bool(OUTSIDE_NAMES.intersection(names))
+            # A header belongs to the page, unless it stands in an article.
             if name == "header" and not {"article", "main"} & {p.split(".")[0] for p in place.path}:
                 outside = True
-            place = Place((*place.path, label), outside)
+            depth = len(place.path) + 1
+            place = Place((*place.path, label), (*place.marks, depth) if outside else place.marks)
             stack.append((name, place))
     text(page[at:])
     return found, stream
@@ -153,21 +169,40 @@ def pieces(page: str) -> tuple[list[Piece], list[str]]:
 
 @dataclass
 class Node:
-    """Part of a wrapper: a tag, a text (fixed, or a slot if None) or a repeated group."""
+    """Part of a wrapper: a tag, a text (fixed, or a slot) or a repeated group.
+
+    `common` is the text that a majority of the pages have here, if there is one, and `same`
+    the margin of its votes: a text on nine pages of ten has a margin of at least 0.8.
+    """
 
     key: object
-    text: str | None = None
+    common: str | None = None
     group: list[Node] = field(default_factory=list)
     optional: bool = False
     chars: int = 0
     place: Place | None = None
+    pages: int = 1
+    same: int = 1
+
+    @property
+    def text(self) -> str | None:
+        return self.common if 5 * self.same >= 4 * self.pages else None
+
+
+@dataclass
+class Wrapper:
+    """`loose` is the text of parts that were too rare to keep, by container."""
+
+    nodes: list[Node]
+    pages: int = 1
+    loose: dict[Place, int] = field(default_factory=dict)
 
 
 def nodes_of(page: str) -> list[Node]:
     found, stream = pieces(page)
     texts = iter(p for p in found if not p.text.isspace())
     nodes = []
-    for token in stream[:LONGEST_STREAM]:
+    for token in stream:
         if token:
             nodes.append(Node(token))
         else:
@@ -177,11 +212,18 @@ def nodes_of(page: str) -> list[Node]:
     return nodes
 
 
-def merged(one: Node, other: Node) -> Node:
-    """Two nodes with the same key."""
-    group = [merged(a, b) for a, b in zip(one.group, other.group, strict=True)]
-    text = one.text if one.text == other.text else None
-    return Node(one.key, text, group, one.optional or other.optional, one.chars + other.chars, one.place)
+def merged(one: Node, other: Node, one_page: bool = False) -> Node:
+    """Two nodes with the same key, of different pages or of one."""
+    group = [merged(a, b, one_page) for a, b in zip(one.group, other.group, strict=True)]
+    common, same = one.common, one.same
+    if one.common == other.common:
+        same = max(one.same, other.same) if one_page else one.same + other.same
+    elif one_page:
+        common, same = None, 0
+    else:  # a majority outlives all pairs of different votes
+        common, same = (one.common if one.same >= other.same else other.common), abs(one.same - other.same)
+    pages = max(one.pages, other.pages) if one_page else one.pages + other.pages
+    return Node(one.key, common, group, one.optional or other.optional, one.chars + other.chars, one.place, pages, same)
 
 
 def groups_in(nodes: list[Node]) -> set[tuple]:
@@ -190,22 +232,26 @@ def groups_in(nodes: list[Node]) -> set[tuple]:
 
 def folded(nodes: list[Node], known: set[tuple] = frozenset()) -> list[Node]:
     """Groups that repeat side by side, or that repeat elsewhere, as one node each."""
+    begins = {(len(unit), unit[0]) for unit in known}
     for size in range(2, LONGEST_GROUP + 1):
         keys = [n.key for n in nodes]
         done, at = [], 0
         while at < len(nodes):
-            unit = tuple(keys[at : at + size])
-            first = unit[0]
+            first = keys[at]
             times = 0
-            if len(unit) == size and isinstance(first, str) and first and first[0] != "/":
-                times = 1
-                while tuple(keys[at + times * size : at + (times + 1) * size]) == unit:
-                    times += 1
-            if times > 1 or times == 1 and unit in known:
+            if isinstance(first, str) and first and first[0] != "/" and at + size <= len(keys):
+                again = at + size < len(keys) and keys[at + size] == first
+                if again or (size, first) in begins:
+                    unit = keys[at : at + size]
+                    times = 1
+                    while keys[at + times * size : at + (times + 1) * size] == unit:
+                        times += 1
+            if times > 1 or times == 1 and tuple(unit) in known:
                 group = nodes[at : at + size]
                 for i in range(1, times):
-                    group = [merged(a, b) for a, b in zip(group, nodes[at + i * size : at + (i + 1) * size], strict=True)]
-                done.append(Node(("repeat", *unit), group=group))
+                    more = nodes[at + i * size : at + (i + 1) * size]
+                    group = [merged(a, b, one_page=True) for a, b in zip(group, more, strict=True)]
+                done.append(Node(("repeat", *unit), group=group, pages=max(n.pages for n in group)))
                 at += times * size
             else:
                 done.append(nodes[at])
@@ -214,58 +260,147 @@ def folded(nodes: list[Node], known: set[tuple] = frozenset()) -> list[Node]:
     return nodes
 
 
+def matched(one: list[object], other: list[object]) -> list[tuple[int, int]]:
+    """Places of the keys that are aligned with each other, in order."""
+    head = 0
+    while head < min(len(one), len(other)) and one[head] == other[head]:
+        head += 1
+    tail = 0
+    while tail < min(len(one), len(other)) - head and one[-1 - tail] == other[-1 - tail]:
+        tail += 1
+    ends = len(one) - tail, len(other) - tail
+    found = [(i, i) for i in range(head)]
+    a, b = one[head : ends[0]], other[head : ends[1]]
+    if a and b:
+        if len(a) * len(b) <= CELLS:
+            matcher = SequenceMatcher(None, a, b, autojunk=False)
+            inner = [(m.a + i, m.b + i) for m in matcher.get_matching_blocks() for i in range(m.size)]
+        else:
+            inner = _anchored(a, b)
+        found += [(i + head, j + head) for i, j in inner]
+    return found + [(ends[0] + i, ends[1] + i) for i in range(tail)]
+
+
+def _anchored(one: list[object], other: list[object]) -> list[tuple[int, int]]:
+    """Long streams: the longest ascending chain of keys that each holds once, and what lies between."""
+    counts, others = Counter(one), Counter(other)
+    places = {k: j for j, k in enumerate(other) if others[k] == 1}
+    both = [(i, places[k]) for i, k in enumerate(one) if counts[k] == 1 and k in places]
+    if not both:
+        return []
+    lasts, chains, before = [], [], {}
+    for pair in both:
+        at = bisect_left(lasts, pair[1])
+        before[pair] = chains[at - 1] if at else None
+        lasts[at : at + 1], chains[at : at + 1] = [pair[1]], [pair]
+    chain, pair = [], chains[-1]
+    while pair:
+        chain.append(pair)
+        pair = before[pair]
+    found, from_one, from_other = [], 0, 0
+    for i, j in [*reversed(chain), (len(one), len(other))]:
+        between = matched(one[from_one:i], other[from_other:j])
+        found += [(a + from_one, b + from_other) for a, b in between]
+        if i < len(one):
+            found.append((i, j))
+        from_one, from_other = i + 1, j + 1
+    return found
+
+
 def aligned(wrapper: list[Node], page: list[Node]) -> list[Node]:
-    """The wrapper generalised to match the page, too."""
-    known = groups_in(wrapper) | groups_in(page)
-    wrapper, page = folded(wrapper, known), folded(page, known)
+    """The wrapper generalised to match the page (or the other wrapper), too."""
+    if [n.key for n in wrapper] != [n.key for n in page]:
+        known = groups_in(wrapper) | groups_in(page)
+        wrapper, page = folded(wrapper, known), folded(page, known)
     result: list[Node] = []
-    matcher = SequenceMatcher(None, [n.key for n in wrapper], [n.key for n in page], autojunk=False)
-    for what, a, b, c, d in matcher.get_opcodes():
-        if what == "equal":
-            result += [merged(x, y) for x, y in zip(wrapper[a:b], page[c:d], strict=True)]
-            continue
-        for node in (*wrapper[a:b], *page[c:d]):  # a mismatch: either side may be missing
+    a = b = 0
+    for i, j in [*matched([n.key for n in wrapper], [n.key for n in page]), (len(wrapper), len(page))]:
+        for node in (*wrapper[a:i], *page[b:j]):  # a mismatch: either side may be missing
             node.optional = True
             result.append(node)
+        if i < len(wrapper):
+            result.append(merged(wrapper[i], page[j]))
+        a, b = i + 1, j + 1
     return result
 
 
-def wrapper_of(pages: list[str]) -> list[Node]:
-    different = list(dict.fromkeys(pages))
-    wrapper: list[Node] = []
-    for page in different:
-        nodes = folded(nodes_of(page))
-        wrapper = aligned(wrapper, nodes) if wrapper else nodes
+def joined(one: Wrapper, other: Wrapper) -> Wrapper:
+    loose = dict(one.loose)
+    for place, chars in other.loose.items():
+        loose[place] = loose.get(place, 0) + chars
+    return _bounded(Wrapper(aligned(one.nodes, other.nodes), one.pages + other.pages, loose))
+
+
+def _bounded(wrapper: Wrapper) -> Wrapper:
+    """Beyond its longest size a wrapper loses its rarest parts; their weight of text stays."""
+    if len(wrapper.nodes) > LONGEST_WRAPPER:
+        order = sorted(range(len(wrapper.nodes)), key=lambda i: (-wrapper.nodes[i].pages, i))
+        rare = set(order[LONGEST_WRAPPER // 2 :])
+        for i in rare:
+            for node, _ in texts_in([wrapper.nodes[i]]):
+                wrapper.loose[node.place] = wrapper.loose.get(node.place, 0) + node.chars
+        wrapper.nodes = [n for i, n in enumerate(wrapper.nodes) if i not in rare]
+        for n in wrapper.nodes:  # the neighbours are no longer all there
+            n.optional = True
+    while len(wrapper.loose) > LONGEST_WRAPPER:  # the text of rare containers counts for the ones around them
+        rolled: dict[Place, int] = {}
+        deepest = max(len(p.path) for p in wrapper.loose)
+        for place, chars in wrapper.loose.items():
+            if len(place.path) == deepest:
+                place = Place(place.path[:-1], tuple(m for m in place.marks if m < deepest))
+            rolled[place] = rolled.get(place, 0) + chars
+        wrapper.loose = rolled
     return wrapper
 
 
-def texts_in(nodes: list[Node], optional: bool = False) -> Iterator[tuple[Node, bool]]:
+def wrapped(page: str) -> Wrapper:
+    return _bounded(Wrapper(folded(nodes_of(page))))
+
+
+def wrapper_of(pages: list[str]) -> list[Node]:
+    different = [wrapped(p) for p in dict.fromkeys(pages)]
+    wrapper = different[0]
+    for page in different[1:]:
+        wrapper = joined(wrapper, page)
+    return wrapper.nodes
+
+
+def texts_in(nodes: list[Node], repeated: bool = False) -> Iterator[tuple[Node, bool]]:
     for n in nodes:
         if n.group:
             yield from texts_in(n.group, True)
         elif n.key == "":
-            yield n, optional or n.optional
+            yield n, repeated
 
 
-def compiled(pages: list[str]) -> dict:
+def compiled(wrapper: Wrapper) -> dict:
     """What a wrapper says about its host: the container of the text, and fixed texts."""
-    wrapper, different = wrapper_of(pages), len(set(pages))
-    weight: dict[tuple[str, ...], int] = {}
-    fixed = []
-    for node, optional in texts_in(wrapper):
-        if node.place.outside:
-            continue
-        if node.text is not None and not optional and different >= LEAST_PAGES:
+    slots, fixed = dict(wrapper.loose), []
+    for node, repeated in texts_in(wrapper.nodes):
+        # Text that most pages share, and text of a part that most pages have.
+        usual = node.pages >= LEAST_PAGES and 2 * node.pages >= wrapper.pages
+        if node.text is not None and usual and not repeated:
             fixed.append(["/".join(node.place.path), node.text])
-            continue
-        for depth in range(len(node.place.path) + 1):
-            path = node.place.path[:depth]
-            weight[path] = weight.get(path, 0) + node.chars
-    return {"text": "/".join(main_path(weight)), "fixed": fixed}
+        else:
+            slots[node.place] = slots.get(node.place, 0) + node.chars
+    return {"text": "/".join(container(slots)), "fixed": fixed}
+
+
+def container(slots: dict[Place, int]) -> tuple[str, ...]:
+    """The container that holds the text of these places."""
+    # Names that leave less than a quarter of the text are wrong about this host.
+    inside = {p: n for p, n in slots.items() if not p.outside()}
+    trusted = inside if 4 * sum(inside.values()) >= sum(slots.values()) else slots
+    weight: dict[tuple[str, ...], int] = {}
+    for place, chars in trusted.items():
+        for depth in range(len(place.path) + 1):
+            path = place.path[:depth]
+            weight[path] = weight.get(path, 0) + chars
+    return main_path(weight)
 
 
 def main_path(weight: dict[tuple[str, ...], int]) -> tuple[str, ...]:
-    """The container that holds the text: named as such, else the innermost with most of it."""
+    """The container of at least half the text that is named for it, else the innermost with three quarters."""
     if not weight:
         return ()
 
@@ -281,7 +416,7 @@ def main_path(weight: dict[tuple[str, ...], int]) -> tuple[str, ...]:
         path = best(named)
         if path and 2 * weight[path] >= total:
             return path
-    return max((p for p in weight if 5 * weight[p] >= 4 * total), key=lambda p: (len(p), weight[p], p), default=())
+    return max((p for p in weight if 4 * weight[p] >= 3 * total), key=lambda p: (len(p), weight[p], p), default=())
 
 
 # Extraction
@@ -290,18 +425,19 @@ def main_path(weight: dict[tuple[str, ...], int]) -> tuple[str, ...]:
 def extracted(page: str, host: dict | None) -> str:
     """The main text: blocks in page order, white space inside them as single spaces."""
     found, _ = pieces(page)
-    found = [p for p in found if not p.place.outside]
+
+    def inside(path: tuple[str, ...]) -> list[Piece]:
+        return [p for p in found if p.place.path[: len(path)] == path and not p.place.outside(len(path))]
+
     path = tuple(filter(None, host["text"].split("/"))) if host else ()
-    own = [p for p in found if p.place.path[: len(path)] == path]
+    own = inside(path)
     if not path or not any(not p.text.isspace() for p in own):
         # The page is none of the host's usual ones: it is judged by itself.
-        weight: dict[tuple[str, ...], int] = {}
+        slots: dict[Place, int] = {}
         for p in found:
             if not p.link:
-                for depth in range(len(p.place.path) + 1):
-                    weight[p.place.path[:depth]] = weight.get(p.place.path[:depth], 0) + len(p.text.strip())
-        path = main_path(weight)
-        own = [p for p in found if p.place.path[: len(path)] == path]
+                slots[p.place] = slots.get(p.place, 0) + len(p.text.strip())
+        own = inside(container(slots))
     fixed = {(a, b) for a, b in host["fixed"]} if host else set()
     blocks: dict[int, list[str]] = {}
     for p in own:
@@ -311,11 +447,39 @@ def extracted(page: str, host: dict | None) -> str:
     return " ".join(" ".join("".join(b).split()) for b in blocks.values() if not "".join(b).isspace())
 
 
-def _hosts(rows: pa.Table) -> pa.Table:
-    host = rows.column("host")[0].as_py()
-    order = sorted(zip(rows.column("rank").to_pylist(), rows.column("html").to_pylist(), strict=True))
-    wrapper = json.dumps(compiled([h for _, h in order]))
-    return pa.table({"of_host": pa.array([host], pa.string()), "wrapper": pa.array([wrapper], pa.string())})
+PARTIAL = "host string, part binary, pages bigint"
+
+
+def _partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One partial wrapper of every host that a task meets (more if they outgrow its memory)."""
+    held: dict[str, Wrapper] = {}
+    size = 0
+    for batch in batches:
+        for host, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            known = held.get(host)
+            held[host] = joined(known, wrapped(html)) if known else wrapped(html)
+            size += len(held[host].nodes) - (len(known.nodes) if known else 0)
+            if size > HELD_NODES:
+                yield _rows(held)
+                held, size = {}, 0
+    yield _rows(held)
+
+
+def _merged_group(rows: pa.Table) -> pa.Table:
+    whole = None
+    for part in sorted(rows.column("part").to_pylist()):
+        part = pickle.loads(part)
+        whole = joined(whole, part) if whole else part
+    return pa.Table.from_batches([_rows({rows.column("host")[0].as_py(): whole})])
+
+
+def _rows(held: dict[str, Wrapper]) -> pa.RecordBatch:
+    parts = [pa.array(list(held), pa.string()), pa.array([pickle.dumps(w) for w in held.values()], pa.binary())]
+    return pa.RecordBatch.from_arrays([*parts, pa.array([w.pages for w in held.values()], pa.int64())], names=["host", "part", "pages"])
+
+
+def _compiled(parts: pa.Array) -> pa.Array:
+    return pa.array([json.dumps(compiled(pickle.loads(p))) for p in parts.to_pylist()], pa.string())
 
 
 _read: dict[str, dict] = {}
@@ -336,15 +500,30 @@ def _extracted(pages: pa.Array, wrappers: pa.Array) -> pa.Array:
     return pa.array([extracted(page or "", _wrapper(w)) for page, w in both], pa.string())
 
 
-def wrappers(pages: DataFrame) -> DataFrame:
-    """(of_host, wrapper) from a bounded sample of each host's different pages; beyond their hashes no more is shuffled."""
-    drawn = pages.withColumn("rank", F.xxhash64("host", "html"))
-    ranked = drawn.select("host", "rank").distinct().withColumn("place", F.row_number().over(Window.partitionBy("host").orderBy("rank")))
-    chosen = stored(ranked.where(F.col("place") <= SAMPLE_PAGES).select(F.col("rank").alias("lot")), "sampled")
+def different(pages: DataFrame) -> DataFrame:
+    """host, html of every different page; the html moves only where a host has copies."""
+    rows = pages.select("host", "html", F.xxhash64("host", "html").alias("rank"))
+    lots = rows.groupBy("rank").agg(F.count("*").alias("n")).where("n > 1")
+    copied = stored(lots.select(F.col("rank").alias("lot")), "copied")
     # A checked size decides; beyond it both sides are shuffled.
-    few = F.broadcast(chosen) if chosen.count() <= BROADCAST_LOTS else chosen
-    sample = drawn.join(few, F.col("rank") == F.col("lot"), "left_semi").groupBy("host", "rank")
-    return sample.agg(F.min("html").alias("html")).groupBy("host").applyInArrow(_hosts, "of_host string, wrapper string")
+    few = F.broadcast(copied) if copied.count() <= BROADCAST_LOTS else copied
+    same = F.col("rank") == F.col("lot")
+    once = rows.join(few, same, "left_semi").groupBy("host", "rank").agg(F.min("html").alias("html"))
+    return rows.join(few, same, "left_anti").select("host", "html").unionByName(once.select("host", "html"))
+
+
+def wrappers(pages: DataFrame) -> DataFrame:
+    """(of_host, wrapper) from all different pages of each host."""
+    parts = stored(different(pages).mapInArrow(_partials, PARTIAL), "partial")
+    while True:
+        counts = stored(parts.groupBy(F.col("host").alias("of_host")).agg(F.count("*").alias("n")), "counts")
+        if counts.where("n > 1").isEmpty():
+            break
+        lot = F.pmod(F.xxhash64("part"), F.ceil(F.col("n") / FAN_IN)).alias("lot")
+        placed = parts.join(counts, F.col("host") == F.col("of_host")).select("host", "part", "pages", lot)
+        parts = stored(placed.groupBy("host", "lot").applyInArrow(_merged_group, PARTIAL), "partial")
+    compile_one = F.arrow_udf(_compiled, "string")
+    return parts.select(F.col("host").alias("of_host"), compile_one("part").alias("wrapper"))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
