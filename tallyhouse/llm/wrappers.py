@@ -188,6 +188,11 @@ class Node:
     def text(self) -> str | None:
         return self.common if 5 * self.same >= 4 * self.pages else None
 
+    @property
+    def label(self) -> object:
+        """What an alignment compares: texts only match inside the same containers."""
+        return ("", self.place.path) if self.place else self.key
+
 
 @dataclass
 class Wrapper:
@@ -234,7 +239,7 @@ def folded(nodes: list[Node], known: set[tuple] = frozenset()) -> list[Node]:
     """Groups that repeat side by side, or that repeat elsewhere, as one node each."""
     begins = {(len(unit), unit[0]) for unit in known}
     for size in range(2, LONGEST_GROUP + 1):
-        keys = [n.key for n in nodes]
+        keys = [n.label for n in nodes]
         done, at = [], 0
         while at < len(nodes):
             first = keys[at]
@@ -309,12 +314,12 @@ def _anchored(one: list[object], other: list[object]) -> list[tuple[int, int]]:
 
 def aligned(wrapper: list[Node], page: list[Node]) -> list[Node]:
     """The wrapper generalised to match the page (or the other wrapper), too."""
-    if [n.key for n in wrapper] != [n.key for n in page]:
+    if [n.label for n in wrapper] != [n.label for n in page]:
         known = groups_in(wrapper) | groups_in(page)
         wrapper, page = folded(wrapper, known), folded(page, known)
     result: list[Node] = []
     a = b = 0
-    for i, j in [*matched([n.key for n in wrapper], [n.key for n in page]), (len(wrapper), len(page))]:
+    for i, j in [*matched([n.label for n in wrapper], [n.label for n in page]), (len(wrapper), len(page))]:
         for node in (*wrapper[a:i], *page[b:j]):  # a mismatch: either side may be missing
             node.optional = True
             result.append(node)
@@ -375,10 +380,13 @@ def texts_in(nodes: list[Node], repeated: bool = False) -> Iterator[tuple[Node,
 
 def compiled(wrapper: Wrapper) -> dict:
     """What a wrapper says about its host: the container of the text, and fixed texts."""
-    slots, fixed = dict(wrapper.loose), []
-    for node, repeated in texts_in(wrapper.nodes):
-        # Text that most pages share, and text of a part that most pages have.
-        usual = node.pages >= LEAST_PAGES and 2 * node.pages >= wrapper.pages
+    slots, fixed, filled = dict(wrapper.loose), [], {}
+    texts = list(texts_in(wrapper.nodes))
+    for node, _ in texts:
+        filled[node.place.path] = max(node.pages, filled.get(node.place.path, 0))
+    for node, repeated in texts:
+        # A part that at least half of the pages with its container have, on six pages or more.
+        usual = node.pages >= LEAST_PAGES and 2 * node.pages >= filled[node.place.path]
         if node.text is not None and usual and not repeated:
             fixed.append(["/".join(node.place.path), node.text])
         else:

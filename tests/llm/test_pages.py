@@ -51,6 +51,100 @@ def test_copies_of_a_page_do_not_fill_the_sample(spark, prose):
         assert r.text == f"{prose(r.page_id % 12, 80)} {prose(r.page_id % 12 + 500, 60)}"
 
 
+def texts_of(spark, rows):
+    return {r.page_id: r.text for r in wrappers.main_texts(spark.createDataFrame(rows, PAGES)).collect()}
+
+
+def test_the_weight_of_slots_decides_not_names(spark, prose):
+    """Random class names, no article or nav: the wrapper alone tells text from template."""
+
+    def plain(i: int) -> str:
+        body = "".join(f"<p>{prose(100 * i + j, 40)}</p>" for j in range(3 + i % 4))
+        return (
+            '<body><div class="qz"><a href="/">Start</a> <a href="/b">More of it</a></div><div class="kf"><div class="wu"><h4>Filed under things</h4>'
+            f'<h1>{prose(i + 7000, 6)}</h1>{body}<p class="vv">All rights with the house</p></div></div><div class="xj"><p>{prose(i + 9000, 12)}</p></div></body>'
+        )
+
+    found = texts_of(spark, [(i, "http://x.example/", plain(i)) for i in range(40)])
+    for i in range(40):
+        paragraphs = [prose(100 * i + j, 40) for j in range(3 + i % 4)]
+        assert found[i] == " ".join([prose(i + 7000, 6), *paragraphs])
+
+
+def test_an_article_inside_a_container_with_an_outside_name(spark, prose):
+    def plain(i: int) -> str:
+        return (
+            f'<body><div class="top-menu"><a href="/">Home</a></div><div class="social-history"><p>{prose(i, 80)}</p><p>{prose(i + 500, 60)}</p>'
+            f'<div class="share">Share it {i}</div></div><div class="sidebar"><p>{prose(i + 900, 9)}</p></div></body>'
+        )
+
+    found = texts_of(spark, [(i, "http://x.example/", plain(i)) for i in range(12)])
+    assert found == {i: f"{prose(i, 80)} {prose(i + 500, 60)}" for i in range(12)}
+
+
+def test_every_page_and_all_of_it_is_evidence(spark, prose):
+    """A text that only the first 14 pages share is no template's; one behind 3,000 tokens is."""
+
+    def plain(i: int) -> str:
+        rows = "".join(f"<p>{prose(10 * i, 5)} {j}</p>" for j in range(1000))
+        first = "Only some pages begin so" if i < 14 else prose(i + 300, 5)
+        return f'<body><div class="c1"><h4>{first}</h4>{rows}<h5>Printed by the house</h5></div></body>'
+
+    found = texts_of(spark, [(i, "http://x.example/", plain(i)) for i in range(40)])
+    assert found[3].startswith("Only some pages begin so") and found[30].startswith(prose(330, 5))
+    assert all(found[i].endswith(" 999") for i in found)
+
+
+def test_two_templates_of_a_host(spark, prose):
+    def plain(i: int) -> str:
+        kind = "news" if i % 3 else "blog"
+        return f'<body><div class="{kind}"><h4>Head of {kind}</h4><p>{prose(i, 80)}</p></div></body>'
+
+    found = texts_of(spark, [(i, "http://x.example/", plain(i)) for i in range(60)])
+    assert found == {i: prose(i, 80) for i in range(60)}
+
+
+def test_partial_wrappers_count_all_pages(spark, prose):
+    rows = [(i, "http://x.example/", f"<body><h4>Head</h4><p>{prose(i, 30)}</p></body>") for i in range(120)]
+    table = spark.createDataFrame(rows + rows[:50], PAGES).repartition(40)
+    table = table.selectExpr("'h' as host", "html")
+    parts = wrappers.different(table).mapInArrow(wrappers._partials, wrappers.PARTIAL).collect()
+    assert len(parts) > wrappers.FAN_IN and sum(r.pages for r in parts) == 120
+    assert wrappers.wrappers(table).count() == 1
+
+
+def test_a_majority_outlives_merging():
+    texts = ["same"] * 18 + ["other", "third"]
+    nodes = wrappers.wrapper_of([f"<p>{t}</p><i>{n}</i>" for n, t in enumerate(texts)])
+    first, second = (n for n in nodes if n.key == "")
+    assert (first.text, first.pages, second.text) == ("same", 20, None)
+
+
+def test_long_streams_are_cut_at_unique_keys():
+    one = [f"k{i}" if i % 3 else "p" for i in range(3000)]
+    other = [k for i, k in enumerate(one) if i % 7]
+    pairs = wrappers.matched(one, other)
+    assert all(one[i] == other[j] for i, j in pairs) and len(pairs) > 0.95 * len(other)
+    assert all(a < c and b < d for (a, b), (c, d) in zip(pairs, pairs[1:]))
+    assert wrappers.matched(["p"] * 900 + ["q"], ["r"] + ["s"] * 900) == []
+
+
+def test_a_wrapper_beyond_its_size_keeps_the_weight_of_text():
+    page = "".join(f'<div class="c"><b>{i}</b><i{i % 7}>text {i}</i{i % 7}></div><u{i}>' for i in range(3000))
+    nodes = wrappers.nodes_of(page)
+    whole = wrappers.wrapped(page)
+    kept = sum(n.chars for n, _ in wrappers.texts_in(whole.nodes)) + sum(whole.loose.values())
+    assert len(whole.nodes) <= wrappers.LONGEST_WRAPPER and kept == sum(n.chars for n in nodes)
+
+
+def test_clashing_columns_and_a_very_long_page(spark, prose):
+    long = "<article>" + "".join(f"<p>{prose(i, 20)}</p>" for i in range(5000)) + "</article>"
+    rows = [(1, "http://a/", long, "x"), (2, "http://a/", "<article>b</article>", None)]
+    table = spark.createDataFrame(rows, PAGES + ", host string").withColumnRenamed("host", "rank")
+    found = {r.page_id: r.text for r in wrappers.main_texts(table).collect()}
+    assert found == {1: " ".join(prose(i, 20) for i in range(5000)), 2: "b"}
+
+
 def test_wrapper_has_slots_options_and_groups():
     pages = [page("<h1>A</h1>" + f"<p>{t}</p>" * n, "Home") for t, n in (("x", 1), ("y", 3), ("z", 2))]
     pages.append(page("<h1>B</h1><p>q</p><hr><p>r</p>", "Home"))
