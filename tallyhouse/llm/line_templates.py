@@ -1,11 +1,16 @@
 """Line dedup by log templates: a tree of fixed depth generalises lines to templates.
 
 The tree's levels are a line's number of tokens and its leading tokens; tokens with a
-digit are a field from the start. In a leaf, a token is kept where enough of the leaf's
+digit are a field from the start. In a leaf, a token is kept where most of the leaf's
 lines have it at that place, and is a field `<*>` elsewhere. What is left is the line's
-template. Templates that recur across documents are dropped from all documents but the
-first, so that nothing is lost altogether: short ones if they recur in many documents,
-passages of more than 50 words if they recur at all.
+template; a line that is itself frequent is a template, too, whatever else its leaf holds.
+Templates that recur across documents are dropped from all documents but the first, so
+that nothing is lost altogether: single lines if they recur in many documents, passages
+of more than 50 words if they recur at all.
+
+A passage is a run of neighbouring lines. From each line on, and up to each line, the
+shortest run of more than 50 words is named by its lines; equal runs of two documents are a
+recurring passage. Every line of a longer recurring run lies in one of these.
 
 All built-in expressions. Lines that are alone in their leaf, most of a text, never
 leave it: only leaves that two documents reach are compared, and of those each distinct
@@ -16,7 +21,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.text import GAP, let, row_of, stored, text_of, whole, with_text
@@ -30,7 +35,7 @@ class Rules:
     leading: int = 3  # tokens on the path to a leaf
     least_tokens: int = 3  # shorter lines stay
     least_documents: int = 10
-    long_tokens: int = 51  # from here on, two documents are enough
+    long_tokens: int = 51  # of a passage: from here on, two documents are enough
     constant_percent: int = 50  # tokens of a template that are no fields
 
 
@@ -59,17 +64,55 @@ def _lines(rows: DataFrame, rules: Rules, *fields: str) -> DataFrame:
         return F.struct(*[every[f].alias(f) for f in fields])
 
     each = F.transform(lines_of(F.col("text")), lambda raw, i: let(masked(raw), lambda text: described(text, i)))
-    return rows.select("row", "doc_id", F.explode(F.filter(each, lambda x: x["tokens"] >= rules.least_tokens)).alias("x")).select(
-        "row", "doc_id", "x.*"
-    )
+    found = F.filter(each, lambda x: x["tokens"] >= rules.least_tokens)
+    # `at` numbers the lines that are looked at: blank and very short ones part no neighbours.
+    return rows.select("row", "doc_id", F.posexplode(found).alias("at", "x")).select("row", "doc_id", "at", "x.*")
 
 
-def _templates(rows: DataFrame, slim: DataFrame, rules: Rules) -> DataFrame:
-    """(leaf, same, template) of lines in leaves that more than one row reaches."""
+def _shared(slim: DataFrame) -> DataFrame:
+    """Leaves that more than one row reaches."""
     leaves = slim.groupBy("leaf").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low <> high").select("leaf")
     leaves = stored(leaves.withColumnRenamed("leaf", "of_leaf"), "leaves")
     # A checked size decides; beyond it both sides are shuffled.
-    chosen = F.broadcast(leaves) if leaves.count() <= BROADCAST_LEAVES else leaves
+    return F.broadcast(leaves) if leaves.count() <= BROADCAST_LEAVES else leaves
+
+
+def _passages(near: DataFrame, rules: Rules) -> DataFrame:
+    """(row, line) of lines in recurring passages, but for each passage's first document.
+
+    `near` holds the lines in shared leaves; a line between them parts a passage.
+    """
+    own = Window.partitionBy("row")
+    order = own.orderBy("at")
+    parted = F.coalesce(F.col("at") - F.lag("at").over(order), F.lit(1)) > 1
+    # Words from the row's first line on, with a wide gap where lines are missing.
+    ends = near.withColumn("end", F.col("tokens") + F.when(parted, rules.long_tokens).otherwise(0)).withColumn(
+        "end", F.sum("end").over(order)
+    )
+    placed = ends.withColumn("begin", F.col("end") - F.col("tokens"))
+    onward = own.orderBy("begin").rangeBetween(0, rules.long_tokens - 1)
+    back = own.orderBy("end").rangeBetween(1 - rules.long_tokens, 0)
+
+    def run(frame: WindowSpec) -> Column:
+        long = F.sum("tokens").over(frame) >= rules.long_tokens
+        return F.when(long, F.struct(F.collect_list("same").over(frame).alias("same"), F.collect_list("line").over(frame).alias("lines")))
+
+    both = placed.select("row", "doc_id", run(onward).alias("onward"), run(back).alias("back"))
+    runs = both.select("row", "doc_id", F.explode(F.array_distinct(F.array("onward", "back"))).alias("run")).where("run is not null")
+    runs = stored(runs.select("row", "doc_id", F.xxhash64("run.same").alias("passage"), "run.lines"), "passages")
+    first = runs.groupBy(F.col("passage").alias("of")).agg(
+        F.min("row").alias("low"), F.max("row").alias("high"), F.min(_owner())["row"].alias("first_row")
+    ).where("low <> high").select("of", "first_row")
+    again = runs.join(stored(first, "recurring"), F.col("passage") == F.col("of")).where("row <> first_row")
+    return again.select("row", F.explode("lines").alias("line"))
+
+
+def _owner() -> Column:
+    return F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), "row")
+
+
+def _templates(rows: DataFrame, chosen: DataFrame, rules: Rules) -> DataFrame:
+    """(leaf, same, template) of lines in leaves that more than one row reaches."""
     lines = _lines(rows, rules, "tokens", "masked", "leaf", "same")
     distinct = stored(
         lines.join(chosen, F.col("leaf") == F.col("of_leaf"), "left_semi")
@@ -84,7 +127,8 @@ def _templates(rows: DataFrame, slim: DataFrame, rules: Rules) -> DataFrame:
     alone = sized.where("different = 1").select("leaf", "same", "tokens", F.lit(0).cast("bigint").alias("kept"), fixed.cast("bigint").alias("constant"))
     mixed = sized.where("different > 1").select("leaf", "same", "n", "size", "tokens", F.posexplode(F.split("masked", " ")).alias("place", "word"))
     tokens = mixed.where(F.col("word") != FIELD).select("leaf", "same", "n", "size", "tokens", F.xxhash64("place", "word").alias("token"))
-    common = (F.col("n") >= rules.least_documents) | (2 * F.col("n") > F.col("size"))
+    # A share of the leaf decides, so that a corpus twice as large gives the same templates.
+    common = 2 * F.col("n") > F.col("size")
     kept = tokens.groupBy("leaf", "token").agg(F.sum("n").alias("n"), F.max("size").alias("size")).where(common).select(
         F.col("leaf").alias("kept_leaf"), F.col("token").alias("kept_token")
     )
@@ -94,25 +138,29 @@ def _templates(rows: DataFrame, slim: DataFrame, rules: Rules) -> DataFrame:
         F.max("tokens").alias("tokens"), F.bit_xor("token").alias("kept"), F.count("*").alias("constant")
     )
     enough = 100 * F.col("constant") >= rules.constant_percent * F.col("tokens")
-    return alone.unionByName(named).where(enough).select("leaf", "same", F.xxhash64("leaf", "kept", "constant").alias("template"))
+    general = alone.unionByName(named).where(enough).select("leaf", "same", F.xxhash64("leaf", "kept", "constant").alias("template"))
+    frequent = sized.where((F.col("different") > 1) & (F.col("n") >= rules.least_documents) & (100 * fixed >= rules.constant_percent * F.col("tokens")))
+    return general.unionByName(frequent.select("leaf", "same", F.xxhash64("leaf", "same").alias("template")))
 
 
 def recurring(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """(row, cut): the numbers of the lines to drop, for rows (row, doc_id, text) that lose any."""
     slim = stored(_lines(rows, rules, "line", "tokens", "leaf", "same"), "lines")
-    templates = _templates(rows, slim, rules).withColumnsRenamed({"leaf": "t_leaf", "same": "t_same"})
+    chosen = _shared(slim)
+    near = stored(slim.join(chosen, F.col("leaf") == F.col("of_leaf"), "left_semi"), "near")
+    templates = _templates(rows, chosen, rules).withColumnsRenamed({"leaf": "t_leaf", "same": "t_same"})
     matched = stored(
-        slim.join(templates, (F.col("leaf") == F.col("t_leaf")) & (F.col("same") == F.col("t_same")))
+        near.join(templates, (F.col("leaf") == F.col("t_leaf")) & (F.col("same") == F.col("t_same")))
         .select("row", "doc_id", "line", "template", "tokens"), "matched",
     )
-    owner = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), "row")
-    once = matched.groupBy("template", "row").agg(F.min(owner).alias("owner"), F.max("tokens").alias("tokens"))
+    once = matched.groupBy("template", "row").agg(F.min(_owner()).alias("owner"), F.max("tokens").alias("tokens"))
     stats = once.groupBy(F.col("template").alias("of")).agg(
         F.count("*").alias("documents"), F.min("owner").alias("first"), F.max("tokens").alias("length")
     )
     often = F.when(F.col("length") >= rules.long_tokens, F.lit(2)).otherwise(rules.least_documents)
     dropped = stats.where(F.col("documents") >= often).select("of", F.col("first.row").alias("first_row"))
-    cuts = matched.join(dropped, F.col("template") == F.col("of")).where("row <> first_row")
+    cuts = matched.join(dropped, F.col("template") == F.col("of")).where("row <> first_row").select("row", "line")
+    cuts = cuts.unionByName(_passages(near, rules))
     return cuts.groupBy(F.col("row").alias("cut_row")).agg(F.collect_set("line").alias("cut"))
 
 

@@ -37,7 +37,8 @@ WITH raw AS (
   FROM raw
 ), cut AS (SELECT *, string_split(masked, ' ') AS toks FROM masked WHERE masked <> ''),
 lines AS (
-  SELECT doc_id, line, masked, toks, len(toks) AS tokens, len(toks) || ' ' || array_to_string(toks[1:3], ' ') AS leaf
+  SELECT doc_id, line, masked, toks, len(toks) AS tokens, len(toks) || ' ' || array_to_string(toks[1:3], ' ') AS leaf,
+    row_number() OVER (PARTITION BY doc_id ORDER BY line) AS nth
   FROM cut WHERE len(toks) >= 3
 ), leaves AS (SELECT leaf FROM lines GROUP BY leaf HAVING count(DISTINCT doc_id) > 1),
 same AS (SELECT leaf, masked, toks, tokens, count(*) AS n FROM lines SEMI JOIN leaves USING (leaf) GROUP BY ALL),
@@ -46,18 +47,38 @@ toks AS (
 ), sized AS (SELECT leaf, sum(n) AS size FROM same GROUP BY leaf),
 kept AS (
   SELECT leaf, place, token FROM toks JOIN sized USING (leaf) WHERE token <> '<*>'
-  GROUP BY leaf, place, token, size HAVING sum(n) >= 10 OR 2 * sum(n) > size
+  GROUP BY leaf, place, token, size HAVING 2 * sum(n) > size
 ), named AS (
   SELECT leaf, masked, string_agg(place || ':' || token, ' ' ORDER BY place) AS template, count(*) AS constant
   FROM toks JOIN kept USING (leaf, place, token) GROUP BY leaf, masked
 ), matched AS (
   SELECT l.doc_id, l.line, l.leaf, l.tokens, named.template FROM lines l JOIN named USING (leaf, masked)
   WHERE 100 * constant >= 50 * l.tokens
+  UNION ALL
+  SELECT l.doc_id, l.line, l.leaf, l.tokens, 'line ' || l.masked FROM lines l JOIN same USING (leaf, masked)
+  WHERE n >= 10 AND 100 * len(list_filter(l.toks, lambda t: t <> '<*>')) >= 50 * l.tokens
 ), often AS (
   SELECT leaf, template, min(doc_id) AS first FROM matched
   GROUP BY leaf, template, tokens HAVING count(DISTINCT doc_id) >= CASE WHEN tokens >= 51 THEN 2 ELSE 10 END
+), near AS (
+  SELECT l.*, nth - row_number() OVER (PARTITION BY doc_id ORDER BY line) AS stretch FROM lines l SEMI JOIN leaves USING (leaf)
+), offsets AS (
+  SELECT *, sum(tokens) OVER (PARTITION BY doc_id, stretch ORDER BY line) AS finish FROM near
+), runs AS (
+  SELECT a.doc_id, a.line AS start, list(b.masked ORDER BY b.line) AS passage, list(b.line) AS run_lines
+  FROM offsets a JOIN offsets b ON a.doc_id = b.doc_id AND a.stretch = b.stretch
+    AND b.finish - b.tokens BETWEEN a.finish - a.tokens AND a.finish - a.tokens + 50
+  GROUP BY a.doc_id, a.line HAVING sum(b.tokens) >= 51
+  UNION ALL
+  SELECT a.doc_id, a.line, list(b.masked ORDER BY b.line), list(b.line)
+  FROM offsets a JOIN offsets b ON a.doc_id = b.doc_id AND a.stretch = b.stretch AND b.finish BETWEEN a.finish - 50 AND a.finish
+  GROUP BY a.doc_id, a.line HAVING sum(b.tokens) >= 51
+), again AS (
+  SELECT passage, min(doc_id) AS first FROM runs GROUP BY passage HAVING count(DISTINCT doc_id) > 1
 ), cuts AS (
-  SELECT DISTINCT doc_id, line FROM matched JOIN often USING (leaf, template) WHERE doc_id <> first
+  SELECT doc_id, line FROM matched JOIN often USING (leaf, template) WHERE doc_id <> first
+  UNION
+  SELECT doc_id, unnest(run_lines) FROM runs JOIN again USING (passage) WHERE doc_id <> first
 ), left_over AS (
   SELECT doc_id, count(*) FILTER (WHERE cuts.line IS NOT NULL) AS n_dropped,
     string_agg(raw, chr(10) ORDER BY raw.line) FILTER (WHERE cuts.line IS NULL) AS kept

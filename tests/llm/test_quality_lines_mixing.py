@@ -85,6 +85,49 @@ def test_words_that_vary_are_fields(spark, docs, prose):
     assert sorted(r.n_dropped for r in found) == [0] + [1] * 13
 
 
+def cleaned(spark, texts):
+    docs = [{"doc_id": i, "text": t, "lang": "en", "source": "s", "n_chars": len(t)} for i, t in enumerate(texts)]
+    found = line_templates.cleaned(spark.createDataFrame(docs)).select("doc.doc_id", "text", "n_lines", "n_dropped").collect()
+    same(found, brute.sql("op2_line_templates", docs), "doc_id", "text", "n_lines", "n_dropped")
+    return {r.doc_id: r.text for r in found}
+
+
+def test_passages_of_several_lines(spark, prose):
+    passage = "\n".join(["", prose(900, 20), prose(901, 20), "", "ok", prose(902, 20), prose(903, 5)])
+    short = f"{prose(904, 20)}\n{prose(905, 20)}"
+    texts = [prose(i, 60, 3) for i in range(12)]
+    texts[2] += passage
+    texts[7] = texts[7] + passage + "\n" + prose(99, 30)
+    texts[4], texts[9] = f"{texts[4]}\n{short}", f"{texts[9]}\n{short}"
+    found = cleaned(spark, texts)
+    assert passage in found[2] and not any(prose(s, n) in found[7] for s, n in ((900, 20), (901, 20), (902, 20), (903, 5)))
+    assert found[7].endswith(prose(99, 30)) and "\nok" in found[7]
+    assert short in found[4] and short in found[9]  # no more than 40 words recur
+    assert all(found[i] == texts[i] for i in range(12) if i != 7)
+
+
+def test_lines_that_recur_apart_are_no_passage(spark, prose):
+    first, second = prose(910, 30), prose(911, 30)
+    texts = [f"{first}\n{prose(i, 40)}\n{second}" if i % 2 else f"{second}\n{prose(i, 40)}\n{first}" for i in range(8)]
+    assert cleaned(spark, texts) == dict(enumerate(texts))
+
+
+def test_an_equal_long_line_goes_whatever_its_leaf(spark, prose):
+    def line(seed):
+        return "Read all about it " + prose(seed, 60)
+
+    texts = [f"{prose(i, 30)}\n{line(1000 + i // 2)}" for i in range(20)]
+    found = cleaned(spark, texts)
+    assert all((line(1000 + i // 2) in found[i]) == (i % 2 == 0) for i in range(20))
+
+
+def test_templates_do_not_hang_on_the_size_of_the_corpus(spark, prose):
+    """Each value of a varying word is on many lines; the template still is one."""
+    texts = [f"{prose(i, 30)}\nNew user today is {'abc'[i % 3] * 3} and {'xyz'[i // 3 % 3] * 3} says welcome" for i in range(90)]
+    found = cleaned(spark, texts)
+    assert sum("New user today" in t for t in found.values()) == 1
+
+
 def test_lines_of_odd_rows(odd):
     rows = line_templates.cleaned(odd).select("doc.*", "n_lines", "n_dropped").collect()
     assert len(rows) == odd.count() and {r.n_dropped for r in rows} == {0}
