@@ -20,14 +20,17 @@ line once, with its count. Texts themselves are shuffled once, to get their cuts
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.text import GAP, let, row_of, stored, text_of, whole, with_text
+from tallyhouse.llm.text import GAP, WORD, let, row_of, stored, text_of, whole, with_text
 
 FIELD = "<*>"
 BROADCAST_LEAVES = 1_000_000  # 8 MB of keys
+# A token with a digit; possessive, so that no token is gone back over.
+DIGIT_WORD = r"[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 
 
 @dataclass(frozen=True)
@@ -45,8 +48,10 @@ def lines_of(text: Column) -> Column:
 
 def masked(line: Column) -> Column:
     """Tokens with a digit as fields, white space as single spaces."""
-    digits = F.regexp_replace(line, r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", FIELD)
-    return F.trim(F.regexp_replace(F.when(line.rlike("[0-9]"), digits).otherwise(line), GAP, " "))
+    digits = F.when(line.rlike("[0-9]"), F.regexp_replace(line, DIGIT_WORD, FIELD)).otherwise(line)
+    # Most lines have single spaces only: looking for others costs less than replacing every gap.
+    wide = reduce(Column.__or__, [F.contains(line, F.lit(gap)) for gap in ("  ", "\t", "\x0b", "\x0c", "\r")])
+    return F.trim(F.when(wide, F.regexp_replace(digits, GAP, " ")).otherwise(digits))
 
 
 def _lines(rows: DataFrame, rules: Rules, *fields: str) -> DataFrame:
@@ -175,14 +180,18 @@ def cleaned(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     rows = whole(docs).withColumn("row", row_of("doc.doc_id", "doc.text"))
     slim = rows.select("row", F.col("doc.doc_id").cast("bigint").alias("doc_id"), text_of(F.col("doc.text")).alias("text"))
     cuts = stored(recurring(slim, rules), "cuts")
-    # Cuts grow with the documents, so they are shuffled at every size.
-    joined = rows.join(cuts.hint("merge"), F.col("row") == F.col("cut_row"), "left")
-    lines = lines_of(text_of(F.col("doc.text")))
-    last = F.size(lines) - 1
-    left = F.transform(F.array_except(F.sequence(F.lit(0), last), "cut"), lambda i: F.get(F.col("lines"), i))
-    text = F.when(F.col("cut").isNull(), F.col("doc.text")).otherwise(F.array_join(left, "\n"))
-    return joined.withColumn("lines", F.when(F.col("cut").isNotNull(), lines)).select(
-        "doc", text.alias("text"), F.when(F.col("doc.text").isNull(), 0).otherwise(F.size(lines)).cast("bigint").alias("n_lines"),
+    # Cuts grow with the documents, so they are shuffled at every size; texts are not sorted for them.
+    joined = rows.join(cuts.hint("shuffle_hash"), F.col("row") == F.col("cut_row"), "left")
+    text = text_of(F.col("doc.text"))
+
+    def shortened(lines: Column) -> Column:
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "cut")
+        return F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+
+    n_lines = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"))) + 1
+    return joined.select(
+        "doc", F.when(F.col("cut").isNull(), F.col("doc.text")).otherwise(let(lines_of(text), shortened)).alias("text"),
+        F.when(F.col("doc.text").isNull(), 0).otherwise(n_lines).cast("bigint").alias("n_lines"),
         F.coalesce(F.size("cut"), F.lit(0)).cast("bigint").alias("n_dropped"),
     )
 
@@ -190,5 +199,6 @@ def cleaned(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 def without_recurring(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """`docs` with recurring lines cut from their texts; documents that had nothing else are gone."""
     found = cleaned(docs, rules)
-    left = (F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    return found.where(left).select(*with_text(docs.columns, F.col("text")))
+    # As a list that is empty or has the text, so that Spark does not cut a text twice, for the filter and for the result.
+    left = F.filter(F.array("text"), lambda text: (F.col("n_dropped") == 0) | text.rlike(WORD))
+    return found.select("doc", F.explode(left).alias("text")).select(*with_text(docs.columns, F.col("text")))

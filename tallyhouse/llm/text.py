@@ -12,6 +12,8 @@ from tallyhouse.session import scratch_root
 
 # What separates words: the ASCII space and the control characters HT, LF, VT, FF, CR.
 GAP = r"[\x20\x09-\x0D]+"
+WORD = r"[^\x20\x09-\x0D]"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch(spark: SparkSession, label: str) -> str:
@@ -23,11 +25,17 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     """`rows` written once to the shared folder and read back.
 
     This cuts the lineage: a lost executor costs the tasks it ran, not the stages
-    before, and what reads the result twice does not compute it twice.
+    before, and what reads the result twice does not compute it twice. Nothing reads the
+    shuffles again, so their files go as soon as the rows are written.
     """
     spark = rows.sparkSession
     path = scratch(spark, label)
-    rows.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        rows.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(rows.schema).parquet(path)
 
 

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 import re
+import time
+from pathlib import Path
 
 import brute
 import corpus_pipeline
@@ -10,6 +12,7 @@ import pyarrow.parquet as pq
 from tokenizers import Tokenizer
 
 from tallyhouse.llm.queries import tokenizer
+from tallyhouse.llm.text import CLEANUP, stored
 
 
 def corpus(prose) -> list[dict]:
@@ -68,3 +71,17 @@ def test_registered(spark):
 
     names = [q for q in contract.queries() if re.match(r"op\d+_|pipeline$", q)]
     assert len(names) == 14 and set(contract.oracle_sql()) & set(names) == {f for f in names if f.split("_")[0] in ("op1", "op2", "op4", "op9", "op10", "op11", "op12")}
+
+
+def test_a_stored_step_leaves_no_shuffle_files(spark):
+    def files() -> set[str]:
+        folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {str(p) for d in folders for p in Path(d.getPath()).rglob("shuffle_*.data")}
+
+    before, setting = files(), spark.conf.get(CLEANUP, None)
+    stored(spark.range(1000).repartition(4).groupBy("id").count(), "step")
+    for _ in range(40):  # files are removed aside
+        if not (left := files() - before):
+            break
+        time.sleep(0.25)
+    assert not left and spark.conf.get(CLEANUP, None) == setting

@@ -179,3 +179,9 @@ def test_mixing_of_odd_rows(odd):
 def test_a_source_without_words_takes_nothing(docs):
     rows = mix(docs((1, "", "en", "a"), (2, "x y z", "en", "b"))).collect()
     assert {r.source: r.target for r in rows} == {"a": 0.0, "b": 4.5}
+
+
+def test_a_text_is_cut_once_and_not_sorted(docs):
+    plan = line_templates.without_recurring(docs("one line", "another"))._jdf.queryExecution()
+    assert plan.optimizedPlan().toString().count("array_except") == 1
+    assert "ShuffledHashJoin" in plan.executedPlan().toString()
