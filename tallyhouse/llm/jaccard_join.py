@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.components import components
 from tallyhouse.llm.phrases import MULTIPLY, mixed
 from tallyhouse.llm.shingles import shingle_sets
-from tallyhouse.llm.text import GAP, row_of, stored, text_of, whole
+from tallyhouse.llm.text import WORD, row_of, stored, text_of, whole
 
 CLASS_RATIO = 1.75
 BROADCAST_KEYS = 1_000_000  # 8 MB of keys
@@ -210,7 +210,7 @@ MEASURE = pa.struct([("linked", pa.bool_()), ("first", pa.list_(pa.int64()))])
 
 def _distances(texts: pa.Array, pivots: pa.Array, rule: Rule) -> pa.Array:
     """Whether a pair is linked, and the differences from the pivot that come first."""
-    found = []
+    linked_to, first = [], []
     both = _sets(pa.concat_arrays([texts, pivots]), rule.width)
     for own, pivot in zip(both, both[len(texts) :]):
         added = np.setdiff1d(own, pivot, assume_unique=True)
@@ -225,9 +225,11 @@ def _distances(texts: pa.Array, pivots: pa.Array, rule: Rule) -> pa.Array:
         else:  # its partner is no nearer to the pivot than far - most
             shared = far - most
         count = far - max(1, shared) + 1
-        first = np.concatenate([added, omitted ^ MULTIPLY])[: max(0, count)]
-        found.append({"linked": linked, "first": first.view(np.int64).tolist()})
-    return pa.array(found, MEASURE)
+        linked_to.append(linked)
+        first.append(np.concatenate([added, omitted ^ MULTIPLY])[: max(0, count)].view(np.int64))
+    ends = np.cumsum([0, *map(len, first)])
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), np.concatenate([np.empty(0, np.int64), *first]))
+    return pa.StructArray.from_arrays([pa.array(linked_to, pa.bool_()), lists], fields=list(MEASURE))
 
 
 def windows(distances: np.ndarray, sizes: np.ndarray, rule: Rule) -> np.ndarray:
@@ -337,12 +339,17 @@ def links(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
         small = (F.col("n") <= SMALL_SETS) & (F.col("all_bytes") <= SMALL_BYTES)
         known = stored(members.join(size, F.col("region") == F.col("of_region")).withColumn("small", small).drop("of_region"), "known")
         direct = known.where("small and n > 1").select("region", "key")
+        direct = F.broadcast(direct) if direct.count() <= BROADCAST_KEYS else direct
         direct = direct.join(texts, F.col("key") == F.col("text_key")).select("region", "key", "text")
         gathered = direct.repartition("region").sortWithinPartitions("region")
         found.append(stored(gathered.mapInArrow(compare, "a bigint, b bigint"), "links"))
 
         placed = known.where("not small and key <> pivot").select("region", "key", "agree", "bytes", "pivot")
-        pairs = placed.select("key", "pivot").distinct()
+        if placed.isEmpty():
+            break
+        # What follows, later rounds included, needs the texts of these regions only.
+        pairs = stored(placed.select("key", "pivot").distinct(), "pairs")
+        texts = stored(_of_keys(texts, pairs.select("key").union(pairs.select("pivot")).distinct()), "texts")
         own = pairs.join(texts, F.col("key") == F.col("text_key")).select("key", "pivot", F.col("text").alias("own"))
         faced = own.join(texts, F.col("pivot") == F.col("text_key")).select(
             F.col("key").alias("a"), F.col("pivot").alias("b"), measure("own", "text").alias("m")
@@ -389,16 +396,34 @@ def _distinct(docs: DataFrame, sets: DataFrame) -> DataFrame:
     return docs.join(rows, row_of("doc_id", "text") == F.col("first_row"), "left_semi")
 
 
+def _of_keys(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows (text_key, text) of `keys` (key)."""
+    keys = stored(keys.select(F.col("key").alias("of_key")), "keys")
+    # A checked size decides; beyond it Spark shuffles both sides.
+    keys = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+    return texts.join(keys, F.col("text_key") == F.col("of_key"), "left_semi")
+
+
 def _texts(docs: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
     """One text of every set that has a region: text_key, text."""
     wanted = members.select(F.col("key").alias("wanted")).distinct()
-    first = sets.groupBy("key").agg(F.min("row").alias("row"))
-    rows = stored(first.join(wanted, F.col("key") == F.col("wanted"), "left_semi").select("key", F.col("row").alias("first_row")), "first")
+    rows = sets.groupBy("key", "row").agg(F.count("*").alias("times"))
+    first = rows.groupBy("key").agg(F.min(F.struct("row", "times")).alias("first"))
+    first = first.join(wanted, F.col("key") == F.col("wanted"), "left_semi")
+    first = stored(first.select("key", F.col("first.row").alias("first_row"), F.col("first.times").alias("times")), "first")
     # A checked size decides; beyond it Spark shuffles both sides by row.
-    rows = F.broadcast(rows) if rows.count() <= BROADCAST_KEYS else rows
+    few = first.count() <= BROADCAST_KEYS
     numbered = docs.select(row_of("doc_id", "text").alias("row"), text_of(F.col("text")).cast("binary").alias("text"))
-    found = numbered.join(rows, F.col("row") == F.col("first_row")).select(F.col("key").alias("text_key"), "text")
-    return stored(found.dropDuplicates(["text_key"]), "texts")
+
+    def found(rows: DataFrame) -> DataFrame:
+        rows = F.broadcast(rows) if few else rows
+        return numbered.join(rows, F.col("row") == F.col("first_row")).select(F.col("key").alias("text_key"), "text")
+
+    # Only texts of rows that come more than once have to meet, so that one of them stays.
+    again = first.where("times > 1")
+    if again.isEmpty():
+        return stored(found(first), "texts")
+    return stored(found(first.where("times = 1")).unionByName(found(again).dropDuplicates(["text_key"])), "texts")
 
 
 def grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
@@ -448,7 +473,7 @@ def representatives(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     least = joined.groupBy(F.coalesce("component", "key").alias("group")).agg(F.min(order)["row"].alias("kept_row"))
     kept = stored(least.select("kept_row"), "kept")
     rows = whole(docs).withColumn("row", row_of("doc.doc_id", "doc.text"))
-    wordless = F.coalesce(F.regexp_replace(F.col("doc.text"), GAP, ""), F.lit("")) == ""
+    wordless = ~F.coalesce(F.col("doc.text").rlike(WORD), F.lit(False))
     chosen = rows.where(~wordless).join(kept.hint("merge"), F.col("row") == F.col("kept_row"), "left_semi")
     chosen = chosen.dropDuplicates(["row"])
     return chosen.unionByName(rows.where(wordless)).select("doc.*")

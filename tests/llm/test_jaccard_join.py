@@ -8,6 +8,7 @@ import pytest
 from tallyhouse.llm import jaccard_join as jj
 from tallyhouse.llm.components import components
 from tallyhouse.llm.shingles import shingle_sets
+from tallyhouse.llm.text import stored
 import brute
 
 
@@ -118,3 +119,21 @@ def test_windows_prune_pairs_and_lose_no_link(prose, columns, monkeypatch):
     ends = jj.windows(distances[order], np.array([len(s) for s in sets])[order], rule)
     compared, pairs = sum(max(0, e - i - 1) for i, e in enumerate(ends)), len(texts) * (len(texts) - 1) // 2
     assert compared < 0.5 * pairs
+
+
+def test_texts_meet_only_where_rows_repeat(docs, prose, monkeypatch):
+    plans = []
+
+    def recorded(rows, label):
+        if label == "texts":
+            plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return stored(rows, label)
+
+    monkeypatch.setattr(jj, "stored", recorded)
+    texts = copies(prose, 6, 60, 12, 2)
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)]
+    expected = dict(enumerate(brute.components(texts, 3, 90)))
+    for more in ([], rows[:5] + rows[:3]):
+        found = jj.classed(docs(*rows, *more), jj.Rule(3, 90)).collect()
+        assert len(found) == len(rows) + len(more) and {r.doc_id: r.component_id for r in found} == expected
+    assert "Exchange hashpartitioning(text_key" not in plans[0] and "Exchange hashpartitioning(text_key" in plans[-1]
