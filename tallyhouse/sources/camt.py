@@ -37,11 +37,11 @@ ENTRY = (
 
 
 def _open(tag: str) -> str:
-    return rf"<(?:\w+:)?{tag}(?:\s[^<>]*)?>"
+    return rf"<(?:\w++:)?{tag}(?:\s[^<>]*+)?>"
 
 
 def _close(tag: str) -> str:
-    return rf"</(?:\w+:)?{tag}\s*>"
+    return rf"</(?:\w++:)?{tag}\s*+>"
 
 
 def _texts(xml: Column, tag: str) -> Column:
@@ -88,13 +88,17 @@ def account_number(account: Column) -> Column:
 
 def _opening(header: Column, tag: str) -> Column:
     """What the text between two entries does to the open statement: its account, or that it is closed; null if nothing."""
-    parts = F.split(header, _open(tag))
-    last = F.element_at(parts, -1)
-    account = F.regexp_extract(last, rf"(?s){_open('Acct')}(.*?){_close('Acct')}", 1)
-    opened = F.struct(F.lit(True).alias("open"), account.alias("account"))
-    closed = F.struct(F.lit(False).alias("open"), F.lit("").alias("account"))
-    ended = last.rlike(_close(tag))
-    return F.when((F.size(parts) > 1) & ~ended, opened).when(ended, closed)
+
+    def state(parts: Column) -> Column:
+        last = F.element_at(parts, -1)
+        account = F.regexp_extract(last, rf"(?s){_open('Acct')}(.*?){_close('Acct')}", 1)
+        opened = F.struct(F.lit(True).alias("open"), account.alias("account"))
+        closed = F.struct(F.lit(False).alias("open"), F.lit("").alias("account"))
+        ended = last.rlike(_close(tag))
+        return F.when((F.size(parts) > 1) & ~ended, opened).when(ended, closed)
+
+    # As a list of one, so that a header is split once; most have no such tag at all.
+    return F.when(F.contains(header, F.lit(tag)), F.transform(F.array(F.split(header, _open(tag))), state)[0])
 
 
 def read_statements(spark: SparkSession, paths: Sequence[str], kind: str) -> DataFrame:
@@ -105,13 +109,15 @@ def read_statements(spark: SparkSession, paths: Sequence[str], kind: str) -> Dat
         _without_sections(F.col("value")).alias("xml"), F.col("_metadata.file_path").alias("__path"),
         F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__row"),
     )
-    entry = F.col("xml").rlike(r"</(?:\w+:)?$")
-    parts = F.split(F.col("xml"), _open("Ntry"))  # more than one where the tag has attributes
-    header = F.when(~entry, F.col("xml")).when(F.size(parts) > 1, parts[0])
-    pieces = pieces.select(
-        *PLACE, _opening(header, tag).alias("opening"),
-        F.when(entry, F.regexp_replace(F.element_at(parts, -1), r"</(?:\w+:)?$", "")).alias("__entry"),
-    )
+    xml, begun = F.col("xml"), r"^/(?:\w++:)?$"
+    tail = F.substring_index(xml, "<", -1)  # what is short is looked at, not the whole piece
+    entry = F.contains(xml, F.lit("<")) & tail.rlike(begun)
+    attributes = xml.rlike(r"Ntry[\s>]")
+    parts = F.split(xml, _open("Ntry"))  # more than one where the tag has attributes
+    header = F.when(~entry, xml).when(attributes & (F.size(parts) > 1), parts[0])
+    text = F.when(attributes, F.element_at(parts, -1)).otherwise(xml)
+    inside = F.concat(F.left(text, F.length(text) - F.length(tail) - 1), F.regexp_replace(tail, begun, ""))
+    pieces = pieces.select(*PLACE, _opening(header, tag).alias("opening"), F.when(entry, inside).alias("__entry"))
     of_block = pieces.groupBy("__path", "__block").agg(
         F.max_by("opening", F.when(F.col("opening").isNotNull(), F.col("__row"))).alias("last")
     )

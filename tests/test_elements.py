@@ -201,3 +201,8 @@ def test_staging_keeps_refused_records(spark, tmp_path):
     assert [r.source_event_id for r in warehouse.staging("dbo_events_raw", batch).collect()] == ["1"]
     assert "raw_text" not in warehouse.staging("dbo_events_raw", batch).columns
     assert staged(warehouse.staging("dbo_events_raw", batch), "dbo_events_raw", 2, NOW).columns.count("reject_reason") == 1
+
+
+def test_a_header_is_split_once(spark):
+    header = spark.createDataFrame([("x",)], "header string").select(camt._opening(F.col("header"), "Stmt").alias("o"))
+    assert header._jdf.queryExecution().analyzed().toString().count("split(") == 1
