@@ -32,6 +32,7 @@ from tallyhouse.llm.text import text_of
 CACHED_CHUNKS = 500_000  # in each of two generations
 CACHED_MERGED = 300_000  # the same for `Merges`, where a miss costs little
 GROUP_BYTES = 4 << 20
+TRIE_WORDS = 8192  # of one walk; a node is a dictionary, so all words of a batch would be 100 MB
 NEVER = 1 << 60
 KNOWN_PAIRS = 300_000
 # Chunks of these characters only are cut here by the file's own splitting rule; they
@@ -129,13 +130,24 @@ class Vocabulary:
         return row
 
     def encode(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
-        """Packed token ids of every distinct word, from one walk over their trie.
+        """Packed token ids of every distinct word.
+
+        Words that share a prefix are neighbours in order, so a part of that order at a
+        time shares nearly as much as all of it, and its trie stays small.
+        """
+        ordered, found = sorted(words), {}
+        for at in range(0, len(ordered), TRIE_WORDS):
+            found.update(self._walked(ordered[at : at + TRIE_WORDS]))
+        return found
+
+    def _walked(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Encodings from one walk over the trie of sorted words.
 
         A node carries the tokens that could still end below it: where each starts and
         how far it has been followed in the trie of all tokens.
         """
         root: dict = {}
-        for word in sorted(words):  # neighbours in the trie are neighbours in memory
+        for word in words:  # neighbours in the trie are neighbours in memory
             node = root
             for s in word[:-1]:
                 node = node.setdefault(s, {})
@@ -294,6 +306,11 @@ class Encoder:
             if c not in known:
                 known[c] = b"".join([struct.pack("<I", p) if isinstance(p, int) else known[p] for p in parts])
 
+    def forget(self) -> None:
+        """Drop the cached chunks: a worker that waits for its next task is in its executor's memory."""
+        self.chunks, self.older = {}, {}
+        pa.default_memory_pool().release_unused()
+
     def batch(self, texts: list[bytes]) -> list[bytes]:
         if isinstance(self.words, Vocabulary):
             return self.by_chunks(texts)
@@ -424,10 +441,14 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     some megabytes. Columns that already have one of the new names are replaced.
     """
 
-    def run(texts: pa.Array) -> pa.Array:
-        ids = encoder(path).batch([t or b"" for t in texts.to_pylist()])
-        columns = [pa.array(v, pa.binary()) for v in (ids, decoded(ids, path))]
-        return pa.StructArray.from_arrays(columns, names=["ids", "decoded"])
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            for texts in batches:
+                ids = encoder(path).batch([t or b"" for t in texts.to_pylist()])
+                columns = [pa.array(v, pa.binary()) for v in (ids, decoded(ids, path))]
+                yield pa.StructArray.from_arrays(columns, names=["ids", "decoded"])
+        finally:
+            encoder(path).forget()
 
     # One function for both ways, so that a task keeps one vocabulary cache.
     both = F.arrow_udf(run, "struct<ids: binary, decoded: binary>")

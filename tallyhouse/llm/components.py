@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.text import stored
+from tallyhouse.llm.text import narrow, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,9 +16,9 @@ def components(links: DataFrame) -> DataFrame:
     distances to the roots. Only a count and a checksum reach the driver.
     """
     pairs = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    pairs, mark = stored(pairs, "links"), None
+    pairs, mark = stored(narrow(pairs), "links"), None
     while True:
-        pairs = stored(_small_star(_large_star(pairs)), "links")
+        pairs = stored(narrow(_small_star(_large_star(pairs))), "links")
         seen = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == mark:
             break

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.components import components
 from tallyhouse.llm.phrases import MULTIPLY, mixed
 from tallyhouse.llm.shingles import shingle_sets
-from tallyhouse.llm.text import WORD, row_of, stored, text_of, whole
+from tallyhouse.llm.text import WORD, narrow, row_of, stored, text_of, whole
 
 CLASS_RATIO = 1.75
 BROADCAST_KEYS = 1_000_000  # 8 MB of keys
@@ -327,7 +327,7 @@ def links(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     # original agrees with more than its edited copies do.
     agree = together.groupBy("key").agg(F.sum("n").alias("agree")).withColumnRenamed("key", "agree_key")
     scored = together.join(agree, F.col("key") == F.col("agree_key")).select(F.col("sig").alias("group"), "key", "agree")
-    members = stored(_chosen(scored), "regions")
+    members = stored(narrow(_chosen(scored)), "regions")
     texts = _texts(docs, sets, members)
     members = members.join(texts.select("text_key", F.octet_length("text").alias("bytes")), F.col("key") == F.col("text_key"))
     members = members.drop("text_key")
@@ -337,7 +337,7 @@ def links(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
             F.count("*").alias("n"), F.sum("bytes").alias("all_bytes"), F.max(F.struct("agree", "key"))["key"].alias("pivot")
         )
         small = (F.col("n") <= SMALL_SETS) & (F.col("all_bytes") <= SMALL_BYTES)
-        known = stored(members.join(size, F.col("region") == F.col("of_region")).withColumn("small", small).drop("of_region"), "known")
+        known = stored(narrow(members.join(size, F.col("region") == F.col("of_region")).withColumn("small", small).drop("of_region")), "known")
         direct = known.where("small and n > 1").select("region", "key")
         direct = F.broadcast(direct) if direct.count() <= BROADCAST_KEYS else direct
         direct = direct.join(texts, F.col("key") == F.col("text_key")).select("region", "key", "text")
@@ -348,7 +348,7 @@ def links(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
         if placed.isEmpty():
             break
         # What follows, later rounds included, needs the texts of these regions only.
-        pairs = stored(placed.select("key", "pivot").distinct(), "pairs")
+        pairs = stored(narrow(placed.select("key", "pivot").distinct()), "pairs")
         texts = stored(_of_keys(texts, pairs.select("key").union(pairs.select("pivot")).distinct()), "texts")
         own = pairs.join(texts, F.col("key") == F.col("text_key")).select("key", "pivot", F.col("text").alias("own"))
         faced = own.join(texts, F.col("pivot") == F.col("text_key")).select(
@@ -356,7 +356,7 @@ def links(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
         )
         measured = stored(faced.select("a", "b", "m.linked", "m.first"), "measured")
         found.append(measured.where("linked").select("a", "b"))
-        members = stored(_next_regions(placed, measured), "regions")
+        members = stored(narrow(_next_regions(placed, measured)), "regions")
     every = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
     for more in found:
         every = every.unionByName(more)
@@ -381,7 +381,7 @@ def _next_regions(placed: DataFrame, measured: DataFrame) -> DataFrame:
     leads = rows.select("region", "key", "agree", "bytes", "linked", F.explode("first").alias("lead")).select(
         F.xxhash64("region", "lead").alias("group"), F.col("region").alias("within"), "key", "agree", "bytes", "linked"
     )
-    leads = stored(leads, "leads")
+    leads = stored(narrow(leads), "leads")
     # A group is worth going on with if two different sets meet, one of them outer.
     worth = leads.groupBy(F.col("group").alias("of")).agg(
         F.min("key").alias("low"), F.max("key").alias("high"), F.max(~F.col("linked")).alias("outer")
@@ -391,14 +391,14 @@ def _next_regions(placed: DataFrame, measured: DataFrame) -> DataFrame:
 
 def _distinct(docs: DataFrame, sets: DataFrame) -> DataFrame:
     """One row of every set; more only where a whole row is repeated."""
-    rows = stored(sets.groupBy("key").agg(F.min("row").alias("first_row")).select("first_row"), "first")
+    rows = stored(narrow(sets.groupBy("key").agg(F.min("row").alias("first_row")).select("first_row")), "first")
     rows = F.broadcast(rows) if rows.count() <= BROADCAST_KEYS else rows
     return docs.join(rows, row_of("doc_id", "text") == F.col("first_row"), "left_semi")
 
 
 def _of_keys(texts: DataFrame, keys: DataFrame) -> DataFrame:
     """The rows (text_key, text) of `keys` (key)."""
-    keys = stored(keys.select(F.col("key").alias("of_key")), "keys")
+    keys = stored(narrow(keys.select(F.col("key").alias("of_key"))), "keys")
     # A checked size decides; beyond it Spark shuffles both sides.
     keys = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
     return texts.join(keys, F.col("text_key") == F.col("of_key"), "left_semi")
@@ -410,7 +410,7 @@ def _texts(docs: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
     rows = sets.groupBy("key", "row").agg(F.count("*").alias("times"))
     first = rows.groupBy("key").agg(F.min(F.struct("row", "times")).alias("first"))
     first = first.join(wanted, F.col("key") == F.col("wanted"), "left_semi")
-    first = stored(first.select("key", F.col("first.row").alias("first_row"), F.col("first.times").alias("times")), "first")
+    first = stored(narrow(first.select("key", F.col("first.row").alias("first_row"), F.col("first.times").alias("times"))), "first")
     # A checked size decides; beyond it Spark shuffles both sides by row.
     few = first.count() <= BROADCAST_KEYS
     numbered = docs.select(row_of("doc_id", "text").alias("row"), text_of(F.col("text")).cast("binary").alias("text"))
@@ -454,7 +454,7 @@ def classed(docs: DataFrame, rule: Rule) -> DataFrame:
         "key", "least", F.coalesce("component", "key").alias("component")
     )
     names = least.groupBy(F.col("component").alias("of")).agg(F.min("least").alias("component_id"))
-    named = stored(least.join(names, F.col("component") == F.col("of")).select(F.col("key").alias("of_key"), "component_id"), "names")
+    named = stored(narrow(least.join(names, F.col("component") == F.col("of")).select(F.col("key").alias("of_key"), "component_id")), "names")
     return sets.join(named, F.col("key") == F.col("of_key"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
@@ -471,7 +471,7 @@ def representatives(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     joined = sets.where("key is not null").join(found, F.col("key") == F.col("component_key"), "left")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
     least = joined.groupBy(F.coalesce("component", "key").alias("group")).agg(F.min(order)["row"].alias("kept_row"))
-    kept = stored(least.select("kept_row"), "kept")
+    kept = stored(narrow(least.select("kept_row")), "kept")
     rows = whole(docs).withColumn("row", row_of("doc.doc_id", "doc.text"))
     wordless = ~F.coalesce(F.col("doc.text").rlike(WORD), F.lit(False))
     chosen = rows.where(~wordless).join(kept.hint("merge"), F.col("row") == F.col("kept_row"), "left_semi")

@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.text import GAP, WORD, let, row_of, stored, text_of, whole, with_text
+from tallyhouse.llm.text import GAP, WORD, let, narrow, row_of, stored, text_of, whole, with_text
 
 FIELD = "<*>"
 BROADCAST_LEAVES = 1_000_000  # 8 MB of keys
@@ -77,7 +77,7 @@ def _lines(rows: DataFrame, rules: Rules, *fields: str) -> DataFrame:
 def _shared(slim: DataFrame) -> DataFrame:
     """Leaves that more than one row reaches."""
     leaves = slim.groupBy("leaf").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low <> high").select("leaf")
-    leaves = stored(leaves.withColumnRenamed("leaf", "of_leaf"), "leaves")
+    leaves = stored(narrow(leaves.withColumnRenamed("leaf", "of_leaf")), "leaves")
     # A checked size decides; beyond it both sides are shuffled.
     return F.broadcast(leaves) if leaves.count() <= BROADCAST_LEAVES else leaves
 
@@ -108,7 +108,7 @@ def _passages(near: DataFrame, rules: Rules) -> DataFrame:
     first = runs.groupBy(F.col("passage").alias("of")).agg(
         F.min("row").alias("low"), F.max("row").alias("high"), F.min(_owner())["row"].alias("first_row")
     ).where("low <> high").select("of", "first_row")
-    again = runs.join(stored(first, "recurring"), F.col("passage") == F.col("of")).where("row <> first_row")
+    again = runs.join(stored(narrow(first), "recurring"), F.col("passage") == F.col("of")).where("row <> first_row")
     return again.select("row", F.explode("lines").alias("line"))
 
 
@@ -124,7 +124,7 @@ def _templates(rows: DataFrame, chosen: DataFrame, rules: Rules) -> DataFrame:
         .groupBy("leaf", "same", "masked", "tokens").agg(F.count("*").alias("n")), "distinct-lines",
     )
     size = stored(
-        distinct.groupBy(F.col("leaf").alias("size_leaf")).agg(F.sum("n").alias("size"), F.count("*").alias("different")), "sizes"
+        narrow(distinct.groupBy(F.col("leaf").alias("size_leaf")).agg(F.sum("n").alias("size"), F.count("*").alias("different"))), "sizes"
     )
     sized = distinct.join(size, F.col("leaf") == F.col("size_leaf"))
     # Where all lines are the same, all their tokens are kept.
@@ -155,8 +155,8 @@ def recurring(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
     near = stored(slim.join(chosen, F.col("leaf") == F.col("of_leaf"), "left_semi"), "near")
     templates = _templates(rows, chosen, rules).withColumnsRenamed({"leaf": "t_leaf", "same": "t_same"})
     matched = stored(
-        near.join(templates, (F.col("leaf") == F.col("t_leaf")) & (F.col("same") == F.col("t_same")))
-        .select("row", "doc_id", "line", "template", "tokens"), "matched",
+        narrow(near.join(templates, (F.col("leaf") == F.col("t_leaf")) & (F.col("same") == F.col("t_same")))
+        .select("row", "doc_id", "line", "template", "tokens")), "matched",
     )
     once = matched.groupBy("template", "row").agg(F.min(_owner()).alias("owner"), F.max("tokens").alias("tokens"))
     stats = once.groupBy(F.col("template").alias("of")).agg(
@@ -179,7 +179,7 @@ def cleaned(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """
     rows = whole(docs).withColumn("row", row_of("doc.doc_id", "doc.text"))
     slim = rows.select("row", F.col("doc.doc_id").cast("bigint").alias("doc_id"), text_of(F.col("doc.text")).alias("text"))
-    cuts = stored(recurring(slim, rules), "cuts")
+    cuts = stored(narrow(recurring(slim, rules)), "cuts")
     # Cuts grow with the documents, so they are shuffled at every size; texts are not sorted for them.
     joined = rows.join(cuts.hint("shuffle_hash"), F.col("row") == F.col("cut_row"), "left")
     text = text_of(F.col("doc.text"))

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.text import GAP, stored, text_of, whole, with_text, words_of
+from tallyhouse.llm.text import GAP, narrow, stored, text_of, whole, with_text, words_of
 
 WEIGHTS = (5, 2, 1)
 SHARE_PERCENT = 150
@@ -61,10 +61,10 @@ def targets(
     summed = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
     sources = stored(
-        ranked(summed).select(
+        narrow(ranked(summed).select(
             "source", "source_size", weight.cast("double").alias("weight"),
             (F.lit(epochs) * F.col("source_size")).alias("most"),
-        ), "weights",
+        )), "weights",
     )
     budget = (sources.agg(F.sum("source_size")).first()[0] or 0) * share_percent / 100
     # Shares only grow from round to round, so a clamped source stays clamped, and
@@ -108,7 +108,7 @@ def mixed(
     texts and the seed alone, so reruns agree. An empty table gives no rows.
     """
     bucket = F.substring("draw", 1, BUCKET_DIGITS)
-    by_bucket = stored(rows.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("size")), "buckets")
+    by_bucket = stored(narrow(rows.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("size"))), "buckets")
     goal = targets(by_bucket, weights, share_percent, epochs)
     # An empty source repeats nothing, which is 0 words like everything it could repeat.
     repeats = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
@@ -119,9 +119,9 @@ def mixed(
     starts = by_bucket.select("source", "bucket", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
     reached = F.col("before") < F.col("rest")
     goal = stored(
-        goal.join(starts, F.col("source").eqNullSafe(F.col("goal_source"))).groupBy(
+        narrow(goal.join(starts, F.col("source").eqNullSafe(F.col("goal_source"))).groupBy(
             "goal_source", "source_size", "target", "repeats", "rest"
-        ).agg(F.max(F.when(reached, F.col("bucket"))).alias("edge"), F.max(F.when(reached, F.col("before"))).alias("before")),
+        ).agg(F.max(F.when(reached, F.col("bucket"))).alias("edge"), F.max(F.when(reached, F.col("before"))).alias("before"))),
         "goals",
     )
     placed = rows.join(goal, F.col("source").eqNullSafe(F.col("goal_source"))).withColumn("bucket", bucket)

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.text import GAP, let, stored, text_of, whole, words_of
+from tallyhouse.llm.text import GAP, let, narrow, stored, text_of, whole, words_of
 
 
 @dataclass(frozen=True)
@@ -182,7 +182,7 @@ def judged(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
         )
 
     joined = whole(docs).join(
-        stored(references(docs, limits), "references"), F.col("doc.lang").cast("string").eqNullSafe(F.col("ref_lang")), "left"
+        stored(narrow(references(docs, limits)), "references"), F.col("doc.lang").cast("string").eqNullSafe(F.col("ref_lang")), "left"
     )
     counts = let(text, lambda t: let(words_of(t), lambda w: let(character_counts(t), lambda c: base(t, w, c))))
     # A generated column is worked out once, also where rows are filtered by it.

@@ -13,6 +13,7 @@ from tallyhouse.session import scratch_root
 # What separates words: the ASCII space and the control characters HT, LF, VT, FF, CR.
 GAP = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
+FILES_A_CORE = 4
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -39,6 +40,15 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def narrow(rows: DataFrame) -> DataFrame:
+    """`rows` of a few numbers, to be stored in few files: a task writes several partitions into one.
+
+    On a local disk a file costs two processes (`chmod` of the file and of its checksum),
+    started out of the executor, which for a moment seems to take its memory twice.
+    """
+    return rows.coalesce(FILES_A_CORE * rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def whole(docs: DataFrame) -> DataFrame:
     """`docs` as one struct column `doc`, so that no column name can clash."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))

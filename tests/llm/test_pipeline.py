@@ -11,8 +11,9 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from tokenizers import Tokenizer
 
+from tallyhouse.llm.components import components
 from tallyhouse.llm.queries import tokenizer
-from tallyhouse.llm.text import CLEANUP, stored
+from tallyhouse.llm.text import CLEANUP, narrow, stored
 
 
 def corpus(prose) -> list[dict]:
@@ -85,3 +86,20 @@ def test_a_stored_step_leaves_no_shuffle_files(spark):
             break
         time.sleep(0.25)
     assert not left and spark.conf.get(CLEANUP, None) == setting
+
+
+def test_narrow_rows_are_stored_in_few_files(spark):
+    settings = {"spark.sql.shuffle.partitions": "211", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        kept = stored(narrow(spark.range(5000).groupBy("id").count()), "narrow")
+        pairs = components(spark.range(1, 2000).selectExpr("id as a", "id - id % 100 as b"))
+        assert pairs.count() == 2000 and pairs.select("root").distinct().count() == 20
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    most = 4 * spark.sparkContext.defaultParallelism
+    assert kept.count() == 5000
+    assert len(kept.inputFiles()) <= most < 211 and len(pairs.inputFiles()) <= most

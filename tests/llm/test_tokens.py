@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import random
 import struct
+import tracemalloc
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -81,3 +83,25 @@ def test_shards_of_odd_rows(odd):
     rows = token_shards.read(token_shards.write(odd, tokenizer())).collect()
     assert [r.doc_id for r in sorted(rows, key=lambda r: r.start)] == [1, 2, 3, 3, 3, 4, 5, None]
     assert token_shards.read(token_shards.write(odd.limit(0), tokenizer())).count() == 0
+
+
+def test_a_walk_does_not_hold_all_words_of_a_batch():
+    rng = random.Random(3)
+    vocabulary = bpe_trie.Vocabulary(tokenizer())
+    words = {"".join(rng.choice("aethinrosb") for _ in range(9)).encode() for _ in range(40_000)}
+    tracemalloc.start()
+    found = vocabulary.encode(words)
+    left, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert found.keys() == words and most - left < 25e6
+
+
+def test_a_worker_keeps_no_chunks_after_its_task(spark, docs, prose):
+    def cached(numbers: pa.Array) -> pa.Array:
+        found = [len(e.chunks) + len(e.older) for (_, trie), e in bpe_trie._loaded.items() if trie]
+        return pa.array([max(found, default=-1)] * len(numbers), pa.int64())
+
+    rows = bpe_trie.encoded(docs(*[prose(s, 300, 4) for s in range(8)]).repartition(4), tokenizer()).collect()
+    assert len(rows) == 8
+    seen = {r.n for r in spark.range(64).select(F.arrow_udf(cached, "bigint")("id").alias("n")).collect()}
+    assert 0 in seen and max(seen) == 0
