@@ -12,12 +12,13 @@ documents with map-side combination: a few rows a language remain.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.text import GAP, let, narrow, stored, text_of, whole, words_of
+from tallyhouse.llm.text import let, narrow, once, stored, text_of, whole, words_of
 
 
 @dataclass(frozen=True)
@@ -33,58 +34,75 @@ class Limits:
 
 
 # Removing these from a text leaves what a class does not hold.
-LETTERS, NUMBERS, MARKS, SYMBOLS = r"\p{L}+", r"\p{N}+", r"[.,;:!?'\"()-]+", r"[#*$%&|<>]+"
+LETTERS_AND_SPACE = r"[a-zA-Z\x20\x09-\x0D\p{L}]++"
+NUMBERS, MARKS, SYMBOLS = r"\p{N}+", r"[.,;:!?'\"()-]+", r"[#*$%&|<>]+"
 
 
-def character_counts(text: Column) -> Column:
+def space_in(text: Column, words: Column) -> Column:
+    """White space of a text, in code points: what its words lack of it."""
+    return F.length(text) - F.length(F.array_join(words, ""))
+
+
+def character_counts(text: Column, space: Column) -> Column:
     """Struct of classes (letters, numbers, white space, punctuation, other) and symbols, in code points."""
 
     def gone(value: Column, pattern: str) -> Column:
         return F.length(value) - F.length(F.regexp_replace(value, pattern, ""))
 
     def counted(rest: Column) -> Column:
-        # Letters are most of a text; the other classes are counted in what is left.
-        numbers, space, marks = gone(rest, NUMBERS), gone(rest, GAP), gone(rest, MARKS)
-        other = F.length(rest) - numbers - space - marks
-        classes = F.array(F.length(text) - F.length(rest), numbers, space, marks, other)
+        # Letters and white space are most of a text; the other classes are counted in what is left.
+        numbers, marks = gone(rest, NUMBERS), gone(rest, MARKS)
+        other = F.length(rest) - numbers - marks
+        classes = F.array(F.length(text) - F.length(rest) - space, numbers, space, marks, other)
         return F.struct(classes.alias("classes"), gone(rest, SYMBOLS).alias("symbols"))
 
-    return let(F.regexp_replace(text, LETTERS, ""), counted)
+    return let(F.regexp_replace(text, LETTERS_AND_SPACE, ""), counted)
 
 
-def repeated_words(words: Column, window: int) -> Column:
-    """Words that lie in a `window`-word sequence which the text holds more than once."""
-    none = F.lit(0)
+def hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
 
-    def spans(keys: Column) -> Column:
-        # Equal sequences stand next to each other once sorted.
-        order = F.array_sort(F.transform(keys, lambda k, i: F.struct(k.alias("k"), i.alias("i"))))
 
-        def covered(starts: Column) -> Column:
-            reach = F.transform(
-                starts, lambda s, i: F.coalesce(F.least(F.get(starts, i + 1) - s, F.lit(window)), F.lit(window))
-            )
-            return F.aggregate(reach, none, lambda a, x: a + x)
+def repeat_steps(window: int) -> list[Callable[[Column], Column]]:
+    """From the hashes of a text's words to `repeated_words`, each step from the one before.
 
-        def starts(s: Column) -> Column:
-            twice = F.filter(
-                s, lambda e, i: F.coalesce(F.get(s, i - 1)["k"] == e["k"], F.lit(False))
-                | F.coalesce(F.get(s, i + 1)["k"] == e["k"], F.lit(False))
-            )
-            return F.array_sort(F.transform(twice, lambda e: e["i"]))
+    Steps with a function of elements and those without take turns, so that the latter can
+    run as compiled code.
+    """
 
-        return let(order, lambda s: let(starts(s), covered))
+    def neighbours(words: Column) -> Column:
+        n = F.greatest(F.size(words) - (window - 1), F.lit(0))
+        return F.arrays_zip(*[F.slice(words, F.lit(i + 1), n).alias(f"w{i}") for i in range(window)])
 
-    def keyed(hashes: Column) -> Column:
-        begins = F.slice(hashes, F.lit(1), F.size(hashes) - (window - 1))
-        return F.transform(begins, lambda h, i: F.xxhash64(h, *[F.get(hashes, i + j) for j in range(1, window)]))
+    def keys(windows: Column) -> Column:
+        return F.transform(windows, lambda w: F.xxhash64(w))
 
-    def counted(keys: Column) -> Column:
-        return F.when(F.size(F.array_distinct(keys)) < F.size(keys), spans(keys)).otherwise(none)
+    def ordered(keys: Column) -> Column:
+        # Equal sequences stand next to each other once sorted.
+        places = F.arrays_zip(keys.alias("k"), F.sequence(F.lit(0), F.size(keys) - 1).alias("i"))
+        return F.when(F.size(F.array_distinct(keys)) < F.size(keys), F.sort_array(places))
 
-    return F.when(F.size(words) <= window, none).otherwise(
-        let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: let(keyed(h), counted))
-    )
+    def starts(order: Column) -> Column:
+        twice = F.filter(
+            order, lambda e, i: F.get(order, i - 1)["k"].eqNullSafe(e["k"]) | F.get(order, i + 1)["k"].eqNullSafe(e["k"])
+        )
+        return F.transform(twice, lambda e: e["i"])
+
+    def covered(starts: Column) -> Column:
+        reach = F.transform(
+            starts, lambda s, i: F.coalesce(F.least(F.get(starts, i + 1) - s, F.lit(window)), F.lit(window))
+        )
+        return F.coalesce(F.aggregate(reach, F.lit(0), lambda a, x: a + x), F.lit(0))
+
+    return [neighbours, keys, ordered, starts, lambda unsorted: F.sort_array(unsorted), covered]
+
+
+def repeated_words(words: Column, window: int) -> Column:
+    """Words that lie in a `window`-word sequence which the text holds more than once."""
+    value = hashes(words)
+    for step in repeat_steps(window):
+        value = let(value, step)
+    return value
 
 
 def distance(counts: Column, reference: Column) -> Column:
@@ -112,29 +130,30 @@ def references(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     Null languages form a language of their own. Ties of common words go by the word.
     """
     texts = docs.select(F.col("lang").cast("string").alias("lang"), text_of(F.col("text")).alias("text"))
-    counts = texts.select("lang", character_counts(F.col("text"))["classes"].alias("c"))
-    classes = counts.groupBy("lang").agg(*[F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(5)])
+    split = once(texts, words=words_of(F.col("text")))
+    split = once(split.withColumn("n", F.size("words")), space=space_in(F.col("text"), F.col("words")))
+    counts = split.select("lang", "n", character_counts(F.col("text"), F.col("space"))["classes"].alias("c"))
+    classes = counts.groupBy("lang").agg(F.sum("n").alias("ref_words"), *[F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(5)])
     classes = classes.withColumn("total", sum(F.col(f"c{i}") for i in range(5))).select(
-        "lang", F.array(*[F.coalesce(F.col(f"c{i}") / F.col("total"), F.lit(0.0)) for i in range(5)]).alias("class_share")
+        F.col("lang").alias("ref_lang"), "ref_words",
+        F.array(*[F.when(F.col("total") > 0, F.col(f"c{i}") / F.col("total")).otherwise(0.0) for i in range(5)]).alias("class_share"),
     )
     words = texts.select("lang", F.explode(words_of(F.lower(F.col("text")))).alias("word"))
     counted = words.groupBy("lang", "word").agg(F.count("*").alias("n"))
-    totals = counted.groupBy(F.col("lang").alias("total_lang")).agg(F.sum("n").alias("ref_words"))
     by_rank = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     top = (
         counted.withColumn("rank", F.row_number().over(by_rank)).where(F.col("rank") <= limits.common_words)
-        .groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("rank", "word", "n"))).alias("top"))
+        .groupBy(F.col("lang").alias("word_lang")).agg(F.array_sort(F.collect_list(F.struct("rank", "word", "n"))).alias("top"))
     )
     named = F.aggregate("top", F.lit(0).cast("bigint"), lambda a, t: a + t["n"])
-    common = top.join(totals, F.col("lang").eqNullSafe(F.col("total_lang"))).select(
-        F.col("lang").alias("word_lang"), "ref_words", F.col("top.word").alias("common"),
-        F.concat(
-            F.transform("top", lambda t: t["n"] / F.col("ref_words")),
-            F.array((F.col("ref_words") - named) / F.col("ref_words")),
-        ).alias("word_share"),
+    shares = F.concat(
+        F.transform("top", lambda t: t["n"] / F.col("ref_words")),
+        F.array((F.col("ref_words") - named) / F.col("ref_words")),
     )
-    return classes.join(common, F.col("lang").eqNullSafe(F.col("word_lang")), "left").select(
-        F.col("lang").alias("ref_lang"), "class_share", "ref_words", "common", "word_share"
+    # A language without a word has no common ones.
+    return classes.join(top, F.col("ref_lang").eqNullSafe(F.col("word_lang")), "left").select(
+        "ref_lang", "class_share", "ref_words", F.col("top.word").alias("common"),
+        F.when(F.col("top").isNotNull(), shares).alias("word_share"),
     )
 
 
@@ -166,36 +185,37 @@ def judged(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """
     text = text_of(F.col("doc.text"))
 
-    def base(t: Column, words: Column, characters: Column) -> Column:
-        lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    def base(words: Column, space: Column) -> Column:
+        lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
         return F.struct(
             F.size(words).cast("bigint").alias("n_words"),
-            (F.length(t) - characters["classes"][2]).cast("bigint").alias("word_chars"),
-            characters["symbols"].cast("bigint").alias("n_symbols"),
+            (F.length(text) - space).cast("bigint").alias("word_chars"),
             let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
-            repeated_words(words, limits.window).cast("bigint").alias("n_repeat_words"),
-            characters["classes"].alias("classes"),
-            F.when(
-                (F.size(words) >= limits.least_words) & (F.col("ref_words") >= limits.least_reference),
-                word_counts(words_of(F.lower(t)), F.col("common")),
-            ).alias("found"),
+            character_counts(text, space).alias("characters"),
+            hashes(words).alias("repeats"),
         )
 
     joined = whole(docs).join(
         stored(narrow(references(docs, limits)), "references"), F.col("doc.lang").cast("string").eqNullSafe(F.col("ref_lang")), "left"
     )
-    counts = let(text, lambda t: let(words_of(t), lambda w: let(character_counts(t), lambda c: base(t, w, c))))
-    # A generated column is worked out once, also where rows are filtered by it.
-    measured = joined.withColumn("m", F.explode(F.array(counts)))
-    long = F.col("m.found").isNotNull()
-    n, repeats = F.col("m.n_words"), F.col("m.n_repeat_words")
-    failed = (n < limits.base_words) | (100 * repeats > limits.repeat_percent * n)
+    reference = [c for c in joined.columns if c != "doc"]
+    split = once(once(joined, words=words_of(text)), space=space_in(text, F.col("words")))
+    measured = once(split, m=base(F.col("words"), F.col("space"))).select("doc", *reference, "m.*")
+    for step in repeat_steps(limits.window):
+        measured = once(measured, repeats=step(F.col("repeats")))
+    n = F.col("n_words")
+    compared = (n >= limits.least_words) & (F.col("ref_words") >= limits.least_reference)
+    measured = once(measured, low=F.when(compared, words_of(F.lower(text))))
+    measured = once(measured, found=F.when(F.col("low").isNotNull(), word_counts(F.col("low"), F.col("common"))))
+    long = F.col("found").isNotNull()
+    failed = (n < limits.base_words) | (100 * F.col("n_repeat_words") > limits.repeat_percent * n)
     far = (F.col("class_distance") > limits.class_distance) | (F.col("word_distance") > limits.word_distance)
     return (
-        measured.withColumn("class_distance", F.when(long, distance(F.col("m.classes"), F.col("class_share"))))
-        .withColumn("word_distance", F.when(long, distance(F.col("m.found"), F.col("word_share"))))
+        measured.withColumn("n_repeat_words", F.col("repeats").cast("bigint"))
+        .withColumn("class_distance", F.when(long, distance(F.col("characters.classes"), F.col("class_share"))))
+        .withColumn("word_distance", F.when(long, distance(F.col("found"), F.col("word_share"))))
         .select(
-            "doc", "m.n_words", "m.word_chars", "m.n_symbols", "m.n_dup_lines", "m.n_repeat_words",
+            "doc", "n_words", "word_chars", F.col("characters.symbols").cast("bigint").alias("n_symbols"), "n_dup_lines", "n_repeat_words",
             "class_distance", "word_distance", failed.alias("base_failed"),
             (~failed & ~F.coalesce(far, F.lit(False))).alias("kept"),
         )

@@ -59,6 +59,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """`rows` with each column, in turn, worked out once a row, also where several read it or rows are filtered by it.
+
+    Columns without a function of elements run as compiled code; inside `let`, or beside
+    such a function, they would be interpreted.
+    """
+    for name, value in columns.items():
+        rows = rows.withColumn(name, F.explode(F.array(value)))
+    return rows
+
+
 def text_of(column: Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))
 

@@ -51,6 +51,26 @@ def test_repeated_words(spark, text, words):
     assert row.n == words
 
 
+def test_references_shuffle_their_words_once(spark, prose):
+    plan = quality.references(spark.createDataFrame(corpus(prose)))._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"hashpartitioning\(lang#\d+, word#\d+", plan)) == 1
+
+
+def test_repeats_are_found_outside_functions_of_elements(spark, prose):
+    plan = quality.judged(spark.createDataFrame(corpus(prose)))._jdf.queryExecution().optimizedPlan().toString()
+    keys = next(line for line in plan.splitlines() if "array_distinct(repeats" in line)
+    assert "lambda" not in keys
+
+
+def test_references_of_languages_without_words(spark, docs):
+    rows = {r.ref_lang: r for r in quality.references(docs((1, "", "xx", "s"), (2, None, None, "s"), (3, "\t\u00a0 A9.\n#", "yy", "s"))).collect()}
+    assert rows["xx"].ref_words == rows[None].ref_words == 0 and rows["xx"].common is None and rows[None].word_share is None
+    assert rows["xx"].class_share == [0.0] * 5
+    # A no-break space is no white space here, but part of a word and of the class of other characters.
+    assert rows["yy"].class_share == pytest.approx([n / 8 for n in (1, 1, 3, 1, 2)])
+    assert rows["yy"].ref_words == 3 and rows["yy"].common == ["#", "a9.", "\u00a0"]
+
+
 def test_distance_of_equal_and_disjoint_histograms(spark):
     row = spark.sql("select array(2, 2) a, array(0.5D, 0.5D) b, array(4, 0) c, array(0.0D, 1.0D) d").select(
         quality.distance(*columns("a", "b")).alias("same"),
