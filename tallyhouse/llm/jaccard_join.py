@@ -13,28 +13,33 @@ agrees with most others as pivot, and a pivot's region is all documents that cho
 a document is replicated into each region it may have a partner in. Size windows
 replicate documents at the border of a size class into the class below.
 
-Windows. A region measures every document's exact distance to its pivot. Those within
-reach are linked to it and thereby to each other. An outer document z can only be linked
-to y if their differences from the pivot agree in at least (|zΔp| + |yΔp| - D) / 2
-shingles: the triangle inequality, with equality where they agree in none.
-
-Recursion. Documents whose differences from the pivot share a shingle among the first
-ones in a fixed order (as many as that bound asks for, additions before omissions)
-choose a pivot again, and those with the same old and new pivot are a region of the next
-round, without the old pivot. A region that has become small, by sets and by bytes, is
-finished by one task, which measures all distances to its pivot and compares the pairs
-that the windows leave. Nothing is capped: every link between different sets is
-found, or joins two sets that are linked to the same pivot.
+Windows. A slice is also shared by chance, by texts that quote the same passage, the more so
+the larger the corpus. No text is therefore moved into a region at first, but a sketch of each
+set: how many of its shingles fall into each of a row of buckets. Sketches differ by no more
+than their sets do. A set is compared with those whose size and whose distance to a pivot's
+sketch are near enough (triangle inequality); pairs whose sketches differ in more than `D`
+are no links. What is left is a graph over the sets, and its components are the regions that
+texts are moved to: a set is in one of them, and most sets are in none.
+
+A small region is finished by one task, which measures every set's exact distance to the
+region's pivot and compares the pairs that the windows leave: outer sets can only be linked
+if their distances to the pivot are apart by no more than `D`.
+
+Recursion. A region that is too large for one task, by sets or by bytes, is measured from its
+pivot first. Those within reach are linked to it and thereby to each other. The others, the
+outer ones, are divided into blocks, the linked ones as well, and any two blocks of which one
+is outer are a region again, small enough to be finished. Nothing is capped: every link
+between different sets is found, or joins two sets that are linked otherwise.
 
 Copies have the same set, and a set is cut and compared once. A slice that many sets share
 meets in one task, which then holds one row of each; as every set has many slices, that is a
-small share of all. No large region is ever gathered: a round takes maxima of regions.
+small share of all. No large region is ever gathered: its sets are counted, and dealt by hash.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -50,8 +55,10 @@ from tallyhouse.llm.text import WORD, narrow, row_of, stored, text_of, whole
 CLASS_RATIO = 1.75
 BROADCAST_KEYS = 1_000_000  # 8 MB of keys
 SMALL_SETS, SMALL_BYTES = 1024, 8 << 20  # of a region that one task compares
+SCREEN_SETS, SCREEN_SHINGLES = 8192, 32 << 20  # of a region whose sketches one task compares
+FEWEST, COARSE = 16, 32  # buckets of a sketch at least; of the sketches that are looked at first
 COLUMNS = 1 << 15  # shingles of a small region laid out at once
-SLICED = "sig bigint, key bigint"
+SLICED, PAIRS = "sig bigint, key bigint", "a bigint, b bigint"
 
 
 @dataclass(frozen=True)
@@ -132,19 +139,43 @@ def _sets(texts: pa.Array, width: int) -> list[np.ndarray]:
     return list(shingle_sets([t or b"" for t in texts.to_pylist()], width))
 
 
+def sketch(values: np.ndarray) -> bytes:
+    """How many shingles of a set fall into each bucket, up to 255; a quarter to half as many buckets as shingles.
+
+    One shingle more or less changes one bucket by one at most, so sketches differ in sum by
+    no more shingles than their sets.
+    """
+    buckets = max(FEWEST, 1 << (len(values) // 4).bit_length())
+    counts = np.bincount((values & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def folded(sketches: np.ndarray, buckets: int) -> np.ndarray:
+    """Sketches, one a row, as they are with fewer buckets."""
+    while sketches.shape[-1] > buckets:
+        half = sketches.shape[-1] // 2
+        sketches = np.minimum(sketches[..., :half].astype(np.uint16) + sketches[..., half:], 255).astype(np.uint8)
+    return sketches
+
+
+def apart(sketches: np.ndarray, other: np.ndarray) -> np.ndarray:
+    return (np.maximum(sketches, other) - np.minimum(sketches, other)).sum(axis=1, dtype=np.int64)
+
+
 def _measured(texts: pa.Array, width: int) -> pa.Array:
     sets = _sets(texts, width)
     sizes = pa.array([len(s) for s in sets], pa.int64())
-    return pa.StructArray.from_arrays([sizes, pa.array(set_keys(sets))], names=["n", "key"])
+    sketches = pa.array([sketch(s) if len(s) else None for s in sets], pa.binary())
+    return pa.StructArray.from_arrays([sizes, pa.array(set_keys(sets)), sketches], names=["n", "key", "sketch"])
 
 
 def set_of(text: Column, width: int) -> Column:
-    """n (distinct shingles) and key of each text's set."""
+    """n (distinct shingles), key and sketch of each text's set."""
 
     def run(texts: pa.Array) -> pa.Array:
         return _measured(texts, width)
 
-    return F.arrow_udf(run, "struct<n: bigint, key: bigint>")(text_of(text).cast("binary"))
+    return F.arrow_udf(run, "struct<n: bigint, key: bigint, sketch: binary>")(text_of(text).cast("binary"))
 
 
 # Projections
@@ -205,31 +236,12 @@ def sliced(docs: DataFrame, rule: Rule) -> DataFrame:
 
 # Regions
 
-MEASURE = pa.struct([("linked", pa.bool_()), ("first", pa.list_(pa.int64()))])
-
-
-def _distances(texts: pa.Array, pivots: pa.Array, rule: Rule) -> pa.Array:
-    """Whether a pair is linked, and the differences from the pivot that come first."""
-    linked_to, first = [], []
+def _linked(texts: pa.Array, pivots: pa.Array, rule: Rule) -> pa.Array:
+    """Whether a set is within reach of its pivot."""
     both = _sets(pa.concat_arrays([texts, pivots]), rule.width)
-    for own, pivot in zip(both, both[len(texts) :]):
-        added = np.setdiff1d(own, pivot, assume_unique=True)
-        omitted = np.setdiff1d(pivot, own, assume_unique=True)
-        far = len(added) + len(omitted)
-        linked = rule.linked(len(own) - len(added), len(own) + len(omitted))
-        # Partners have at most this many differences from `own`.
-        most = rule.most_differing(len(own) + rule.largest_partner(len(own)))
-        if linked:  # its partner is an outer document, more than D from the pivot
-            outer = 1 + rule.most_differing(len(pivot) + -(-len(own) * rule.percent // 100))
-            shared = -(-(far + outer - most) // 2)
-        else:  # its partner is no nearer to the pivot than far - most
-            shared = far - most
-        count = far - max(1, shared) + 1
-        linked_to.append(linked)
-        first.append(np.concatenate([added, omitted ^ MULTIPLY])[: max(0, count)].view(np.int64))
-    ends = np.cumsum([0, *map(len, first)])
-    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), np.concatenate([np.empty(0, np.int64), *first]))
-    return pa.StructArray.from_arrays([pa.array(linked_to, pa.bool_()), lists], fields=list(MEASURE))
+    common = [len(np.intersect1d(own, pivot, assume_unique=True)) for own, pivot in zip(both, both[len(texts) :])]
+    unions = [len(own) + len(pivot) - c for own, pivot, c in zip(both, both[len(texts) :], common)]
+    return pa.array([rule.linked(c, u) for c, u in zip(common, unions)], pa.bool_())
 
 
 def windows(distances: np.ndarray, sizes: np.ndarray, rule: Rule) -> np.ndarray:
@@ -282,22 +294,55 @@ def _compared(texts: list[bytes], keys: list[int], rule: Rule) -> list[tuple[int
     return found
 
 
-def _small_regions(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
-    """Rows (region, key, text) sorted by region: regions may span batches."""
-    region, texts, keys, found = None, [], [], []
+def _screened(sizes: list[int], sketches: list[bytes], keys: list[int], sides: list[int], rule: Rule) -> list[tuple[int, int]]:
+    """Pairs that join the sets whose sketches do not tell that they are no links.
+
+    Of two blocks, which are told by their sides, only sets of different ones are compared.
+    """
+    order = np.argsort(sizes, kind="stable")
+    sizes, sides = np.array(sizes)[order], np.array(sides)[order]
+    buckets = np.array([len(sketches[i]) for i in order])
+    ends = np.searchsorted(sizes, [rule.largest_partner(int(n)) for n in sizes], side="right")
+    found, joined = [], np.arange(len(sizes))
+    for width in np.unique(buckets):
+        own = np.flatnonzero(buckets == width)  # in a row, as sizes are sorted
+        first, last = int(own[0]), int(ends[own[-1]])
+        fine = np.stack([folded(np.frombuffer(sketches[i], np.uint8), int(width)) for i in order[first:last]])
+        coarse = folded(fine, COARSE)
+        steps = [coarse, fine] if width > COARSE else [fine]
+        from_pivot = apart(coarse, coarse[len(coarse) // 2])
+        for i in own:
+            near = np.arange(i + 1, ends[i])
+            near = near[(joined[near] != joined[i]) & ((sides[i] < 0) | (sides[near] != sides[i]))]
+            most = rule.most_differing(sizes[near] + sizes[i])
+            kept = np.abs(from_pivot[near - first] - from_pivot[i - first]) <= most
+            for step in steps:
+                near, most = near[kept], most[kept]
+                if not len(near):
+                    break
+                kept = apart(step[near - first], step[i - first]) <= most
+            for j in near[kept] if len(near) else ():
+                if joined[i] != joined[j]:
+                    joined[joined == joined[j]] = joined[i]
+                    found.append((keys[order[i]], keys[order[j]]))
+    return found
+
+
+def _by_region(batches: Iterator[pa.RecordBatch], finish: Callable[..., list[tuple[int, int]]]) -> Iterator[pa.RecordBatch]:
+    """What `finish` finds in the columns of each region of two rows or more; rows are sorted by region, regions may span batches."""
+    region, members = None, []
 
     def finished() -> list[tuple[int, int]]:
-        return _compared(texts, keys, rule) if len(texts) > 1 else []
+        return finish(*map(list, zip(*members, strict=True))) if len(members) > 1 else []
 
     for batch in batches:
-        for at, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        found = []
+        for at, *values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if at != region:
                 found += finished()
-                region, texts, keys = at, [], []
-            texts.append(text)
-            keys.append(key)
+                region, members = at, []
+            members.append(values)
         yield _pairs(found)
-        found = []
     yield _pairs(finished())
 
 
@@ -309,16 +354,20 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
 def links(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """(a, b): keys of linked sets, enough of them to tell who is linked to whom.
 
-    `sets` has row and key of every row of `docs` with a set.
+    `sets` has row, n, key and sketch of every row of `docs` with a set.
     """
 
     def run(texts: pa.Array, pivots: pa.Array) -> pa.Array:
-        return _distances(texts, pivots, rule)
+        return _linked(texts, pivots, rule)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _small_regions(batches, rule)
+        return _by_region(batches, lambda keys, texts: _compared(texts, keys, rule))
+
+    def compared(members: DataFrame) -> DataFrame:
+        members = F.broadcast(members) if members.count() <= BROADCAST_KEYS else members
+        direct = members.join(texts, F.col("key") == F.col("text_key")).select("region", "key", "text")
+        return stored(direct.repartition("region").sortWithinPartitions("region").mapInArrow(compare, PAIRS), "links")
 
-    measure = F.arrow_udf(run, "struct<linked: boolean, first: array<bigint>>")
     # Each set is cut once, and its slices are moved once: only those that different sets share are kept.
     cut, same = sliced(_distinct(docs, sets), rule), Window.partitionBy("sig")
     met = cut.select("sig", "key", F.min("key").over(same).alias("low"), F.max("key").over(same).alias("high"), F.count("*").over(same).alias("n"))
@@ -327,81 +376,104 @@ def links(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     # original agrees with more than its edited copies do.
     agree = together.groupBy("key").agg(F.sum("n").alias("agree")).withColumnRenamed("key", "agree_key")
     scored = together.join(agree, F.col("key") == F.col("agree_key")).select(F.col("sig").alias("group"), "key", "agree")
-    members = stored(narrow(_chosen(scored)), "regions")
+    around = stored(narrow(_chosen(scored)), "regions")
+    near = components(stored(narrow(_near(sets, around, rule)), "near")).select(F.col("root").alias("region"), "node")
+    members = near.join(around.select("key", "agree").distinct(), F.col("node") == F.col("key")).select("region", "key", "agree")
+    members = stored(narrow(members), "members")
     texts = _texts(docs, sets, members)
     members = members.join(texts.select("text_key", F.octet_length("text").alias("bytes")), F.col("key") == F.col("text_key"))
-    members = members.drop("text_key")
-    found = []
-    while not members.isEmpty():
-        size = members.groupBy(F.col("region").alias("of_region")).agg(
-            F.count("*").alias("n"), F.sum("bytes").alias("all_bytes"), F.max(F.struct("agree", "key"))["key"].alias("pivot")
-        )
-        small = (F.col("n") <= SMALL_SETS) & (F.col("all_bytes") <= SMALL_BYTES)
-        known = stored(narrow(members.join(size, F.col("region") == F.col("of_region")).withColumn("small", small).drop("of_region")), "known")
-        direct = known.where("small and n > 1").select("region", "key")
-        direct = F.broadcast(direct) if direct.count() <= BROADCAST_KEYS else direct
-        direct = direct.join(texts, F.col("key") == F.col("text_key")).select("region", "key", "text")
-        gathered = direct.repartition("region").sortWithinPartitions("region")
-        found.append(stored(gathered.mapInArrow(compare, "a bigint, b bigint"), "links"))
-
-        placed = known.where("not small and key <> pivot").select("region", "key", "agree", "bytes", "pivot")
-        if placed.isEmpty():
-            break
-        # What follows, later rounds included, needs the texts of these regions only.
-        pairs = stored(narrow(placed.select("key", "pivot").distinct()), "pairs")
-        texts = stored(_of_keys(texts, pairs.select("key").union(pairs.select("pivot")).distinct()), "texts")
-        own = pairs.join(texts, F.col("key") == F.col("text_key")).select("key", "pivot", F.col("text").alias("own"))
-        faced = own.join(texts, F.col("pivot") == F.col("text_key")).select(
-            F.col("key").alias("a"), F.col("pivot").alias("b"), measure("own", "text").alias("m")
-        )
-        measured = stored(faced.select("a", "b", "m.linked", "m.first"), "measured")
-        found.append(measured.where("linked").select("a", "b"))
-        members = stored(narrow(_next_regions(placed, measured)), "regions")
-    every = docs.sparkSession.createDataFrame([], "a bigint, b bigint")
+    size = members.groupBy(F.col("region").alias("of_region")).agg(
+        F.count("*").alias("n"), F.sum("bytes").alias("all_bytes"), F.max(F.struct("agree", "key"))["key"].alias("pivot")
+    )
+    small = (F.col("n") <= SMALL_SETS) & (F.col("all_bytes") <= SMALL_BYTES)
+    known = members.join(size, F.col("region") == F.col("of_region")).withColumn("small", small).drop("of_region", "text_key")
+    known = stored(narrow(known), "known")
+    found = [compared(known.where("small").select("region", "key"))]
+
+    placed = known.where("not small and key <> pivot").select("region", "key", "bytes", "pivot")
+    if not placed.isEmpty():
+        own = placed.join(texts, F.col("key") == F.col("text_key")).select("region", "key", "bytes", "pivot", F.col("text").alias("own"))
+        faced = own.join(texts, F.col("pivot") == F.col("text_key"))
+        linked = F.arrow_udf(run, "boolean")("own", "text").alias("linked")
+        measured = stored(faced.select("region", "key", "bytes", "pivot", linked), "measured")
+        found += [measured.where("linked").select(F.col("key").alias("a"), F.col("pivot").alias("b")), compared(_parts(measured))]
+    every = docs.sparkSession.createDataFrame([], PAIRS)
     for more in found:
         every = every.unionByName(more)
     return every
 
 
-def _chosen(groups: DataFrame) -> DataFrame:
-    """(group, key, agree, …) → (region, key, agree, …): groups with the same best member are one region.
+def _blocks(most: int, large: int, sets: str, amount: str) -> Column:
+    """Blocks of a region of so many sets and bytes or shingles, so that two of them are within the limits."""
+    return F.greatest(F.ceil(F.col(sets) / max(1, most // 2)), F.ceil(F.col(amount) / (large // 2)))
 
-    Groups of different regions stay apart where the rows carry the region they are in.
-    """
-    best = groups.groupBy(F.col("group").alias("of_group")).agg(F.max(F.struct("agree", "key"))["key"].alias("best"))
-    within = [F.col("within")] if "within" in groups.columns else []
-    rest = [c for c in groups.columns if c not in ("group", "within")]
-    named = groups.join(best, F.col("group") == F.col("of_group"))
-    return named.select(F.xxhash64(*within, "best").alias("region"), *rest).distinct()
 
+def _near(sets: DataFrame, around: DataFrame, rule: Rule) -> DataFrame:
+    """(a, b): pairs that join the sets of a region whose sketches are near each other."""
 
-def _next_regions(placed: DataFrame, measured: DataFrame) -> DataFrame:
-    """Documents of one region whose differences from the pivot share a leading shingle."""
-    rows = placed.join(measured, (F.col("key") == F.col("a")) & (F.col("pivot") == F.col("b")))
-    leads = rows.select("region", "key", "agree", "bytes", "linked", F.explode("first").alias("lead")).select(
-        F.xxhash64("region", "lead").alias("group"), F.col("region").alias("within"), "key", "agree", "bytes", "linked"
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _by_region(batches, lambda keys, sizes, sketches, sides: _screened(sizes, sketches, keys, sides, rule))
+
+    wanted = around.select(F.col("key").alias("wanted")).distinct()
+    sets = sets.select("key", "n", "sketch").join(wanted, F.col("key") == F.col("wanted"), "left_semi")
+    shingles = sets.groupBy(F.col("key").alias("set_key")).agg(F.max("n").alias("shingles"))
+    size = around.join(shingles, F.col("key") == F.col("set_key")).groupBy(F.col("region").alias("of_region")).agg(
+        F.count("*").alias("all_sets"), F.sum("shingles").alias("all_shingles")
+    ).where("all_sets > 1")
+    one = (F.col("all_sets") <= SCREEN_SETS) & (F.col("all_shingles") <= SCREEN_SHINGLES)
+    blocks = F.when(one, 1).otherwise(_blocks(SCREEN_SETS, SCREEN_SHINGLES, "all_sets", "all_shingles"))
+    size = stored(narrow(size.select("of_region", blocks.alias("blocks"))), "sizes")
+    placed = around.join(size, F.col("region") == F.col("of_region")).select("region", "key", "blocks", F.pmod(F.xxhash64("key"), "blocks").alias("block"))
+    placed = placed.select("region", "key", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), "blocks")
+    low, high = F.least("block", "other"), F.greatest("block", "other")
+    placed = placed.select(
+        F.when(F.col("blocks") == 1, F.col("region")).otherwise(F.xxhash64("region", low, high)).alias("region"),
+        F.col("key").alias("of_key"), F.when(low < high, F.col("block")).otherwise(-1).alias("side"),
     )
-    leads = stored(narrow(leads), "leads")
-    # A group is worth going on with if two different sets meet, one of them outer.
-    worth = leads.groupBy(F.col("group").alias("of")).agg(
-        F.min("key").alias("low"), F.max("key").alias("high"), F.max(~F.col("linked")).alias("outer")
-    ).where("outer and low < high").select("of")
-    return _chosen(leads.join(worth, F.col("group") == F.col("of"), "left_semi").drop("linked"))
+    drawn = sets.dropDuplicates(["key"]).join(placed, F.col("key") == F.col("of_key")).select("region", "key", "n", "sketch", "side")
+    return drawn.repartition("region").sortWithinPartitions("region").mapInArrow(run, PAIRS)
+
+
+def _parts(measured: DataFrame) -> DataFrame:
+    """(region, key): any two blocks of a large region, one of them of outer sets, as a region."""
+    outer = ~F.col("linked")
+    size = measured.groupBy(F.col("region").alias("of_region")).agg(
+        *(f(F.when(which, value)).alias(name + kind)
+          for kind, which in (("outer", outer), ("linked", F.col("linked")))
+          for name, f, value in (("n_", F.count, F.lit(1)), ("bytes_", F.sum, F.col("bytes"))))
+    ).where("n_outer > 0").na.fill(0)
+    blocks = [_blocks(SMALL_SETS, SMALL_BYTES, f"n_{kind}", f"bytes_{kind}").alias(f"blocks_{kind}") for kind in ("outer", "linked")]
+    size = size.select("of_region", *blocks)
+    block = F.when(outer, F.pmod(F.xxhash64("key"), "blocks_outer")).otherwise(F.col("blocks_outer") + F.pmod(F.xxhash64("key"), "blocks_linked"))
+    placed = measured.join(size, F.col("region") == F.col("of_region")).withColumn("block", block)
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks_outer") + F.col("blocks_linked") - 1)))
+    low, high = F.least("block", "other"), F.greatest("block", "other")
+    # Two outer blocks hold the pairs inside each as well, unless there is only one.
+    parts = placed.where((low < F.col("blocks_outer")) & ((low < high) | (F.col("blocks_outer") + F.col("blocks_linked") == 1)))
+    return stored(narrow(parts.select(F.xxhash64("region", low, high).alias("region"), "key")), "parts")
 
 
-def _distinct(docs: DataFrame, sets: DataFrame) -> DataFrame:
-    """One row of every set; more only where a whole row is repeated."""
-    rows = stored(narrow(sets.groupBy("key").agg(F.min("row").alias("first_row")).select("first_row")), "first")
-    rows = F.broadcast(rows) if rows.count() <= BROADCAST_KEYS else rows
-    return docs.join(rows, row_of("doc_id", "text") == F.col("first_row"), "left_semi")
+def _chosen(groups: DataFrame) -> DataFrame:
+    """(group, key, agree) → (region, key, agree): groups with the same best member are one region."""
+    best = groups.groupBy(F.col("group").alias("of_group")).agg(F.max(F.struct("agree", "key"))["key"].alias("best"))
+    named = groups.join(best, F.col("group") == F.col("of_group"))
+    return named.select(F.xxhash64("best").alias("region"), "key", "agree").distinct()
+
 
+def _distinct(docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """One row of every set; more where a whole row is repeated, or where neither rows nor copies are few.
 
-def _of_keys(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows (text_key, text) of `keys` (key)."""
-    keys = stored(narrow(keys.select(F.col("key").alias("of_key"))), "keys")
-    # A checked size decides; beyond it Spark shuffles both sides.
-    keys = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
-    return texts.join(keys, F.col("text_key") == F.col("of_key"), "left_semi")
+    No text is moved for it: to cut a copy's set again costs less.
+    """
+    rows = stored(narrow(sets.groupBy("key").agg(F.min("row").alias("first_row"))), "first")
+    row = row_of("doc_id", "text")
+    if rows.count() <= BROADCAST_KEYS:
+        return docs.join(F.broadcast(rows.select("first_row")), row == F.col("first_row"), "left_semi")
+    copies = sets.join(rows.withColumnRenamed("key", "of_key"), F.col("key") == F.col("of_key")).where("row <> first_row")
+    copies = stored(narrow(copies.select(F.col("row").alias("copy_row")).distinct()), "copies")
+    if copies.count() <= BROADCAST_KEYS:
+        return docs.join(F.broadcast(copies), row == F.col("copy_row"), "left_anti")
+    return docs
 
 
 def _texts(docs: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
@@ -435,7 +507,7 @@ def grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     measured = slim.select("doc_id", row_of("doc_id", "text").alias("row"), set_of(F.col("text"), rule.width).alias("s"))
     sets = stored(
-        measured.select("doc_id", "row", "s.n", F.when(F.col("s.n") > 0, F.col("s.key")).alias("key")), "sets"
+        measured.select("doc_id", "row", "s.n", F.when(F.col("s.n") > 0, F.col("s.key")).alias("key"), "s.sketch"), "sets"
     )
     found = components(links(slim, sets.where("key is not null"), rule))
     return sets, found.select(F.col("node").alias("component_key"), F.col("root").alias("component"))

@@ -137,3 +137,71 @@ def test_texts_meet_only_where_rows_repeat(docs, prose, monkeypatch):
         found = jj.classed(docs(*rows, *more), jj.Rule(3, 90)).collect()
         assert len(found) == len(rows) + len(more) and {r.doc_id: r.component_id for r in found} == expected
     assert "Exchange hashpartitioning(text_key" not in plans[0] and "Exchange hashpartitioning(text_key" in plans[-1]
+
+
+def test_sketches_differ_by_no_more_than_their_sets():
+    rng = np.random.default_rng(5)
+    for size in (1, 7, 60, 900, 4000):
+        for changed in (0, 1, size // 10, size // 2, size):
+            a = rng.integers(0, 2**63, size).astype(np.uint64)
+            b = np.append(a[changed:], rng.integers(0, 2**63, changed + size // 5).astype(np.uint64))
+            drawn = [np.frombuffer(jj.sketch(np.unique(s)), np.uint8) for s in (a, b)]
+            for buckets in {min(map(len, drawn)), 16}:
+                own, other = (jj.folded(d[None], buckets) for d in drawn)
+                assert jj.apart(own, other[0])[0] <= len(np.setxor1d(a, b))
+
+
+@pytest.mark.parametrize("sets", [8192, 6])
+def test_texts_that_share_a_passage_by_chance_are_not_moved(docs, prose, monkeypatch, sets):
+    monkeypatch.setattr(jj, "SCREEN_SETS", sets)  # 6: regions are compared in blocks
+    moved = {}
+
+    def recorded(rows, label):
+        moved.setdefault(label, []).append(stored(rows, label))
+        return moved[label][-1]
+
+    monkeypatch.setattr(jj, "stored", recorded)
+    quoted = " ".join(f"q{i}" for i in range(30))
+    own = lambda s: " ".join(random.Random(s).choices([f"{s}w{i}" for i in range(90)], k=40))
+    texts = [f"{quoted} {own(s)}" for s in range(40)]
+    texts += [t + " more" for t in texts[:3]]
+    found = {r.doc_id: r.component_id for r in jj.classed(docs(*texts), jj.Rule(3, 80)).collect()}
+    assert found == dict(enumerate(brute.components(texts, 3, 80)))
+    assert moved["regions"][0].select("key").distinct().count() > 20  # they do share slices
+    assert moved["texts"][0].count() == 6
+
+
+def test_a_large_group_of_near_copies_takes_one_round(docs, prose, monkeypatch):
+    monkeypatch.setattr(jj, "SMALL_SETS", 16)
+    kept = []
+
+    def recorded(rows, label):
+        kept.append((label, stored(rows, label)))
+        return kept[-1][1]
+
+    monkeypatch.setattr(jj, "stored", recorded)
+    texts = copies(prose, 8, 200, 150, 4)
+    found = {r.doc_id: r.component_id for r in jj.classed(docs(*texts), jj.Rule(3, 90)).collect()}
+    assert found == dict(enumerate(brute.components(texts, 3, 90)))
+    assert [label for label, _ in kept].count("known") == 1
+    parts = next(rows for label, rows in kept if label == "parts")
+    assert parts.groupBy("region").count().agg({"count": "max"}).first()[0] < len(set(texts)) / 2
+
+
+@pytest.mark.parametrize("keys, joins", [(20, 1), (2, 0)])
+def test_no_text_is_shuffled_to_drop_copies(docs, prose, monkeypatch, keys, joins):
+    """Where first rows are many, copies are dropped if they are few; else they are cut as well."""
+    monkeypatch.setattr(jj, "BROADCAST_KEYS", keys)
+    plans = []
+
+    def recorded(rows, label):
+        if label == "together":
+            plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return stored(rows, label)
+
+    monkeypatch.setattr(jj, "stored", recorded)
+    texts = copies(prose, 7, 60, 30, 2) + [prose(s, 50) for s in range(20, 30)]
+    texts += texts[-5:]
+    found = {r.doc_id: r.component_id for r in jj.classed(docs(*texts), jj.Rule(3, 90)).collect()}
+    assert found == dict(enumerate(brute.components(texts, 3, 90)))
+    assert len(plans) == 1 and "SortMergeJoin" not in plans[0] and plans[0].count("BroadcastHashJoin") in (joins, 2 * joins)
