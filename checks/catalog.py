@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from datetime import date, datetime, timedelta
 from functools import reduce
 
@@ -26,6 +27,21 @@ Query = Callable[[Views], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+STATEMENTS_A_FILE = 200_000
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """What is written inside does not keep its shuffle files."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
     return function
@@ -256,39 +272,47 @@ def src_camt(v: Views) -> DataFrame:
     """Statements and notifications written as XML files and read back, with the account owner looked up."""
     folder = scratch_path(v.spark, "camt")
     key = F.col("o_orderkey")
-    price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
-    named = F.array(
-        F.lit("Customer 1"),
-        F.when(key % 3 == 0, F.concat(F.lit("Customer "), key.cast("string"), F.lit(" & co"))).otherwise("Shop"),
-    )
-    details = F.struct(
-        F.struct(
-            F.struct(named[1].alias("Nm")).alias("Dbtr"),
-        ).alias("RltdPties"),
-        F.struct(F.when(key % 4 == 0, " pay & <go> ").alias("Ustrd")).alias("RmtInf"),
-    )
-    entry = F.struct(
-        F.struct(
-            F.replace(price, F.lit("."), F.lit(",")).alias("_VALUE"), F.when(key % 2 == 0, "EUR").alias("_Ccy")
-        ).alias("Amt"),
-        F.when(F.col("o_orderstatus") == "F", "CRDT").when(F.col("o_orderstatus") == "O", "dbit").alias("CdtDbtInd"),
-        F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("Dt")).alias("BookgDt"),
-        F.when(key % 5 != 0, F.concat(F.lit("R"), key.cast("string"))).alias("AcctSvcrRef"),
-        F.struct(details.alias("TxDtls")).alias("NtryDtls"),
-    )
+
+    def entry(order: F.Column) -> F.Column:
+        key, status = order["o_orderkey"], order["o_orderstatus"]
+        price = order["o_totalprice"].cast("decimal(18,2)").cast("string")
+        named = F.when(key % 3 == 0, F.concat(F.lit("Customer "), key.cast("string"), F.lit(" & co"))).otherwise("Shop")
+        details = F.struct(
+            F.struct(
+                F.struct(named.alias("Nm")).alias("Dbtr"),
+            ).alias("RltdPties"),
+            F.struct(F.when(key % 4 == 0, " pay & <go> ").alias("Ustrd")).alias("RmtInf"),
+        )
+        return F.struct(
+            F.struct(
+                F.replace(price, F.lit("."), F.lit(",")).alias("_VALUE"), F.when(key % 2 == 0, "EUR").alias("_Ccy")
+            ).alias("Amt"),
+            F.when(status == "F", "CRDT").when(status == "O", "dbit").alias("CdtDbtInd"),
+            F.struct(F.date_format(order["o_orderdate"], "yyyy-MM-dd").alias("Dt")).alias("BookgDt"),
+            F.when(key % 5 != 0, F.concat(F.lit("R"), key.cast("string"))).alias("AcctSvcrRef"),
+            F.struct(details.alias("TxDtls")).alias("NtryDtls"),
+        )
+
     orders = v.table("orders")
+    used = ("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderdate")
+    # Entries are written out after the shuffle, which moves what they are made of.
     statements = (
         orders.groupBy("o_custkey", F.floor(key / 1000).alias("part"))
-        .agg(F.collect_list(entry).alias("Ntry"))
+        .agg(F.collect_list(F.struct(*used)).alias("found"))
         .select(
             F.struct(
                 F.struct(F.struct(F.col("o_custkey").cast("string").alias("Id")).alias("Othr")).alias("Id")
             ).alias("Acct"),
-            "Ntry",
+            F.transform("found", entry).alias("Ntry"),
         )
     )
-    for kind, (tag, _) in camt.MESSAGES.items():
-        statements.write.format("xml").option("rowTag", tag).option("rootTag", "BkToCstmrStmt").save(f"{folder}/{kind}")
+    with shuffles_dropped(v.spark):
+        for kind, (tag, _) in camt.MESSAGES.items():
+            # A packed file is read by one task, so its size is bounded.
+            (
+                statements.write.format("xml").option("rowTag", tag).option("rootTag", "BkToCstmrStmt").option("indent", "")
+                .option("compression", "gzip").option("maxRecordsPerFile", STATEMENTS_A_FILE).save(f"{folder}/{kind}")
+            )
     owners = orders.select(
         F.col("o_custkey").cast("string").alias("account_id"),
         F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("client_id"),

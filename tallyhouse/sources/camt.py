@@ -3,7 +3,8 @@
 A file is read in pieces that end at an entry's tag, by as many tasks as it has blocks, so a
 statement of any length is no unit of work. An entry belongs to the statement opened last
 before it: each block says what it opened last, one row a block is taken in file order, and
-an entry looks at the openings of its block and at what its block began with.
+an entry looks at the openings of its block and at what its block began with. Entries are read
+before they are put in order, so that their text moves only where refused ones are kept.
 
 Names and remarks count at any depth of an entry, in the order of the text. Inside a text
 every `<` is written `&lt;`, so what a text says never passes for an element.
@@ -28,8 +29,9 @@ MESSAGES = {"053": ("Stmt", "CAMT_STMT"), "054": ("Ntfctn", "CAMT_NTF")}
 DESCRIPTION_WIDTH = 2000
 # What ends a piece: the tag of an entry, whatever its prefix.
 END = "Ntry>"
-PLACE = ("__path", "__block", "__row")
+PLACE = ("__path", "seq_part", "__block", "__row")
 # Direct children of an entry; the same names further inside mean something else.
+SAID = ("__broken", "__ref", "__amount", "__currency", "__side", "__day", "__remark", "__named")
 ENTRY = (
     "Amt array<struct<_VALUE: string, _Ccy: string>>, CdtDbtInd array<string>, "
     "BookgDt array<struct<Dt: array<string>>>, AcctSvcrRef array<string>, __broken string"
@@ -102,13 +104,14 @@ def _opening(header: Column, tag: str) -> Column:
 
 
 def read_statements(spark: SparkSession, paths: Sequence[str], kind: str) -> DataFrame:
-    """One row per booked entry inside a statement or notification: `__entry` and `__account`, as XML, and position."""
+    """One row per booked entry inside a statement or notification: `__entry`, as XML, what it says, `__account` and position."""
     tag, _ = MESSAGES[kind]
     files = listed_files(spark, paths)
     pieces = spark.read.option("lineSep", END).text(files).select(
         _without_sections(F.col("value")).alias("xml"), F.col("_metadata.file_path").alias("__path"),
         F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__row"),
     )
+    pieces = ranked(pieces, files)
     xml, begun = F.col("xml"), r"^/(?:\w++:)?$"
     tail = F.substring_index(xml, "<", -1)  # what is short is looked at, not the whole piece
     entry = F.contains(xml, F.lit("<")) & tail.rlike(begun)
@@ -118,21 +121,50 @@ def read_statements(spark: SparkSession, paths: Sequence[str], kind: str) -> Dat
     text = F.when(attributes, F.element_at(parts, -1)).otherwise(xml)
     inside = F.concat(F.left(text, F.length(text) - F.length(tail) - 1), F.regexp_replace(tail, begun, ""))
     pieces = pieces.select(*PLACE, _opening(header, tag).alias("opening"), F.when(entry, inside).alias("__entry"))
-    of_block = pieces.groupBy("__path", "__block").agg(
+    known = F.struct(F.col("opening.open").alias("open"), account_number(F.col("opening.account")).alias("account"))
+    pieces = _said(pieces.withColumn("opening", F.when(F.col("opening").isNotNull(), known)))
+    of_block = pieces.groupBy("seq_part", "__block").agg(
         F.max_by("opening", F.when(F.col("opening").isNotNull(), F.col("__row"))).alias("last")
     )
-    earlier = Window.partitionBy("of_path").orderBy("of_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = of_block.withColumnsRenamed({"__path": "of_path", "__block": "of_block"}).select(
-        "of_path", "of_block", F.last("last", ignorenulls=True).over(earlier).alias("carried")
+    earlier = Window.partitionBy("of_part").orderBy("of_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = of_block.withColumnsRenamed({"seq_part": "of_part", "__block": "of_block"}).select(
+        "of_part", "of_block", F.last("last", ignorenulls=True).over(earlier).alias("carried")
     )
-    so_far = Window.partitionBy("__path", "__block").orderBy("__row").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy("seq_part", "__block").orderBy("__row").rowsBetween(Window.unboundedPreceding, 0)
     placed = pieces.withColumn("own", F.last("opening", ignorenulls=True).over(so_far))
-    placed = placed.join(blocks, (F.col("__path") == F.col("of_path")) & (F.col("__block") == F.col("of_block")))
+    # What is no entry has done its part, and is not joined.
+    placed = placed.where(F.col("__piece") & (F.col("own").isNull() | F.col("own.open")))
+    placed = placed.join(blocks, (F.col("seq_part") == F.col("of_part")) & (F.col("__block") == F.col("of_block")))
     state = F.coalesce("own", "carried")
-    rows = placed.where(F.col("__entry").isNotNull() & state["open"]).select(
-        "__path", F.col("__block").alias("seq_block"), F.col("__row").alias("seq_row"), state["account"].alias("__account"), "__entry"
+    return placed.where(state["open"]).select(
+        "__path", "seq_part", F.col("__block").alias("seq_block"), F.col("__row").alias("seq_row"),
+        state["account"].alias("__account"), "__entry", *SAID,
     )
-    return ranked(rows, files)
+
+
+def _said(pieces: DataFrame) -> DataFrame:
+    """`pieces` with what each `__entry` says, and whether there is one as `__piece`."""
+    xml = F.col("__entry")
+    whole = F.concat(F.lit("<Ntry>"), xml, F.lit("</Ntry>"))
+    options = {"rowTag": "Ntry", "ignoreNamespace": "true", "columnNameOfCorruptRecord": "__broken"}
+    rows = pieces.withColumn("e", F.from_xml(whole, ENTRY, options))
+    said = F.split(_decoded(F.array_join(_texts(xml, "Nm"), "\n")), "\n")
+    customers = F.filter(F.transform(said, lambda n: F.regexp_extract(n, r"Customer ([0-9]+)", 1)), lambda c: c != "")
+    days = F.filter(F.transform(F.col("e.BookgDt"), lambda b: F.get(b["Dt"], F.lit(0))), lambda d: d != "")
+    amount = F.get("e.Amt", F.lit(0))
+    first = lambda values: F.get(_filled(values), F.lit(0))
+    read = {
+        "__piece": xml.isNotNull(),
+        "__broken": F.col("e.__broken").isNotNull(),
+        "__ref": F.coalesce(first(F.col("e.AcctSvcrRef")), F.lit("")),
+        "__amount": F.coalesce(stripped(amount["_VALUE"]), F.lit("0")),
+        "__currency": cut(or_default(amount["_Ccy"], "INR"), 8),
+        "__side": F.coalesce(first(F.col("e.CdtDbtInd")), F.lit("DBIT")),
+        "__day": cut(strip(F.try_element_at(days, F.lit(-1))), 10),
+        "__remark": strip(_decoded(first(_texts(xml, "Ustrd")))),
+        "__named": F.try_element_at(customers, F.lit(-1)),
+    }
+    return rows.withColumns(read).drop("e")
 
 
 def entries(statements: DataFrame, accounts: DataFrame | None, kind: str) -> DataFrame:
@@ -147,26 +179,7 @@ def entries(statements: DataFrame, accounts: DataFrame | None, kind: str) -> Dat
 def read_entries(statements: DataFrame, accounts: DataFrame | None, kind: str) -> DataFrame:
     """The same with refused entries, which lack an account, reference, customer or number."""
     _, operation = MESSAGES[kind]
-    xml = F.col("__entry")
-    whole = F.concat(F.lit("<Ntry>"), xml, F.lit("</Ntry>"))
-    options = {"rowTag": "Ntry", "ignoreNamespace": "true", "columnNameOfCorruptRecord": "__broken"}
-    rows = statements.withColumn("e", F.from_xml(whole, ENTRY, options))
-    said = F.split(_decoded(F.array_join(_texts(xml, "Nm"), "\n")), "\n")
-    customers = F.filter(F.transform(said, lambda n: F.regexp_extract(n, r"Customer ([0-9]+)", 1)), lambda c: c != "")
-    days = F.filter(F.transform(F.col("e.BookgDt"), lambda b: F.get(b["Dt"], F.lit(0))), lambda d: d != "")
-    amount = F.get("e.Amt", F.lit(0))
-    first = lambda values: F.get(_filled(values), F.lit(0))
-    rows = rows.select(
-        account_number(F.col("__account")).alias("__account"), "__entry", F.col("e.__broken").isNotNull().alias("__broken"),
-        *carried(rows),
-        F.coalesce(first(F.col("e.AcctSvcrRef")), F.lit("")).alias("__ref"),
-        F.coalesce(stripped(amount["_VALUE"]), F.lit("0")).alias("__amount"),
-        cut(or_default(amount["_Ccy"], "INR"), 8).alias("__currency"),
-        F.coalesce(first(F.col("e.CdtDbtInd")), F.lit("DBIT")).alias("__side"),
-        cut(strip(F.try_element_at(days, F.lit(-1))), 10).alias("__day"),
-        strip(_decoded(first(_texts(xml, "Ustrd")))).alias("__remark"),
-        F.try_element_at(customers, F.lit(-1)).alias("__named"),
-    )
+    rows = statements
     if accounts is None:
         rows = rows.withColumn("__owner", nothing())
     else:

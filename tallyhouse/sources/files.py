@@ -103,7 +103,8 @@ def ranked(rows: DataFrame, paths: list[str], column: str = "__path") -> DataFra
         return rows.withColumn("seq_part", F.lit(0))
     order = [(path, i) for i, path in enumerate(paths)]
     ranks = rows.sparkSession.createDataFrame(order, f"{column} string, seq_part int")
-    return rows.join(ranks, column)
+    # The driver has listed the files; Spark, which cannot tell how few they are, would shuffle all rows.
+    return rows.join(F.broadcast(ranks), column)
 
 
 def positioned(rows: DataFrame, part: F.Column | int = 0, block: F.Column | int = 0) -> DataFrame:

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import json
 import random
+import re
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks import catalog
 from tallyhouse.operators.staging import staged, with_load_seq
 from tallyhouse.plans import load
 from tallyhouse.plans.warehouse import Warehouse
@@ -206,3 +209,36 @@ def test_staging_keeps_refused_records(spark, tmp_path):
 def test_a_header_is_split_once(spark):
     header = spark.createDataFrame([("x",)], "header string").select(camt._opening(F.col("header"), "Stmt").alias("o"))
     assert header._jdf.queryExecution().analyzed().toString().count("split(") == 1
+
+
+def test_texts_of_accepted_entries_are_not_moved(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / name).write_text("<D>" + STATEMENT.format(6, entry(name + "1", "Customer 1")) + "</D>")
+    read = camt.read_statements(spark, [str(tmp_path / name) for name in "ba"], "053")
+    kept = camt.read_entries(read, None, "053").where("raw_text IS NOT NULL")
+    assert {(r.seq_part, r.raw_text.count("AcctSvcrRef"), r.reject_reason) for r in kept.collect()} == {(i, 2, "amount is no number") for i in (0, 1)}
+    plan = camt.entries(read, None, "053")._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line, above in zip(plan.split("\n")[1:], plan.split("\n")) if "Exchange hashpartitioning(seq_part" in above]
+    assert moved and not any(re.search(r"[\[ ]__entry#\d+[,\]]", line) for line in moved)
+    assert "hashpartitioning(__path" not in plan
+
+
+def test_the_query_writes_packed_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "STATEMENTS_A_FILE", 2)
+    orders = [(i, i // 2, "FOP"[i % 3], 10.5 + i, datetime(2024, 1, 1 + i % 9), "1") for i in range(1, 30)]
+    schema = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+    spark.createDataFrame(orders, schema).coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    folders = []
+
+    def made(session, label):
+        folders.append(f"{tmp_path}/{label}")
+        return folders[-1]
+
+    monkeypatch.setattr(catalog, "scratch_path", made)
+    found = catalog.queries()["src_camt"](spark, str(tmp_path)).collect()
+    wanted = [o for o in orders if o[0] % 5]
+    assert sorted((r.source_transaction_id, r.source_account_id, r.direction) for r in found) == sorted(
+        (f"ISO{kind}-R{o[0]}", str(o[1]), "C" if o[2] == "F" else "D") for o in wanted for kind in camt.MESSAGES
+    )
+    written = [p for kind in camt.MESSAGES for p in Path(folders[0], kind).glob("part-*")]
+    assert len(written) >= 14 and all(p.name.endswith(".gz") for p in written)
