@@ -414,8 +414,6 @@ def _near(sets: DataFrame, around: DataFrame, rule: Rule) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _by_region(batches, lambda keys, sizes, sketches, sides: _screened(sizes, sketches, keys, sides, rule))
 
-    wanted = around.select(F.col("key").alias("wanted")).distinct()
-    sets = sets.select("key", "n", "sketch").join(wanted, F.col("key") == F.col("wanted"), "left_semi")
     shingles = sets.groupBy(F.col("key").alias("set_key")).agg(F.max("n").alias("shingles"))
     size = around.join(shingles, F.col("key") == F.col("set_key")).groupBy(F.col("region").alias("of_region")).agg(
         F.count("*").alias("all_sets"), F.sum("shingles").alias("all_shingles")
@@ -430,7 +428,8 @@ def _near(sets: DataFrame, around: DataFrame, rule: Rule) -> DataFrame:
         F.when(F.col("blocks") == 1, F.col("region")).otherwise(F.xxhash64("region", low, high)).alias("region"),
         F.col("key").alias("of_key"), F.when(low < high, F.col("block")).otherwise(-1).alias("side"),
     )
-    drawn = sets.dropDuplicates(["key"]).join(placed, F.col("key") == F.col("of_key")).select("region", "key", "n", "sketch", "side")
+    # Copies are dropped by each task before any meet.
+    drawn = sets.select("key", "n", "sketch").dropDuplicates(["key"]).join(placed, F.col("key") == F.col("of_key")).select("region", "key", "n", "sketch", "side")
     return drawn.repartition("region").sortWithinPartitions("region").mapInArrow(run, PAIRS)
 
 
